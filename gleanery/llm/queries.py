@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, sharding
+from . import bitplane, packing, quality, sharding
 from .common import table
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), 2048, 0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -19,7 +29,11 @@ def op7_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op7_minimax_sharding)}
+def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
+
+
+QUERIES = {f.__name__: f for f in (op2_pattern_packing, op3_quality_rules, op7_minimax_sharding, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),
