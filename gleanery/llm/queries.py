@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, packing, quality, sharding
+from . import bitplane, langid, packing, quality, sharding
 from .common import table
 
 
@@ -15,6 +15,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify_folds(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), 2048, 0)
 
@@ -33,7 +38,7 @@ def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op2_pattern_packing, op3_quality_rules, op7_minimax_sharding, op10_bitplane_files)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op7_minimax_sharding, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),
