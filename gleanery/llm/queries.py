@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, langid, packing, quality, sharding
-from .common import table
+from . import bitplane, langid, packing, quality, sharding, toxicity
+from .common import fold, table
 
 
 def _tokenizer(name: str) -> str:
@@ -29,6 +29,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs.where(toxicity.teaching_rows(F.col("doc_id"))), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -38,7 +44,7 @@ def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op7_minimax_sharding, op10_bitplane_files)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op5_noisy_or_toxicity, op7_minimax_sharding, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),
