@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitplane, langid, packing, quality, sharding, toxicity
+from . import annsearch, bitplane, langid, packing, quality, sharding, toxicity
 from .common import fold, table
 
 
@@ -29,6 +29,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annsearch.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op5_noisy_or_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs.where(toxicity.teaching_rows(F.col("doc_id"))), table(spark, sf_dir, "labels"))
@@ -44,7 +48,7 @@ def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op5_noisy_or_toxicity, op7_minimax_sharding, op10_bitplane_files)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op7_minimax_sharding, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),
