@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annsearch, bitplane, langid, packing, quality, sharding, toxicity
+from . import annsearch, bitplane, langid, packing, pieces, quality, sharding, toxicity
 from .common import fold, table
 
 
@@ -44,11 +44,16 @@ def op7_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.segment(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), 3)
+    return found.select("doc_id", "round_trip", F.col("nbest")[0]["n_pieces"].alias("n_pieces"), F.col("nbest")[0]["ids_crc32"].alias("ids_crc32"), F.col("nbest")["score"].alias("scores"), F.col("nbest")["ids_crc32"].alias("nbest_crc32"))
+
+
 def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op7_minimax_sharding, op10_bitplane_files)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op7_minimax_sharding, op8_nbest_pieces, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),
