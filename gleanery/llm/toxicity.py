@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, fold, text_or_empty, utf8, word_hashes, words
+from .common import each_slice, fold, slices, text_or_empty, utf8, word_hashes, words
 
 #: The bound of the training sample: labelled texts per class.
-MAX_PER_CLASS = 3000
+MAX_PER_CLASS = 2000
 HASH_BITS = 22
 #: Byte lengths of the word beginnings that are features too.
 STEMS = (4, 5, 6)
@@ -79,19 +79,41 @@ def sentence_logits(model: dict, h: np.ndarray, sentence: np.ndarray, n: int) ->
     return model["bias"] + np.bincount(sentence[hit], w[hit], n)
 
 
-def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> dict:
-    """Weights by Adam on the noisy-or likelihood; classes weigh as they come."""
+def _parts(data: np.ndarray, off: np.ndarray):
+    for lo, hi in slices(off):
+        yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+
+
+def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, steps: int = STEPS) -> dict:
+    """Weights by Adam on the noisy-or likelihood; classes weigh as in a corpus with this share of toxic texts."""
     data, off = utf8(pa.array(texts, pa.string()))
-    h, sentence, spans, first = sentences(data, off - off[0])
-    n, doc = len(spans), np.repeat(np.arange(len(texts)), np.diff(first))
-    unique, column = np.unique(h, return_inverse=True)
-    pairs = np.unique(column * len(texts) + doc[sentence]) if len(h) else np.zeros(0, np.int64)
-    common = np.bincount(pairs // max(1, len(texts)), minlength=len(unique)) >= LEAST_TEXTS
-    keep = common[column]
-    used, sentence = unique[common], sentence[keep]
-    column = (np.cumsum(common) - 1)[column[keep]]
+    data, off = data[off[0] : off[-1]], off - off[0]
+    # Texts per slot bound a feature's texts from above: what can't reach LEAST_TEXTS is never held.
+    texts_per_slot = np.zeros(1 << HASH_BITS, np.int32)
+    for _, _, own, inner in _parts(data, off):
+        h, sentence, _, first = sentences(own, inner)
+        doc = np.repeat(np.arange(len(inner) - 1), np.diff(first))[sentence]
+        pairs = np.unique(_slot(h)[0] * len(inner) + doc) // len(inner)
+        texts_per_slot += np.bincount(pairs, minlength=1 << HASH_BITS).astype(np.int32)
+    hashes, places, docs, n = [], [], [], 0
+    firsts = [np.zeros(1, np.int64)]
+    for lo, hi, own, inner in _parts(data, off):
+        h, sentence, spans, first = sentences(own, inner)
+        keep = texts_per_slot[_slot(h)[0]] >= LEAST_TEXTS
+        hashes.append(h[keep])
+        places.append((sentence[keep] + n).astype(np.int32))
+        docs.append(np.repeat(np.arange(lo, hi, dtype=np.int32), np.diff(first)))
+        firsts.append(first[1:] + n)
+        n += len(spans)
+    h, sentence, doc, first = (np.concatenate(x) for x in (hashes, places, docs, firsts))
+    del hashes, places, docs, firsts
+    used, column = np.unique(h, return_inverse=True)
+    column = column.astype(np.int32)
+    del h
     y = labels.astype(float)
-    rate = np.clip(y.mean(), 1e-3, 1 - 1e-3) if len(y) else 0.5
+    own = np.clip(y.mean(), 1e-3, 1 - 1e-3) if len(y) else 0.5
+    rate = own if toxic_share is None else np.clip(toxic_share, 1e-3, 1 - 1e-3)
+    pull = np.where(y > 0, rate / own, (1 - rate) / (1 - own))
     theta = np.zeros(len(used) + 1)
     theta[-1] = np.log(rate / 10 / (1 - rate / 10))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -101,7 +123,7 @@ def fit(texts: list[str], labels: np.ndarray, steps: int = STEPS) -> dict:
         survive = _sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first)  # log of prod(1 - p)
         q = np.clip(-np.expm1(survive), 1e-9, 1 - 1e-9)
         # d loss / d z of a sentence: p for a clean text, -p (1 - q) / q for a toxic one.
-        g_z = p * np.where(y > 0, -(1 - q) / q, 1.0)[doc]
+        g_z = p * (pull * np.where(y > 0, -(1 - q) / q, 1.0))[doc]
         g = np.append(np.bincount(column, g_z[sentence], len(used)), g_z.sum()) / len(texts)
         g[:-1] += _L2 * theta[:-1]
         m = 0.9 * m + 0.1 * g
@@ -131,9 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
         return None
     rows = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").select("text", "toxic")  # at most 2 x per_class ids
     found = rows.collect()
-    y = np.array([r.toxic for r in found])
-    model = fit([r.text for r in found], y)
-    return model
+    return fit([r.text for r in found], np.array([r.toxic for r in found]), rate[1] / (rate[0] + rate[1]))
 
 
 def _score(shared):
