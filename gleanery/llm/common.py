@@ -161,3 +161,34 @@ def each_slice(batch: pa.RecordBatch, text: str = "text"):
     data, off = utf8(batch.column(text))
     for lo, hi in slices(off):
         yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+
+
+# --- texts of a few documents ------------------------------------------------------------------
+
+FILTER_BITS = 23
+
+
+def possible_rows(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", wanted: bool = True) -> DataFrame:
+    """Rows of docs whose id may be in ids: all that are, and a few others. wanted=False: all other rows.
+
+    A bitmap of 2**FILTER_BITS hash places (1 MB, whatever the corpus) is aggregated in Spark and
+    broadcast, so that a following join shuffles the texts it needs rather than all. A crowded bitmap
+    only lets more rows through.
+    """
+    place = F.pmod(F.xxhash64(id_column), F.lit(1 << FILTER_BITS))
+    marks = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+    rows = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
+    bits = np.zeros((1 << FILTER_BITS) // 8 + 4096, np.uint8)
+    for r in rows:  # bucket 1 has places 1 .. 32768, bucket 0 place 0
+        bits[r.bucket * 4096 : r.bucket * 4096 + len(r.bits)] = np.frombuffer(bytes(r.bits), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        known = shared.value
+        for batch in batches:
+            spot, bit = (batch.column(batch.num_columns - i).to_numpy() for i in (2, 1))
+            found = ((known[spot * 4096 + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)
+            yield batch.select(range(batch.num_columns - 2)).filter(pa.array(found == wanted))
+
+    placed = docs.select("*", F.bitmap_bucket_number(place).alias("_spot"), F.bitmap_bit_position(place).alias("_bit"))
+    return placed.mapInArrow(run, docs.schema)

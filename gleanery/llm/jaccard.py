@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, mix64, ngram_hashes, stored, word_hashes, words
+from .common import each_slice, mix64, ngram_hashes, possible_rows, stored, word_hashes, words
 from .components import components
 
 SHINGLE = 5
@@ -273,7 +273,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     found = _by_unit(met.join(sigs.select("rep", "sig"), "rep"), unit).mapInArrow(_candidates(need), "bucket long, low int, high int, band int, side int, rep long")
     found = stored(found, "candidates")
     involved = found.select("rep").distinct()
-    sets = rows.withColumnRenamed("doc_id", "rep").join(involved, "rep", "left_semi").mapInArrow(_shingle_sets, "rep long, shingles binary").dropDuplicates(["rep"])
+    some = possible_rows(rows, involved.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    sets = some.join(involved, "rep", "left_semi").mapInArrow(_shingle_sets, "rep long, shingles binary").dropDuplicates(["rep"])
     checked = _by_unit(found.join(sigs, "rep").join(sets, "rep"), unit).mapInArrow(_verify(need, threshold), "a long, b long, texts long, docs long")
     checked = stored(checked, "links")
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
@@ -290,6 +291,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     )
 
 
+def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of docs less those whose class has a smaller id; rows that share an id become one.
+
+    Only rows that may go, or share an id, are shuffled. Rows without an id stay.
+    """
+    out = stored(groups.where("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    touched = stored(out.unionByName(repeated).distinct(), "near-copies-or-repeated")
+    some = possible_rows(docs, touched).dropDuplicates(["doc_id"]).join(out, "doc_id", "left_anti").select(*docs.columns)
+    return possible_rows(docs, touched, wanted=False).unionByName(some)
+
+
 def _band_bytes(b):
     return F.substring(F.col("sig"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))
 

@@ -1,22 +1,49 @@
-"""Stages of the corpus pipeline (being built)."""
+"""The corpus pipeline: quality rules, toxicity, near copies, repeated passages, packing."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import jaccard, packing, quality, substring, toxicity
 from .common import stored, table
-
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+from .queries import tokenizer
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    kept = quality.quality_verdicts(docs, table(spark, sf_dir, "labels")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold; every labelled document of the input may teach."""
+    return toxicity.clean_documents(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    return jaccard.one_of_each(docs, jaccard.near_duplicates(docs))
+
+
+def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier one holds."""
+    return substring.remove_passages(docs, substring.repeated_passages(docs))
 
 
-STAGES = [("quality rules", quality_stage)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces with their sequence and place in it."""
+    return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"), 2048, 0)
+
+
+STAGES = [
+    ("quality rules", quality_stage),
+    ("toxicity", toxicity_stage),
+    ("n-gram Jaccard join", near_copies_stage),
+    ("substring dedup", passages_stage),
+    ("best-fit packing", packing_stage),
+]
+
+#: Signatures, chains and tokenizers are beyond SQL; tests/llm holds the stages to brute force.
+ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +52,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
-
-
-ORACLE_SQL = None

@@ -40,14 +40,17 @@ def _repeated_starts(placed: Column) -> Column:
     return F.array_sort(F.transform(F.filter(placed, lambda s, i: equal(s, i - 1) | equal(s, i + 1)), lambda s: s["i"]))
 
 
-def measure(docs: DataFrame, id_column: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
+def measure(docs: DataFrame, id_column: str = "doc_id", text: str = "text", stratum: str = "lang", carry: bool = False) -> DataFrame:
     """Counts over every whole text; a null text is an empty one, a null stratum is ''.
 
     n_words, word_chars, n_symbols, n_lines (lines with a word), n_dup_lines, n_repeat_words, n_shout
-    (capitals A-Z and exclamation marks), n_chars_all. Other columns of docs are ignored.
+    (capitals A-Z and exclamation marks). Other columns of docs are ignored; with carry the whole row is
+    kept as the struct ``row``.
     """
-    base = docs.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), text_or_empty(text).alias("t"))
+    row = ["row"] if carry else []
+    base = docs.select(*([F.struct("*").alias("row")] if carry else []), F.col(id_column).alias("doc_id"), F.coalesce(F.col(stratum), F.lit("")).alias("stratum"), text_or_empty(text).alias("t"))
     split = base.select(
+        *row,
         "doc_id",
         "stratum",
         (F.octet_length("t") - F.octet_length(F.regexp_replace("t", r"[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
@@ -56,6 +59,7 @@ def measure(docs: DataFrame, id_column: str = "doc_id", text: str = "text", stra
         F.filter(F.split("t", _BLANK + "+"), lambda x: x != "").alias("words"),
     )
     counted = split.select(
+        *row,
         "doc_id",
         "stratum",
         "n_symbols",
@@ -135,11 +139,27 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_i
     """
     measured = stored(measure(docs, id_column, text, stratum), "quality")
     cuts = stored(cutoffs(measured, labels, id_column, alpha, delta), "quality-cutoffs")
+    return _judged(measured, cuts)
+
+
+def _judged(measured: DataFrame, cuts: DataFrame) -> DataFrame:
     rates = _rates()
-    judged = measured.join(cuts, "stratum", "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rule = F.coalesce(*(F.when(rates[r] > F.col(f"cut_{r}"), F.lit(r)) for r in RULES))
-    return judged.withColumns({"base_failed": failed, "rule": rule}).withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    judged = measured.join(cuts, "stratum", "left").withColumns({"base_failed": failed, "rule": rule})
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of docs that the rules keep, with their columns.
+
+    Measures are taken once for the cutoffs and again beside the rows, so that no text is shuffled: the
+    cutoffs have a row per language and meet the rows where they are.
+    """
+    cuts = stored(cutoffs(stored(measure(docs), "quality"), labels), "quality-cutoffs")
+    # A row number above the measures keeps the optimizer from copying them into pushed-down filters.
+    measured = measure(docs, carry=True).withColumn("at", F.monotonically_increasing_id())
+    return _judged(measured, cuts).where(F.col("kept") & (F.col("at") >= 0)).select("row.*")
 
 
 def measures_sql(source: str = "documents") -> str:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annsearch, bitplane, jaccard, langid, packing, pieces, quality, sharding, toxicity
+from . import annsearch, bitplane, jaccard, langid, packing, pieces, quality, sharding, substring, toxicity
 from .common import fold, table
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -21,7 +21,7 @@ def op1_kneser_ney_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), 2048, 0)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), 2048, 0)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,15 +49,19 @@ def op7_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pieces.segment(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), 3)
+    found = pieces.segment(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), 3)
     return found.select("doc_id", "round_trip", F.col("nbest")[0]["n_pieces"].alias("n_pieces"), F.col("nbest")[0]["ids_crc32"].alias("ids_crc32"), F.col("nbest")["score"].alias("scores"), F.col("nbest")["ids_crc32"].alias("nbest_crc32"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bitplane.token_file_digest(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 2)
+    return bitplane.token_file_digest(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op10_bitplane_files)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op9_substring_dedup, op10_bitplane_files)}
 
 ORACLE_SQL = {
     "op3_quality_rules": quality.oracle_sql(),

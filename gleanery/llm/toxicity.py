@@ -199,6 +199,24 @@ def score(docs: DataFrame, model: dict | None, id_column: str = "doc_id", text:
     return rows.mapInArrow(_score(shared), "doc_id long, score double, sentence_start long, sentence_length long, sentence_score double")
 
 
+def clean_documents(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> DataFrame:
+    """Rows of docs that score below the threshold, with their columns; nothing is shuffled."""
+    if model is None:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            for lo, hi, data, off in each_slice(batch):
+                h, sentence, spans, first = sentences(data, off)
+                p = 1 / (1 + np.exp(-np.clip(sentence_logits(shared.value, h, sentence, len(spans)), -30, 30)))
+                keep[lo:hi] = -np.expm1(_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first)) < threshold
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _locate(shared, least: float):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("sentence", pa.string()), ("score", pa.float64())])
 
