@@ -7,6 +7,8 @@ always handled whole).
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass handles; a longer single text is a pass of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -156,8 +158,15 @@ def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix64(out)
 
 
+def release() -> None:
+    """Gives what this worker has freed back to the system; workers outlive their tasks."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def each_slice(batch: pa.RecordBatch, text: str = "text"):
     """(first row, last row + 1, bytes, offsets from 0) for slices of a batch."""
+    release()
     data, off = utf8(batch.column(text))
     for lo, hi in slices(off):
         yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]

@@ -121,7 +121,8 @@ def _chain(batches):
     def of(doc: int, anchor: int, x: np.ndarray, y: np.ndarray):
         for path in chains(x, y):
             for part in _broken(path, x, y):
-                yield doc, anchor, x[part].tolist(), y[part].tolist()
+                if len(part) > 1:  # runs of K + 2 WINDOW - 1 equal words always have two seeds
+                    yield doc, anchor, x[part].tolist(), y[part].tolist()
 
     held = None
     for batch in batches:
