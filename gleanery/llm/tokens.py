@@ -9,6 +9,7 @@ of white space differ is encoded as it stands.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -16,7 +17,9 @@ from itertools import chain
 
 import numpy as np
 
-MAX_WORDS, MAX_IDS = 900_000, 8_000_000
+from .common import release
+
+MAX_WORDS, MAX_IDS = 900_000, 8_000_000  # a few hundred bytes a word, in every worker
 _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Letter runs before white space, a comma or a full stop stand alone; what follows is as the file's own pattern has it.
 _LEADING = re.compile(rf"[ ]?[{_LATIN}]+(?=[\s.,]|$)|\n(?=\S)|[ \n]?\S+|\s+(?!\S)|\s+")
@@ -30,7 +33,8 @@ _ALPHABET = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enume
 class WordEncoder:
     """Encodes batches of whole texts; one per worker and tokenizer file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_words: int = MAX_WORDS):
+        self.max_words = max_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -73,7 +77,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one text after another, and where each text's ids start (one more at the end)."""
-        if len(self.index) > MAX_WORDS or len(self.flat) > MAX_IDS:
+        if len(self.index) > self.max_words or len(self.flat) > MAX_IDS:
             self.clear()
         words: list[str] = []
         upto = np.zeros(len(texts) + 1, np.int64)
@@ -128,7 +132,11 @@ def _splitter(path: str):
 _encoders: dict[str, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, max_words: int = MAX_WORDS) -> WordEncoder:
+    """The worker's encoder for this file; what earlier tasks of the worker have freed goes back to the system."""
+    gc.collect()
+    release()
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
+    _encoders[path].max_words = max_words
     return _encoders[path]
