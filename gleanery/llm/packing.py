@@ -26,14 +26,18 @@ from .common import salted_rank, slices, stored, text_or_empty, utf8
 from .tokens import encoder
 
 STEPS = 20_000
+WEIGHT_POWER = 4
+#: Words a worker keeps the ids of.
+CACHED_WORDS = 350_000
 
 
 def fit_patterns(histogram: np.ndarray, steps: int = STEPS) -> dict[tuple[int, ...], int]:
     """Repeat counts of patterns of up to three lengths that fill the capacity exactly.
 
     histogram[n] is the number of pieces of length n; its last index is the capacity. Minimises
-    ||A x - h||^2 over x >= 0 by greedy coordinate descent over all patterns of the length that has
-    most unexplained pieces; rounding down keeps every count within the histogram.
+    sum over lengths of w (A x - h)^2 over x >= 0 by greedy coordinate descent over all patterns of the
+    length with the largest weighted residual. w grows with the length: a long piece left over costs a
+    sequence, a short one fits somewhere. Rounding down keeps every count within the histogram.
     """
     capacity = len(histogram) - 1
     residual = histogram.astype(np.float64)
@@ -42,29 +46,33 @@ def fit_patterns(histogram: np.ndarray, steps: int = STEPS) -> dict[tuple[int, .
         fitted[(capacity,)] = float(histogram[capacity])
         residual[capacity] = 0
     lengths = np.arange(capacity + 1)
+    weight = (lengths / capacity) ** WEIGHT_POWER
     stuck = np.zeros(capacity + 1, bool)
     for _ in range(steps):
         open_ = np.where(stuck, 0, residual)
-        a = int(open_.argmax())
-        if a == 0 or open_[a] < 1:
+        open_[open_ < 1] = 0
+        a = int((open_ * weight).argmax())
+        if open_[a] < 1:
             break
         rest = capacity - a
         second = lengths[1 : rest + 1]
         third = rest - second
-        gain = residual[second] + np.where(third > 0, residual[third], 0)
+        pull = residual * weight
+        gain = pull[second] + np.where(third > 0, pull[third], 0)
         # Each place of a pattern must still have pieces; two places of one length share them.
         have = (residual[second] >= 1) & ((third == 0) | (residual[third] >= 1))
         have &= (second != third) | (residual[second] >= 2)
         have &= ((second != a) & (third != a)) | (residual[a] >= 2)
-        size = np.where(third > 0, 3.0, 2.0)
-        score = np.where(have, (gain + residual[a]) / np.sqrt(size), -1)
+        norm = weight[a] + weight[second] + np.where(third > 0, weight[third], 0)
+        score = np.where(have, (gain + pull[a]) / np.sqrt(norm), -1)
         if not len(score) or score.max() < 0:
             stuck[a] = True
             continue
         b = int(second[score.argmax()])
         pattern = tuple(sorted(x for x in (a, b, rest - b) if x))
         unique, times = np.unique(pattern, return_counts=True)
-        step = float((residual[list(unique)] * times).sum() / (times**2).sum())
+        heavy = weight[list(unique)]
+        step = float((heavy * residual[list(unique)] * times).sum() / (heavy * times**2).sum())
         step = min(step, float((residual[list(unique)] / times).min()))  # never above what is there
         if step < 1:
             stuck[a] = True
@@ -131,10 +139,10 @@ def _pieces(path: str, end_id: int, capacity: int):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, CACHED_WORDS)
         for batch in batches:
             _, off = utf8(batch.column("text"))
-            for lo, hi in slices(off, 1 << 22):
+            for lo, hi in slices(off):
                 part = batch.slice(lo, hi - lo)
                 ids, at = enc.encode(part.column("text").to_pylist())
                 rows = []
