@@ -101,13 +101,13 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, scorer: Ca
 
     Returns id, decision, leader (the record's own id if new or ambiguous), candidate and score of the best leader.
     """
-    kind = dict(new.dtypes)[m.id]
+    kind, rank_kind = dict(new.dtypes)[m.id], dict(new.dtypes)[m.rank]
     id_, text, rank, bar, floor = m.id, m.text, m.rank, m.match_threshold, m.ambiguous_floor
 
-    def group(old: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        leaders = list(old.sort_values(id_)[[id_, text]].itertuples(index=False, name=None))
+    def group(both: pd.DataFrame) -> pd.DataFrame:
+        leaders = list(both[both["_old"]].sort_values("_id")[["_id", "_text"]].itertuples(index=False, name=None))
         out = []
-        for i, t in rows.sort_values([rank, id_])[[id_, text]].itertuples(index=False):
+        for i, t in both[~both["_old"]].sort_values(["_rank", "_id"])[["_id", "_text"]].itertuples(index=False):
             score, best = 0.0, None
             for leader, other in leaders:
                 now = scorer(t, other)
@@ -119,8 +119,9 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, scorer: Ca
             out.append((i, decision, best if decision == "match" else i, best if decision != "new" else None, score))
         return pd.DataFrame(out, columns=[id_, "decision", "leader", "candidate", "score"]).astype({"leader": "object", "candidate": "object"})
 
-    cols = [m.bucket, id_, text, rank]
-    return existing.select(m.bucket, id_, text).groupBy(m.bucket).cogroup(new.select(*cols).groupBy(m.bucket)).applyInPandas(group, f"{id_} {kind}, decision string, leader {kind}, candidate {kind}, score double")
+    side = lambda df, old: df.select(F.col(m.bucket).alias("_bucket"), F.col(id_).alias("_id"), F.col(text).alias("_text"), (F.lit(None) if old else F.col(rank)).cast(rank_kind).alias("_rank"), F.lit(old).alias("_old"))
+    both = side(existing, True).unionByName(side(new, False))
+    return both.groupBy("_bucket").applyInPandas(group, f"{id_} {kind}, decision string, leader {kind}, candidate {kind}, score double")
 
 
 def merge_rule(rule: str, value: Column, rank: Column, kind: str) -> Column:

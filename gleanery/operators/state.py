@@ -60,3 +60,19 @@ def minus_pairs(pairs: DataFrame, never: DataFrame) -> DataFrame:
     """Pairs (a, b) less the never-merge ones, in whichever order those are given."""
     low = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return low(pairs).join(low(never).distinct(), ["a", "b"], "left_anti")
+
+
+def refresh(old: DataFrame, new: DataFrame, key: str, rules: dict[str, str], moved_by: list[str]) -> DataFrame:
+    """Records pulled again: misses go to 0, columns are replaced or only filled, and ``moved`` tells that a key column changed.
+
+    A column of ``moved_by`` under rule 'fill' counts as changed when it was null and no longer is.
+    """
+    fresh = new.select(key, *(F.col(c).alias(f"_new_{c}") for c in rules), F.lit(True).alias("_seen"))
+    j = old.join(fresh, key, "left")
+    seen = F.coalesce("_seen", F.lit(False))
+    value = {c: F.when(seen, F.coalesce(f"_new_{c}", c) if how == "replace" else F.coalesce(c, f"_new_{c}")).otherwise(F.col(c)) for c, how in rules.items()}
+    changed = F.lit(False)
+    for c in moved_by:
+        changed = changed | ~value[c].eqNullSafe(F.col(c))
+    cols = [value.get(c, F.when(seen, F.lit(0)).otherwise(F.col(c)) if c == "misses" else F.col(c)).alias(c) for c in old.columns]
+    return j.select(*cols, (seen & changed).alias("moved"))

@@ -191,3 +191,44 @@ def blocking_key(t):
 @query("SELECT count(*) AS records, count(DISTINCT p_brand || p_type) AS buckets FROM part")
 def bucket_candidates(t):
     return _parts(t).agg(F.count("*").alias("records"), F.count_distinct(F.concat("p_brand", "p_type")).alias("buckets"))
+
+
+@query()
+def entity_resolution(t):
+    """Which parts are the same thing, and what is the best merged record of each, ranked by evidence.
+
+    Title keys in buckets of brand and type, leader match in price order, field merge, independent
+    sources per entity, at most one entity of a brand in the top twenty.
+    """
+    from ..functions.text import title_key
+    from ..operators import views
+
+    listings = _parts(t).withColumn("title_key", title_key(F.col("p_name")))
+    schema = match.MatchSchema(text="title_key", bucket="bucket", rank="p_retailprice", id="p_partkey", field_rules={"p_name": "longest", "p_retailprice": "min", "p_size": "max"})
+    matched = match.leader_match(listings.where("false"), listings, schema)
+    resolved = listings.join(matched.select("p_partkey", F.col("leader").alias("entity")), "p_partkey")
+    merged = match.merge(resolved, "entity", schema, ["p_name", "p_brand", "p_retailprice", "p_size"])
+    bridge, sources = _evidence(t)
+    evidence = bridge.join(sources, "source_id").join(resolved.select(F.col("p_partkey").alias("part"), "entity"), "part")
+    counts = signals.evidence_counts(evidence, "entity", "source_id", F.lit(False))
+    ranked = merged.join(counts, "entity", "left").na.fill(0, ["independent_source_count", "curation_score"])
+    return views.featured(ranked, "p_brand", 20, F.desc("curation_score"), F.desc("independent_source_count"), F.col("entity"))
+
+
+@query("SELECT p_partkey, p_brand || '|' || p_type AS bucket, p_retailprice AS rank, p_name AS text FROM part")
+def match_schema(t):
+    """The columns that the schema names, as the matcher reads them."""
+    return _parts(t).select("p_partkey", F.col(PARTS.bucket).alias("bucket"), F.col(PARTS.rank).alias("rank"), F.col(PARTS.text).alias("text"))
+
+
+@query("SELECT l.p_partkey AS a, r.p_partkey AS b, CASE WHEN l.p_size < 25 THEN 0.0 ELSE 100.0 END::DOUBLE AS score FROM part l JOIN part r ON l.p_name = r.p_name AND l.p_brand = r.p_brand AND l.p_partkey < r.p_partkey")
+def match_score(t):
+    """Equal names score 100, and 0 where a side has no text."""
+    p = t.part.withColumns({"txt": F.when(F.col("p_size") >= 25, F.col("p_name")).otherwise(""), "bucket": F.concat_ws("|", "p_name", "p_brand")})
+    m = match.MatchSchema(text="txt", bucket="bucket", rank="p_retailprice", id="p_partkey")
+    pairs = match.match_pairs(p.withColumn("txt", F.col("p_name")), m).select("a_id", "b_id")
+    left = p.select(F.col("p_partkey").alias("a_id"), F.col("txt").alias("ta"))
+    from ..functions.similarity import token_set_ratio
+
+    score = F.when(F.col("ta") == "", 0.0).otherwise(token_set_ratio(F.col("ta"), F.col("ta")))
+    return pairs.join(left, "a_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), score.alias("score"))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import freshness, review, signals, state
 from .registry import query
 
-DAY = F.to_date("o_orderdate")
+
+def _day():
+    return F.to_date("o_orderdate")
+
 
 
 @query("""WITH d AS (SELECT DISTINCT o_custkey, o_orderdate::DATE AS day FROM orders),
@@ -17,18 +20,18 @@ a AS (SELECT o_custkey, count(gap) FILTER (gap > 1) AS n, bool_or(gap BETWEEN 34
   bool_and(gap BETWEEN 26 AND 35) FILTER (gap > 1) AS monthly, bool_and(gap BETWEEN 12 AND 16) FILTER (gap > 1) AS biweekly FROM g GROUP BY 1)
 SELECT o_custkey, CASE WHEN n = 0 THEN 'one_off' WHEN annual THEN 'annual' WHEN n >= 2 AND weekly THEN 'weekly' WHEN n >= 2 AND (monthly OR biweekly) THEN 'monthly' ELSE 'irregular' END AS cadence FROM a""")
 def cadence(t):
-    return signals.cadence(t.orders.withColumn("day", DAY), "o_custkey", "day")
+    return signals.cadence(t.orders.withColumn("day", _day()), "o_custkey", "day")
 
 
 @query("SELECT o_custkey, day, datediff('day', lag(day) OVER (PARTITION BY o_custkey ORDER BY day), day) AS gap FROM (SELECT DISTINCT o_custkey, o_orderdate::DATE AS day FROM orders)")
 def gaps_lag(t):
-    d = t.orders.select("o_custkey", DAY.alias("day")).distinct()
+    d = t.orders.select("o_custkey", _day().alias("day")).distinct()
     return d.withColumn("gap", F.datediff("day", F.lag("day").over(W.partitionBy("o_custkey").orderBy("day"))).cast("long"))
 
 
 @query("SELECT DISTINCT o_custkey, o_orderdate::DATE AS day FROM orders")
 def distinct_days(t):
-    return t.orders.select("o_custkey", DAY.alias("day")).distinct()
+    return t.orders.select("o_custkey", _day().alias("day")).distinct()
 
 
 @query("SELECT o_custkey, arg_min(p, (-n, -epoch(m), p)) AS category FROM (SELECT o_custkey, o_orderpriority AS p, count(*) AS n, max(o_orderdate)::TIMESTAMP AS m FROM orders GROUP BY 1, 2) GROUP BY 1")
@@ -106,7 +109,7 @@ def source_health(t):
 
 @query(f"""WITH h AS (SELECT source, count(l_suppkey) AS n, max(l_shipdate)::TIMESTAMP AS last FROM {_REGISTRY} LEFT JOIN lineitem ON l_suppkey = source AND l_linestatus = 'O' AND l_returnflag = 'N' GROUP BY source)
 SELECT source, CASE WHEN source % 10 = 0 THEN 'failed' WHEN source % 10 = 1 THEN 'skipped' ELSE 'underdelivered' END AS kind FROM h WHERE source % 10 < 2 OR n < 60
-UNION ALL SELECT source, 'stale' FROM h WHERE last < TIMESTAMP '2001-11-01' - INTERVAL 21 DAY""")
+UNION ALL SELECT source, 'stale' FROM h WHERE last < TIMESTAMP '2001-11-01' - INTERVAL 21 _day()""")
 def breakage_alerts(t):
     status = F.when(F.col("source") % 10 == 0, "failed").when(F.col("source") % 10 == 1, "skipped").otherwise("ok")
     return signals.alerts(_health(t).withColumn("status", status), "source", F.lit("2001-11-01").cast("timestamp"))
@@ -276,3 +279,72 @@ def run_stats(t):
 @query("SELECT count(DISTINCT ts::DATE) <= 30 AS strict FROM events")
 def strict_flag(t):
     return t.events.agg((F.count_distinct(F.to_date("ts")) <= 30).alias("strict"))
+
+
+_OLD, _NEW = "o_orderkey % 2 = 0", "o_orderkey % 3 = 0"
+
+
+def _stores(t):
+    """Even orders as the store, every third order pulled again with a day more on odd customers."""
+    old = t.orders.where(_OLD).select("o_orderkey", _day().alias("day"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")).alias("venue"), F.col("o_orderpriority").alias("title"), F.lit(1).alias("misses"))
+    new = t.orders.where(_NEW).select("o_orderkey", F.date_add(_day(), (F.col("o_custkey") % 2).cast("int")).alias("day"), F.col("o_custkey").alias("venue"), F.upper("o_orderstatus").alias("title"))
+    return old, new
+
+
+@query(f"SELECT o_orderkey, CASE WHEN {_NEW} THEN o_orderdate::DATE + CAST(o_custkey % 2 AS INT) ELSE o_orderdate::DATE END AS day, CASE WHEN {_NEW} OR o_custkey % 2 = 0 THEN o_custkey END AS venue, CASE WHEN {_NEW} THEN o_orderstatus ELSE o_orderpriority END AS title, CASE WHEN {_NEW} THEN 0 ELSE 1 END AS misses, {_NEW} AND o_custkey % 2 = 1 AS moved FROM orders WHERE {_OLD}")
+def refresh(t):
+    old, new = _stores(t)
+    return state.refresh(old, new, "o_orderkey", {"day": "replace", "title": "replace", "venue": "fill"}, moved_by=["day", "venue"])
+
+
+@query(f"SELECT o_orderkey, o_orderdate::DATE + CAST(o_custkey % 2 AS INT) AS day, 'active' AS status, 'held' AS publish_state FROM orders WHERE {_NEW} AND NOT ({_OLD})")
+def create_occurrence(t):
+    old, new = _stores(t)
+    return new.join(old, "o_orderkey", "left_anti").select("o_orderkey", "day", F.lit("active").alias("status"), F.lit("held").alias("publish_state"))
+
+
+@query("SELECT user_id, arg_min(props, (-length(props), event_id > 5000, event_id)) AS props, bool_or(event_id <= 5000) AS known FROM events GROUP BY 1")
+def merge_into(t):
+    """New events merged into each user's older ones, whose rank is pinned first: the longest text, old before new."""
+    from ..operators import match
+
+    rank = F.struct((F.col("event_id") > 5000).alias("new"), F.col("event_id").alias("id"))
+    return t.events.groupBy("user_id").agg(match.merge_rule("longest", F.col("props"), rank, "string").alias("props"), F.bool_or(F.col("event_id") <= 5000).alias("known"))
+
+
+@query("SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_brand, p_name) AS series FROM part")
+def find_or_create_series(t):
+    """Series by exact title at a place: with the floor above 100 a record matches at 100 in both ways or is new."""
+    from ..operators import match
+
+    p = t.part.withColumn("bucket", F.concat_ws("|", "p_brand", F.array_join(F.array_sort(F.array_distinct(F.split("p_name", " "))), " ")))
+    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_partkey", id="p_partkey", match_threshold=100, ambiguous_floor=101)
+    found = match.leader_match(p.where("false"), p, m, scorer=lambda a, b: 100.0 if a == b else 0.0)
+    return found.select("p_partkey", F.col("leader").alias("series"))
+
+
+@query(f"SELECT o_orderkey FROM orders WHERE {_OLD} AND {_NEW} AND o_custkey % 2 = 1 OR o_orderkey % 35 = 0")
+def dedup_moved(t):
+    """Ids to be matched again: those that moved, and those resolved late."""
+    old, new = _stores(t)
+    moved = state.refresh(old, new, "o_orderkey", {"day": "replace", "venue": "fill"}, moved_by=["day", "venue"]).where("moved").select("o_orderkey")
+    return moved.union(t.orders.where("o_orderkey % 35 = 0").select("o_orderkey")).distinct()
+
+
+@query("SELECT c_custkey, CASE WHEN c_nationkey = 3 AND c_custkey % 2 = 0 THEN 'late' WHEN c_nationkey = 3 THEN NULL ELSE 'n' || c_nationkey END AS venue FROM customer")
+def venue_reresolve(t):
+    """Unresolved rows get another try with aliases that came later; resolved ones are not asked again."""
+    rows = t.customer.select("c_custkey", F.when(F.col("c_nationkey") != 3, F.concat(F.lit("n"), F.col("c_nationkey"))).alias("venue"))
+    late = t.customer.where("c_nationkey = 3 AND c_custkey % 2 = 0").select("c_custkey", F.lit("late").alias("found"))
+    again = rows.where("venue IS NULL").join(late, "c_custkey", "left").select("c_custkey", F.col("found").alias("venue"))
+    return rows.where("venue IS NOT NULL").unionByName(again)
+
+
+@query("SELECT o_orderkey, o_orderkey % 7 = 0 AS shown FROM orders WHERE o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
+def normalize(t):
+    """The projection of a raw record: blank titles and missing starts are refused, keys and times derived."""
+    from ..functions import text as T
+
+    raw = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", F.when(F.col("c_acctbal") > 0, F.concat(F.lit("<b>"), F.col("o_orderpriority"), F.lit("</b>"))).otherwise("<i> </i>").alias("title"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate")).alias("start"))
+    clean = raw.select("o_orderkey", T.clean_title(F.col("title")).alias("title"), "start").where("title <> '' AND start IS NOT NULL")
+    return clean.select("o_orderkey", ((F.col("o_orderkey") % 7 == 0) & (T.norm_key(F.col("title")) != "")).alias("shown"))

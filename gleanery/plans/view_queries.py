@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 from ..operators import signals, views
 from .registry import query
 
-DAY = F.to_date("o_orderdate")
+
+def _day():
+    return F.to_date("o_orderdate")
+
 AS_OF = "1998-06-10"
 _NOW = f"DATE '{AS_OF}'"
 
 
 def _upcoming(t, days: int = 7):
     today = F.lit(AS_OF).cast("date")
-    return t.orders.where(DAY.between(today, F.date_add(today, days)))
+    return t.orders.where(_day().between(today, F.date_add(today, days)))
 
 
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderdate::DATE >= {_NOW}")
 def upcoming(t):
-    return t.orders.where(DAY >= F.lit(AS_OF).cast("date")).select("o_orderkey")
+    return t.orders.where(_day() >= F.lit(AS_OF).cast("date")).select("o_orderkey")
 
 
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 7")
@@ -54,7 +57,7 @@ def topk_per_group(t):
 
 @query(f"SELECT o_orderdate::DATE AS day, list(o_orderkey ORDER BY o_orderdate, o_orderkey) AS orders FROM orders WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 30 GROUP BY 1")
 def group_by_day(t):
-    return views.group_by_day(_upcoming(t, 30).withColumn("day", DAY), "day", "o_orderdate", "o_orderkey", "orders")
+    return views.group_by_day(_upcoming(t, 30).withColumn("day", _day()), "day", "o_orderdate", "o_orderkey", "orders")
 
 
 @query(f"""WITH p AS (SELECT * FROM orders WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 30)
@@ -75,13 +78,13 @@ def facet_filter(t):
 @query(f"""SELECT o_custkey, count(*) FILTER (o_orderdate::DATE >= {_NOW}) AS upcoming, min(o_orderdate::DATE) FILTER (o_orderdate::DATE >= {_NOW}) AS next,
   max(o_orderdate::DATE) AS last_end, least(24, count(*) FILTER (o_orderdate::DATE < {_NOW})) AS past FROM orders GROUP BY 1""")
 def series_rollup(t):
-    found = views.series_rollup(t.orders.withColumn("day", DAY), "o_custkey", "day", "o_orderkey", F.lit(AS_OF).cast("date"), 24)
+    found = views.series_rollup(t.orders.withColumn("day", _day()), "o_custkey", "day", "o_orderkey", F.lit(AS_OF).cast("date"), 24)
     return found.select("o_custkey", F.size("upcoming").cast("long").alias("upcoming"), "next", "last_end", F.size("past").cast("long").alias("past"))
 
 
 @query(f"SELECT c_nationkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE >= {_NOW} GROUP BY 1")
 def venue_rollup(t):
-    j = t.orders.where(DAY >= F.lit(AS_OF).cast("date")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    j = t.orders.where(_day() >= F.lit(AS_OF).cast("date")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return j.groupBy("c_nationkey").agg(F.count("*").alias("n"))
 
 
@@ -99,7 +102,7 @@ def category_page(t):
 
 @query(f"SELECT o_custkey, last, CASE WHEN c_acctbal > 0 THEN '/n/' || c_nationkey ELSE '/' END AS target FROM (SELECT o_custkey, max(o_orderdate::DATE) AS last, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey WHERE n <= 5 AND last < {_NOW} - 30")
 def expire_redirect(t):
-    series = t.orders.groupBy("o_custkey").agg(F.max(DAY).alias("last"), F.count("*").alias("n"))
+    series = t.orders.groupBy("o_custkey").agg(F.max(_day()).alias("last"), F.count("*").alias("n"))
     target = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("/n/"), F.col("c_nationkey"))).otherwise("/")
     old = series.where((F.col("n") <= 5) & (F.col("last") < F.date_sub(F.lit(AS_OF).cast("date"), 30)))
     return old.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_custkey", "last", target.alias("target"))
@@ -126,8 +129,8 @@ def sink_region_feed(t):
 
 @query(f"SELECT 'series' AS kind, o_custkey AS id, min(o_orderdate::DATE) AS next FROM orders WHERE o_orderdate::DATE >= {_NOW} GROUP BY 2 UNION ALL SELECT 'venue', c_nationkey, NULL FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate::DATE >= {_NOW}) GROUP BY 2")
 def sink_search_index(t):
-    live = t.orders.where(DAY >= F.lit(AS_OF).cast("date"))
-    series = signals.first_of(live, ["o_custkey"], "o_orderdate", "o_orderkey").select(F.lit("series").alias("kind"), F.col("o_custkey").alias("id"), DAY.alias("next"))
+    live = t.orders.where(_day() >= F.lit(AS_OF).cast("date"))
+    series = signals.first_of(live, ["o_custkey"], "o_orderdate", "o_orderkey").select(F.lit("series").alias("kind"), F.col("o_custkey").alias("id"), _day().alias("next"))
     places = t.customer.join(live, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(F.lit("venue").alias("kind"), F.col("c_nationkey").cast("long").alias("id"), F.lit(None).cast("date").alias("next")).distinct()
     return series.unionByName(places)
 
@@ -147,7 +150,7 @@ def sink_itemlist_jsonld(t):
 
 @query("SELECT '/series/' || o_custkey AS path, max(o_orderdate::DATE) AS lastmod FROM orders GROUP BY o_custkey UNION ALL SELECT '/venue/' || n_nationkey, NULL FROM nation")
 def sink_url_list(t):
-    series = t.orders.groupBy("o_custkey").agg(F.max(DAY).alias("lastmod")).select(F.concat(F.lit("/series/"), F.col("o_custkey")).alias("path"), "lastmod")
+    series = t.orders.groupBy("o_custkey").agg(F.max(_day()).alias("lastmod")).select(F.concat(F.lit("/series/"), F.col("o_custkey")).alias("path"), "lastmod")
     return series.unionByName(t.nation.select(F.concat(F.lit("/venue/"), F.col("n_nationkey")).alias("path"), F.lit(None).cast("date").alias("lastmod")))
 
 
@@ -269,13 +272,13 @@ def open_today(t):
 
 @query("SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders WHERE o_orderdate::DATE + 2 >= DATE '2001-07-01' GROUP BY 1")
 def drop_ended(t):
-    return t.orders.where(F.date_add(DAY, 2) >= F.lit("2001-07-01").cast("date")).groupBy(DAY.alias("day")).agg(F.count("*").alias("n"))
+    return t.orders.where(F.date_add(_day(), 2) >= F.lit("2001-07-01").cast("date")).groupBy(_day().alias("day")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey, (o_orderstatus = 'O' AND o_orderkey % 2 = 0) AS multi_day FROM orders")
 def multi_day(t):
-    ends = F.date_add(DAY, F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
-    return t.orders.select("o_orderkey", ((ends > DAY) & (F.col("o_orderstatus") == "O")).alias("multi_day"))
+    ends = F.date_add(_day(), F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
+    return t.orders.select("o_orderkey", ((ends > _day()) & (F.col("o_orderstatus") == "O")).alias("multi_day"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE 'x' END AS link FROM orders")
