@@ -162,3 +162,15 @@ def recurrence(df: DataFrame, start: str, until: str, freq: str, interval: str,
         every = counted(F.months_between(end, F.col(start)), n, F.add_months)
         dates = F.when(F.col(freq) == rule, F.filter(every, lambda d: F.dayofmonth(d) == F.dayofmonth(F.col(start)))).otherwise(dates)
     return df.withColumn(out, F.explode(dates)).where(F.col(out).between(F.col(first), F.col(last)) & (F.col(out) <= F.coalesce(F.col(until), F.col(last))))
+
+
+def weekday_set(token: Column) -> Column:
+    """Weekday numbers of 'Friday and Saturday', 'Thurs/Fri/Sat' or 'Tues-Sat' (a range may wrap), ascending."""
+    stems = F.array(*(F.lit(d.lower()) for d in DAYS))
+    number = lambda name: F.array_position(stems, F.lower(F.substring(name, 1, 3))).cast("int") - 1
+    day = r"(mon|tue|wed|thu|fri|sat|sun)[a-z]*"
+    named = F.transform(F.regexp_extract_all(token, F.lit(rf"(?i)\b{day}"), 1), number)
+    span = rf"(?i)\b{day}\s*(?:-|–|—|to|through)\s*{day}"
+    a, b = number(F.regexp_extract(token, span, 1)), number(F.regexp_extract(token, span, 2))
+    ranged = F.transform(F.sequence(F.lit(0), F.pmod(b - a, F.lit(7))), lambda i: F.pmod(a + i, F.lit(7)))
+    return F.array_sort(F.array_distinct(F.when(token.rlike(span), F.concat(named, ranged)).otherwise(named)))

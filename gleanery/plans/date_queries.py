@@ -140,3 +140,10 @@ def exp_recurrence(t):
     """Every second week from each late order to the end of the window."""
     rules = t.orders.where("to_date(o_orderdate) > DATE '2001-01-01'").select("o_orderkey", F.to_date("o_orderdate").alias("start"), F.lit(None).cast("date").alias("until"), F.lit("WEEKLY").alias("freq"), F.lit(2).alias("every"), F.lit("2001-01-01").cast("date").alias("first"), F.lit("2001-12-31").cast("date").alias("last"))
     return D.recurrence(rules, "start", "until", "freq", "every", "first", "last").select("o_orderkey", "day")
+
+
+@query("SELECT o_orderkey, list_sort(list_distinct([isodow(o_orderdate::DATE) - 1, CAST(o_orderkey % 7 AS BIGINT)])) AS days FROM orders")
+def weekday_set(t):
+    names = F.array(*(F.lit(d) for d in ("Mondays", "Tues", "Wed", "Thurs", "Friday", "Sat", "Sunday")))
+    token = F.concat(F.date_format("o_orderdate", "EEEE"), F.lit(" and "), F.get(names, (F.col("o_orderkey") % 7).cast("int")))
+    return t.orders.select("o_orderkey", D.weekday_set(token).cast("array<bigint>").alias("days"))

@@ -306,3 +306,23 @@ def stale_source(t):
 def approve(t):
     """Approved ids are published; cancelled ones stay held."""
     return t.orders.select("o_orderkey", review.publish_state(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 3 == 0, F.lit(True), F.lit(False)).alias("state"))
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'A' ELSE 'C' END AS tier, CASE WHEN s_suppkey % 5 = 0 THEN 7 ELSE 0 END AS expected_min FROM supplier WHERE s_suppkey % 9 <> 0")
+def src_config_tables(t):
+    """Registry documents into rows: defaults for what is left out, rows without a required field refused."""
+    name = F.when(F.col("s_suppkey") % 9 != 0, F.col("s_name"))
+    doc = F.to_json(F.struct(F.col("s_suppkey").alias("id"), name.alias("name"), F.when(F.col("s_suppkey") % 2 == 0, "A").alias("tier"), F.when(F.col("s_suppkey") % 5 == 0, 7).alias("expected_min")))
+    rows = t.supplier.select(doc.alias("doc")).select(F.from_json("doc", "id long, name string, tier string, expected_min int").alias("r")).select("r.*")
+    return rows.where("id IS NOT NULL AND name IS NOT NULL").na.fill({"tier": "C", "expected_min": 0})
+
+
+@query("SELECT 'big' AS section, rank, '- ' || o_orderkey || ' (' || o_orderpriority || ')' AS line FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5 UNION ALL SELECT 'counts', rank, event_type || ': ' || n FROM (SELECT event_type, count(*) AS n, row_number() OVER (ORDER BY event_type) AS rank FROM events GROUP BY 1)")
+def sink_report_rows(t):
+    """Report sections as (section, rank, line) rows, ready to be written as text."""
+    from pyspark.sql import Window as W
+
+    big = t.orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5).withColumn("rank", F.row_number().over(W.orderBy(F.desc("o_totalprice"), "o_orderkey")).cast("long"))
+    lines = big.select(F.lit("big").alias("section"), "rank", F.format_string("- %s (%s)", "o_orderkey", "o_orderpriority").alias("line"))
+    kinds = t.events.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(W.orderBy("event_type")).cast("long"))
+    return lines.unionByName(kinds.select(F.lit("counts").alias("section"), "rank", F.concat_ws(": ", "event_type", "n").alias("line")))
