@@ -112,7 +112,7 @@ def _encode(path: str, end_id: int, borders: list[int]):
         enc = encoder(path)
         for batch in batches:
             _, off = utf8(batch.column("text"))
-            for lo, hi in slices(off):
+            for lo, hi in slices(off, 1 << 21):
                 part = batch.slice(lo, hi - lo)
                 docs = part.column("doc_id").to_pylist()
                 ids, at = enc.encode(part.column("text").to_pylist())

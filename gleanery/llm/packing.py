@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_rank, slices, stored, text_or_empty, utf8
+from .common import release, salted_rank, slices, stored, text_or_empty, utf8
 from .tokens import encoder
 
 STEPS = 20_000
@@ -140,6 +140,13 @@ def _pieces(path: str, end_id: int, capacity: int):
 
     def run(batches):
         enc = encoder(path, CACHED_WORDS)
+        try:
+            yield from pieces(enc, batches)
+        finally:  # workers outlive their tasks; their memory is other stages'
+            enc.clear()
+            release()
+
+    def pieces(enc, batches):
         for batch in batches:
             _, off = utf8(batch.column("text"))
             for lo, hi in slices(off):

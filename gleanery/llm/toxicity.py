@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, fold, slices, text_or_empty, utf8, word_hashes, words
+from .common import each_slice, fold, release, slices, text_or_empty, utf8, word_hashes, words
 
 #: The bound of the training sample: labelled texts per class.
-MAX_PER_CLASS = 2000
+MAX_PER_CLASS = 1500
 HASH_BITS = 22
 #: Byte lengths of the word beginnings that are features too.
 STEMS = (4, 5, 6)
@@ -129,6 +129,8 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         theta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+    del sentence, column, doc
+    release()
     weights, checks = np.zeros(1 << HASH_BITS, np.float32), np.zeros(1 << HASH_BITS, np.uint16)
     slot, check = _slot(used)
     order = np.argsort(np.abs(theta[:-1]))  # where two share a slot the heavier one stays
