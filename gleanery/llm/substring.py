@@ -262,9 +262,10 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     seeds = stored(rows.mapInArrow(_seeds, "seed long, doc long, pos int"), "seeds")
-    shared = seeds.groupBy("seed").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last")).where("anchor < last").select("seed", "anchor")
+    # Both joins are between written tables, so Spark may split the partition of a hot seed.
+    shared = stored(seeds.groupBy("seed").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last")).where("anchor < last").select("seed", "anchor"), "anchors")
     met = stored(seeds.join(shared, "seed"), "shared-seeds")
-    anchors = met.where("doc = anchor").groupBy("seed").agg(F.min("pos").alias("apos"))
+    anchors = stored(met.where("doc = anchor").groupBy("seed").agg(F.min("pos").alias("apos")), "anchor-places")
     matches = met.where("doc > anchor").join(anchors, "seed").select("doc", "anchor", "pos", "apos")
     chained = matches.repartition(parts, "doc").sortWithinPartitions("doc", "anchor").mapInArrow(_chain, "doc long, anchor long, xs array<int>, ys array<int>")
     lo = F.greatest(F.element_at("ys", 1) - MARGIN, F.lit(0))
@@ -274,6 +275,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
     windows = chained.select("anchor", "lo", "hi").distinct()
     sources = possible_rows(rows, windows.select(F.col("anchor").alias("doc_id"))).withColumnRenamed("doc_id", "anchor")
     cut = windows.join(sources, "anchor").mapInArrow(_anchor_words, "anchor long, lo int, hi int, window binary").dropDuplicates(["anchor", "lo", "hi"])
+    cut = stored(cut, "anchor-windows")
     of = chained.join(cut, ["anchor", "lo", "hi"]).groupBy("doc").agg(F.collect_list(F.struct("anchor", "xs", "ys", "lo", "window")).alias("chains"))
     own = possible_rows(rows, chained.select(F.col("doc").alias("doc_id"))).withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"])
     return own.join(of, "doc").select("doc", "text", "chains").mapInArrow(_align(min_words, min_piece, min_identity), PASSAGE)
