@@ -176,8 +176,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_column: str = "vec_id",
     asked = classed.where("q").select("id", "key", "x")
     queries = asked.groupBy("key").agg(F.first("x").alias("vector"))
     queries = queries.select(F.lit(None).cast("long").alias("point"), F.col("key").alias("query"), "vector", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    parts = max(shards, 1)
-    met = points.unionByName(queries).repartition(parts, "shard").sortWithinPartitions("shard", F.col("query").isNotNull())
+    # More partitions than shards, so that few shards share one by chance.
+    met = points.unionByName(queries).repartition(8 * shards, "shard").sortWithinPartitions("shard", F.col("query").isNotNull())
     near = met.select("shard", "point", "query", "vector").mapInArrow(_search(k + 1, float(top), confidence), "query string, point long, score double")
     best = near.withColumn("rn", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "point"))).where(F.col("rn") <= k + 1).select("query", "point", "score")
     # Classes back to their members, then the first k that are not the query itself.
