@@ -10,7 +10,8 @@
    gain of its matches less a cost per word between them, found with a Fenwick tree of prefix maxima
    over the anchor's positions. Chains break at long gaps.
 4. Chains are aligned on the words themselves: between seeds by position or by longest common
-   subsequence, at the ends by the best-scoring extension.
+   subsequence, at the ends by the best-scoring extension. A chain below the identity is split at
+   stretches of other words, and each part is tested for itself.
 5. Aligned pieces of a document that touch are one passage; passages of at least ``min_words`` words
    are its repeats, whether exact or with edits. The first document to hold a passage keeps it.
 """
@@ -156,24 +157,26 @@ def _anchor_words(batches):
             yield pa.record_batch([part.column("anchor"), part.column("lo"), part.column("hi"), pa.array(found, pa.binary())], schema=schema)
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which of a's words stand in a longest common subsequence with b."""
+def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a and in b of a longest common subsequence."""
     if len(a) == len(b):
-        return a == b
+        at = np.flatnonzero(a == b)
+        return at, at
     table = np.zeros((len(a) + 1, len(b) + 1), np.int32)
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
             table[i, j] = table[i + 1, j + 1] + 1 if a[i] == b[j] else max(table[i + 1, j], table[i, j + 1])
-    out, i, j = np.zeros(len(a), bool), 0, 0
+    out, i, j = [], 0, 0
     while i < len(a) and j < len(b):
         if a[i] == b[j]:
-            out[i] = True
+            out.append((i, j))
             i, j = i + 1, j + 1
         elif table[i + 1, j] >= table[i, j + 1]:
             i += 1
         else:
             j += 1
-    return out
+    at = np.array(out, np.int64).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
 
 
 def _reach(same: np.ndarray) -> int:
@@ -185,23 +188,69 @@ def _reach(same: np.ndarray) -> int:
     return best + 1 if score[best] > 0 else 0
 
 
-def align(own: np.ndarray, other: np.ndarray, xs: list[int], ys: list[int]) -> tuple[int, int, int, int, int]:
-    """(start, end, other's start, other's end, equal words) of a chain; positions are places in the arrays."""
+def align(own: np.ndarray, other: np.ndarray, xs: list[int], ys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places in own and in other of a chain's equal words, both strictly rising."""
     x0, y0 = xs[0], ys[0]
     n = min(x0, y0, MARGIN)
-    back = _reach((own[x0 - n : x0] == other[y0 - n : y0])[::-1])
-    x1, y1 = xs[-1] + K, ys[-1] + K
-    n = min(len(own) - x1, len(other) - y1, MARGIN)
-    ahead = _reach(own[x1 : x1 + n] == other[y1 : y1 + n])
-    equal = np.zeros(x1 - x0, bool)
-    for x in xs:
-        equal[x - x0 : x - x0 + K] = True
-    for a, b, c, d in zip(xs[:-1], ys[:-1], xs[1:], ys[1:]):
-        if c > a + K and d > b + K:
-            equal[a + K - x0 : c - x0] = _common(own[a + K : c], other[b + K : d])
-    n_equal = int(equal.sum())
-    n_equal += int((own[x0 - back : x0] == other[y0 - back : y0]).sum()) + int((own[x1 : x1 + ahead] == other[y1 : y1 + ahead]).sum())
-    return x0 - back, x1 + ahead, y0 - back, y1 + ahead, n_equal
+    same = own[x0 - n : x0] == other[y0 - n : y0]
+    at = np.flatnonzero(same[n - _reach(same[::-1]) :]) - _reach(same[::-1])
+    left, right = [x0 + at], [y0 + at]
+    x, y = x0, y0  # the next free places
+    for c, d in zip(xs, ys):
+        if c > x and d > y:
+            i, j = _common(own[x:c], other[y:d])
+            left.append(x + i)
+            right.append(y + j)
+        at = np.arange(max(0, x - c, y - d), K)
+        if len(at):
+            left.append(c + at)
+            right.append(d + at)
+            x, y = c + K, d + K
+    n = min(len(own) - x, len(other) - y, MARGIN)
+    same = own[x : x + n] == other[y : y + n]
+    at = np.flatnonzero(same[: _reach(same)])
+    left.append(x + at)
+    right.append(y + at)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def split(i: np.ndarray, j: np.ndarray, min_piece: int, min_identity: float):
+    """Parts (start, end, other's start, other's end, equal words) of equal words' places, each at the identity, longest first.
+
+    Parts begin and end with runs of equal words, so such a run is never lost for its neighbours: a chain
+    that reaches the identity is one part, else its longest part that does is taken and both rests are
+    searched. A rest's ends of fewer words than a seed behind a longer gap met by chance and are left off.
+    """
+    if not len(i):
+        return
+    cut = np.flatnonzero((np.diff(i) > 1) | (np.diff(j) > 1)) + 1
+    first, last = np.concatenate([[0], cut]), np.concatenate([cut, [len(i)]])
+    a, b, u, v = i[first], i[last - 1] + 1, j[first], j[last - 1] + 1
+    todo = [(0, len(first), False)]
+    while todo:
+        lo, hi, rest = todo.pop()
+        if lo >= hi or b[hi - 1] - a[lo] < min_piece:
+            continue
+        best, length = None, 0
+        for k in range(lo, hi):
+            if b[hi - 1] - a[k] <= length:
+                break
+            n = last[k:hi] - first[k]
+            good = np.flatnonzero(n >= min_identity * np.maximum(b[k:hi] - a[k], v[k:hi] - u[k]))
+            if len(good) and b[k + good[-1]] - a[k] > length:
+                best, length = (k, k + int(good[-1]) + 1), b[k + good[-1]] - a[k]
+        if best is None:
+            continue
+        k, m = best
+        fits = lambda k, m: last[m - 1] - first[k] >= min_identity * max(b[m - 1] - a[k], v[m - 1] - u[k])
+        if rest or best != (lo, hi):
+            while m - k > 1 and last[k] - first[k] < min(K, a[k + 1] - b[k]) and fits(k + 1, m):
+                k += 1
+            while m - k > 1 and last[m - 1] - first[m - 1] < min(K, a[m - 1] - b[m - 2]) and fits(k, m - 1):
+                m -= 1
+        if b[m - 1] - a[k] >= min_piece:
+            yield int(a[k]), int(b[m - 1]), int(u[k]), int(v[m - 1]), int(last[m - 1] - first[k])
+        todo += [(lo, k, True), (m, hi, True)]
 
 
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, n_equal int"
@@ -216,8 +265,8 @@ def _align(min_words: int, min_piece: int, min_identity: float):
         pieces = []
         for c in found:
             window = np.frombuffer(c["window"], np.uint64)
-            a, b, u, v, n = align(h, window, c["xs"], [y - c["lo"] for y in c["ys"]])
-            if b - a >= min_piece and n >= min_identity * max(b - a, v - u):
+            equal = align(h, window, c["xs"], [y - c["lo"] for y in c["ys"]])
+            for a, b, u, v, n in split(*equal, min_piece, min_identity):
                 pieces.append((a, b, c["anchor"], u + c["lo"], v + c["lo"], n))
         pieces.sort()
         group: list = []

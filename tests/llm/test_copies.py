@@ -104,6 +104,30 @@ def test_passages(spark):
     assert cut[2].split() == prose(52, 40).split() and cut[1] == rows[0][1] and passage.split()[30] not in cut[3].split()[:5]
 
 
+def test_exact_passages_near_each_other(spark):
+    one, two, line = prose(60, 50), prose(61, 50), prose(62, 30)
+    rows = [(1, f"{one} {prose(63, 28)} {two}"), (2, f"{one} {prose(64, 28)} {two}"), (3, f"{prose(65, 50)} {prose(66, 24)} {line}"), (4, f"{prose(65, 50)} {prose(67, 24)} {line}")]
+    got = {(r.doc_id, r.start, r.end) for r in substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {(2, 0, 50), (2, 78, 128), (4, 0, 50)} <= got
+
+
+def test_split_keeps_exact_runs_and_whole_chains():
+    rng = np.random.default_rng(6)
+    for _ in range(200):
+        runs, x, y, i, j = [], 0, 0, [], []
+        for n in rng.integers(1, 60, 6).tolist():
+            x, y = x + int(rng.integers(1, 40)), y + int(rng.integers(1, 40))
+            runs.append((x, x + n))
+            i += range(x, x + n)
+            j += range(y, y + n)
+            x, y = x + n, y + n
+        parts = list(substring.split(np.array(i), np.array(j), 18, 0.8))
+        assert all(n >= 0.8 * max(b - a, v - u) for a, b, u, v, n in parts)
+        assert all(b - a < 18 or any(p[0] <= a and b <= p[1] for p in parts) for a, b in runs)
+        whole = (i[0], i[-1] + 1, j[0], j[-1] + 1, len(i))
+        assert len(i) < 0.8 * max(whole[1] - whole[0], whole[3] - whole[2]) or parts == [whole]
+
+
 def test_every_exact_repeat_is_covered(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = dict(sorted((r.doc_id, r.text.split()) for r in docs.collect()))
