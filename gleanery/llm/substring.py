@@ -1,14 +1,17 @@
 """Substring dedup by collinear chaining.
 
-1. Every text is cut into words; of each run of twelve six-word k-mers the one with the smallest hash is
-   a seed, so equal runs of seventeen words share a seed.
+1. Every text is cut into words; a run of six words is a seed if the smallest of their hashes stands at
+   its first or last word. The choice depends on nothing but the six words, so an edit beside them
+   doesn't undo it, and of equal runs of eleven words one seed at least is shared.
 2. Seeds found in more than one document are joined to the first document (smallest id) that holds them.
    Counts are aggregated before the shuffle and the join back is a plain shuffled join that Spark may
    split, so a seed that a third of all documents share is no special case, and no pairs of occurrences
-   are made: each occurrence meets one anchor.
+   are made: each occurrence meets one anchor. Runs of two neighbouring seeds are joined in the same way
+   to the first document that holds the run, so a passage whose seeds are each found in other, earlier
+   documents too still meets the document that holds more of it.
 3. Per (document, anchor) the matches are chained in order of both positions: a chain's score is the
    gain of its matches less a cost per word between them, found with a Fenwick tree of prefix maxima
-   over the anchor's positions. Chains break at long gaps.
+   over the anchor's positions. Chains break at long gaps; one seed is a chain too.
 4. Chains are aligned on the words themselves: between seeds by position or by longest common
    subsequence, at the ends by the best-scoring extension. A chain below the identity is split at
    stretches of other words, and each part is tested for itself.
@@ -21,28 +24,28 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import each_slice, ngram_hashes, possible_rows, stored, text_or_empty, word_hashes, words
 
-K, WINDOW = 6, 12
+K = 6
+RUN_GAP = 24
 GAIN, COST = 8.0, 0.15
 MAX_GAP = 40
 MARGIN = 64
 MIN_WORDS, MIN_PIECE, MIN_IDENTITY, JOIN_GAP = 50, 18, 0.8, 3
 
 
-def minimizers(h: np.ndarray) -> np.ndarray:
-    """Places of the smallest value (the last of equals) in every WINDOW neighbours; all of fewer count as one window."""
-    n = len(h) - WINDOW + 1
-    if n <= 0:
-        return np.array([len(h) - 1 - int(h[::-1].argmin())]) if len(h) else np.zeros(0, np.int64)
-    best, at = h[:n].copy(), np.arange(n)
-    for j in range(1, WINDOW):
-        low = h[j : j + n] <= best
-        best[low] = h[j : j + n][low]
-        at[low] = np.flatnonzero(low) + j
-    return at[np.flatnonzero(np.diff(at, prepend=-1))]
+def syncmers(h: np.ndarray) -> np.ndarray:
+    """Places of the runs of K words whose smallest word hash is the first's or the last's."""
+    if len(h) < K:
+        return np.zeros(0, np.int64)
+    n = len(h) - K + 1
+    low = h[:n].copy()
+    for j in range(1, K):
+        np.minimum(low, h[j : j + n], out=low)
+    return np.flatnonzero((low == h[:n]) | (low == h[K - 1 :]))
 
 
 def _seeds(batches):
@@ -51,16 +54,13 @@ def _seeds(batches):
         ids = batch.column("doc_id")
         for lo, hi, data, off in each_slice(batch):
             starts, ends, first = words(data, off)
-            grams = ngram_hashes(word_hashes(data, starts, ends), K)
-            rows, place = [], []
-            for d, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
-                if b - a >= K:
-                    at = minimizers(grams[a : b - K + 1])
-                    place.append(at)
-                    rows.append(np.full(len(at), d))
-            if not rows:
+            h = word_hashes(data, starts, ends)
+            grams, at = ngram_hashes(h, K), syncmers(h)
+            row = np.searchsorted(first, at, "right") - 1
+            inside = at + K <= first[row + 1] if len(at) else np.zeros(0, bool)
+            row, at = row[inside], at[inside] - first[row[inside]]
+            if not len(row):
                 continue
-            row, at = np.concatenate(rows), np.concatenate(place)
             yield pa.record_batch([pa.array(grams[first[row] + at].view(np.int64)), ids.slice(lo, hi - lo).take(pa.array(row)), pa.array(at.astype(np.int32))], schema=schema)
 
 
@@ -120,10 +120,10 @@ def _chain(batches):
     schema = pa.schema([("doc", pa.int64()), ("anchor", pa.int64()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32()))])
 
     def of(doc: int, anchor: int, x: np.ndarray, y: np.ndarray):
+        x, y = np.unique(np.stack([x, y]), axis=1)  # seeds and runs of seeds give the same matches
         for path in chains(x, y):
             for part in _broken(path, x, y):
-                if len(part) > 1:  # runs of K + 2 WINDOW - 1 equal words always have two seeds
-                    yield doc, anchor, x[part].tolist(), y[part].tolist()
+                yield doc, anchor, x[part].tolist(), y[part].tolist()
 
     held = None
     for batch in batches:
@@ -153,7 +153,7 @@ def _anchor_words(batches):
             h = word_hashes(data, starts, ends)
             part = batch.slice(a, b - a)
             lo, hi = part.column("lo").to_pylist(), part.column("hi").to_pylist()
-            found = [h[first[i] + lo[i] : min(first[i] + hi[i], first[i + 1])].tobytes() for i in range(b - a)]
+            found = [h[first[i] + lo[i] : min(first[i] + hi[i], first[i + 1])].astype(np.uint32).tobytes() for i in range(b - a)]
             yield pa.record_batch([part.column("anchor"), part.column("lo"), part.column("hi"), pa.array(found, pa.binary())], schema=schema)
 
 
@@ -193,7 +193,8 @@ def align(own: np.ndarray, other: np.ndarray, xs: list[int], ys: list[int]) -> t
     x0, y0 = xs[0], ys[0]
     n = min(x0, y0, MARGIN)
     same = own[x0 - n : x0] == other[y0 - n : y0]
-    at = np.flatnonzero(same[n - _reach(same[::-1]) :]) - _reach(same[::-1])
+    back = _reach(same[::-1])
+    at = np.flatnonzero(same[n - back :]) - back
     left, right = [x0 + at], [y0 + at]
     x, y = x0, y0  # the next free places
     for c, d in zip(xs, ys):
@@ -264,7 +265,7 @@ def _align(min_words: int, min_piece: int, min_identity: float):
     def passages(h: np.ndarray, found: list[dict]):
         pieces = []
         for c in found:
-            window = np.frombuffer(c["window"], np.uint64)
+            window = np.frombuffer(c["window"], np.uint32)
             equal = align(h, window, c["xs"], [y - c["lo"] for y in c["ys"]])
             for a, b, u, v, n in split(*equal, min_piece, min_identity):
                 pieces.append((a, b, c["anchor"], u + c["lo"], v + c["lo"], n))
@@ -290,7 +291,7 @@ def _align(min_words: int, min_piece: int, min_identity: float):
         for batch in batches:
             for lo, hi, data, off in each_slice(batch):
                 starts, ends, first = words(data, off)
-                h = word_hashes(data, starts, ends)
+                h = word_hashes(data, starts, ends).astype(np.uint32)
                 part = batch.slice(lo, hi - lo)
                 out = []
                 for i, (d, found) in enumerate(zip(part.column("doc").to_pylist(), part.column("chains").to_pylist())):
@@ -300,6 +301,17 @@ def _align(min_words: int, min_piece: int, min_identity: float):
     return run
 
 
+def _run_matches(met: DataFrame) -> DataFrame:
+    """Both seeds of each run of two neighbouring shared seeds, matched to the first document that holds the run."""
+    w = W.partitionBy("doc").orderBy("pos")
+    after = met.select("doc", "pos", "seed", F.lead("seed").over(w).alias("seed2"), F.lead("pos").over(w).alias("pos2"))
+    runs = stored(after.where(F.col("pos2") - F.col("pos") <= RUN_GAP).select(F.xxhash64("seed", "seed2").alias("run"), "doc", "pos", "pos2"), "seed-runs")
+    first = runs.groupBy("run").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last"), F.min(F.struct("doc", "pos", "pos2")).alias("at")).where("anchor < last")
+    first = stored(first.select("run", "anchor", F.col("at.pos").alias("apos"), F.col("at.pos2").alias("apos2")), "run-anchors")
+    both = runs.join(first, "run").where("doc > anchor")
+    return both.select("doc", "anchor", F.inline(F.array(F.struct(F.col("pos").alias("pos"), F.col("apos").alias("apos")), F.struct(F.col("pos2").alias("pos"), F.col("apos2").alias("apos")))))
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: int = MIN_PIECE, min_identity: float = MIN_IDENTITY, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages that an earlier document (smaller id) holds too, per later document.
 
@@ -316,6 +328,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
     met = stored(seeds.join(shared, "seed"), "shared-seeds")
     anchors = stored(met.where("doc = anchor").groupBy("seed").agg(F.min("pos").alias("apos")), "anchor-places")
     matches = met.where("doc > anchor").join(anchors, "seed").select("doc", "anchor", "pos", "apos")
+    matches = matches.unionByName(_run_matches(met))
     chained = matches.repartition(parts, "doc").sortWithinPartitions("doc", "anchor").mapInArrow(_chain, "doc long, anchor long, xs array<int>, ys array<int>")
     lo = F.greatest(F.element_at("ys", 1) - MARGIN, F.lit(0))
     hi = F.element_at("ys", -1) + K + MARGIN

@@ -111,6 +111,28 @@ def test_exact_passages_near_each_other(spark):
     assert {(2, 0, 50), (2, 78, 128), (4, 0, 50)} <= got
 
 
+def _edited(text, every):
+    return " ".join(w if i % every != every // 2 else f"edit{i}" for i, w in enumerate(text.split()))
+
+
+def test_passages_with_many_edits(spark):
+    """Sixty words with one in 8, 10 or 12 changed."""
+    for every in (8, 10, 12):
+        rows = [(k, prose(100 + 5 * k, 60)) for k in range(1, 41)]
+        later = [(100 + k, f"{prose(k, 20)} {_edited(t, every)} own{k} words{k} follow{k}") for k, t in rows]
+        got = {r.doc_id for r in substring.repeated_passages(spark.createDataFrame(rows + later, "doc_id long, text string")).collect()}
+        assert len({d for d, _ in later} - got) <= (4 if every == 8 else 1), every
+
+
+def test_passage_whose_seeds_are_in_other_documents_too(spark):
+    """Every run of seven words that starts at a multiple of six stands in an earlier document of its own."""
+    passage = [f"p{i}" for i in range(60)]
+    early = [(k, " ".join(f"x{k}_{i}" for i in range(9)) + " " + " ".join(passage[k * 6 : k * 6 + 7]) + " " + " ".join(f"y{k}_{i}" for i in range(9))) for k in range(9)]
+    rows = [*early, (50, " ".join(passage)), (60, "a b c d " + " ".join(passage) + " e f g")]
+    got = {r.doc_id: r for r in substring.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[60].start, got[60].end, got[60].source_id) == (4, 64, 50)
+
+
 def test_split_keeps_exact_runs_and_whole_chains():
     rng = np.random.default_rng(6)
     for _ in range(200):
