@@ -16,35 +16,51 @@ def pick_by_city(found: DataFrame, key: list[str]) -> DataFrame:
     return found.withColumn("_o", order).where("_o IS NOT NULL").withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy("_o", "ordinal"))).where("_n = 1").drop("_o", "_n")
 
 
+def _fuzzy_pairs(keys: DataFrame, aliases: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (key, alias) of two columns of distinct texts that may reach the threshold, without loss at any size.
+
+    A ratio at the threshold leaves at most D = 2 (1 - t) / t x length insertions and deletions, so of D + 1
+    segments of the alias's sorted words one at least stands unbroken in the key's. Aliases too short
+    to be cut so meet every key by the empty segment.
+    """
+    most = 2 * (100 - threshold) / threshold
+    order = lambda c: F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda x: x != "")), " ")
+    cut = aliases.select("alias", order(F.col("alias")).alias("sb")).withColumn("lb", F.length("sb")).where("lb > 0").withColumn("m", F.floor(F.col("lb") * most + 1e-6).cast("int") + 1)
+    segment = F.expr("CASE WHEN lb < m THEN array('') ELSE transform(sequence(0, m - 1), i -> substring(sb, CAST(i * lb DIV m AS INT) + 1, CAST((i + 1) * lb DIV m AS INT) - CAST(i * lb DIV m AS INT))) END")
+    cut = cut.select("alias", "lb", F.explode(F.array_distinct(segment)).alias("segment"))
+    longest = int(1 / most) + 1 if most > 0 else None
+    bound = f"least({longest}, la)" if longest else "la"
+    parts = F.expr(f"array_distinct(concat(array(''), flatten(transform(sequence(1, {bound}), n -> transform(sequence(1, la - n + 1), i -> substring(sa, i, n))))))")
+    whole = keys.select("key", order(F.col("key")).alias("sa")).withColumn("la", F.length("sa")).where("la > 0").select("key", "la", F.explode(parts).alias("segment"))
+    lo, hi = F.least("la", "lb"), F.greatest("la", "lb")
+    return whole.join(cut, "segment").where(200.0 * lo >= threshold * (lo + hi)).select("key", "alias").distinct()
+
+
 def resolve(names: DataFrame, aliases: DataFrame, domains: DataFrame, threshold: float = 90, contained: int = 8) -> DataFrame:
     """slug, score and via for distinct (key, address_key, domain, city) rows with an ``id``.
 
     aliases(alias, ordinal, slug, venue_city), domains(domain, slug). A name that is an alias is final
-    even if no candidate's city fits. The fuzzy stage compares only keys whose lengths allow the
-    threshold: 2 min / (min + max) >= threshold / 100. aliases is a dimension whose rows are counted: up
-    to 20,000 it is broadcast, beyond that the fuzzy and contained stages join on a shared token first.
+    even if no candidate's city fits. The fuzzy stage joins on segments (``_fuzzy_pairs``), the contained
+    stage on an alias's first ``contained`` characters, at every size of the tables.
     """
-    small = aliases.limit(20_001).count() <= 20_000
-    hint = F.broadcast if small else (lambda x: x)
     known = aliases.select("alias", "ordinal", "slug", "venue_city")
     exact = names.join(known, names["key"] == known["alias"])
     taken = names.join(known, names["key"] == known["alias"], "left_semi").select("id")
     out = pick_by_city(exact, ["id"]).select("id", "slug", F.lit(100.0).alias("score"), F.lit("name").alias("via"))
     left = names.join(taken, "id", "left_anti")
-    lo, hi = F.least(F.length("key"), F.length("alias")), F.greatest(F.length("key"), F.length("alias"))
-    band = (200.0 * lo >= threshold * (lo + hi)) & (F.col("key") != "")
-    if not small:
-        split = lambda c: F.explode(F.split(c, " "))
-        shared = left.where("key <> ''").withColumn("token", split("key")).join(known.withColumn("token", split("alias")), "token").where(band).drop("token").distinct()
-    else:
-        shared = left.join(hint(known), band)
-    scored = shared.withColumn("score", token_sort_ratio(F.col("key"), F.col("alias"))).where(F.col("score") >= threshold)
+    pairs = _fuzzy_pairs(left.select("key").distinct(), known.select("alias").distinct(), threshold)
+    pairs = pairs.withColumn("score", token_sort_ratio(F.col("key"), F.col("alias"))).where(F.col("score") >= threshold)
+    scored = left.join(pairs, "key").join(known, "alias")
     best = scored.withColumn("_n", F.dense_rank().over(W.partitionBy("id").orderBy(F.desc("score"), "alias"))).where("_n = 1").drop("_n")
     fuzzy = pick_by_city(best, ["id"]).select("id", "slug", "score", F.lit("fuzzy").alias("via"))
     out = out.unionByName(fuzzy)
     left = left.join(fuzzy.select("id"), "id", "left_anti").where("address_key <> ''")
-    inside = left.join(hint(known), (F.col("address_key") == F.col("alias")) | ((F.length("alias") >= contained) & F.contains("address_key", "alias")))
-    inside = inside.withColumn("ordinal", F.when(F.col("address_key") == F.col("alias"), F.lit(-1)).otherwise(F.col("ordinal")))
+    equal = left.join(known, F.col("address_key") == F.col("alias")).withColumn("ordinal", F.lit(-1).cast(dict(known.dtypes)["ordinal"]))
+    n = max(contained, 1)
+    starts = F.expr(f"array_distinct(transform(sequence(1, length(address_key) - {n} + 1), i -> substring(address_key, i, {n})))")
+    spots = left.where(F.length("address_key") >= n).withColumn("_start", F.explode(starts))
+    inside = spots.join(known.where(F.length("alias") >= n).withColumn("_start", F.substring("alias", 1, n)), "_start").where(F.contains("address_key", "alias") & (F.col("address_key") != F.col("alias")))
+    inside = inside.drop("_start").unionByName(equal)
     address = pick_by_city(inside, ["id"]).select("id", "slug", F.lit(100.0).alias("score"), F.lit("address").alias("via"))
     out = out.unionByName(address)
     rest = names.join(taken, "id", "left_anti").join(out.select("id"), "id", "left_anti")
