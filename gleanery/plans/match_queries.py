@@ -164,7 +164,7 @@ def _names(t):
 
 
 def _aliases(t):
-    p = t.part.where("p_partkey % 2 = 0").groupBy("p_name").agg(F.min("p_partkey").alias("ordinal"))
+    p = t.part.groupBy("p_name").agg(F.min("p_partkey").alias("ordinal"))
     return p.select(F.col("p_name").alias("alias"), "ordinal", F.concat(F.lit("v"), F.col("ordinal")).alias("slug"), F.when(F.col("ordinal") % 3 == 0, "even").otherwise("").alias("venue_city"))
 
 
@@ -228,7 +228,8 @@ def match_score(t):
     m = match.MatchSchema(text="txt", bucket="bucket", rank="p_retailprice", id="p_partkey")
     pairs = match.match_pairs(p.withColumn("txt", F.col("p_name")), m).select("a_id", "b_id")
     left = p.select(F.col("p_partkey").alias("a_id"), F.col("txt").alias("ta"))
+    right = p.select(F.col("p_partkey").alias("b_id"), F.col("p_name").alias("tb"))
     from ..functions.similarity import token_set_ratio
 
-    score = F.when(F.col("ta") == "", 0.0).otherwise(token_set_ratio(F.col("ta"), F.col("ta")))
-    return pairs.join(left, "a_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), score.alias("score"))
+    score = F.when(F.col("ta") == "", 0.0).otherwise(token_set_ratio(F.col("ta"), F.col("tb")))
+    return pairs.join(left, "a_id").join(right, "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), score.alias("score"))

@@ -40,3 +40,10 @@ def test_pairs_lose_nothing(spark):
         pairs = venues._fuzzy_pairs(spark.createDataFrame([(k,) for k in keys], "key string"), spark.createDataFrame([(a,) for a in aliases], "alias string"), threshold)
         got = {(r.key, r.alias) for r in pairs.collect()}
         assert {(k, a) for k in keys for a in aliases if _ratio(k, a) >= threshold} <= got
+
+
+def test_every_part_gives_an_alias(spark):
+    from gleanery.plans import QUERIES
+
+    slugs = {r.slug for r in QUERIES["venue_resolve"](spark, "/root/testdata/sf0.001").collect()}
+    assert any(int(s[1:]) % 2 for s in slugs if s != "v-site")
