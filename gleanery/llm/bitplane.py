@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import slices, shared_dir, text_or_empty, utf8
+from .common import shared_dir, slices, text_or_empty, tidy, utf8
 from .tokens import encoder
 
 MAGIC = b"GLBP"
@@ -180,15 +180,15 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = min(MAX_RANGES, 4 * parts)
     borders = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
-    encoded = rows.mapInArrow(_encode(tokenizer_path, end_id, sorted(set(borders or []))), "range int, doc_id long, width byte, ids binary")
+    encoded = rows.mapInArrow(tidy(_encode(tokenizer_path, end_id, sorted(set(borders or [])))), "range int, doc_id long, width byte, ids binary")
     ordered = encoded.repartition(parts, "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"))
-    ordered.mapInArrow(_files(bits), "range int, file int, n_ids long, payload binary").write.parquet(out)
+    ordered.mapInArrow(tidy(_files(bits)), "range int, file int, n_ids long, payload binary").write.parquet(out)
 
 
 def read_token_files(spark, path: str) -> DataFrame:
     """Per document, from the files alone: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     files = spark.read.parquet(path)
-    found = files.select("range", "file", "payload").mapInArrow(_read, "range int, file int, doc_id long, place long, n_tokens long, ids_crc32 long")
+    found = files.select("range", "file", "payload").mapInArrow(tidy(_read), "range int, file int, doc_id long, place long, n_tokens long, ids_crc32 long")
     sizes = files.select("range", "file", "n_ids")
     # At most MAX_RANGES rows meet in the one window that has no key.
     whole = sizes.groupBy("range").agg(F.sum("n_ids").alias("n"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -93,7 +94,7 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** n modulo 2**64, kept for the next call."""
+    """base ** 0 .. base ** n modulo 2**64, kept until the next release."""
     key = str(base)
     if key not in _powers or len(_powers[key]) <= n:
         full = np.full(max(n + 1, SLICE_BYTES + 1), base, np.uint64)
@@ -159,11 +160,26 @@ def ngram_hashes(h: np.ndarray, k: int) -> np.ndarray:
 
 
 def release() -> None:
-    """Gives what this worker has freed back to the system; workers outlive their tasks."""
+    """Gives what this worker has freed back to the system, Arrow's own pool included; workers outlive their tasks."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run):
+    """A function for mapInArrow whose worker is left with nothing of its task: idle workers count as an executor's memory too."""
+
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            release()
+
+    return whole
+
+
 def each_slice(batch: pa.RecordBatch, text: str = "text"):
     """(first row, last row + 1, bytes, offsets from 0) for slices of a batch."""
     release()
@@ -200,4 +216,13 @@ def possible_rows(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id", wa
             yield batch.select(range(batch.num_columns - 2)).filter(pa.array(found == wanted))
 
     placed = docs.select("*", F.bitmap_bucket_number(place).alias("_spot"), F.bitmap_bit_position(place).alias("_bit"))
-    return placed.mapInArrow(run, docs.schema)
+    return placed.mapInArrow(tidy(run), docs.schema)
+
+
+def one_text_each(rows: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text) rows with one row per id: the least text where several share an id. Only such rows are shuffled."""
+    repeated = stored(rows.groupBy(id_column).agg(F.count("*").alias("n")).where("n > 1").select(id_column), "repeated-ids")
+    if repeated.isEmpty():
+        return rows
+    some = possible_rows(rows, repeated, id_column).groupBy(id_column).agg(F.min(text).alias(text))
+    return possible_rows(rows, repeated, id_column, wanted=False).unionByName(some)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, mix64, ngram_hashes, possible_rows, stored, word_hashes, words
+from .common import each_slice, mix64, ngram_hashes, possible_rows, stored, tidy, word_hashes, words
 from .components import components
 
 SHINGLE = 5
@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     """
     need = least_matches(threshold, tolerance)
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = stored(rows.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(_sign, "doc_id long, key binary, n int, sig binary"), "signatures")
+    signed = stored(rows.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(tidy(_sign), "doc_id long, key binary, n int, sig binary"), "signatures")
     worded = signed.where("n > 0")
     classes = stored(worded.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "text-classes")
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, _band_bytes(b)).alias("bucket"))))
@@ -270,12 +270,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     met = met.select("bucket", "band", "rep", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
     sigs = classes.select("rep", "sig", "copies")
     unit = ["bucket", "low", "high"]
-    found = _by_unit(met.join(sigs.select("rep", "sig"), "rep"), unit).mapInArrow(_candidates(need), "bucket long, low int, high int, band int, side int, rep long")
+    found = _by_unit(met.join(sigs.select("rep", "sig"), "rep"), unit).mapInArrow(tidy(_candidates(need)), "bucket long, low int, high int, band int, side int, rep long")
     found = stored(found, "candidates")
     involved = found.select("rep").distinct()
     some = possible_rows(rows, involved.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
-    sets = some.join(involved, "rep", "left_semi").mapInArrow(_shingle_sets, "rep long, shingles binary").dropDuplicates(["rep"])
-    checked = _by_unit(found.join(sigs, "rep").join(sets, "rep"), unit).mapInArrow(_verify(need, threshold), "a long, b long, texts long, docs long")
+    sets = some.join(involved, "rep", "left_semi").mapInArrow(tidy(_shingle_sets), "rep long, shingles binary").dropDuplicates(["rep"])
+    checked = _by_unit(found.join(sigs, "rep").join(sets, "rep"), unit).mapInArrow(tidy(_verify(need, threshold)), "a long, b long, texts long, docs long")
     checked = stored(checked, "links")
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     groups = components(checked.where("b IS NOT NULL").select("a", "b"), "link-components").select(F.col("node").alias("rep"), F.col("root").alias("class_id"))

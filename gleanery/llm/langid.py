@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, fold, mix64, stored
+from .common import each_slice, fold, mix64, stored, tidy
 
 ORDER = 4
 #: The model's size bound in n-grams of all orders and languages; rarer n-grams of the top order go first.
@@ -95,7 +95,7 @@ def _count_grams(order: int):
 def train(docs: DataFrame, order: int = ORDER, max_ngrams: int = MAX_NGRAMS, text: str = "text", lang: str = "lang") -> dict:
     """Fit the models on every row with a text and a language; {} if there is none."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counted = rows.mapInArrow(_count_grams(order), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(_count_grams(order)), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = stored(counted, "char-ngrams")
     spread = top.groupBy("n").count()
     # The smallest count that keeps the top order within half the bound; the lower orders are shorter.
@@ -248,7 +248,7 @@ def predict(docs: DataFrame, model: dict, id_column: str = "doc_id", text: str =
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(_predict(shared), "doc_id long, best int, entropy double, margin double, score double")
+    return rows.mapInArrow(tidy(_predict(shared)), "doc_id long, best int, entropy double, margin double, score double")
 
 
 def thresholds(held: DataFrame, model: dict, rejected: float = REJECTED_SHARE) -> dict[str, float]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, salted_rank, slices, stored, text_or_empty, utf8
+from .common import release, salted_rank, slices, stored, text_or_empty, tidy, utf8
 from .tokens import encoder
 
 STEPS = 20_000
@@ -169,7 +169,7 @@ def _pieces(path: str, end_id: int, capacity: int):
 def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every whole text; a null text has the end id alone."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_pieces(tokenizer_path, end_id, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidy(_pieces(tokenizer_path, end_id, capacity)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:

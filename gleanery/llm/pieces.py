@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BASE, _BASE_INVERSE, _power, mix64, slices, text_or_empty, utf8
+from .common import _BASE, _BASE_INVERSE, _power, mix64, slices, text_or_empty, tidy, utf8
 
 SPACE = "▁"
 _PART = re.compile(r" *[^ \n]+|\n| +")
@@ -297,7 +297,7 @@ def segment(docs: DataFrame, model_path: str, n: int = 3, with_ids: bool = False
     lists them all. Repeated ids keep a row each; other columns are ignored.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_segment(model_path, n, with_ids), RESULT.replace("ids_crc32:long", "ids_crc32:long, ids:array<int>") if with_ids else RESULT)
+    return rows.mapInArrow(tidy(_segment(model_path, n, with_ids)), RESULT.replace("ids_crc32:long", "ids_crc32:long, ids:array<int>") if with_ids else RESULT)
 
 
 def decode(segmented: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
@@ -309,4 +309,4 @@ def decode(segmented: DataFrame, model_path: str, ids: str = "ids") -> DataFrame
         for batch in batches:
             yield pa.record_batch([batch.column("doc_id"), pa.array([own.decode(np.array(x or [], np.int64)) for x in batch.column("ids").to_pylist()], pa.string())], schema=schema)
 
-    return segmented.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return segmented.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(tidy(run), "doc_id long, text string")

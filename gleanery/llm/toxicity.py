@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, fold, release, slices, text_or_empty, utf8, word_hashes, words
+from .common import each_slice, fold, release, slices, text_or_empty, tidy, utf8, word_hashes, words
 
 #: The bound of the training sample: labelled texts per class.
 MAX_PER_CLASS = 1500
@@ -198,7 +198,7 @@ def score(docs: DataFrame, model: dict | None, id_column: str = "doc_id", text:
     model = model or {"bias": -30.0, "weights": np.zeros(1, np.float32), "check": np.zeros(1, np.uint16)}
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(_score(shared), "doc_id long, score double, sentence_start long, sentence_length long, sentence_score double")
+    return rows.mapInArrow(tidy(_score(shared)), "doc_id long, score double, sentence_start long, sentence_length long, sentence_score double")
 
 
 def clean_documents(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -216,7 +216,7 @@ def clean_documents(docs: DataFrame, model: dict | None, threshold: float = THRE
                 keep[lo:hi] = -np.expm1(_sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first)) < threshold
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def _locate(shared, least: float):
@@ -241,7 +241,7 @@ def offending_sentences(docs: DataFrame, model: dict, least: float = 0.5) -> Dat
     """Every sentence that scores at least so much: doc_id, start (byte in the text), sentence, score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
-    return rows.mapInArrow(_locate(shared, least), "doc_id long, start long, sentence string, score double")
+    return rows.mapInArrow(tidy(_locate(shared, least)), "doc_id long, start long, sentence string, score double")
 
 
 def teaching_rows(column, folds: int = 3, held: int = 1):
