@@ -24,10 +24,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import each_slice, ngram_hashes, possible_rows, stored, text_or_empty, word_hashes, words
+from .common import each_slice, mix64, ngram_hashes, one_text_each, possible_rows, stored, text_or_empty, tidy, utf8, word_hashes, words
 
 K = 6
 RUN_GAP = 24
@@ -35,6 +34,8 @@ GAIN, COST = 8.0, 0.15
 MAX_GAP = 40
 MARGIN = 64
 MIN_WORDS, MIN_PIECE, MIN_IDENTITY, JOIN_GAP = 50, 18, 0.8, 3
+#: Windows of one text that a task cuts; a text with more is sent to several tasks.
+WINDOWS = 2048
 
 
 def syncmers(h: np.ndarray) -> np.ndarray:
@@ -49,7 +50,7 @@ def syncmers(h: np.ndarray) -> np.ndarray:
 
 
 def _seeds(batches):
-    schema = pa.schema([("seed", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32())])
+    schema = pa.schema([("seed", pa.int64()), ("doc", pa.int64()), ("pos", pa.int32()), ("again", pa.bool_())])
     for batch in batches:
         ids = batch.column("doc_id")
         for lo, hi, data, off in each_slice(batch):
@@ -61,7 +62,50 @@ def _seeds(batches):
             row, at = row[inside], at[inside] - first[row[inside]]
             if not len(row):
                 continue
-            yield pa.record_batch([pa.array(grams[first[row] + at].view(np.int64)), ids.slice(lo, hi - lo).take(pa.array(row)), pa.array(at.astype(np.int32))], schema=schema)
+            seed = grams[first[row] + at].view(np.int64)
+            yield pa.record_batch([pa.array(seed), ids.slice(lo, hi - lo).take(pa.array(row)), pa.array(at.astype(np.int32)), pa.array(_repeated(row, seed))], schema=schema)
+
+
+def _repeated(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether the same value stands earlier in the same group; groups are in order."""
+    order = np.lexsort((value, group))  # stable: equal ones stay in order
+    again = np.zeros(len(value), bool)
+    again[order[1:]] = (value[order[1:]] == value[order[:-1]]) & (group[order[1:]] == group[order[:-1]])
+    return again
+
+
+def _grouped(batches, columns: tuple[str, ...], key: int):
+    """Rows of batches sorted by their first ``key`` columns, as blocks of whole groups (an array of all columns)."""
+    held = None
+    for batch in batches:
+        now = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in columns])
+        held = now if held is None else np.concatenate([held, now], axis=1)
+        change = np.flatnonzero((np.diff(held[:key], axis=1) != 0).any(axis=0)) + 1
+        if len(change):
+            yield held[:, : change[-1]]
+            held = held[:, change[-1] :]
+    if held is not None and held.shape[1]:
+        yield held
+
+
+def _runs(batches):
+    """Tasks: shared seeds sorted by (doc, pos) -> runs of two neighbours, with what each seed's own anchor says.
+
+    A run whose two seeds have one anchor, as far apart there as here, is left out: its seeds meet that
+    anchor anyway, and no earlier document can hold the run.
+    """
+    schema = pa.schema([(c.split()[0], {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[c.split()[1]]) for c in _RUN.split(", ")])
+    for b in _grouped(batches, ("doc", "pos", "seed", "anchor", "apos"), 1):
+        doc, pos, seed, anchor, apos = b
+        gap = pos[1:] - pos[:-1]
+        near = (doc[1:] == doc[:-1]) & (gap <= RUN_GAP) & (gap > 0)
+        near &= (anchor[1:] != anchor[:-1]) | (apos[1:] - apos[:-1] != gap)
+        i = np.flatnonzero(near)
+        run = mix64(seed[i].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + mix64(seed[i + 1].view(np.uint64))).view(np.int64)
+        yield pa.record_batch([pa.array(c, f.type) for c, f in zip((run, doc[i], pos[i], gap[i], _repeated(doc[i], run), anchor[i], apos[i], anchor[i + 1], apos[i + 1]), schema)], schema=schema)
+
+
+_RUN = "run long, doc long, pos int, gap int, again boolean, anchor1 long, apos1 int, anchor2 long, apos2 int"
 
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
@@ -116,45 +160,59 @@ def _broken(path: list[int], x: np.ndarray, y: np.ndarray):
 
 
 def _chain(batches):
-    """Tasks: matches sorted by (doc, anchor) -> chains as lists of matched positions."""
-    schema = pa.schema([("doc", pa.int64()), ("anchor", pa.int64()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32()))])
-
-    def of(doc: int, anchor: int, x: np.ndarray, y: np.ndarray):
-        x, y = np.unique(np.stack([x, y]), axis=1)  # seeds and runs of seeds give the same matches
-        for path in chains(x, y):
-            for part in _broken(path, x, y):
-                yield doc, anchor, x[part].tolist(), y[part].tolist()
+    """Tasks: matches sorted by (doc, anchor) -> chains as lists of matched positions.
 
-    held = None
-    for batch in batches:
-        now = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("doc", "anchor", "pos", "apos")])
-        held = now if held is None else np.concatenate([held, now], axis=1)
-        change = np.flatnonzero((np.diff(held[:2], axis=1) != 0).any(axis=0)) + 1
-        if len(change):
-            cut = int(change[-1])
-            yield _chain_rows(held[:, :cut], change[:-1], of, schema)
-            held = held[:, cut:]
-    if held is not None and held.shape[1]:
-        yield _chain_rows(held, np.flatnonzero((np.diff(held[:2], axis=1) != 0).any(axis=0)) + 1, of, schema)
-
-
-def _chain_rows(rows: np.ndarray, change: np.ndarray, of, schema: pa.Schema) -> pa.RecordBatch:
-    borders = [0, *change.tolist(), rows.shape[1]]
-    out = [r for a, b in zip(borders[:-1], borders[1:]) for r in of(int(rows[0, a]), int(rows[1, a]), rows[2, a:b], rows[3, a:b])]
-    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
+    Where a group's matches rise strictly on both sides, the match before is always the best to follow, so
+    the chains are the stretches between long gaps and need no search.
+    """
+    schema = pa.schema([("doc", pa.int64()), ("anchor", pa.int64()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32()))])
+    for block in _grouped(batches, ("doc", "anchor", "pos", "apos"), 2):
+        block = block[:, np.lexsort(block[::-1])]
+        new = np.ones(block.shape[1], bool)  # seeds and runs of seeds may give the same matches
+        new[1:] = (np.diff(block, axis=1) != 0).any(axis=0)
+        doc, anchor, x, y = block[:, new]
+        head = np.ones(len(x), bool)
+        head[1:] = (np.diff(doc) != 0) | (np.diff(anchor) != 0)
+        group = np.cumsum(head) - 1
+        dx, dy = np.diff(x, prepend=0), np.diff(y, prepend=0)
+        far = (dx > MAX_GAP + K) | (dy > MAX_GAP + K)
+        tangled = ~head & ((dx <= 0) | (dy <= 0) | (~far & (COST * (dx + dy) >= GAIN)))
+        searched = np.bincount(group[tangled], minlength=group[-1] + 1) > 0
+        plain = ~searched[group]
+        start = np.flatnonzero((head | far)[plain])
+        d, a, u, v = doc[plain], anchor[plain], x[plain], y[plain]
+        offsets = pa.array(np.append(start, len(u)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c.astype(np.int32))) for c in (u, v)]
+        if len(start):
+            yield pa.record_batch([pa.array(d[start]), pa.array(a[start]), *lists], schema=schema)
+        first = np.append(np.flatnonzero(head), len(x))
+        out = []
+        for g in np.flatnonzero(searched):
+            lo, hi = first[g], first[g + 1]
+            own, other = x[lo:hi], y[lo:hi]
+            out += [(doc[lo], anchor[lo], own[part].tolist(), other[part].tolist()) for path in chains(own, other) for part in _broken(path, own, other)]
+        if out:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
 
 def _anchor_words(batches):
-    """Tasks: windows with their anchor's text -> the hashes of the words there."""
+    """Tasks: rows sorted by (anchor, salt, lo), a text before the windows on it -> the hashes of the words there."""
     schema = pa.schema([("anchor", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("window", pa.binary())])
+    h = np.zeros(0, np.uint32)
     for batch in batches:
         for a, b, data, off in each_slice(batch):
-            starts, ends, first = words(data, off)
-            h = word_hashes(data, starts, ends)
             part = batch.slice(a, b - a)
-            lo, hi = part.column("lo").to_pylist(), part.column("hi").to_pylist()
-            found = [h[first[i] + lo[i] : min(first[i] + hi[i], first[i + 1])].astype(np.uint32).tobytes() for i in range(b - a)]
-            yield pa.record_batch([part.column("anchor"), part.column("lo"), part.column("hi"), pa.array(found, pa.binary())], schema=schema)
+            starts, ends, first = words(data, off)
+            now = word_hashes(data, starts, ends).astype(np.uint32)
+            is_text = part.column("text").is_valid().to_numpy(zero_copy_only=False)
+            lo, hi = (part.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("lo", "hi"))
+            found = []
+            for i in range(b - a):
+                if is_text[i]:
+                    h = now[first[i] : first[i + 1]]
+                else:
+                    found.append(h[lo[i] : hi[i]].tobytes())
+            yield pa.record_batch([*(part.column(c).filter(pa.array(~is_text)) for c in ("anchor", "lo", "hi")), pa.array(found, pa.binary())], schema=schema)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,6 +249,13 @@ def _reach(same: np.ndarray) -> int:
 def align(own: np.ndarray, other: np.ndarray, xs: list[int], ys: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Places in own and in other of a chain's equal words, both strictly rising."""
     x0, y0 = xs[0], ys[0]
+    if xs[-1] - x0 == ys[-1] - y0 and all(c - d == x0 - y0 for c, d in zip(xs, ys)):  # one diagonal: word by word
+        end, other_end = xs[-1] + K, ys[-1] + K
+        n, m = min(x0, y0, MARGIN), min(len(own) - end, len(other) - other_end, MARGIN)
+        same = own[x0 - n : end + m] == other[y0 - n : other_end + m]
+        back, on = _reach(same[:n][::-1]), _reach(same[len(same) - m :])
+        at = np.flatnonzero(same[n - back : len(same) - m + on]) - back
+        return x0 + at, y0 + at
     n = min(x0, y0, MARGIN)
     same = own[x0 - n : x0] == other[y0 - n : y0]
     back = _reach(same[::-1])
@@ -257,18 +322,26 @@ def split(i: np.ndarray, j: np.ndarray, min_piece: int, min_identity: float):
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, n_equal int"
 
 
+def _margins(h: np.ndarray, w: np.ndarray, at: np.ndarray, other: np.ndarray, room: np.ndarray, step: int) -> np.ndarray:
+    """How far each of many ends extends from h[at] and w[other], forwards or backwards, as ``_reach`` has it."""
+    out = np.zeros(len(at), np.int64)
+    ahead = np.arange(MARGIN) * step
+    for lo in range(0, len(at), 8192):
+        hi = lo + 8192
+        inside = np.arange(MARGIN) < room[lo:hi, None]
+        i, j = np.where(inside, at[lo:hi, None] + ahead, 0), np.where(inside, other[lo:hi, None] + ahead, 0)
+        score = np.cumsum(np.where(inside & (h[i] == w[j]), 1, -2), axis=1) if len(h) and len(w) else np.zeros(inside.shape, int)
+        best = score.argmax(axis=1)
+        out[lo:hi] = np.where(score[np.arange(len(best)), best] > 0, best + 1, 0)
+    return out
+
+
 def _align(min_words: int, min_piece: int, min_identity: float):
-    """Tasks: a document's text with all its chains -> its passages."""
+    """Tasks: rows sorted by doc, a text before its chains -> the passages of each document."""
     types = {"long": pa.int64(), "int": pa.int32()}
     schema = pa.schema([(c.split()[0], types[c.split()[1]]) for c in PASSAGE.split(", ")])
 
-    def passages(h: np.ndarray, found: list[dict]):
-        pieces = []
-        for c in found:
-            window = np.frombuffer(c["window"], np.uint32)
-            equal = align(h, window, c["xs"], [y - c["lo"] for y in c["ys"]])
-            for a, b, u, v, n in split(*equal, min_piece, min_identity):
-                pieces.append((a, b, c["anchor"], u + c["lo"], v + c["lo"], n))
+    def passages(doc: int, pieces: list[tuple]):
         pieces.sort()
         group: list = []
         for p in [*pieces, None]:
@@ -281,35 +354,71 @@ def _align(min_words: int, min_piece: int, min_identity: float):
                         new = max(0, q[1] - max(covered, q[0]))
                         n_equal += round(new * q[5] / (q[1] - q[0]))
                         covered = max(covered, q[1])
-                    yield start, end, main[2], main[3], main[4], n_equal
+                    yield doc, start, end, main[2], main[3], main[4], n_equal
                 group = []
             if p is not None:
                 end = max(end, p[1]) if group else p[1]
                 group.append(p)
 
+    def long_enough(h, w, base, size, wbase, wsize, part):
+        """Of chains (words from base in h, window from wbase in w): those whose ends reach min_piece words."""
+        xs, ys, lo = part.column("xs"), part.column("ys"), part.column("lo").to_numpy()
+        first, last = xs.offsets.to_numpy()[:-1], xs.offsets.to_numpy()[1:] - 1
+        vx, vy = xs.values.to_numpy().astype(np.int64), ys.values.to_numpy().astype(np.int64)
+        x0, y0, x1, y1 = vx[first], vy[first] - lo, vx[last] + K, vy[last] + K - lo
+        back = _margins(h, w, base + x0 - 1, wbase + y0 - 1, np.minimum(x0, y0), -1)
+        on = _margins(h, w, base + x1, wbase + y1, np.minimum(size - x1, wsize - y1), 1)
+        return np.flatnonzero(x1 - x0 + back + on >= min_piece)
+
     def run(batches):
+        doc, text, pieces = None, np.zeros(0, np.uint32), []
         for batch in batches:
-            for lo, hi, data, off in each_slice(batch):
-                starts, ends, first = words(data, off)
-                h = word_hashes(data, starts, ends).astype(np.uint32)
-                part = batch.slice(lo, hi - lo)
-                out = []
-                for i, (d, found) in enumerate(zip(part.column("doc").to_pylist(), part.column("chains").to_pylist())):
-                    out += [(d, *p) for p in passages(h[first[i] : first[i + 1]], found)]
+            for a, b, data, off in each_slice(batch):
+                part = batch.slice(a, b - a)
+                starts, ends, at = words(data, off)
+                h = np.concatenate([text, word_hashes(data, starts, ends).astype(np.uint32)])
+                at = at + len(text)
+                is_text = part.column("text").is_valid().to_numpy(zero_copy_only=False)
+                owner = np.maximum.accumulate(np.where(is_text, np.arange(len(part)), -1))
+                base, size = np.where(owner < 0, 0, at[owner]), np.where(owner < 0, len(text), at[owner + 1] - at[owner])
+                rows = np.flatnonzero(~is_text)
+                docs, out = part.column("doc").to_pylist(), []
+                chained = pa.RecordBatch.from_arrays([pa.concat_arrays([part.column(c).take(pa.array(rows))]) for c in ("anchor", "xs", "ys", "lo", "window")], ["anchor", "xs", "ys", "lo", "window"])
+                blob, woff = utf8(chained.column("window"))
+                w = blob[: len(blob) // 4 * 4].view(np.uint32)
+                wbase, wsize = woff[:-1] // 4, np.diff(woff) // 4
+                keep = long_enough(h, w, base[rows], size[rows], wbase, wsize, chained) if len(rows) else rows
+                found: dict[int, list] = {}
+                anchors, los = chained.column("anchor").to_pylist(), chained.column("lo").to_pylist()
+                for k in keep.tolist():
+                    i = rows[k]
+                    xs, lo = chained.column("xs")[k].as_py(), los[k]
+                    equal = align(h[base[i] : base[i] + size[i]], w[wbase[k] : wbase[k] + wsize[k]], xs, [y - lo for y in chained.column("ys")[k].as_py()])
+                    found.setdefault(owner[i], []).extend((p, q, anchors[k], u + lo, v + lo, n) for p, q, u, v, n in split(*equal, min_piece, min_identity))
+                pieces += found.get(-1, [])
+                for i in np.flatnonzero(is_text).tolist():
+                    if doc is not None:
+                        out += passages(doc, pieces)
+                    doc, pieces, text = docs[i], found.get(i, []), h[at[i] : at[i + 1]].copy()
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
+        if doc is not None:
+            out = list(passages(doc, pieces))
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)] if out else [pa.array([], f.type) for f in schema], schema=schema)
 
     return run
 
 
-def _run_matches(met: DataFrame) -> DataFrame:
+def _run_matches(met: DataFrame, parts: int) -> DataFrame:
     """Both seeds of each run of two neighbouring shared seeds, matched to the first document that holds the run."""
-    w = W.partitionBy("doc").orderBy("pos")
-    after = met.select("doc", "pos", "seed", F.lead("seed").over(w).alias("seed2"), F.lead("pos").over(w).alias("pos2"))
-    runs = stored(after.where(F.col("pos2") - F.col("pos") <= RUN_GAP).select(F.xxhash64("seed", "seed2").alias("run"), "doc", "pos", "pos2"), "seed-runs")
-    first = runs.groupBy("run").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last"), F.min(F.struct("doc", "pos", "pos2")).alias("at")).where("anchor < last")
-    first = stored(first.select("run", "anchor", F.col("at.pos").alias("apos"), F.col("at.pos2").alias("apos2")), "run-anchors")
+    by_doc = met.select("doc", "pos", "seed", "anchor", "apos").repartition(parts, "doc").sortWithinPartitions("doc", "pos")
+    runs = stored(by_doc.mapInArrow(tidy(_runs), _RUN), "seed-runs")
+    places = F.min_by(F.struct("pos", "gap"), F.when(~F.col("again"), F.col("doc")))
+    first = runs.groupBy("run").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last"), places.alias("at")).where("anchor < last")
+    first = stored(first.select("run", "anchor", F.col("at.pos").alias("apos"), F.col("at.gap").alias("agap")), "run-anchors")
     both = runs.join(first, "run").where("doc > anchor")
-    return both.select("doc", "anchor", F.inline(F.array(F.struct(F.col("pos").alias("pos"), F.col("apos").alias("apos")), F.struct(F.col("pos2").alias("pos"), F.col("apos2").alias("apos")))))
+    ends = F.array(F.struct(F.col("pos").alias("pos"), F.col("apos").alias("apos"), (F.col("anchor1") == F.col("anchor")) & (F.col("apos1") == F.col("apos"))), F.struct((F.col("pos") + F.col("gap")).alias("pos"), (F.col("apos") + F.col("agap")).alias("apos"), (F.col("anchor2") == F.col("anchor")) & (F.col("apos2") == F.col("apos") + F.col("agap"))))
+    # What the seed's own match says already isn't said again.
+    return both.select("doc", "anchor", F.explode(ends).alias("e")).where("NOT e.col3").select("doc", "anchor", "e.pos", "e.apos")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: int = MIN_PIECE, min_identity: float = MIN_IDENTITY, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -318,29 +427,36 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
     doc_id, start and end in words, source_id with its span (the longest piece's source if several
     documents supply the passage), n_equal. A document's passages don't overlap. Null, empty and short
     texts have none. Rows without an id are left out; rows that share an id are one document, read as
-    any one of them. Other columns are ignored.
+    the least of their texts. Other columns are ignored.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    seeds = stored(rows.mapInArrow(_seeds, "seed long, doc long, pos int"), "seeds")
+    rows = one_text_each(rows)
+    seeds = stored(rows.mapInArrow(tidy(_seeds), "seed long, doc long, pos int, again boolean"), "seeds")
     # Both joins are between written tables, so Spark may split the partition of a hot seed.
-    shared = stored(seeds.groupBy("seed").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last")).where("anchor < last").select("seed", "anchor"), "anchors")
-    met = stored(seeds.join(shared, "seed"), "shared-seeds")
-    anchors = stored(met.where("doc = anchor").groupBy("seed").agg(F.min("pos").alias("apos")), "anchor-places")
-    matches = met.where("doc > anchor").join(anchors, "seed").select("doc", "anchor", "pos", "apos")
-    matches = matches.unionByName(_run_matches(met))
-    chained = matches.repartition(parts, "doc").sortWithinPartitions("doc", "anchor").mapInArrow(_chain, "doc long, anchor long, xs array<int>, ys array<int>")
+    first = F.min_by("pos", F.when(~F.col("again"), F.col("doc")))
+    shared = stored(seeds.groupBy("seed").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last"), first.alias("apos")).where("anchor < last").select("seed", "anchor", "apos"), "anchors")
+    met = stored(seeds.drop("again").join(shared, "seed"), "shared-seeds")
+    matches = met.where("doc > anchor").select("doc", "anchor", "pos", "apos").unionByName(_run_matches(met, parts))
+    chained = matches.repartition(parts, "doc").sortWithinPartitions("doc", "anchor").mapInArrow(tidy(_chain), "doc long, anchor long, xs array<int>, ys array<int>")
     lo = F.greatest(F.element_at("ys", 1) - MARGIN, F.lit(0))
     hi = F.element_at("ys", -1) + K + MARGIN
     chained = stored(chained.withColumns({"lo": lo, "hi": hi}), "chains")
-    # Only texts that take part travel; a window that many chains share is cut out once.
-    windows = chained.select("anchor", "lo", "hi").distinct()
-    sources = possible_rows(rows, windows.select(F.col("anchor").alias("doc_id"))).withColumnRenamed("doc_id", "anchor")
-    cut = windows.join(sources, "anchor").mapInArrow(_anchor_words, "anchor long, lo int, hi int, window binary").dropDuplicates(["anchor", "lo", "hi"])
-    cut = stored(cut, "anchor-windows")
-    of = chained.join(cut, ["anchor", "lo", "hi"]).groupBy("doc").agg(F.collect_list(F.struct("anchor", "xs", "ys", "lo", "window")).alias("chains"))
-    own = possible_rows(rows, chained.select(F.col("doc").alias("doc_id"))).withColumnRenamed("doc_id", "doc").dropDuplicates(["doc"])
-    return own.join(of, "doc").select("doc", "text", "chains").mapInArrow(_align(min_words, min_piece, min_identity), PASSAGE)
+    # Only texts that take part travel. A task has an anchor's text once and cuts its windows one by one;
+    # an anchor with many windows is dealt over several tasks.
+    salts = lambda n: F.ceil(F.col(n) / WINDOWS).cast("int")
+    windows = stored(chained.groupBy("anchor", "lo", "hi").agg(F.count("*").alias("n")).drop("n"), "windows")
+    popular = stored(windows.groupBy("anchor").agg(F.count("*").alias("n")).select("anchor", salts("n").alias("salts")), "window-anchors")
+    texts = possible_rows(rows, popular.select(F.col("anchor").alias("doc_id"))).withColumnRenamed("doc_id", "anchor").join(popular, "anchor")
+    texts = texts.select("anchor", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"), "text")
+    asked = windows.join(popular, "anchor").select("anchor", F.pmod(F.xxhash64("lo", "hi"), F.col("salts")).cast("int").alias("salt"), "lo", "hi", F.lit(None).cast("string").alias("text"))
+    met = texts.unionByName(asked).repartition(parts, "anchor", "salt").sortWithinPartitions("anchor", "salt", F.asc_nulls_first("lo"))
+    cut = stored(met.mapInArrow(tidy(_anchor_words), "anchor long, lo int, hi int, window binary"), "anchor-windows")
+    of = chained.join(cut, ["anchor", "lo", "hi"]).select("doc", "anchor", "xs", "ys", "lo", "window")
+    none = {"anchor": "long", "xs": "array<int>", "ys": "array<int>", "lo": "int", "window": "binary"}
+    own = possible_rows(rows, chained.select(F.col("doc").alias("doc_id"))).select(F.col("doc_id").alias("doc"), *(F.lit(None).cast(t).alias(c) for c, t in none.items()), "text")
+    both = own.unionByName(of.withColumn("text", F.lit(None).cast("string"))).repartition(parts, "doc").sortWithinPartitions("doc", F.asc_nulls_first("anchor"))
+    return both.mapInArrow(tidy(_align(min_words, min_piece, min_identity)), PASSAGE)
 
 
 def _without(batches):
@@ -370,5 +486,5 @@ def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     spans = stored(passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     ids = spans.select("doc_id")
     joined = possible_rows(docs, ids).join(spans, "doc_id", "left").select(*docs.columns, "spans")
-    out = possible_rows(docs, ids, wanted=False).unionByName(joined.mapInArrow(_without, docs.schema)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    out = possible_rows(docs, ids, wanted=False).unionByName(joined.mapInArrow(tidy(_without), docs.schema)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
