@@ -95,4 +95,52 @@ def test_neighbours_edges(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert annsearch.search(empty, F.col("vec_id") % 20 == 0).count() == 0
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
-    assert [tuple(r) for r in annsearch.search(two, F.col("vec_id") == 0, 5).collect()] == [(0, 1, 1, 0.5)]
+    assert [tuple(r)[:4] for r in annsearch.search(two, F.col("vec_id") == 0, 5).collect()] == [(0, 1, 1, 0.5)]
+
+
+def _recall_and_share(found, x, queries, k=20):
+    """Recall against brute force, and the share of all points that the searches verified."""
+    lists: dict = {}
+    work: dict = {}
+    for r in found:
+        lists.setdefault(r.query_id, []).append(r.vec_id)
+        work[r.query_id] = r.verified
+    hits = 0
+    for q in queries:
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score, kind="stable")[:k].tolist()) & set(lists[q]))
+    return hits / (k * len(queries)), sum(work[q] for q in queries) / (len(queries) * len(x))
+
+
+def test_stopping_test_decides(spark):
+    """The given vectors have no structure: the test still spares a third; of clustered ones it verifies few."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("embedding IS NOT NULL").orderBy("vec_id").select("vec_id", "embedding")
+    x = np.array([r.embedding for r in rows.collect()], float)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    for shard, chunk in ((8192, 4096), (300, 30)):  # one cell; many cells and chunks of queries
+        recall, share = _recall_and_share(annsearch.search(frame, F.col("vec_id") % 20 == 0, 20, shard_points=shard, chunk_queries=chunk).collect(), x, range(0, len(x), 20))
+        assert recall >= 0.9 and share <= 0.8, (recall, share)
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((60, 32))
+    y = centres[rng.integers(0, 60, 6000)] + 0.1 * rng.standard_normal((6000, 32))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
+    recall, share = _recall_and_share(annsearch.search(frame, F.col("vec_id") % 20 == 0, 20, shard_points=800).collect(), y, range(0, 6000, 20))
+    assert recall >= 0.9 and share <= 0.25, (recall, share)
+
+
+def test_cells_cut_space_and_boxes_hold_their_points():
+    rng = np.random.default_rng(2)
+    low = rng.standard_normal((4000, annsearch.DIRECTIONS))
+    cells = annsearch.Cells(low[:500], 3)
+    of = cells.of(low)
+    least, most = cells.boxes()
+    assert set(of) == set(range(8)) and all((low[of == c] >= least[c]).all() and (low[of == c] <= most[c]).all() for c in range(8))
+    apart = np.array([annsearch._box_distances(low[0], least, most)[c] for c in of])
+    assert (((low - low[0]) ** 2).sum(1) >= apart - 1e-9).all()
+
+
+def test_very_large_components(spark):
+    rows = [(0, [1e200, 0.0]), (1, [2e200, 1e199]), (2, [1.0, 1.0]), (3, [0.0, 3e200])]
+    got = annsearch.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 2, 3).collect()
+    assert [(r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(1, 3), (2, 1), (3, 0)] and got[0].score == 3e200
