@@ -322,9 +322,9 @@ def split(i: np.ndarray, j: np.ndarray, min_piece: int, min_identity: float):
 PASSAGE = "doc_id long, start int, end int, source_id long, source_start int, source_end int, n_equal int"
 
 
-def _margins(h: np.ndarray, w: np.ndarray, at: np.ndarray, other: np.ndarray, room: np.ndarray, step: int) -> np.ndarray:
-    """How far each of many ends extends from h[at] and w[other], forwards or backwards, as ``_reach`` has it."""
-    out = np.zeros(len(at), np.int64)
+def _margins(h: np.ndarray, w: np.ndarray, at: np.ndarray, other: np.ndarray, room: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """How far each of many ends extends from h[at] and w[other], forwards or backwards, as ``_reach`` has it, and its equal words."""
+    out, equal = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     ahead = np.arange(MARGIN) * step
     for lo in range(0, len(at), 8192):
         hi = lo + 8192
@@ -332,8 +332,10 @@ def _margins(h: np.ndarray, w: np.ndarray, at: np.ndarray, other: np.ndarray, ro
         i, j = np.where(inside, at[lo:hi, None] + ahead, 0), np.where(inside, other[lo:hi, None] + ahead, 0)
         score = np.cumsum(np.where(inside & (h[i] == w[j]), 1, -2), axis=1) if len(h) and len(w) else np.zeros(inside.shape, int)
         best = score.argmax(axis=1)
-        out[lo:hi] = np.where(score[np.arange(len(best)), best] > 0, best + 1, 0)
-    return out
+        top = score[np.arange(len(best)), best]
+        out[lo:hi] = np.where(top > 0, best + 1, 0)
+        equal[lo:hi] = (top + 2 * out[lo:hi]) // 3 * (top > 0)  # top = equal - 2 x others
+    return out, equal
 
 
 def _align(min_words: int, min_piece: int, min_identity: float):
@@ -360,15 +362,28 @@ def _align(min_words: int, min_piece: int, min_identity: float):
                 end = max(end, p[1]) if group else p[1]
                 group.append(p)
 
-    def long_enough(h, w, base, size, wbase, wsize, part):
-        """Of chains (words from base in h, window from wbase in w): those whose ends reach min_piece words."""
+    def measured(h, w, base, size, wbase, wsize, part):
+        """Of chains (words from base in h, window from wbase in w): start, end, window start, window end and equal words
+        of those on one diagonal that are one part as they stand, and which others may reach min_piece words.
+        """
         xs, ys, lo = part.column("xs"), part.column("ys"), part.column("lo").to_numpy()
         first, last = xs.offsets.to_numpy()[:-1], xs.offsets.to_numpy()[1:] - 1
         vx, vy = xs.values.to_numpy().astype(np.int64), ys.values.to_numpy().astype(np.int64)
         x0, y0, x1, y1 = vx[first], vy[first] - lo, vx[last] + K, vy[last] + K - lo
-        back = _margins(h, w, base + x0 - 1, wbase + y0 - 1, np.minimum(x0, y0), -1)
-        on = _margins(h, w, base + x1, wbase + y1, np.minimum(size - x1, wsize - y1), 1)
-        return np.flatnonzero(x1 - x0 + back + on >= min_piece)
+        back, equal_back = _margins(h, w, base + x0 - 1, wbase + y0 - 1, np.minimum(x0, y0), -1)
+        on, equal_on = _margins(h, w, base + x1, wbase + y1, np.minimum(size - x1, wsize - y1), 1)
+        long = x1 - x0 + back + on >= min_piece
+        turns = np.add.reduceat(np.abs(np.diff(vx - vy, append=0)) * (np.arange(len(vx)) < np.repeat(last, last - first + 1)), first)
+        one = np.flatnonzero(long & (turns == 0))
+        n = x1[one] - x0[one]
+        inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        same = h[np.repeat(base[one] + x0[one], n) + inner] == w[np.repeat(wbase[one] + y0[one], n) + inner]
+        equal = equal_back[one] + equal_on[one] + (np.add.reduceat(same, np.cumsum(n) - n) if len(one) else n)
+        spans = np.stack([x0 - back, x1 + on, y0 - back + lo, y1 + on + lo])[:, one]
+        whole = equal >= min_identity * (spans[1] - spans[0])
+        rest = long.copy()
+        rest[one[whole]] = False
+        return one[whole], np.vstack([spans, equal])[:, whole].T.tolist(), np.flatnonzero(rest)
 
     def run(batches):
         doc, text, pieces = None, np.zeros(0, np.uint32), []
@@ -387,10 +402,12 @@ def _align(min_words: int, min_piece: int, min_identity: float):
                 blob, woff = utf8(chained.column("window"))
                 w = blob[: len(blob) // 4 * 4].view(np.uint32)
                 wbase, wsize = woff[:-1] // 4, np.diff(woff) // 4
-                keep = long_enough(h, w, base[rows], size[rows], wbase, wsize, chained) if len(rows) else rows
                 found: dict[int, list] = {}
                 anchors, los = chained.column("anchor").to_pylist(), chained.column("lo").to_pylist()
-                for k in keep.tolist():
+                plain, spans, rest = measured(h, w, base[rows], size[rows], wbase, wsize, chained) if len(rows) else (rows, [], rows)
+                for k, (p, q, u, v, n) in zip(plain.tolist(), spans):
+                    found.setdefault(owner[rows[k]], []).append((p, q, anchors[k], u, v, n))
+                for k in rest.tolist():
                     i = rows[k]
                     xs, lo = chained.column("xs")[k].as_py(), los[k]
                     equal = align(h[base[i] : base[i] + size[i]], w[wbase[k] : wbase[k] + wsize[k]], xs, [y - lo for y in chained.column("ys")[k].as_py()])
