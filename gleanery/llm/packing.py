@@ -2,10 +2,10 @@
 
 1. Every document becomes pieces of at most ``capacity`` ids (the first piece of a long document takes
    the remainder), and Spark counts pieces per length: at most ``capacity`` counts, whatever the corpus.
-2. Patterns are one, two or three lengths that sum to the capacity. Their repeat counts are fitted to
-   the histogram by non-negative least squares, solved by greedy coordinate descent: the pattern with
-   the largest residual gains its exact line-search step. Counts are rounded down and held to what the
-   histogram has.
+2. Patterns are one, two or three lengths that sum to the capacity; all are enumerated. Their repeat
+   counts are fitted to the histogram by weighted non-negative least squares, by block coordinate descent
+   in which counts rise and fall; then they are rounded and held to what the histogram has, and the rest
+   is fitted once more.
 3. What the patterns leave is packed best-fit, longest first, on the histogram as well: open sequences
    are grouped by their free space, so the work depends on the capacity and not on the piece count.
 4. Both give a layout: (length, first rank, last rank) -> sequence base and offset. Pieces are ranked
@@ -25,68 +25,80 @@ from pyspark.sql import functions as F
 from .common import release, salted_rank, slices, stored, text_or_empty, tidy, utf8
 from .tokens import encoder
 
-STEPS = 20_000
+#: Rounds of the fit, the step at which it ends, and how many coordinates a round looks at.
+ROUNDS, TOLERANCE, _BLOCK = 40, 0.25, 2048
 WEIGHT_POWER = 4
 #: Words a worker keeps the ids of.
 CACHED_WORDS = 350_000
 
 
-def fit_patterns(histogram: np.ndarray, steps: int = STEPS) -> dict[tuple[int, ...], int]:
-    """Repeat counts of patterns of up to three lengths that fill the capacity exactly.
+def patterns_of(capacity: int) -> np.ndarray:
+    """All patterns of one, two or three lengths that sum to the capacity: rows of lengths, longest first, 0 for none."""
+    rows = [np.array([[capacity, 0, 0]])]
+    for a in range(-(-capacity // 3), capacity):
+        b = np.arange(-(-(capacity - a) // 2), min(a, capacity - a) + 1)
+        rows.append(np.column_stack([np.full(len(b), a), b, capacity - a - b]))
+    return np.concatenate(rows)
 
-    histogram[n] is the number of pieces of length n; its last index is the capacity. Minimises
-    sum over lengths of w (A x - h)^2 over x >= 0 by greedy coordinate descent over all patterns of the
-    length with the largest weighted residual. w grows with the length: a long piece left over costs a
-    sequence, a short one fits somewhere. Rounding down keeps every count within the histogram.
+
+def solve(histogram: np.ndarray, patterns: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, int, int]:
+    """x >= 0 that minimises the sum over lengths of weight (A x - histogram)^2, and how many steps raised and lowered a count.
+
+    Block coordinate descent: each round takes, of the coordinates whose exact line-search step would gain
+    most, those that share no length (their steps don't touch each other), and moves each by its step. A
+    step may be negative as long as its count stays at 0 or more, and a length may be overdrawn on the way.
+    It ends when no step is as large as the tolerance.
     """
-    capacity = len(histogram) - 1
-    residual = histogram.astype(np.float64)
-    fitted: dict[tuple[int, ...], float] = {}
-    if histogram[capacity]:
-        fitted[(capacity,)] = float(histogram[capacity])
-        residual[capacity] = 0
-    lengths = np.arange(capacity + 1)
-    weight = (lengths / capacity) ** WEIGHT_POWER
-    stuck = np.zeros(capacity + 1, bool)
-    for _ in range(steps):
-        open_ = np.where(stuck, 0, residual)
-        open_[open_ < 1] = 0
-        a = int((open_ * weight).argmax())
-        if open_[a] < 1:
+    w = np.append(0.0, weight[1:])
+    a, b, c = patterns.T
+    ab, bc = a == b, (b == c) & (b > 0)
+    norm = w[patterns].sum(1) + 2 * w[a] * ab + 2 * w[b] * bc + 2 * w[a] * (ab & bc)  # equal lengths count squared
+    root = np.sqrt(norm)
+    residual, x = histogram.astype(np.float64), np.zeros(len(patterns))
+    rises = falls = 0
+    for _ in range(rounds):
+        step = np.maximum((w * residual)[patterns].sum(1) / norm, -x)
+        gain = np.abs(step) * root
+        top = np.argpartition(gain, -_BLOCK)[-_BLOCK:] if len(gain) > _BLOCK else np.arange(len(gain))
+        top = top[np.abs(step[top]) > tolerance]
+        if not len(top):
             break
-        rest = capacity - a
-        second = lengths[1 : rest + 1]
-        third = rest - second
-        pull = residual * weight
-        gain = pull[second] + np.where(third > 0, pull[third], 0)
-        # Each place of a pattern must still have pieces; two places of one length share them.
-        have = (residual[second] >= 1) & ((third == 0) | (residual[third] >= 1))
-        have &= (second != third) | (residual[second] >= 2)
-        have &= ((second != a) & (third != a)) | (residual[a] >= 2)
-        norm = weight[a] + weight[second] + np.where(third > 0, weight[third], 0)
-        score = np.where(have, (gain + pull[a]) / np.sqrt(norm), -1)
-        if not len(score) or score.max() < 0:
-            stuck[a] = True
-            continue
-        b = int(second[score.argmax()])
-        pattern = tuple(sorted(x for x in (a, b, rest - b) if x))
-        unique, times = np.unique(pattern, return_counts=True)
-        heavy = weight[list(unique)]
-        step = float((heavy * residual[list(unique)] * times).sum() / (heavy * times**2).sum())
-        step = min(step, float((residual[list(unique)] / times).min()))  # never above what is there
-        if step < 1:
-            stuck[a] = True
-            continue
-        fitted[pattern] = fitted.get(pattern, 0.0) + step
-        residual[list(unique)] -= step * times
+        taken, used = [], set()
+        for i in top[np.argsort(-gain[top], kind="stable")].tolist():
+            lengths = set(patterns[i].tolist()) - {0}
+            if used.isdisjoint(lengths):
+                used |= lengths
+                taken.append(i)
+        moved = step[taken]
+        rises, falls = rises + int((moved > 0).sum()), falls + int((moved < 0).sum())
+        x[taken] += moved
+        np.subtract.at(residual, patterns[taken].ravel(), np.repeat(moved, 3))
+        residual[0] = 0
+    return x, rises, falls
+
+
+def fit_patterns(histogram: np.ndarray, fits: int = 2) -> dict[tuple[int, ...], int]:
+    """Repeat counts of patterns of up to three lengths that fill the capacity exactly, within the histogram.
+
+    histogram[n] is the number of pieces of length n; its last index is the capacity. The counts are a
+    non-negative least-squares fit, rounded; largest first, a count is lowered where it would overdraw a
+    length. What that leaves of the histogram is fitted once more. The weight grows with the length: a long
+    piece left over costs a sequence, a short one fits somewhere.
+    """
+    capacity = len(histogram) - 1
+    patterns, weight = patterns_of(capacity), (np.arange(capacity + 1) / capacity) ** WEIGHT_POWER + 1e-9
     left = histogram.astype(np.int64).copy()
     counts: dict[tuple[int, ...], int] = {}
-    for pattern, x in sorted(fitted.items(), key=lambda p: (-p[1], p[0])):
-        unique, times = np.unique(pattern, return_counts=True)
-        n = int(min(np.floor(x + 1e-9), (left[list(unique)] // times).min()))
-        if n > 0:
-            counts[pattern] = n
-            left[list(unique)] -= n * times
+    for _ in range(fits):
+        x, _, _ = solve(left, patterns, weight)
+        some = np.flatnonzero(x >= 0.5)
+        for i in some[np.argsort(-x[some], kind="stable")].tolist():
+            unique, times = np.unique(patterns[i][patterns[i] > 0], return_counts=True)
+            n = int(min(np.floor(x[i] + 0.5), (left[unique] // times).min()))
+            if n > 0:
+                pattern = tuple(sorted(patterns[i][patterns[i] > 0].tolist()))
+                counts[pattern] = counts.get(pattern, 0) + n
+                left[unique] -= n * times
     return counts
 
 

@@ -131,3 +131,55 @@ def test_segment_and_decode(spark, odd_docs, no_docs):
     back = pieces.decode(got.selectExpr("doc_id", "nbest[0].ids AS ids"), PIECE)
     assert all(r.text == texts[r.doc_id] for r in back.collect())
     assert pieces.segment(no_docs, PIECE).count() == 0
+
+
+def _plain_nnls(a, h):
+    """Lawson and Hanson's active-set method with a dense solver."""
+    n = a.shape[1]
+    x, passive = np.zeros(n), np.zeros(n, bool)
+    for _ in range(20 * n):
+        gradient = a.T @ (h - a @ x)
+        if passive.all() or gradient[~passive].max() <= 1e-9:
+            return x
+        passive[np.flatnonzero(~passive)[gradient[~passive].argmax()]] = True
+        while True:
+            s = np.zeros(n)
+            s[passive] = np.linalg.lstsq(a[:, passive], h, rcond=None)[0]
+            bad = passive & (s <= 1e-12)
+            if not bad.any():
+                x = s
+                break
+            alpha = min(x[i] / (x[i] - s[i]) if x[i] != s[i] else 0.0 for i in np.flatnonzero(bad))
+            x = x + alpha * (s - x)
+            passive &= x > 1e-12
+    return x
+
+
+def test_fit_is_the_least_squares_solution():
+    rng = np.random.default_rng(7)
+    for capacity in (6, 9, 14):
+        patterns = packing.patterns_of(capacity)
+        assert len({tuple(p) for p in patterns.tolist()}) == len(patterns) and (patterns.sum(1) == capacity).all()
+        matrix = np.stack([(patterns == n).sum(1) for n in range(capacity + 1)])
+        matrix[0] = 0
+        weight = (np.arange(capacity + 1) / capacity) ** packing.WEIGHT_POWER + 1e-9
+        went_down = 0
+        for _ in range(6):
+            h = rng.integers(0, 200, capacity + 1)
+            h[0] = 0
+            x, rises, falls = packing.solve(h, patterns, weight, rounds=30_000, tolerance=1e-7)
+            went_down += falls
+            best = _plain_nnls(np.sqrt(weight)[:, None] * matrix, np.sqrt(weight) * h)
+            loss = lambda v: (weight * (matrix @ v - h) ** 2).sum()
+            assert (x >= 0).all() and rises and loss(x) <= loss(best) * (1 + 1e-4) + 1e-3
+        assert went_down
+
+
+def test_counts_stay_within_the_histogram():
+    rng = np.random.default_rng(8)
+    h = np.bincount(np.minimum(2048, 1 + rng.lognormal(6, 1, 5000).astype(int)), minlength=2049)
+    used = np.zeros(2049, np.int64)
+    for pattern, n in packing.fit_patterns(h).items():
+        assert sum(pattern) == 2048 and n > 0
+        np.add.at(used, list(pattern), n)
+    assert (used <= h).all() and used.sum() > 0.25 * h.sum()
