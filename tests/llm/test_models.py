@@ -15,12 +15,82 @@ def test_language_held_out(spark):
     assert found.where("NOT accepted").count() <= 0.1 * found.count()
 
 
-def test_language_probabilities_sum_to_one(spark):
-    rows = [(i, w, "aa") for i, w in enumerate(["abab baba abba", "aab bba", "ab ba ab"])] + [(9, "xyz zyx", "bb")]
-    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), order=3)
+TOY = [("abab baba abba", "aa"), ("aab bba", "aa"), ("ab ba ab", "aa"), ("xyz zyx", "bb"), ("xa", "bb")]
+
+
+def _brute_force(rows, order=3):
+    """p(character | the characters before it in its word) per language, by the textbook recursion over dicts."""
+    chars = {c for t, _ in rows for w in t.split() for c in w + "\x03"}
+    top: dict = {}
+    for t, lang in rows:
+        for w in t.split():
+            w = "\x02" + w + "\x03"
+            for i in range(1, len(w)):
+                g = w[max(0, i - order + 1) : i + 1]
+                top.setdefault(lang, {})[g] = top.get(lang, {}).get(g, 0) + 1
+    counts: dict = {}
+    for lang, own in top.items():
+        counts[lang] = {order: {g: n for g, n in own.items() if len(g) == order}}
+        for n in range(order - 1, 0, -1):
+            level = {g: c for g, c in own.items() if len(g) == n}
+            for g in counts[lang][n + 1]:
+                level[g[1:]] = level.get(g[1:], 0) + 1
+            counts[lang][n] = level
+
+    def p(lang, gram):
+        n = len(gram)
+        below = p(lang, gram[1:]) if n > 1 else 1 / (len(chars) + 1)
+        after = {g: c for g, c in counts[lang][n].items() if g[:-1] == gram[:-1]}
+        mass = sum(after.values())
+        return (max(after.get(gram, 0) - 0.75, 0) + 0.75 * len(after) * below) / mass if mass else below
+
+    return p, chars
+
+
+def test_language_probabilities_are_kneser_ney(spark):
+    model = langid.train(spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(TOY)], "doc_id long, text string, lang string"), order=3)
     assert model["langs"] == ["aa", "bb"]
-    a, b = langid.score_words(model, ["abab", "xyz"])
-    assert a[0] > a[1] and b[1] > b[0]
+    p, chars = _brute_force(TOY)
+    table = {(r.n, r.gram): r for r in model["table"].collect()}
+    for (n, gram), r in table.items():
+        if gram != "\x02":
+            assert all(abs(np.exp(r.logs[k]) - p(lang, gram)) < 1e-9 for k, lang in enumerate(model["langs"])), gram
+    held = langid.arrays(model)
+    words = ["abab", "xyz", "", "qa", "zzx"]
+    scores = langid.score_words(held, words)
+    for w, own in zip(words, scores):
+        full = "\x02" + w + "\x03"
+        for k, lang in enumerate(model["langs"]):
+            want = sum(np.log(p(lang, full[max(0, i - 2) : i + 1])) for i in range(1, len(full)))
+            assert abs(own[k] - want) < 1e-4
+    for context in ("\x02", "\x02a", "ab", "zz"):  # over every character and one that was never seen
+        for lang in model["langs"]:
+            assert abs(sum(p(lang, (context + c)[-3:]) for c in [*chars, "?"]) - 1) < 1e-9
+
+
+def test_language_model_beyond_its_bound(spark):
+    """What the arrays can't hold is looked up in the written tables, with the same result."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.unionByName(spark.createDataFrame([(10**6, "ab" * 500 + " word", "en"), (10**6 + 1, "ab" * 500 + "c", None)], "doc_id long, text string, lang string"))
+    teach = F.col("doc_id") % 5 != 0
+    whole, few, none = (sorted(map(tuple, langid.identify(docs, teach, ~teach, n).select("doc_id", "lang_pred", F.round("score", 4), F.round("entropy", 4), "accepted").collect())) for n in (langid.MODEL_BYTES, 40_000, 0))
+    assert whole == few == none
+
+
+def test_letters_only(spark):
+    rows = [(1, "\u00b2 \u00bd \u2167 12"), (2, "a\u0301b cd"), (3, "\u0301"), (4, "x" * 300)]
+    model = langid.train(spark.createDataFrame([(9, "ab cd a\u0301b", "en")], "doc_id long, text string, lang string"))
+    got = {r.doc_id: r.best for r in langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[1] == got[3] == -1 and got[2] == got[4] == 0
+    assert langid._words("A\u0301b " + "y" * 99) == ["a\u0301b", "y" * 99]
+
+
+def test_repeated_ids_calibrate_once_each(spark):
+    rows = [(i % 3, f"alpha beta gamma delta {i}", "en") for i in range(600)] + [(7, "uno dos tres", "es")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    marked = langid.predict(docs, model, truth="lang")
+    assert marked.count() == len(rows) and set(langid.thresholds(docs, model, langid.arrays(model))) == {"en"}
 
 
 def test_language_edges(spark, odd_docs, no_docs):
