@@ -1,13 +1,13 @@
 """Quality rules with risk-controlled thresholds. DataFrame functions only.
 
-Each document gets counts over its whole text. For every stratum (language) and rule, cutoffs are
-tried from the most lenient to the strictest on labelled good documents: a cutoff is accepted while
-the exact binomial tail P(Bin(n, a) <= k) stays at or below the test level, where k of n good
-documents would be rejected. Stopping at the first failure (a fixed-sequence test) needs no
-correction along the cutoffs; the level is divided by strata x rules (Bonferroni), and the allowed
-false-rejection rate is divided by the rules (union bound). So with confidence 1 - delta no stratum
-loses more than ``alpha`` of its good documents to the rules. A stratum with too few labels for a
-cutoff to pass has no cutoff: it keeps its documents.
+Each document gets counts over its whole text. For every stratum (language), steps are tried from the
+most lenient to the strictest on labelled good documents; a step sets the cutoffs of all rules together.
+It is accepted while the exact binomial tail P(Bin(n, alpha) <= k) stays at or below the test level, where
+k of n good documents would be rejected by any rule. Stopping at the first failure (a fixed-sequence test)
+needs no correction along the steps, and testing the rules jointly none over the rules; the level is
+divided by the strata (Bonferroni). So with confidence 1 - delta no stratum loses more than ``alpha`` of
+its good documents to the rules. A stratum with too few labels for a step to pass has no cutoff: it keeps
+its documents.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import stored, text_or_empty
 
 RULES = ("symbols", "dup_lines", "repeats", "shouting")
-#: Cutoffs per thousand, lenient to strict: a document whose figure is above is rejected.
+#: Cutoffs per thousand, lenient to strict, times the rule's factor: a document whose figure is above is rejected.
 CUTOFFS = (700, 500, 400, 300, 250, 200, 150, 120, 100, 80, 60, 50, 40, 30, 20)
+FACTORS = {"symbols": 1, "dup_lines": 2, "repeats": 2, "shouting": 4}
 ALPHA, DELTA = 0.02, 0.05
 _BLANK = r"[\x20\x09-\x0D]"
 _WINDOW = 8
@@ -113,7 +114,7 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, id_column: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """One row per stratum with a cutoff per rule (null: none passed).
+    """One row per stratum that has cutoffs, with one per rule.
 
     Only labelled good documents count (quality = 1; a document with several labels is good if its
     lowest is 1; null labels don't count). The result has as many rows as there are strata.
@@ -121,13 +122,13 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_column: str = "doc_id", a
     good = labels.where(F.col("quality").isNotNull()).groupBy(F.col(id_column).alias("doc_id")).agg(F.min("quality").alias("q")).where("q = 1").select("doc_id")
     rates = measured.where(F.col("n_words") > 0).select("doc_id", "stratum", *(v.alias(k) for k, v in _rates().items()))
     held = rates.join(good, "doc_id")
-    counts = held.groupBy("stratum").agg(F.count("*").alias("n"), *(F.count(F.when(F.col(r) > c, 1)).alias(f"{r}_{c}") for r in RULES for c in CUTOFFS))
-    tests = F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"{r}_{c}").alias("k")) for r in RULES for i, c in enumerate(CUTOFFS))))
+    above = lambda c: F.greatest(*((F.col(r) > c * FACTORS[r]).cast("int") for r in RULES))
+    counts = held.groupBy("stratum").agg(F.count("*").alias("n"), *(F.sum(above(c)).alias(f"k_{c}") for c in CUTOFFS))
+    tests = F.explode(F.array(*(F.struct(F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"k_{c}").alias("k")) for i, c in enumerate(CUTOFFS))))
     long = counts.select("stratum", "n", F.count("*").over(W.partitionBy(F.lit(0))).alias("strata"), tests.alias("x")).select("stratum", "n", "strata", "x.*")
-    level = F.lit(delta) / (F.col("strata") * len(RULES))
-    tried = long.withColumn("fails", (binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) > level).cast("int"))
-    passed = tried.withColumn("failed", F.max("fails").over(W.partitionBy("stratum", "rule").orderBy("step"))).where("failed = 0")
-    return passed.groupBy("stratum").agg(*(F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES))
+    tried = long.withColumn("fails", (binomial_tail(F.col("n"), F.col("k"), alpha) > F.lit(delta) / F.col("strata")).cast("int"))
+    passed = tried.withColumn("failed", F.max("fails").over(W.partitionBy("stratum").orderBy("step"))).where("failed = 0")
+    return passed.groupBy("stratum").agg(*((F.min("cutoff") * FACTORS[r]).alias(f"cut_{r}") for r in RULES))
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", stratum: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
@@ -189,22 +190,20 @@ def oracle_sql() -> str:
     rates = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "shouting": ("n_shout", "word_chars")}
     rate = ", ".join(f"CASE WHEN {b} > 0 THEN {a} * 1000 // {b} ELSE 0 END AS {r}" for r, (a, b) in rates.items())
     steps = ", ".join(f"({i}, {c})" for i, c in enumerate(CUTOFFS))
-    unpivot = " UNION ALL ".join(f"SELECT stratum, '{r}' AS rule, {r} AS rate FROM held" for r in RULES)
-    p = ALPHA / len(RULES)
-    cut = ", ".join(f"min(CASE WHEN rule = '{r}' THEN cutoff END) AS cut_{r}" for r in RULES)
+    above = " OR ".join(f"{r} > cutoff * {FACTORS[r]}" for r in RULES)
+    cut = ", ".join(f"min(cutoff) * {FACTORS[r]} AS cut_{r}" for r in RULES)
     over = " OR ".join(f"coalesce({r} > cut_{r}, false)" for r in RULES)
     return f"""WITH {measures_sql()},
 rated AS (SELECT *, {rate} FROM measured),
 good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
 held AS (SELECT rated.* FROM rated JOIN good USING (doc_id) WHERE n_words > 0),
-long AS ({unpivot}),
 steps(step, cutoff) AS (VALUES {steps}),
-counts AS (SELECT stratum, rule, step, cutoff, count(*) AS n, count(*) FILTER (rate > cutoff) AS k FROM long, steps GROUP BY ALL),
+counts AS (SELECT stratum, step, cutoff, count(*) AS n, count(*) FILTER ({above}) AS k FROM held, steps GROUP BY ALL),
 tails AS (
-  SELECT *, CASE WHEN k > n * {p} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
-    lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({p}) + (n - j) * ln(1 - {p})))) END AS tail FROM counts),
+  SELECT *, CASE WHEN k > n * {ALPHA} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+    lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({ALPHA}) + (n - j) * ln(1 - {ALPHA})))) END AS tail FROM counts),
 failed AS (
-  SELECT *, max((tail > {DELTA} / ((SELECT count(DISTINCT stratum) FROM counts) * {len(RULES)}))::INT) OVER (PARTITION BY stratum, rule ORDER BY step) AS failed FROM tails),
+  SELECT *, max((tail > {DELTA} / (SELECT count(DISTINCT stratum) FROM counts))::INT) OVER (PARTITION BY stratum ORDER BY step) AS failed FROM tails),
 cuts AS (SELECT stratum, {cut} FROM failed WHERE failed = 0 GROUP BY stratum)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
