@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, mix64, ngram_hashes, possible_rows, stored, tidy, word_hashes, words
+from .common import each_slice, mix64, ngram_hashes, one_text_each, possible_rows, stored, tidy, word_hashes, words
 from .components import components
 
 SHINGLE = 5
@@ -253,11 +253,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     (Jaccard of five-word shingle sets >= threshold). n_links counts linked documents, equal texts
     included; n_text_links counts linked different texts. A text of fewer than five words is one shingle.
     Null or wordless texts link to nothing and are classes of their own. Rows without an id are left out;
-    rows that share an id are one document of one class.
+    rows that share an id are one document, read as the least of their texts, and keep a row each.
     """
     need = least_matches(threshold, tolerance)
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    signed = stored(rows.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(tidy(_sign), "doc_id long, key binary, n int, sig binary"), "signatures")
+    texts = one_text_each(rows)
+    signed = stored(texts.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(tidy(_sign), "doc_id long, key binary, n int, sig binary"), "signatures")
     worded = signed.where("n > 0")
     classes = stored(worded.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "text-classes")
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.xxhash64(b, _band_bytes(b)).alias("bucket"))))
@@ -273,8 +274,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     found = _by_unit(met.join(sigs.select("rep", "sig"), "rep"), unit).mapInArrow(tidy(_candidates(need)), "bucket long, low int, high int, band int, side int, rep long")
     found = stored(found, "candidates")
     involved = found.select("rep").distinct()
-    some = possible_rows(rows, involved.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
-    sets = some.join(involved, "rep", "left_semi").mapInArrow(tidy(_shingle_sets), "rep long, shingles binary").dropDuplicates(["rep"])
+    some = possible_rows(texts, involved.select(F.col("rep").alias("doc_id"))).withColumnRenamed("doc_id", "rep")
+    sets = some.join(involved, "rep", "left_semi").mapInArrow(tidy(_shingle_sets), "rep long, shingles binary")
     checked = _by_unit(found.join(sigs, "rep").join(sets, "rep"), unit).mapInArrow(tidy(_verify(need, threshold)), "a long, b long, texts long, docs long")
     checked = stored(checked, "links")
     counts = checked.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
@@ -282,6 +283,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     told = classes.select("key", "rep", "copies").join(counts, "rep", "left").join(groups, "rep", "left")
     ids = signed.select("doc_id", F.when(F.col("n") > 0, F.col("key")).alias("key"))
     out = ids.join(told, "key", "left")
+    if texts is not rows:
+        out = rows.select("doc_id").join(out, "doc_id")
     return out.select(
         "doc_id",
         F.coalesce("class_id", "rep", "doc_id").alias("class_id"),
