@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_slice, fold, release, slices, text_or_empty, tidy, utf8, word_hashes, words
+from .common import each_slice, fold, release, slices, stored, text_or_empty, tidy, utf8, word_hashes, words
 
-#: The bound of the training sample: labelled texts per class.
-MAX_PER_CLASS = 1500
+#: The bounds of the training sample: labelled texts per class, and their bytes together.
+MAX_PER_CLASS, MAX_CLASS_BYTES = 1500, 24 << 20
 HASH_BITS = 22
 #: Byte lengths of the word beginnings that are features too.
 STEMS = (4, 5, 6)
@@ -84,6 +84,24 @@ def _parts(data: np.ndarray, off: np.ndarray):
         yield lo, hi, data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
 
 
+def loss_and_gradient(theta: np.ndarray, column: np.ndarray, sentence: np.ndarray, doc: np.ndarray, first: np.ndarray, y: np.ndarray, pull: np.ndarray) -> tuple[float, np.ndarray]:
+    """Weighted mean log loss of the noisy-or over texts, with the weights' penalty, and its gradient.
+
+    theta has a weight per feature and the bias last; feature column[i] stands in sentence[i]; doc has each
+    sentence's text, first each text's first sentence; pull weighs texts.
+    """
+    z = theta[-1] + np.bincount(sentence, theta[column], len(doc))
+    p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    survive = _sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first)  # log of prod(1 - p)
+    q = np.clip(-np.expm1(survive), 1e-9, 1 - 1e-9)
+    loss = (pull * np.where(y > 0, -np.log(q), -survive)).sum() / len(y) + _L2 / 2 * (theta[:-1] ** 2).sum()
+    # d loss / d z of a sentence: p for a clean text, -p (1 - q) / q for a toxic one.
+    g_z = p * (pull * np.where(y > 0, -(1 - q) / q, 1.0))[doc]
+    g = np.append(np.bincount(column, g_z[sentence], len(theta) - 1), g_z.sum()) / len(y)
+    g[:-1] += _L2 * theta[:-1]
+    return float(loss), g
+
+
 def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None, steps: int = STEPS) -> dict:
     """Weights by Adam on the noisy-or likelihood; classes weigh as in a corpus with this share of toxic texts."""
     data, off = utf8(pa.array(texts, pa.string()))
@@ -118,14 +136,7 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     theta[-1] = np.log(rate / 10 / (1 - rate / 10))
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
-        z = theta[-1] + np.bincount(sentence, theta[column], n)
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        survive = _sums(np.log1p(-np.minimum(p, 1 - 1e-12)), first)  # log of prod(1 - p)
-        q = np.clip(-np.expm1(survive), 1e-9, 1 - 1e-9)
-        # d loss / d z of a sentence: p for a clean text, -p (1 - q) / q for a toxic one.
-        g_z = p * (pull * np.where(y > 0, -(1 - q) / q, 1.0))[doc]
-        g = np.append(np.bincount(column, g_z[sentence], len(used)), g_z.sum()) / len(texts)
-        g[:-1] += _L2 * theta[:-1]
+        _, g = loss_and_gradient(theta, column, sentence, doc, first, y, pull)
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         theta -= 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
@@ -138,23 +149,31 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float | None = None,
     return {"bias": float(theta[-1]), "weights": weights, "check": checks}
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> dict | None:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS, class_bytes: int = MAX_CLASS_BYTES) -> dict | None:
     """Fit on labelled texts of docs; None if a class has none.
 
-    A document with several labels is toxic if any is; null labels and null texts don't count.
+    A document with several labels is toxic if any is; null labels and null texts don't count; rows that
+    share an id are one document, read as the least of their texts. Of each class the texts with the smallest
+    hash of their id are taken, at most ``per_class`` of them and (beyond the first) ``class_bytes`` together.
     """
     marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(marked, "doc_id")
-    ids = known.select("doc_id", "toxic")
-    chosen = None
-    for label in (1, 0):
-        own = ids.where(F.col("toxic") == label).orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(per_class)
-        chosen = own if chosen is None else chosen.unionByName(own)
+    ids = known.groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text")).alias("bytes"))
+    ids = stored(ids.withColumn("turn", F.xxhash64(F.col("doc_id").cast("string"))), "labelled")
     rate = {r.toxic: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not rate.get(0) or not rate.get(1):
         return None
-    rows = known.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").select("text", "toxic")  # at most 2 x per_class ids
-    found = rows.collect()
+    chosen = []
+    for label in (1, 0):
+        room = class_bytes
+        for i, r in enumerate(ids.where(F.col("toxic") == label).orderBy("turn", "doc_id").limit(per_class).collect()):
+            room -= r.bytes
+            if i and room < 0:
+                break
+            chosen.append((r.doc_id,))
+    picked = docs.sparkSession.createDataFrame(chosen, f"doc_id {dict(docs.dtypes)['doc_id']}")
+    rows = known.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # at most 2 x per_class ids
+    found = rows.orderBy("doc_id").collect()
     return fit([r.text for r in found], np.array([r.toxic for r in found]), rate[1] / (rate[0] + rate[1]))
 
 

@@ -121,10 +121,44 @@ def test_toxicity_finds_the_sentence(spark):
 
 
 def test_noisy_or_gradient():
-    """Training lowers the likelihood's loss below the base rate's."""
-    model = toxicity.fit(["good day. bad apple."] * 10 + ["good day. fine apple."] * 10, np.array([1] * 10 + [0] * 10))
-    h = toxicity.fit(["good day."] * 8, np.zeros(8))
-    assert model["weights"].any() and h["bias"] < -2
+    """Loss by its definition over single sentences, gradient by finite differences."""
+    rng = np.random.default_rng(3)
+    n_features, sentences_of = 7, [3, 1, 4, 2, 2]
+    doc = np.repeat(np.arange(5), sentences_of)
+    first = np.concatenate([[0], np.cumsum(sentences_of)])
+    sentence = np.sort(rng.integers(0, len(doc), 30))
+    column = rng.integers(0, n_features, 30)
+    y, pull, theta = np.array([1.0, 0, 1, 0, 1]), rng.random(5) + 0.5, 0.3 * rng.standard_normal(n_features + 1)
+
+    def loss(t):
+        total = 0.0
+        for d in range(5):
+            clean = 1.0
+            for s in range(first[d], first[d + 1]):
+                clean *= 1 - 1 / (1 + np.exp(-t[-1] - sum(t[c] for c, at in zip(column, sentence) if at == s)))
+            total -= pull[d] * np.log(1 - clean if y[d] else clean)
+        return total / 5 + toxicity._L2 / 2 * (t[:-1] ** 2).sum()
+
+    found, gradient = toxicity.loss_and_gradient(theta, column, sentence, doc, first, y, pull)
+    assert abs(found - loss(theta)) < 1e-9
+    for k in range(len(theta)):
+        step = np.eye(len(theta))[k] * 1e-6
+        assert abs(gradient[k] - (loss(theta + step) - loss(theta - step)) / 2e-6) < 1e-6
+
+
+def test_toxicity_sample_is_bounded(spark):
+    rows = [(i % 40, f"fine words {i} stand here. " * 20) for i in range(400)] + [(100 + i, f"nasty words {i}. " * 20) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(40)] + [(100 + i, 1) for i in range(10)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit
+    toxicity.fit = lambda texts, y, share: seen.append((len(texts), int(y.sum()), share)) or fit(texts, y, share)
+    try:
+        toxicity.train(docs, labels, per_class=8)
+        toxicity.train(docs, labels, class_bytes=1500)
+    finally:
+        toxicity.fit = fit
+    assert seen[0] == (16, 8, 0.2) and seen[1][0] <= 10 and 1 <= seen[1][1] < 10
 
 
 def test_toxicity_edges(spark, odd_docs, no_docs):
