@@ -29,7 +29,8 @@ from .tokens import encoder
 MAGIC = b"GLBP"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
-MAX_RANGES = 4096
+#: Text that one range of documents may hold, the unit of the sort.
+RANGE_BYTES = 128 << 20
 
 
 def to_planes(ids: np.ndarray, bits: int) -> list[bytes]:
@@ -178,10 +179,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    n = min(MAX_RANGES, 4 * parts)
+    n = max(4 * parts, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES))
     borders = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
     encoded = rows.mapInArrow(tidy(_encode(tokenizer_path, end_id, sorted(set(borders or [])))), "range int, doc_id long, width byte, ids binary")
-    ordered = encoded.repartition(parts, "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"))
+    ordered = encoded.repartition(max(parts, n // 4), "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"))
     ordered.mapInArrow(tidy(_files(bits)), "range int, file int, n_ids long, payload binary").write.parquet(out)
 
 
@@ -190,7 +191,7 @@ def read_token_files(spark, path: str) -> DataFrame:
     files = spark.read.parquet(path)
     found = files.select("range", "file", "payload").mapInArrow(tidy(_read), "range int, file int, doc_id long, place long, n_tokens long, ids_crc32 long")
     sizes = files.select("range", "file", "n_ids")
-    # At most MAX_RANGES rows meet in the one window that has no key.
+    # One row per range of documents (RANGE_BYTES of text) meets in the one window that has no key.
     whole = sizes.groupBy("range").agg(F.sum("n_ids").alias("n"))
     upto = whole.select("range", (F.sum("n").over(W.orderBy("range")) - F.col("n")).alias("before"))
     within = F.sum("n_ids").over(W.partitionBy("range").orderBy("file")) - F.col("n_ids")
