@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import salted_rank, stored, text_or_empty
 
 ROOT_BITS, STEP_BITS, WAYS = 12, 8, 7
+#: Prefixes of so many bits are summed once, so that only deeper steps read the groups (at most 2**28 rows).
+DEEP_BITS = 28
 
 
 class _Tree:
@@ -27,16 +29,21 @@ class _Tree:
 
     def __init__(self, groups: DataFrame):
         self.groups = groups
+        deep = groups.groupBy(F.shiftright("key", 64 - DEEP_BITS).alias("prefix"))
+        self.deep = stored(deep.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"), F.min("key").alias("low")), "shard-prefixes")
         self.root = self._fetch(None, 0, ROOT_BITS)
         self.children: dict[tuple[int, int], list] = {}
 
     def _fetch(self, prefixes, bits: int, to_bits: int) -> list:
-        g = self.groups
+        if to_bits <= DEEP_BITS:
+            g, key, width, n, low = self.deep, F.col("prefix"), DEEP_BITS, F.sum("n"), F.min("low")
+        else:
+            g, key, width, n, low = self.groups, F.col("key"), 64, F.count("*"), F.min("key")
+        short = lambda to: F.shiftright(key, width - to) if to < width else key
         if prefixes is not None:
-            g = g.where(F.shiftright("key", 64 - bits).isin(prefixes))
-        prefix = F.shiftright("key", 64 - to_bits) if to_bits < 64 else F.col("key")
-        rows = g.groupBy(prefix.alias("prefix")).agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n"), F.min("key").alias("low")).collect()
-        return sorted((r.prefix, to_bits, r.bytes, r.n, r.low) for r in rows)
+            g = g.where(short(bits).isin(prefixes))
+        rows = g.groupBy(short(to_bits).alias("at")).agg(F.sum("bytes").alias("bytes"), n.alias("n"), low.alias("low")).collect()
+        return sorted((r.at, to_bits, r.bytes, r.n, r.low) for r in rows)
 
     def open(self, nodes: set) -> None:
         for bits in {n[1] for n in nodes}:
