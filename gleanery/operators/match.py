@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.similarity import _lcs, token_set_ratio
+from ..functions.similarity import token_set_ratio
+from .tables import cut
 
 
 @dataclass(frozen=True)
@@ -33,95 +33,125 @@ class MatchSchema:
         return F.when(score >= self.match_threshold, "match").when(score >= self.ambiguous_floor, "ambiguous").otherwise("new")
 
 
-def _scored(pairs: DataFrame, m: MatchSchema) -> DataFrame:
-    if m.veto:
-        pairs = pairs.where(f"NOT coalesce({m.veto}, false)")
-    empty = (F.coalesce(F.col(f"a.{m.text}"), F.lit("")) == "") | (F.coalesce(F.col(f"b.{m.text}"), F.lit("")) == "")
-    return pairs.withColumn("score", F.when(empty, 0.0).otherwise(m.scorer(F.col(f"a.{m.text}"), F.col(f"b.{m.text}"))))
+    def allowed(self, pairs: DataFrame) -> DataFrame:
+        """Pairs of sides a and b that the veto doesn't forbid."""
+        return pairs.where(f"NOT coalesce({self.veto}, false)") if self.veto else pairs
 
+    def order(self, side: str = "") -> Column:
+        """A record's place in its bucket: rank, then id."""
+        at = f"{side}." if side else ""
+        return F.struct(F.col(at + self.rank).alias("rank"), F.col(at + self.id).alias("id"))
 
-def match_pairs(records: DataFrame, m: MatchSchema) -> DataFrame:
-    """Every pair of a bucket once: a_id < b_id, score, decision. Buckets are meant to be small: blocking is the caller's."""
-    pairs = records.alias("a").join(records.alias("b"), (F.col(f"a.{m.bucket}") == F.col(f"b.{m.bucket}")) & (F.col(f"a.{m.id}") < F.col(f"b.{m.id}")))
-    return _scored(pairs, m).select(F.col(f"a.{m.id}").alias("a_id"), F.col(f"b.{m.id}").alias("b_id"), "score", m.decide(F.col("score")).alias("decision"))
 
+def _text_scores(left: DataFrame, right: DataFrame, m: MatchSchema, floor: float | None) -> DataFrame:
+    """(bucket, ta, tb, score) of the different texts of each bucket, every pair of texts scored once; empty texts score 0.
 
-def match_best(records: DataFrame, candidates: DataFrame, m: MatchSchema) -> DataFrame:
-    """Per record: decision, best candidate of its bucket (null if new), its score and the runner-up's."""
-    left = records.select(m.id, m.text, m.bucket).alias("a")
-    pairs = _scored(left.join(candidates.alias("b"), F.col(f"a.{m.bucket}") == F.col(f"b.{m.bucket}")), m)
-    ranked = pairs.select(F.col(f"a.{m.id}").alias(m.id), F.col(f"b.{m.id}").alias("candidate"), "score", F.row_number().over(W.partitionBy(f"a.{m.id}").orderBy(F.desc("score"), f"b.{m.id}")).alias("n")).where("n <= 2")
-    top = ranked.groupBy(m.id).agg(
-        F.max(F.when(F.col("n") == 1, F.col("candidate"))).alias("candidate"),
-        F.max(F.when(F.col("n") == 1, F.col("score"))).alias("score"),
-        F.coalesce(F.max(F.when(F.col("n") == 2, F.col("score"))), F.lit(0.0)).alias("runner_up"),
-    )
-    out = records.select(m.id).join(top, m.id, "left").withColumn("score", F.coalesce("score", F.lit(0.0))).withColumn("decision", m.decide(F.col("score")))
-    return out.select(m.id, "decision", F.when(F.col("decision") != "new", F.col("candidate")).alias("candidate"), "score", F.coalesce("runner_up", F.lit(0.0)).alias("runner_up"))
-
-
-def set_ratio(a: str, b: str) -> float:
-    """token_set_ratio for the grouped operators, which compare as they go."""
-    x, y = set((a or "").split()), set((b or "").split())
-    if not x or not y:
-        return 0.0
-    s, p, q = (len(" ".join(sorted(z))) for z in (x & y, x - y, y - x))
-    if s and not (p and q):
-        return 100.0
-    gap = 1 if s else 0
-    r = 100 * (1 - (p + q - 2 * _lcs(" ".join(sorted(x - y)), " ".join(sorted(y - x)))) / (2 * (s + gap) + p + q))
-    return r if not s else max(r, 100 * (1 - (gap + p) / (2 * s + gap + p)), 100 * (1 - (gap + q) / (2 * s + gap + q)))
-
-
-def cluster(records: DataFrame, m: MatchSchema, scorer: Callable[[str, str], float] = set_ratio) -> DataFrame:
-    """Greedy single link in rank order: a record joins the first group with any member at the threshold.
-
-    Returns id and cluster (its first member's id). A record never ties two groups together, so the order
-    matters; it is (rank, id), whatever the partitioning.
+    With a floor pairs below it are left out.
     """
-    kind = dict(records.dtypes)[m.id]
-    id_, text, rank, bar = m.id, m.text, m.rank, m.match_threshold
+    text = lambda df, name: df.select(F.col(m.bucket).alias("_bucket"), F.coalesce(m.text, F.lit("")).alias(name)).distinct()
+    met = text(left, "_ta").join(text(right, "_tb"), "_bucket")
+    scored = met.select("_ta", "_tb").distinct().withColumn("score", F.when((F.col("_ta") == "") | (F.col("_tb") == ""), 0.0).otherwise(m.scorer(F.col("_ta"), F.col("_tb"))))
+    if floor is not None:
+        scored = scored.where(F.col("score") >= floor)
+    return met.join(scored, ["_ta", "_tb"])
+
+
+def _scored(left: DataFrame, right: DataFrame, m: MatchSchema, on: Column, floor: float | None = None) -> DataFrame:
+    """Allowed pairs (struct columns a and b) of a bucket that fulfil ``on``, with their score; null buckets pair with nothing."""
+    scores = _text_scores(left, right, m, floor)
+    side = lambda df, name: df.select(F.struct("*").alias(name), F.col(m.bucket).alias("_bucket"), F.coalesce(m.text, F.lit("")).alias(f"_t{name}"))
+    # Records meet the scored texts of their bucket, not each other, so a floor keeps all other pairs from being made.
+    pairs = side(left, "a").join(scores, ["_bucket", "_ta"]).join(side(right, "b"), ["_bucket", "_tb"]).where(on)
+    return m.allowed(pairs).select("a", "b", "score")
 
-    def group(rows: pd.DataFrame) -> pd.DataFrame:
-        groups: list[tuple[object, list[str]]] = []
-        out = []
-        for i, t in rows.sort_values([rank, id_])[[id_, text]].itertuples(index=False):
-            home = next((g for g in groups if any(scorer(t, other) >= bar for other in g[1])), None)
-            if home is None:
-                groups.append(home := (i, []))
-            home[1].append(t)
-            out.append((i, home[0]))
-        return pd.DataFrame(out, columns=[id_, "cluster"])
 
-    return records.select(m.bucket, id_, text, rank).groupBy(m.bucket).applyInPandas(group, f"{id_} {kind}, cluster {kind}")
+def match_pairs(records: DataFrame, m: MatchSchema, floor: float | None = None) -> DataFrame:
+    """Every allowed pair of a bucket once: a_id < b_id, score, decision; with a floor only pairs that reach it."""
+    pairs = _scored(records, records, m, F.col(f"a.{m.id}") < F.col(f"b.{m.id}"), floor)
+    return pairs.select(F.col(f"a.{m.id}").alias("a_id"), F.col(f"b.{m.id}").alias("b_id"), "score", m.decide(F.col("score")).alias("decision"))
+
+
+def match_best(records: DataFrame, candidates: DataFrame, m: MatchSchema) -> DataFrame:
+    """Per record: decision, best allowed candidate of its bucket (null if new), its score and the runner-up's; ties go to the smaller id."""
+    pairs = _scored(records, candidates, m, F.lit(True)).select(F.col(f"a.{m.id}").alias(m.id), F.struct((-F.col("score")).alias("s"), F.col(f"b.{m.id}").alias("i")).alias("c"))
+    # Two best per record by two aggregates, without ranking its candidates.
+    first = pairs.groupBy(m.id).agg(F.min("c").alias("top"))
+    second = pairs.join(first, m.id).where("c > top").groupBy(m.id).agg((-F.min("c.s")).alias("runner_up"))
+    out = records.select(m.id).join(first, m.id, "left").join(second, m.id, "left").withColumn("score", F.coalesce(-F.col("top.s"), F.lit(0.0)))
+    out = out.withColumn("decision", m.decide(F.col("score")))
+    return out.select(m.id, "decision", F.when(F.col("decision") != "new", F.col("top.i")).alias("candidate"), "score", F.coalesce("runner_up", F.lit(0.0)).alias("runner_up"))
 
 
-def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, scorer: Callable[[str, str], float] = set_ratio) -> DataFrame:
-    """New records in rank order against a bucket's leaders: the existing ones and those founded on the way.
+def bucket_candidates(records: DataFrame, m: MatchSchema, candidates: DataFrame | None = None) -> DataFrame:
+    """(id, candidate) of each record and the others of its bucket that the veto allows; null buckets have none."""
+    b = records if candidates is None else candidates
+    pairs = records.alias("a").join(b.alias("b"), (F.col(f"a.{m.bucket}") == F.col(f"b.{m.bucket}")) & (F.col(f"a.{m.id}") != F.col(f"b.{m.id}")))
+    return m.allowed(pairs).select(F.col(f"a.{m.id}").alias(m.id), F.col(f"b.{m.id}").alias("candidate"))
 
-    Returns id, decision, leader (the record's own id if new or ambiguous), candidate and score of the best leader.
+
+def _filled(records: DataFrame, m: MatchSchema) -> DataFrame:
+    """Records with null buckets as one bucket: where every record must have a group, those without a bucket share one."""
+    return records.withColumn(m.bucket, F.coalesce(F.col(m.bucket).cast("string"), F.lit("\0")))
+
+
+def cluster(records: DataFrame, m: MatchSchema) -> DataFrame:
+    """Greedy single link in (rank, id) order: a record joins the first group with any allowed member at the threshold.
+
+    Returns id and cluster (its first member's id). A record never ties two groups together. The first group
+    among a record's links is that of the earliest record that can be reached by going from link to
+    earlier link, so groups come by rounds of joins over the links, each round doubling the reach.
+    """
+    own = _filled(records, m)
+    earlier = m.order("b") < m.order("a")
+    links = cut(_scored(own, own, m, earlier, m.match_threshold).select(F.col(f"a.{m.id}").alias("id"), F.col(f"b.{m.id}").alias("to")))
+    start = own.select(F.col(m.id).alias("id"), m.order().alias("group"))
+    state = cut(start)
+    while True:
+        via = links.join(state.select(F.col("id").alias("to"), "group"), "to").groupBy("id").agg(F.min("group").alias("linked"))
+        near = state.join(via, "id", "left").select("id", F.col("group").alias("old"), F.least("group", "linked").alias("group"))
+        far = near.select(F.col("id").alias("_id"), F.col("group").alias("_group"))
+        after = cut(near.join(far, F.col("group.id") == F.col("_id"), "left").select("id", "old", F.least("group", "_group").alias("group")))
+        state = after.select("id", "group")
+        if after.where("group < old").isEmpty():
+            return state.select(F.col("id").alias(m.id), F.col("group.id").alias("cluster"))
+
+
+def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFrame:
+    """New records in (rank, id) order against a bucket's leaders: the existing ones and those founded on the way.
+
+    Returns id, decision, leader (the record's own id if new or ambiguous), candidate and score of the best
+    leader; equal scores go to existing leaders by id, then to founded ones in their order. A new record
+    founds unless an earlier leader matches it, so each round decides the records all of whose earlier
+    matches are decided; then every record takes its best leader. Rounds are joins over the links.
     """
-    kind, rank_kind = dict(new.dtypes)[m.id], dict(new.dtypes)[m.rank]
-    id_, text, rank, bar, floor = m.id, m.text, m.rank, m.match_threshold, m.ambiguous_floor
-
-    def group(both: pd.DataFrame) -> pd.DataFrame:
-        leaders = list(both[both["_old"]].sort_values("_id")[["_id", "_text"]].itertuples(index=False, name=None))
-        out = []
-        for i, t in both[~both["_old"]].sort_values(["_rank", "_id"])[["_id", "_text"]].itertuples(index=False):
-            score, best = 0.0, None
-            for leader, other in leaders:
-                now = scorer(t, other)
-                if now > score:
-                    score, best = now, leader
-            decision = "match" if score >= bar else "ambiguous" if score >= floor else "new"
-            if decision != "match":
-                leaders.append((i, t))
-            out.append((i, decision, best if decision == "match" else i, best if decision != "new" else None, score))
-        return pd.DataFrame(out, columns=[id_, "decision", "leader", "candidate", "score"]).astype({"leader": "object", "candidate": "object"})
-
-    side = lambda df, old: df.select(F.col(m.bucket).alias("_bucket"), F.col(id_).alias("_id"), F.col(text).alias("_text"), (F.lit(None) if old else F.col(rank)).cast(rank_kind).alias("_rank"), F.lit(old).alias("_old"))
-    both = side(existing, True).unionByName(side(new, False))
-    return both.groupBy("_bucket").applyInPandas(group, f"{id_} {kind}, decision string, leader {kind}, candidate {kind}, score double")
+    old = _filled(existing, m).withColumns({"_old": F.lit(True), m.rank: F.lit(None).cast(dict(new.dtypes)[m.rank])})
+    fresh = _filled(new, m).withColumn("_old", F.lit(False))
+    both = old.select(m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)).unionByName(fresh.select(m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)))
+    place = lambda side: F.struct((~F.col(f"{side}._old")).alias("new"), F.when(~F.col(f"{side}._old"), F.col(f"{side}.{m.rank}")).alias("rank"), F.col(f"{side}.{m.id}").alias("id"))
+    earlier = place("b") < place("a")
+    floor = min(m.match_threshold, m.ambiguous_floor)
+    pairs = _scored(fresh.select(both.columns), both, m, earlier, floor)
+    links = cut(pairs.select(F.col(f"a.{m.id}").alias("id"), F.struct((-F.col("score")).alias("s"), place("b").alias("at")).alias("c"), F.col("b._old").alias("to_old"), F.col(f"b.{m.id}").alias("to"), "score"))
+    strong = links.where(F.col("score") >= m.match_threshold)
+    # leads: null while undecided
+    state = cut(fresh.select(F.col(m.id).alias("id"), F.lit(None).cast("boolean").alias("leads")))
+    while True:
+        other = strong.join(state.select(F.col("id").alias("to"), F.col("leads").alias("other")), "to", "left").withColumn("other", F.col("to_old") | F.col("other"))
+        seen = other.groupBy("id").agg(F.bool_or("other").alias("taken"), F.bool_or(F.col("other").isNull()).alias("waits"))
+        leads = F.coalesce("leads", F.when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True))
+        state = cut(state.join(seen, "id", "left").select("id", leads.alias("leads")))
+        if state.where("leads IS NULL").isEmpty():
+            break
+    chosen = links.join(state.select(F.col("id").alias("to"), "leads"), "to", "left").where("to_old OR leads").groupBy("id").agg(F.min("c").alias("c"))
+    out = state.join(chosen, "id", "left").select("id", F.coalesce(-F.col("c.s"), F.lit(0.0)).alias("score"), F.col("c.at.id").alias("best"))
+    out = out.withColumn("decision", m.decide(F.col("score")))
+    return out.select(F.col("id").alias(m.id), "decision", F.when(F.col("decision") == "match", F.col("best")).otherwise(F.col("id")).alias("leader"), F.when(F.col("decision") != "new", F.col("best")).alias("candidate"), F.when(F.col("decision") != "new", F.col("score")).alias("score"))
+
+
+def _veto_columns(old: DataFrame, fresh: DataFrame, m: MatchSchema) -> list[str]:
+    """Columns that the veto may read: those that both sides have."""
+    named = {m.id, m.bucket, m.text, m.rank, "_old"}
+    return [c for c in fresh.columns if c in old.columns and c not in named] if m.veto else []
 
 
 def merge_rule(rule: str, value: Column, rank: Column, kind: str) -> Column:

@@ -40,10 +40,12 @@ def resolve(names: DataFrame, aliases: DataFrame, domains: DataFrame, threshold:
     """slug, score and via for distinct (key, address_key, domain, city) rows with an ``id``.
 
     aliases(alias, ordinal, slug, venue_city), domains(domain, slug). A name that is an alias is final
-    even if no candidate's city fits. The fuzzy stage joins on segments (``_fuzzy_pairs``), the contained
+    even if no candidate's city fits. Scores: 100 for a name or address that is an alias, the ratio for a
+    fuzzy name (ties to the alias that stands first), 95 for an alias inside an address, 90 for a domain. The fuzzy stage joins on segments (``_fuzzy_pairs``), the contained
     stage on an alias's first ``contained`` characters, at every size of the tables.
     """
-    known = aliases.select("alias", "ordinal", "slug", "venue_city")
+    first = aliases.groupBy("alias").agg(F.min("ordinal").alias("place"))  # an alias stands where its first venue does
+    known = aliases.select("alias", "ordinal", "slug", "venue_city").join(first, "alias")
     exact = names.join(known, names["key"] == known["alias"])
     taken = names.join(known, names["key"] == known["alias"], "left_semi").select("id")
     out = pick_by_city(exact, ["id"]).select("id", "slug", F.lit(100.0).alias("score"), F.lit("name").alias("via"))
@@ -51,17 +53,20 @@ def resolve(names: DataFrame, aliases: DataFrame, domains: DataFrame, threshold:
     pairs = _fuzzy_pairs(left.select("key").distinct(), known.select("alias").distinct(), threshold)
     pairs = pairs.withColumn("score", token_sort_ratio(F.col("key"), F.col("alias"))).where(F.col("score") >= threshold)
     scored = left.join(pairs, "key").join(known, "alias")
-    best = scored.withColumn("_n", F.dense_rank().over(W.partitionBy("id").orderBy(F.desc("score"), "alias"))).where("_n = 1").drop("_n")
+    best = scored.withColumn("_n", F.dense_rank().over(W.partitionBy("id").orderBy(F.desc("score"), "place"))).where("_n = 1").drop("_n")
     fuzzy = pick_by_city(best, ["id"]).select("id", "slug", "score", F.lit("fuzzy").alias("via"))
     out = out.unionByName(fuzzy)
     left = left.join(fuzzy.select("id"), "id", "left_anti").where("address_key <> ''")
-    equal = left.join(known, F.col("address_key") == F.col("alias")).withColumn("ordinal", F.lit(-1).cast(dict(known.dtypes)["ordinal"]))
+    equal = pick_by_city(left.join(known, F.col("address_key") == F.col("alias")), ["id"]).select("id", "slug", F.lit(100.0).alias("score"), F.lit("address").alias("via"))
+    out = out.unionByName(equal)
+    left = left.join(equal.select("id"), "id", "left_anti")
     n = max(contained, 1)
     starts = F.expr(f"array_distinct(transform(sequence(1, length(address_key) - {n} + 1), i -> substring(address_key, i, {n})))")
     spots = left.where(F.length("address_key") >= n).withColumn("_start", F.explode(starts))
-    inside = spots.join(known.where(F.length("alias") >= n).withColumn("_start", F.substring("alias", 1, n)), "_start").where(F.contains("address_key", "alias") & (F.col("address_key") != F.col("alias")))
-    inside = inside.drop("_start").unionByName(equal)
-    address = pick_by_city(inside, ["id"]).select("id", "slug", F.lit(100.0).alias("score"), F.lit("address").alias("via"))
-    out = out.unionByName(address)
+    inside = spots.join(known.where(F.length("alias") >= n).withColumn("_start", F.substring("alias", 1, n)), "_start").where(F.contains("address_key", "alias"))
+    # Each alias picks for itself; the first alias with a pick wins.
+    picks = pick_by_city(inside.drop("_start"), ["id", "alias"])
+    address = picks.groupBy("id").agg(F.min_by("slug", "place").alias("slug"))
+    out = out.unionByName(address.select("id", "slug", F.lit(95.0).alias("score"), F.lit("address").alias("via")))
     rest = names.join(taken, "id", "left_anti").join(out.select("id"), "id", "left_anti")
-    return out.unionByName(rest.join(domains, "domain").select("id", "slug", F.lit(100.0).alias("score"), F.lit("domain").alias("via")))
+    return out.unionByName(rest.join(domains, "domain").select("id", "slug", F.lit(90.0).alias("score"), F.lit("domain").alias("via")))

@@ -188,9 +188,11 @@ def blocking_key(t):
     return t.part.select("p_partkey", F.coalesce(F.nullif(F.when(F.col("p_size") < 10, "").otherwise(F.col("p_brand")), F.lit("")), F.col("p_type")).alias("key"))
 
 
-@query("SELECT count(*) AS records, count(DISTINCT p_brand || p_type) AS buckets FROM part")
+@query("SELECT l.p_partkey, r.p_partkey AS candidate FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_type = r.p_type AND l.p_partkey <> r.p_partkey WHERE l.p_size <> r.p_size")
 def bucket_candidates(t):
-    return _parts(t).agg(F.count("*").alias("records"), F.count_distinct(F.concat("p_brand", "p_type")).alias("buckets"))
+    """Each part's candidates: the others of its brand and type, less those of its size."""
+    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_retailprice", id="p_partkey", veto="a.p_size = b.p_size")
+    return match.bucket_candidates(_parts(t), m)
 
 
 @query()

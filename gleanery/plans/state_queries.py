@@ -318,8 +318,8 @@ def find_or_create_series(t):
     from ..operators import match
 
     p = t.part.withColumn("bucket", F.concat_ws("|", "p_brand", F.array_join(F.array_sort(F.array_distinct(F.split("p_name", " "))), " ")))
-    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_partkey", id="p_partkey", match_threshold=100, ambiguous_floor=101)
-    found = match.leader_match(p.where("false"), p, m, scorer=lambda a, b: 100.0 if a == b else 0.0)
+    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_partkey", id="p_partkey", match_threshold=100, ambiguous_floor=101, scorer=lambda a, b: F.when(a == b, 100.0).otherwise(0.0))
+    found = match.leader_match(p.where("false"), p, m)
     return found.select("p_partkey", F.col("leader").alias("series"))
 
 

@@ -46,7 +46,7 @@ def test_excerpt_and_prices(spark):
 @pytest.mark.parametrize(("a", "b", "want"), [("beethoven 9", "beethoven s ninth", 90.0), ("jazz night at the wharf", "jazz brunch at the wharf", 85.1), ("a b", "b a c", 100.0), ("", "x", 0.0)])
 def test_set_ratio(spark, a, b, want):
     assert abs(one(spark, S.token_set_ratio(F.col("a"), F.col("b")), a=a, b=b) - want) < 0.05
-    assert abs(match.set_ratio(a, b) - want) < 0.05 and match.set_ratio(a, b) == match.set_ratio(b, a)
+    assert one(spark, S.token_set_ratio(F.col("a"), F.col("b")), a=b, b=a) == one(spark, S.token_set_ratio(F.col("a"), F.col("b")), a=a, b=b)
 
 
 def test_sort_ratio(spark):
