@@ -124,9 +124,11 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFra
     founds unless an earlier leader matches it, so each round decides the records all of whose earlier
     matches are decided; then every record takes its best leader. Rounds are joins over the links.
     """
-    old = _filled(existing, m).withColumns({"_old": F.lit(True), m.rank: F.lit(None).cast(dict(new.dtypes)[m.rank])})
-    fresh = _filled(new, m).withColumn("_old", F.lit(False))
-    both = old.select(m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)).unionByName(fresh.select(m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)))
+    old, fresh = _filled(existing, m).withColumn("_old", F.lit(True)), _filled(new, m).withColumn("_old", F.lit(False))
+    if m.rank not in old.columns:  # leaders that stand already have no rank among themselves
+        old = old.withColumn(m.rank, F.lit(None).cast(dict(new.dtypes)[m.rank]))
+    columns = list(dict.fromkeys([m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)]))
+    both = old.select(columns).unionByName(fresh.select(columns))
     place = lambda side: F.struct((~F.col(f"{side}._old")).alias("new"), F.when(~F.col(f"{side}._old"), F.col(f"{side}.{m.rank}")).alias("rank"), F.col(f"{side}.{m.id}").alias("id"))
     earlier = place("b") < place("a")
     floor = min(m.match_threshold, m.ambiguous_floor)

@@ -81,3 +81,13 @@ def alerts(health: DataFrame, source: str, as_of: Column, stale_weeks: int = 3)
     kind = F.when(F.col("status") == "failed", "failed").when(F.col("status") == "skipped", "skipped").when(F.col("underdelivered"), "underdelivered")
     stale = health.where(F.col("last_pull") < as_of - F.expr(f"INTERVAL {7 * stale_weeks} DAYS")).select(source, F.lit("stale").alias("kind"))
     return health.select(source, kind.alias("kind")).where("kind IS NOT NULL").unionByName(stale)
+
+
+def alerting(alerts: DataFrame) -> DataFrame:
+    """Alerts that are worth a message: a source that was skipped on purpose is none."""
+    return alerts.where("kind <> 'skipped'")
+
+
+def run_stats(rows: DataFrame, kind: str) -> DataFrame:
+    """How many rows a run had of each kind."""
+    return rows.groupBy(kind).agg(F.count("*").alias("n"))

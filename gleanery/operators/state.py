@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .signals import first_of
+from .tables import cut
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, config: list[str]) -> DataFrame:
@@ -33,14 +36,121 @@ def unique_slugs(rows: DataFrame, slug: str, suffix: str, order: str) -> DataFra
 
 
 def merge_remap(pairs: DataFrame, ids: DataFrame, id_: str) -> DataFrame:
-    """(drop, keep) for keep/drop pairs with both ids present; a kept id that is dropped itself is followed up to three times."""
+    """(drop, keep) of a list of merges (pos, keep, drop), applied in the order of pos.
+
+    A pair counts if both ids exist when its turn comes: pairs with an id that is unknown or that an earlier
+    counted pair dropped are skipped. A kept id that is dropped later takes what it holds along. Each round
+    decides the pairs whose earlier rivals are decided, then chains are followed by doubling.
+    """
     known = ids.select(id_)
     ok = pairs.where("keep <> drop").join(known.withColumnRenamed(id_, "keep"), "keep", "left_semi").join(known.withColumnRenamed(id_, "drop"), "drop", "left_semi")
-    remap = first_of(ok, ["drop"], "keep").select("drop", "keep")
-    for _ in range(3):
+    ends = F.explode(F.array("keep", "drop")).alias("_id")
+    rivals = cut(ok.select("pos", ends).distinct().join(ok.select(F.col("drop").alias("_id"), F.col("pos").alias("_by")), "_id").where("_by < pos").select("pos", "_by").distinct())
+    state = cut(ok.select("pos", F.lit(None).cast("boolean").alias("counts")))
+    while True:
+        seen = rivals.join(state.select(F.col("pos").alias("_by"), F.col("counts").alias("_c")), "_by").groupBy("pos").agg(F.bool_or("_c").alias("_out"), F.bool_or(F.col("_c").isNull()).alias("_waits"))
+        counts = F.coalesce("counts", F.when(F.coalesce("_out", F.lit(False)), False).when(~F.coalesce("_waits", F.lit(False)), True))
+        state = cut(state.join(seen, "pos", "left").select("pos", counts.alias("counts")))
+        if state.where("counts IS NULL").isEmpty():
+            break
+    remap = cut(ok.join(state.where("counts"), "pos").select("drop", "keep"))
+    while True:
         on = remap.select(F.col("drop").alias("_d"), F.col("keep").alias("_k"))
-        remap = remap.join(on, F.col("keep") == F.col("_d"), "left").select("drop", F.coalesce("_k", "keep").alias("keep"))
-    return remap
+        after = cut(remap.join(on, F.col("keep") == F.col("_d"), "left").select("drop", F.coalesce("_k", "keep").alias("keep"), F.col("_k").isNotNull().alias("_moved")))
+        remap = after.select("drop", "keep")
+        if after.where("_moved").isEmpty():
+            return remap
+
+
+def merge_occurrences(records: DataFrame, bridge: DataFrame, queue: DataFrame, remap: DataFrame, id_: str, source: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, bridge, queue) after merges (drop, keep).
+
+    Dropped records go, and their open questions with them; their sources move to the kept one, which keeps
+    its own row of a source that both have; a kept record is no longer ambiguous.
+    """
+    gone, kept = remap.select(F.col("drop").alias(id_)), remap.select(F.col("keep").alias(id_)).distinct().withColumn("_kept", F.lit(True))
+    left = records.join(gone, id_, "left_anti").join(kept, id_, "left")
+    left = left.withColumns({"ambiguous": F.col("ambiguous") & F.col("_kept").isNull(), "candidate": F.when(F.col("_kept").isNull(), F.col("candidate"))}).drop("_kept")
+    moved = bridge.join(remap.withColumnRenamed("drop", id_), id_, "left").withColumns({"_own": F.col("keep").isNull(), "_was": F.col(id_)}).withColumn(id_, F.coalesce("keep", id_)).drop("keep")
+    sources = first_of(moved, [id_, source], F.desc("_own"), "_was").drop("_own", "_was")
+    return left, sources, queue.join(gone, id_, "left_anti")
+
+
+def dedup_moved(records: DataFrame, moved: DataFrame, never: DataFrame, m, id_: str) -> tuple[DataFrame, DataFrame]:
+    """(merges (drop, keep), ambiguous (id, candidate)) for records whose bucket changed.
+
+    records hold the columns of the match schema ``m`` and standing (lower is better); cancelled ones are
+    left out by the caller. In id order, each moved record still there is matched against the others of its
+    bucket, never-merge pairs (a, b) excepted: a match merges the two into the better standing one, a near
+    match is for review. Buckets don't touch each other, so a round handles each bucket's next record; there are as
+    many rounds as the most moved records that one bucket has.
+    """
+    from .match import match_best
+
+    barred = never.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
+    bans = F.collect_set("_o")
+    both = barred.select(F.col("_a").alias(id_), F.col("_b").alias("_o")).unionByName(barred.select(F.col("_b").alias(id_), F.col("_a").alias("_o"))).groupBy(id_).agg(bans.alias("_never"))
+    live = cut(records.join(both, id_, "left"))
+    todo = cut(live.join(moved.select(id_).distinct(), id_, "left_semi").select(id_, m.bucket))
+    free = replace(m, veto=f"a.{id_} = b.{id_} OR array_contains(a._never, b.{id_})" + (f" OR ({m.veto})" if m.veto else ""))
+    merges, unsure = [], []
+    while not todo.isEmpty():
+        turn = cut(todo.groupBy(m.bucket).agg(F.min(id_).alias(id_)))
+        own = live.join(turn.select(id_), id_, "left_semi")
+        near = live.join(turn.select(m.bucket), m.bucket, "left_semi")
+        found = match_best(own, near, free)
+        places = live.select(id_, "standing")
+        pair = found.where("decision = 'match'").join(places, id_).join(places.select(F.col(id_).alias("candidate"), F.col("standing").alias("_s")), "candidate")
+        ahead = F.struct("standing", id_) < F.struct(F.col("_s").alias("standing"), F.col("candidate").alias(id_))
+        merged = cut(pair.select(F.when(ahead, F.col("candidate")).otherwise(F.col(id_)).alias("drop"), F.when(ahead, F.col(id_)).otherwise(F.col("candidate")).alias("keep")))
+        merges.append(merged)
+        unsure.append(cut(found.where("decision = 'ambiguous'").select(id_, "candidate")))
+        gone = merged.select(F.col("drop").alias(id_))
+        live = cut(live.join(gone, id_, "left_anti"))
+        todo = cut(todo.join(turn.select(id_), id_, "left_anti").join(gone, id_, "left_anti"))
+    kind = dict(records.dtypes)[id_]
+    spark = records.sparkSession
+    out, open_ = spark.createDataFrame([], f"drop {kind}, keep {kind}"), spark.createDataFrame([], f"{id_} {kind}, candidate {kind}")
+    for x in merges:
+        out = out.unionByName(x)
+    for x in unsure:
+        open_ = open_.unionByName(x)
+    gone = out.select(F.col("drop").alias(id_))
+    kept = out.select(F.col("keep").alias(id_))  # a merge settles the question of the record that it keeps
+    return out, open_.join(gone, id_, "left_anti").join(kept, id_, "left_anti")
+
+
+def reresolve(records: DataFrame, found: DataFrame, id_: str, place: str) -> DataFrame:
+    """Records without a place take what another try found; resolved ones are not asked again. found(id, place)."""
+    late = found.select(id_, F.col(place).alias("_found"))
+    return records.join(late, id_, "left").withColumn(place, F.coalesce(place, "_found")).drop("_found")
+
+
+def attach_series(records: DataFrame, forced: DataFrame, series: DataFrame, id_: str, key: str) -> DataFrame:
+    """Records with the series that an override names, if that series exists."""
+    ok = forced.join(series.select(key).distinct(), key, "left_semi").select(id_, F.col(key).alias("_forced"))
+    return records.join(ok, id_, "left").withColumn(key, F.coalesce("_forced", key)).drop("_forced")
+
+
+def settle_never_merged(records: DataFrame, never: DataFrame, id_: str) -> DataFrame:
+    """Records of a never-merge pair (a, b) are no longer ambiguous."""
+    named = never.select(F.explode(F.array("a", "b")).alias(id_)).distinct().withColumn("_settled", F.lit(True))
+    return records.join(named, id_, "left").withColumn("ambiguous", F.col("ambiguous") & F.col("_settled").isNull()).drop("_settled")
+
+
+def source_cancel(status: Column, told: Column) -> Column:
+    """A source's own word cancels a record that is active or flagged."""
+    return F.when(told & status.isin("active", "flagged_cancelled"), "cancelled").otherwise(status)
+
+
+def live_series(series: DataFrame, records: DataFrame, key: str) -> DataFrame:
+    """Series that still have a record."""
+    return series.join(records.select(key).distinct(), key, "left_semi")
+
+
+def seen_between(sightings: DataFrame, key: list[str], at: str, raw: str) -> DataFrame:
+    """First and last time of each key, and the raw row that was seen last."""
+    return sightings.groupBy(*key).agg(F.min(at).alias("first_seen"), F.max(at).alias("last_seen"), F.max_by(raw, F.struct(at, raw)).alias("raw_id"))
 
 
 def apply_remap(rows: DataFrame, remap: DataFrame, id_: str) -> DataFrame:
@@ -62,17 +172,36 @@ def minus_pairs(pairs: DataFrame, never: DataFrame) -> DataFrame:
     return low(pairs).join(low(never).distinct(), ["a", "b"], "left_anti")
 
 
-def refresh(old: DataFrame, new: DataFrame, key: str, rules: dict[str, str], moved_by: list[str]) -> DataFrame:
-    """Records pulled again: misses go to 0, columns are replaced or only filled, and ``moved`` tells that a key column changed.
+def refresh(old: DataFrame, pulled: DataFrame, id_: str) -> DataFrame:
+    """Records after their sources were pulled again, with ``moved``: whether the day or place changed.
 
-    A column of ``moved_by`` under rule 'fill' counts as changed when it was null and no longer is.
+    Both hold title, category, day, venue, description; old also status and misses, pulled also source,
+    cancelled and primary (whether the source is the record's best). The best source's title, category and day
+    win; a missing place is filled; a description is filled, or replaced by the best source's; a source's word
+    that it is off cancels; misses go back to 0. Records that no source lists stay as they are.
+    """
+    best = pulled.where("primary").groupBy(id_).agg(*(F.min_by(c, "source").alias(f"_{c}") for c in ("title", "category", "day", "description")))
+    first = lambda c: F.min_by(c, F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.col("source")))
+    any_ = pulled.groupBy(id_).agg(first("venue").alias("_venue"), first("description").alias("_any"), F.bool_or("cancelled").alias("_off"))
+    j = old.join(any_, id_, "left").join(best.withColumn("_best", F.lit(True)), id_, "left")
+    seen, by_best = F.col("_off").isNotNull(), F.col("_best").isNotNull()
+    new = {c: F.when(by_best, F.col(f"_{c}")).otherwise(F.col(c)) for c in ("title", "category", "day")}
+    told = F.nullif("_description", F.lit(""))
+    new["description"] = F.coalesce(told, F.nullif("description", F.lit("")), "_any", F.lit(""))
+    new["venue"] = F.coalesce("venue", "_venue")
+    new["status"] = source_cancel(F.col("status"), F.coalesce("_off", F.lit(False)))
+    new["misses"] = F.when(seen, 0).otherwise(F.col("misses"))
+    moved = (by_best & ~F.col("_day").eqNullSafe(F.col("day"))) | (F.col("venue").isNull() & F.col("_venue").isNotNull())
+    return j.select(*(new.get(c, F.col(c)).alias(c) for c in old.columns), moved.alias("moved"))
+
+
+def create_occurrences(records: DataFrame, decisions: DataFrame, key: list[str], id_: str) -> DataFrame:
+    """New records that no existing one matched: with a stable id from their key, held, and with the near match to review.
+
+    decisions(key, decision, candidate) come from the matcher; series comes along in records.
     """
-    fresh = new.select(key, *(F.col(c).alias(f"_new_{c}") for c in rules), F.lit(True).alias("_seen"))
-    j = old.join(fresh, key, "left")
-    seen = F.coalesce("_seen", F.lit(False))
-    value = {c: F.when(seen, F.coalesce(f"_new_{c}", c) if how == "replace" else F.coalesce(c, f"_new_{c}")).otherwise(F.col(c)) for c, how in rules.items()}
-    changed = F.lit(False)
-    for c in moved_by:
-        changed = changed | ~value[c].eqNullSafe(F.col(c))
-    cols = [value.get(c, F.when(seen, F.lit(0)).otherwise(F.col(c)) if c == "misses" else F.col(c)).alias(c) for c in old.columns]
-    return j.select(*cols, (seen & changed).alias("moved"))
+    j = records.join(decisions, key)
+    stable = F.substring(F.sha1(F.concat_ws("|", *key).cast("binary")), 1, 16)
+    near = F.col("decision") == "ambiguous"
+    fresh = j.where("decision <> 'match'").withColumns({id_: stable, "status": F.lit("active"), "publish_state": F.lit("held"), "ambiguous": near, "candidate": F.when(near, F.col("candidate"))})
+    return fresh.drop("decision")

@@ -52,26 +52,35 @@ def consecutive_misses(t):
     return found.withColumn("misses", F.col("misses").cast("long"))
 
 
-@query("""WITH b AS (SELECT user_id, event_type, count(*) AS misses FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2),
-s AS (SELECT DISTINCT user_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-25')
-SELECT b.user_id, b.event_type, CASE WHEN s.user_id IS NOT NULL THEN 0 WHEN b.event_type <> 'error' THEN misses + 1 ELSE misses END AS misses FROM b LEFT JOIN s USING (user_id, event_type)""")
+@query("""WITH b AS (SELECT user_id AS record, event_type AS source, count(*) AS misses, bool_or(event_id % 50 = 0) AS late FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2),
+s AS (SELECT DISTINCT user_id AS record, event_type AS source FROM events WHERE ts >= TIMESTAMP '2024-01-25'),
+m AS (SELECT b.*, s.record IS NOT NULL AS seen, CASE WHEN source = 'purchase' THEN 0 WHEN source IN ('view', 'click') THEN 1 ELSE 2 END AS t FROM b LEFT JOIN s USING (record, source)),
+due AS (SELECT * FROM m WHERE NOT seen AND source <> 'error' AND source <> 'signup' AND record % 5 <> 0 AND misses + 1 >= 6),
+f AS (SELECT record, min(source) AS first FROM due d WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.record = d.record AND o.source <> d.source AND o.seen AND o.t <= d.t) GROUP BY 1)
+SELECT record, source, CASE WHEN seen THEN 0 WHEN source <> 'error' AND source <> 'signup' AND record % 5 <> 0 AND (first IS NULL OR source <= first) THEN misses + 1 ELSE misses END AS misses,
+  CASE WHEN first IS NOT NULL THEN 'flagged_cancelled' WHEN record % 5 = 0 THEN 'past' ELSE 'active' END AS status FROM m LEFT JOIN f USING (record)""")
 def mark_misses(t):
-    old = t.events.where("ts < TIMESTAMP '2024-01-15'").groupBy("user_id", "event_type").agg(F.count("*").alias("misses"))
-    seen = t.events.where("ts >= TIMESTAMP '2024-01-25'")
-    healthy = t.events.select("event_type").distinct().where("event_type <> 'error'")
-    return freshness.mark_misses(old, seen, healthy, ["user_id", "event_type"], "event_type").select("user_id", "event_type", F.col("misses").cast("long").alias("misses"))
+    """Users as records that event kinds list: 'error' failed, 'signup' isn't trusted, every fifth record is no longer active."""
+    before, seen = t.events.where("ts < TIMESTAMP '2024-01-15'"), t.events.where("ts >= TIMESTAMP '2024-01-25'").select(F.col("user_id").alias("record"), F.col("event_type").alias("source")).distinct().withColumn("seen", F.lit(True))
+    tier = F.when(F.col("source") == "purchase", "A").when(F.col("source").isin("view", "click"), "B").otherwise("C")
+    bridge = before.groupBy(F.col("user_id").alias("record"), F.col("event_type").alias("source")).agg(F.count("*").alias("misses")).join(seen, ["record", "source"], "left")
+    bridge = bridge.withColumns({"seen": F.col("seen").isNotNull(), "tier": tier, "origin_tier": F.lit(None).cast("string")})
+    records = bridge.select("record").distinct().select("record", F.lit("").alias("title_key"), F.lit("").alias("venue_key"), F.lit("2024-02-01").cast("date").alias("day"), F.lit("2024-02-01").cast("timestamp").alias("start"), F.when(F.col("record") % 5 == 0, "past").otherwise("active").alias("status"))
+    results = t.events.select(F.col("event_type").alias("source")).distinct().select("source", F.when(F.col("source") == "error", "failed").otherwise("ok").alias("status"), F.lit(9).alias("n"), F.lit(False).alias("underdelivered"), (F.col("source") != "signup").alias("trust_misses"))
+    after, judged = freshness.verdicts(bridge, records, results, F.lit("2024-01-26").cast("timestamp"), need=6)
+    return after.join(judged.select("record", "status"), "record").select("record", "source", F.col("misses").cast("long").alias("misses"), "status")
 
 
 @query("SELECT user_id, event_type, count(*) AS n FROM events e WHERE ts < TIMESTAMP '2024-01-20' AND NOT EXISTS (SELECT 1 FROM events s WHERE s.user_id = e.user_id AND s.event_type = e.event_type AND s.ts >= TIMESTAMP '2024-01-20') GROUP BY 1, 2")
 def miss_anti_join(t):
-    now = t.events.where("ts >= TIMESTAMP '2024-01-20'").select("user_id", "event_type")
-    return t.events.where("ts < TIMESTAMP '2024-01-20'").join(now, ["user_id", "event_type"], "left_anti").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    gone = freshness.not_seen_now(t.events.where("ts < TIMESTAMP '2024-01-20'"), t.events.where("ts >= TIMESTAMP '2024-01-20'"), ["user_id", "event_type"])
+    return gone.groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01') AS seen FROM customer")
 def seen_now_semi(t):
-    now = t.orders.where("o_orderdate >= TIMESTAMP '2001-01-01'").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("seen", F.lit(True))
-    return t.customer.select("c_custkey").join(now, "c_custkey", "left").withColumn("seen", F.col("seen").isNotNull())
+    now = t.orders.where("o_orderdate >= TIMESTAMP '2001-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    return freshness.seen_now(t.customer.select("c_custkey"), now, "c_custkey")
 
 
 @query("SELECT DISTINCT a.event_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = b.event_type AND a.event_id <> b.event_id AND b.event_id % 10 = 0 AND abs(datediff('day', a.ts::DATE, b.ts::DATE)) <= 7 WHERE a.event_type = 'purchase'")
@@ -80,12 +89,13 @@ def moved_band_join(t):
     return freshness.moved(rows, ["user_id", "event_type"], "day", "event_id", "seen").select("event_id")
 
 
-@query("""WITH b AS (SELECT l_partkey AS part, l_suppkey AS source, CASE WHEN s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END AS t, l_linestatus = 'O' AS seen FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
-SELECT DISTINCT part, source FROM b m WHERE NOT seen AND NOT EXISTS (SELECT 1 FROM b o WHERE o.part = m.part AND o.seen AND o.t <= m.t)""")
+@query("""WITH b AS (SELECT l_partkey AS part, l_suppkey AS source, CASE WHEN l_quantity > 45 THEN 0 WHEN s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END AS t, l_linenumber = 7 AS seen FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
+SELECT DISTINCT part, source FROM b m WHERE NOT seen AND NOT EXISTS (SELECT 1 FROM b o WHERE o.part = m.part AND o.source <> m.source AND o.seen AND o.t <= m.t)""")
 def should_flag(t):
+    """Lines as sightings of a part by its supplier: seventh lines are this run's, large ones name an origin of tier A."""
     tier = F.when(F.col("s_acctbal") > 5000, "A").when(F.col("s_acctbal") > 0, "B").otherwise("C")
-    b = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("source"), tier.alias("tier"), (F.col("l_linestatus") == "O").alias("seen"))
-    return freshness.should_flag(b, b.where("NOT seen").select("part", "source", "tier").distinct(), "part", "source")
+    b = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("source"), tier.alias("tier"), F.when(F.col("l_quantity") > 45, "A").alias("origin_tier"), (F.col("l_linenumber") == 7).alias("seen"))
+    return freshness.should_flag(b, b.where("NOT seen"), "part", "source")
 
 
 _REGISTRY = "(SELECT s_suppkey AS source, 60 AS expected_min FROM supplier)"
@@ -118,7 +128,7 @@ def breakage_alerts(t):
 @query("SELECT s_suppkey AS source FROM supplier WHERE s_suppkey % 10 <> 1")
 def alert_filter(t):
     kinds = t.supplier.select(F.col("s_suppkey").alias("source"), F.when(F.col("s_suppkey") % 10 == 1, "skipped").otherwise("failed").alias("kind"))
-    return kinds.where("kind <> 'skipped'").select("source")
+    return signals.alerting(kinds).select("source")
 
 
 def _gates(t):
@@ -139,15 +149,12 @@ def gates(t):
     return _gates(t)
 
 
-_STATE = "CASE WHEN o_orderkey % 19 = 0 THEN 'held' WHEN o_orderkey % 23 = 0 THEN 'published' WHEN venue_unknown OR match_ambiguous OR cancellation_flagged OR source_underdelivered OR date_uncertain OR tier_c_only THEN 'held' ELSE 'published' END"
+_STATE = "CASE WHEN o_orderkey % 19 = 0 THEN 'held' WHEN o_orderkey % 23 = 0 THEN 'published' WHEN venue_unknown OR match_ambiguous OR cancellation_flagged OR source_underdelivered OR date_uncertain THEN 'held' ELSE 'published' END"
 
 
 def _states(t):
-    blocking = F.lit(False)
-    for g in review.GATES:
-        blocking = blocking | F.col(g)
     k = F.col("o_orderkey")
-    return _gates(t).select("o_orderkey", review.publish_state(k % 19 == 0, k % 23 == 0, blocking, F.lit(False)).alias("state"))
+    return _gates(t).select("o_orderkey", review.publish_state(k % 19 == 0, k % 23 == 0, review.blocking(), F.lit(False)).alias("state"))
 
 
 @query(_GATES + f"SELECT o_orderkey, {_STATE} AS state FROM g")
@@ -155,26 +162,33 @@ def publish_state(t):
     return _states(t)
 
 
-@query(_GATES + f"SELECT {_STATE} AS state, count(*) AS n FROM g GROUP BY 1")
+@query(_GATES + "SELECT gate, count(*) AS n FROM (SELECT unnest([CASE WHEN venue_unknown THEN 'venue_unknown' END, CASE WHEN match_ambiguous THEN 'match_ambiguous' END, CASE WHEN cancellation_flagged THEN 'cancellation_flagged' END, CASE WHEN source_underdelivered THEN 'source_underdelivered' END, CASE WHEN date_uncertain THEN 'date_uncertain' END, CASE WHEN tier_c_only THEN 'tier_c_only' END]) AS gate FROM g) WHERE gate IS NOT NULL GROUP BY 1 UNION ALL SELECT state, count(*) FROM (SELECT " + _STATE + " AS state FROM g) GROUP BY 1")
 def gate_counts(t):
-    return _states(t).groupBy("state").agg(F.count("*").alias("n"))
+    """How many records each gate stops, and how many are held or published."""
+    return review.gate_counts(_gates(t)).unionByName(_states(t).groupBy(F.col("state").alias("gate")).agg(F.count("*").alias("n")))
 
 
-@query("SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'insert' WHEN b.o_orderkey IS NULL THEN 'resolve' ELSE 'update' END AS action FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0) a FULL JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0) b ON a.o_orderkey = b.o_orderkey")
+@query("""WITH r AS (SELECT o_orderkey, o_orderkey % 5 = 0 AS blocking, o_orderstatus = 'F' AS cancelled, o_orderkey % 7 = 0 AS decided, o_orderkey % 11 = 0 AS strict, o_custkey % 3 <> 0 AS on_site, o_orderdate >= TIMESTAMP '1997-12-31' AS future FROM orders),
+n AS (SELECT o_orderkey FROM r WHERE future AND on_site AND NOT cancelled AND NOT decided AND (blocking OR strict)), o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
+SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'resolve' ELSE 'update' END AS action FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey""")
 def queue_upsert(t):
+    k = F.col("o_orderkey")
     old = t.orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.col("o_orderdate").alias("created_at"))
-    new = t.orders.where("o_orderkey % 5 = 0").select("o_orderkey", F.col("o_orderpriority").alias("reason"))
-    return review.queue_upsert(old, new, "o_orderkey", F.lit("2002-01-01").cast("timestamp")).select("o_orderkey", "action")
+    records = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("reason"), F.col("o_orderdate").cast("timestamp").alias("start"), (k % 5 == 0).alias("blocking"), (F.col("o_orderstatus") == "F").alias("cancelled"), (k % 7 == 0).alias("decided"), (k % 11 == 0).alias("strict"), (F.col("o_custkey") % 3 != 0).alias("on_site"))
+    return review.queue_upsert(old, records, "o_orderkey", F.lit("1998-01-01").cast("timestamp")).select("o_orderkey", "action")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'approve' ELSE 'cancel' END AS verb FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0")
+@query("""SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'approve' ELSE 'cancel' END AS kind, o_orderkey AS id, NULL::BIGINT AS other, NULL AS slug FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0
+UNION ALL SELECT 'ignore', o_orderkey, NULL, NULL FROM orders WHERE o_orderkey % 3 = 1 AND o_orderkey % 2 = 0 UNION ALL SELECT 'alias', NULL, NULL, 'seg-' || o_custkey % 5 FROM orders WHERE o_orderkey % 3 = 2""")
 def review_commands(t):
-    """A message per third order: a command, a quoted reply with another. Even order ids are the known ones."""
-    verb = F.when(F.col("o_orderkey") % 4 == 0, "approve").otherwise("Cancel")
-    body = F.concat(verb, F.lit(" #"), F.col("o_orderkey"), F.lit("\nthanks\n> merge 1 2"))
-    lines = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("msg_id"), body.alias("text"))
-    found, _ = review.commands(lines, "text", t.orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("id")))
-    return found.select(F.get("ids", 0).alias("o_orderkey"), "verb")
+    """A message per order: a command, a line that only looks like one, a quoted line and more after the boundary. Even ids are known."""
+    k = F.col("o_orderkey")
+    line = F.when(k % 3 == 0, F.concat(F.when(k % 4 == 0, "approve").otherwise("Cancel"), F.lit(" #"), k)).when(k % 3 == 1, F.concat(F.lit("hide "), k)).otherwise(F.concat(F.lit('alias "Old Hall" = SEG-'), F.col("o_custkey") % 5))
+    body = F.concat(F.lit("> merge 1 2\n"), line, F.lit("\napprove the 3 best of 2026\nOn Monday, someone wrote:\napprove "), k)
+    found, _ = review.commands(t.orders.select(k.alias("msg_id"), body.alias("text")), "text")
+    places = t.orders.select(F.concat(F.lit("seg-"), F.col("o_custkey") % 5).alias("slug"))
+    rows, _ = review.override_rows(found, t.orders.where("o_orderkey % 2 = 0").select(k.alias("id")), places)
+    return rows.select("kind", "id", "other", "slug")
 
 
 @query("SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN 'NEW' ELSE c_mktsegment END AS c_mktsegment FROM customer")
@@ -189,25 +203,41 @@ def sink_additive_schema(t):
     return state.with_columns_of(old, {"categories": F.array("category"), "category": F.lit("never")})
 
 
-@query("SELECT p_partkey, length(slug) AS n FROM (SELECT p_partkey, CASE WHEN row_number() OVER (PARTITION BY two ORDER BY n, p_partkey) > 1 THEN two || '-123456' ELSE two END AS slug FROM (SELECT *, CASE WHEN n > 1 THEN p_name || '-' || p_brand ELSE p_name END AS two FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part)))")
+@query("SELECT p_partkey, CASE WHEN m > 1 THEN two || '-' || substr(sha1(p_name || '|' || p_partkey), 1, 6) ELSE two END AS slug FROM (SELECT *, row_number() OVER (PARTITION BY two ORDER BY n, p_partkey) AS m FROM (SELECT *, CASE WHEN n > 1 THEN p_name || '-' || p_brand ELSE p_name END AS two FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part)))")
 def unique_slug(t):
-    return state.unique_slugs(t.part, "p_name", "p_brand", "p_partkey").select("p_partkey", F.length("unique_slug").cast("long").alias("n"))
+    return state.unique_slugs(t.part, "p_name", "p_brand", "p_partkey").select("p_partkey", F.col("unique_slug").alias("slug"))
+
+
+_MERGES = """WITH k AS (SELECT o_orderkey AS k FROM orders), one AS (SELECT k AS drop, k - 1 AS keep FROM k WHERE k % 10 = 1 AND k - 1 IN (SELECT k FROM k)),
+two AS (SELECT k AS drop, k - 10 AS keep FROM k WHERE k % 20 = 10 AND k - 10 IN (SELECT k FROM k)), chain AS (SELECT one.drop, coalesce(two.keep, one.keep) AS keep FROM one LEFT JOIN two ON two.drop = one.keep UNION ALL SELECT * FROM two) """
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 AND (o_orderkey - 1) IN (SELECT o_orderkey FROM orders) THEN o_orderkey - 1 ELSE o_orderkey END AS kept FROM orders")
+def _merges(t):
+    """A list of merges: k into k - 1 for the ones that end in 1; then the same again, skipped; then 10 into 0, 30 into 20 and so on."""
+    k = F.col("o_orderkey")
+    one = t.orders.where(k % 10 == 1).select(k.alias("pos"), (k - 1).alias("keep"), k.alias("drop"))
+    again = one.select((F.col("pos") + 10**9).alias("pos"), (F.col("keep") - 1).alias("keep"), "drop")
+    two = t.orders.where(k % 20 == 10).select((k + 2 * 10**9).alias("pos"), (k - 10).alias("keep"), k.alias("drop"))
+    return state.merge_remap(one.unionByName(again).unionByName(two), t.orders.select("o_orderkey"), "o_orderkey")
+
+
+@query(_MERGES.replace(") \n", ")") + "SELECT k AS o_orderkey, coalesce(keep, alone.keep2, k) AS kept FROM k LEFT JOIN chain ON drop = k LEFT JOIN (SELECT k AS d2, k - 2 AS keep2 FROM k WHERE k % 10 = 1 AND k - 1 NOT IN (SELECT k FROM k) AND k - 2 IN (SELECT k FROM k)) alone ON d2 = k")
 def ov_merge(t):
     ids = t.orders.select("o_orderkey")
-    pairs = ids.where("o_orderkey % 10 = 1").select((F.col("o_orderkey") - 1).alias("keep"), F.col("o_orderkey").alias("drop"))
-    remap = state.merge_remap(pairs, ids, "o_orderkey")
-    return ids.join(remap.withColumnRenamed("drop", "o_orderkey"), "o_orderkey", "left").select("o_orderkey", F.coalesce("keep", "o_orderkey").alias("kept"))
+    return ids.join(_merges(t).withColumnRenamed("drop", "o_orderkey"), "o_orderkey", "left").select("o_orderkey", F.coalesce("keep", "o_orderkey").alias("kept"))
 
 
-@query("SELECT k AS o_orderkey, count(*) AS n FROM (SELECT CASE WHEN l_orderkey % 10 = 1 AND (l_orderkey - 1) IN (SELECT o_orderkey FROM orders) AND l_orderkey IN (SELECT o_orderkey FROM orders) THEN l_orderkey - 1 ELSE l_orderkey END AS k FROM lineitem) GROUP BY 1")
+@query(_MERGES + """, again AS (SELECT k AS drop, k - 2 AS keep FROM k WHERE k % 10 = 1 AND k - 1 NOT IN (SELECT k FROM k) AND k - 2 IN (SELECT k FROM k)), remap AS (SELECT * FROM chain UNION ALL SELECT * FROM again)
+SELECT o_orderkey, count(*) AS sources, bool_and(CASE WHEN o_orderkey IN (SELECT keep FROM remap) THEN false ELSE o_orderkey % 3 = 0 END) AS ambiguous, bool_or(o_orderkey % 4 = 0) AS queued
+FROM (SELECT DISTINCT coalesce(keep, l_orderkey) AS o_orderkey, l_suppkey FROM lineitem LEFT JOIN remap ON drop = l_orderkey) WHERE o_orderkey IN (SELECT k FROM k) GROUP BY 1""")
 def merge_occurrences(t):
-    ids = t.orders.select("o_orderkey")
-    pairs = ids.where("o_orderkey % 10 = 1").select((F.col("o_orderkey") - 1).alias("keep"), F.col("o_orderkey").alias("drop"))
-    bridge = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"))
-    return state.apply_remap(bridge, state.merge_remap(pairs, ids, "o_orderkey"), "o_orderkey").groupBy("o_orderkey").agg(F.count("*").alias("n"))
+    k = F.col("o_orderkey")
+    records = t.orders.select("o_orderkey", (k % 3 == 0).alias("ambiguous"), k.alias("candidate"))
+    bridge = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("source"))
+    queue = t.orders.where(k % 4 == 0).select("o_orderkey")
+    left, sources, asked = state.merge_occurrences(records, bridge, queue, _merges(t), "o_orderkey", "source")
+    n = sources.groupBy("o_orderkey").agg(F.count("*").alias("sources"))
+    return left.join(n, "o_orderkey").join(asked.withColumn("queued", F.lit(True)), "o_orderkey", "left").select("o_orderkey", "sources", "ambiguous", F.coalesce("queued", F.lit(False)).alias("queued"))
 
 
 def _overridden(t):
@@ -227,14 +257,15 @@ def ov_uncancel(t):
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey + 1) THEN o_custkey + 1 ELSE o_custkey END AS series FROM orders")
 def ov_attach(t):
-    forced = t.orders.where("o_orderkey % 13 = 0").select("o_orderkey", (F.col("o_custkey") + 1).alias("series")).join(t.customer.select(F.col("c_custkey").alias("series")), "series", "left_semi")
-    return t.orders.select("o_orderkey", "o_custkey").join(forced, "o_orderkey", "left").select("o_orderkey", F.coalesce("series", "o_custkey").alias("series"))
+    rows = t.orders.select("o_orderkey", F.col("o_custkey").alias("series"))
+    forced = rows.where("o_orderkey % 13 = 0").select("o_orderkey", (F.col("series") + 1).alias("series"))
+    return state.attach_series(rows, forced, t.customer.select(F.col("c_custkey").alias("series")), "o_orderkey", "series")
 
 
-@query("SELECT o_orderkey, (o_orderkey % 6 = 0 AND o_orderkey % 4 <> 0 AND (o_orderkey + 2) % 4 <> 0) AS ambiguous FROM orders".replace(" AND (o_orderkey + 2) % 4 <> 0", ""))
+@query("SELECT o_orderkey, (o_orderkey % 6 = 0 AND o_orderkey % 4 <> 0) AS ambiguous FROM orders")
 def ov_never_merge(t):
-    pairs = t.orders.where("o_orderkey % 4 = 0").select(F.explode(F.array("o_orderkey", F.col("o_orderkey") + 1)).alias("o_orderkey")).distinct().withColumn("never", F.lit(True))
-    return t.orders.select("o_orderkey", (F.col("o_orderkey") % 6 == 0).alias("a")).join(pairs, "o_orderkey", "left").select("o_orderkey", (F.col("a") & F.col("never").isNull()).alias("ambiguous"))
+    pairs = t.orders.where("o_orderkey % 4 = 0").select(F.col("o_orderkey").alias("a"), (F.col("o_orderkey") + 1).alias("b"))
+    return state.settle_never_merged(t.orders.select("o_orderkey", (F.col("o_orderkey") % 6 == 0).alias("ambiguous")), pairs, "o_orderkey")
 
 
 @query("SELECT a, b FROM (SELECT n_nationkey AS a, n_nationkey + 1 AS b FROM nation) WHERE a % 3 <> 0")
@@ -246,14 +277,14 @@ def minus_candidates(t):
 
 @query("SELECT user_id, event_type, strftime(min(ts)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS first_seen, strftime(max(ts)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS last_seen, arg_max(event_id, (ts, event_id)) AS raw_id FROM events GROUP BY 1, 2")
 def first_last_seen(t):
-    fmt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    return t.events.groupBy("user_id", "event_type").agg(fmt(F.min("ts")).alias("first_seen"), fmt(F.max("ts")).alias("last_seen"), F.max_by("event_id", F.struct("ts", "event_id")).alias("raw_id"))
+    fmt = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return state.seen_between(t.events, ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", fmt("first_seen"), fmt("last_seen"), "raw_id")
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderstatus <> 'P' THEN 'cancelled' ELSE o_orderstatus END AS status FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderstatus <> 'P' THEN 'cancelled' ELSE CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'F' THEN 'flagged_cancelled' ELSE 'past' END END AS status FROM orders")
 def source_cancel(t):
-    told = F.col("o_orderkey") % 5 == 0
-    return t.orders.select("o_orderkey", F.when(told & F.col("o_orderstatus").isin("O", "F"), "cancelled").otherwise(F.col("o_orderstatus")).alias("status"))
+    status = F.when(F.col("o_orderstatus") == "O", "active").when(F.col("o_orderstatus") == "F", "flagged_cancelled").otherwise("past")
+    return t.orders.select("o_orderkey", state.source_cancel(status, F.col("o_orderkey") % 5 == 0).alias("status"))
 
 
 @query("SELECT l_orderkey, min(l_linenumber) AS first FROM lineitem GROUP BY 1")
@@ -268,39 +299,50 @@ def union_ids(t):
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
 def orphan_series(t):
-    return t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
+    return state.live_series(t.customer, t.orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").select("c_custkey")
 
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def run_stats(t):
-    return t.events.groupBy("event_type").agg(F.count("*").alias("n"))
+    return signals.run_stats(t.events, "event_type")
 
 
 @query("SELECT count(DISTINCT ts::DATE) <= 30 AS strict FROM events")
 def strict_flag(t):
-    return t.events.agg((F.count_distinct(F.to_date("ts")) <= 30).alias("strict"))
+    return review.strict_flag(t.events.select(F.to_date("ts").alias("run")), "run", 30)
 
 
 _OLD, _NEW = "o_orderkey % 2 = 0", "o_orderkey % 3 = 0"
 
 
 def _stores(t):
-    """Even orders as the store, every third order pulled again with a day more on odd customers."""
-    old = t.orders.where(_OLD).select("o_orderkey", _day().alias("day"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")).alias("venue"), F.col("o_orderpriority").alias("title"), F.lit(1).alias("misses"))
-    new = t.orders.where(_NEW).select("o_orderkey", F.date_add(_day(), (F.col("o_custkey") % 2).cast("int")).alias("day"), F.col("o_custkey").alias("venue"), F.upper("o_orderstatus").alias("title"))
+    """Even orders as the store; every third is pulled again with a day more on odd customers, by its best source or not."""
+    text = lambda k: F.when(F.col("o_orderkey") % k == 0, "").otherwise(F.concat(F.lit(f"d{k} "), F.col("o_orderstatus")))
+    status = F.when(F.col("o_orderstatus") == "F", "flagged_cancelled").when(F.col("o_orderstatus") == "O", "active").otherwise("past")
+    old = t.orders.where(_OLD).select("o_orderkey", _day().alias("day"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")).alias("venue"), F.col("o_orderpriority").alias("title"), F.lit("a").alias("category"), text(4).alias("description"), status.alias("status"), F.lit(1).alias("misses"))
+    new = t.orders.where(_NEW).select("o_orderkey", F.lit("s").alias("source"), (F.col("o_custkey") % 4 < 2).alias("primary"), F.date_add(_day(), (F.col("o_custkey") % 2).cast("int")).alias("day"), F.col("o_custkey").alias("venue"), F.upper("o_orderstatus").alias("title"), F.lit("b").alias("category"), text(9).alias("description"), (F.col("o_orderkey") % 11 == 0).alias("cancelled"))
     return old, new
 
 
-@query(f"SELECT o_orderkey, CASE WHEN {_NEW} THEN o_orderdate::DATE + CAST(o_custkey % 2 AS INT) ELSE o_orderdate::DATE END AS day, CASE WHEN {_NEW} OR o_custkey % 2 = 0 THEN o_custkey END AS venue, CASE WHEN {_NEW} THEN o_orderstatus ELSE o_orderpriority END AS title, CASE WHEN {_NEW} THEN 0 ELSE 1 END AS misses, {_NEW} AND o_custkey % 2 = 1 AS moved FROM orders WHERE {_OLD}")
+@query(f"""SELECT o_orderkey, CASE WHEN n AND best THEN day + CAST(o_custkey % 2 AS INT) ELSE day END AS day, CASE WHEN n OR o_custkey % 2 = 0 THEN o_custkey END AS venue, CASE WHEN n AND best THEN o_orderstatus ELSE o_orderpriority END AS title,
+  CASE WHEN n AND best THEN 'b' ELSE 'a' END AS category, CASE WHEN n AND best AND new <> '' THEN new WHEN old <> '' THEN old WHEN n THEN new ELSE '' END AS description,
+  CASE WHEN n AND o_orderkey % 11 = 0 AND o_orderstatus <> 'P' THEN 'cancelled' WHEN o_orderstatus = 'F' THEN 'flagged_cancelled' WHEN o_orderstatus = 'O' THEN 'active' ELSE 'past' END AS status, CASE WHEN n THEN 0 ELSE 1 END AS misses,
+  n AND o_custkey % 2 = 1 AS moved
+FROM (SELECT *, o_orderdate::DATE AS day, {_NEW} AS n, o_custkey % 4 < 2 AS best, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'd4 ' || o_orderstatus END AS old, CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE 'd9 ' || o_orderstatus END AS new FROM orders WHERE {_OLD})""")
 def refresh(t):
     old, new = _stores(t)
-    return state.refresh(old, new, "o_orderkey", {"day": "replace", "title": "replace", "venue": "fill"}, moved_by=["day", "venue"])
+    return state.refresh(old, new, "o_orderkey")
 
 
-@query(f"SELECT o_orderkey, o_orderdate::DATE + CAST(o_custkey % 2 AS INT) AS day, 'active' AS status, 'held' AS publish_state FROM orders WHERE {_NEW} AND NOT ({_OLD})")
+@query(f"""SELECT substr(sha1('s|' || o_orderkey), 1, 16) AS id, o_orderdate::DATE + CAST(o_custkey % 2 AS INT) AS day, o_custkey AS series, 'active' AS status, 'held' AS publish_state, o_orderkey % 5 = 0 AS ambiguous, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey - 1 END AS candidate
+FROM orders WHERE {_NEW} AND NOT ({_OLD})""")
 def create_occurrence(t):
-    old, new = _stores(t)
-    return new.join(old, "o_orderkey", "left_anti").select("o_orderkey", "day", F.lit("active").alias("status"), F.lit("held").alias("publish_state"))
+    """Pulled orders that the store has are matches; of the others every fifth has a near match."""
+    _, new = _stores(t)
+    k = F.col("o_orderkey")
+    decisions = new.select("source", "o_orderkey", F.when(k % 2 == 0, "match").when(k % 5 == 0, "ambiguous").otherwise("new").alias("decision"), (k - 1).alias("candidate"))
+    made = state.create_occurrences(new.select("source", "o_orderkey", "day", F.col("venue").alias("series")), decisions, ["source", "o_orderkey"], "id")
+    return made.select("id", "day", "series", "status", "publish_state", "ambiguous", "candidate")
 
 
 @query("SELECT user_id, arg_min(props, (-length(props), event_id > 5000, event_id)) AS props, bool_or(event_id <= 5000) AS known FROM events GROUP BY 1")
@@ -323,21 +365,29 @@ def find_or_create_series(t):
     return found.select("p_partkey", F.col("leader").alias("series"))
 
 
-@query(f"SELECT o_orderkey FROM orders WHERE {_OLD} AND {_NEW} AND o_custkey % 2 = 1 OR o_orderkey % 35 = 0")
+@query()
 def dedup_moved(t):
-    """Ids to be matched again: those that moved, and those resolved late."""
-    old, new = _stores(t)
-    moved = state.refresh(old, new, "o_orderkey", {"day": "replace", "venue": "fill"}, moved_by=["day", "venue"]).where("moved").select("o_orderkey")
-    return moved.union(t.orders.where("o_orderkey % 35 = 0").select("o_orderkey")).distinct()
+    """Parts whose bucket changed, matched anew in it: ids that merge away with what they merge into, and near matches."""
+    from ..operators import match
+
+    p = t.part.select("p_partkey", "p_name", F.concat_ws("|", "p_brand", "p_type").alias("bucket"), F.col("p_retailprice").alias("standing"))
+    m = match.MatchSchema(text="p_name", bucket="bucket", rank="standing", id="p_partkey")
+    never = p.where("p_partkey % 7 = 0").select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 1).alias("b"))
+    merges, unsure = state.dedup_moved(p, p.where("p_partkey % 10 = 0"), never, m, "p_partkey")
+    return merges.select(F.col("drop").alias("id"), F.col("keep").alias("other"), F.lit("merge").alias("kind")).unionByName(unsure.select(F.col("p_partkey").alias("id"), F.col("candidate").alias("other"), F.lit("review").alias("kind")))
 
 
 @query("SELECT c_custkey, CASE WHEN c_nationkey = 3 AND c_custkey % 2 = 0 THEN 'late' WHEN c_nationkey = 3 THEN NULL ELSE 'n' || c_nationkey END AS venue FROM customer")
 def venue_reresolve(t):
-    """Unresolved rows get another try with aliases that came later; resolved ones are not asked again."""
+    """Unresolved rows get another try by the resolver with an alias that came later; resolved ones are not asked again."""
+    from ..operators import venues
+
     rows = t.customer.select("c_custkey", F.when(F.col("c_nationkey") != 3, F.concat(F.lit("n"), F.col("c_nationkey"))).alias("venue"))
-    late = t.customer.where("c_nationkey = 3 AND c_custkey % 2 = 0").select("c_custkey", F.lit("late").alias("found"))
-    again = rows.where("venue IS NULL").join(late, "c_custkey", "left").select("c_custkey", F.col("found").alias("venue"))
-    return rows.where("venue IS NOT NULL").unionByName(again)
+    key = F.when(F.col("c_custkey") % 2 == 0, "the late hall").otherwise(F.concat(F.lit("nowhere "), F.col("c_custkey")))
+    asked = rows.where("venue IS NULL").select(F.col("c_custkey").alias("id"), key.alias("key"), F.lit("").alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
+    aliases = t.region.where("r_regionkey = 0").select(F.lit("the late hall").alias("alias"), F.lit(1).alias("ordinal"), F.lit("late").alias("slug"), F.lit("").alias("venue_city"))
+    found = venues.resolve(asked, aliases, t.region.where("false").select(F.lit("").alias("domain"), F.lit("").alias("slug")))
+    return state.reresolve(rows, found.select(F.col("id").alias("c_custkey"), F.col("slug").alias("venue")), "c_custkey", "venue")
 
 
 @query("SELECT o_orderkey, o_orderkey % 7 = 0 AS shown FROM orders WHERE o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
