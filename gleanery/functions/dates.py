@@ -174,3 +174,8 @@ def weekday_set(token: Column) -> Column:
     a, b = number(F.regexp_extract(token, span, 1)), number(F.regexp_extract(token, span, 2))
     ranged = F.transform(F.sequence(F.lit(0), F.pmod(b - a, F.lit(7))), lambda i: F.pmod(a + i, F.lit(7)))
     return F.array_sort(F.array_distinct(F.when(token.rlike(span), F.concat(named, ranged)).otherwise(named)))
+
+
+def iso_parse(c: Column) -> Column:
+    """An ISO time with its offset as an instant; anything else is null."""
+    return F.try_to_timestamp(c)

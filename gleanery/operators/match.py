@@ -43,6 +43,11 @@ class MatchSchema:
         return F.struct(F.col(at + self.rank).alias("rank"), F.col(at + self.id).alias("id"))
 
 
+def projected(records: DataFrame, m: MatchSchema) -> DataFrame:
+    """(id, bucket, rank, text): what the schema names, under the matcher's own names."""
+    return records.select(F.col(m.id).alias("id"), F.col(m.bucket).alias("bucket"), F.col(m.rank).alias("rank"), F.col(m.text).alias("text"))
+
+
 def _text_scores(left: DataFrame, right: DataFrame, m: MatchSchema, floor: float | None) -> DataFrame:
     """(bucket, ta, tb, score) of the different texts of each bucket, every pair of texts scored once; empty texts score 0.
 

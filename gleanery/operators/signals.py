@@ -91,3 +91,8 @@ def alerting(alerts: DataFrame) -> DataFrame:
 def run_stats(rows: DataFrame, kind: str) -> DataFrame:
     """How many rows a run had of each kind."""
     return rows.groupBy(kind).agg(F.count("*").alias("n"))
+
+
+def any_source(bridge: DataFrame, record: str, kind: Column, out: str = "found") -> DataFrame:
+    """Whether any source of a record is of a kind."""
+    return bridge.groupBy(record).agg(F.bool_or(kind).alias(out))

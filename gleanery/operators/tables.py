@@ -1,13 +1,19 @@
-"""Cutting lineage between the rounds of an iteration."""
+"""Tables in the shared folder, and cutting lineage between the rounds of an iteration."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, one beside the warehouse."""
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
+    return context.getCheckpointDir().rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df from a checkpoint in the shared folder (spark.checkpoint.dir); only where that is unset, beside the warehouse."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
+    """df from a checkpoint in the shared folder."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()

@@ -58,17 +58,84 @@ def pages(defs: DataFrame, rows: DataFrame, key: list[str], id_: str) -> DataFra
 def search(queries: DataFrame, index: DataFrame, limit: int = 50) -> DataFrame:
     """Per query (q, tokens) the best index rows (id, title, hay, bonus): all tokens must be in hay.
 
-    A token scores 3 at the title's start, 2 inside it, else 1. Queries are matched by whichever side is
-    smaller in Spark's own plan; every match has all tokens, so a row is tested once per query.
+    A token scores 3 at the title's start, 2 inside it, else 1. Rows are found by the first three letters of
+    the query's longest token (fewer if it is shorter), which every match holds, so a query meets only rows
+    that have them; the tokens are checked after.
     """
+    width = 3
+    lengths = F.sequence(F.lit(1), F.least(F.lit(width), F.length("hay")))
+    grams = F.flatten(F.transform(lengths, lambda n: F.transform(F.sequence(F.lit(1), F.length("hay") - n + 1), lambda i: F.substring(F.col("hay"), i, n))))
+    held = index.where(F.length("hay") > 0).withColumn("_gram", F.explode(F.array_distinct(grams)))
+    longest = F.array_max(F.transform("tokens", lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
+    asked = queries.where(F.size("tokens") > 0).withColumn("_gram", F.substring(longest, 1, width))
     fits = F.forall("tokens", lambda k: F.contains(F.col("hay"), k))
     one = lambda k: F.when(F.startswith(F.col("title"), k), 3.0).when(F.contains(F.col("title"), k), 2.0).otherwise(1.0)
-    hits = index.join(queries, fits)
+    hits = held.join(asked, "_gram").where(fits).drop("_gram")
     score = F.aggregate("tokens", F.lit(0.0), lambda a, k: a + one(k)) + F.col("bonus")
     ranked = hits.withColumn("score", score).withColumn("_n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id")))
     return ranked.where(F.col("_n") <= limit).drop("_n")
 
 
+def count_by(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows per key."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+def ranked_counts(rows: DataFrame, key: str) -> DataFrame:
+    """Rows per key with their place, most first. The ranking is one task over the keys, which are names, not rows."""
+    return count_by(rows, key).withColumn("place", F.row_number().over(W.orderBy(F.desc("n"), key)).cast("long"))
+
+
+def round_label(rows: DataFrame, step: int = 5) -> DataFrame:
+    """One row: the number of rows rounded down to a step, with a plus if there are more."""
+    n = F.count("*")
+    return rows.agg(F.concat((F.floor(n / step) * step).cast("string"), F.when(n % step > 0, "+").otherwise("")).alias("label"))
+
+
+def grouped_items(rows: DataFrame, group: str, id_: str, *order: str) -> DataFrame:
+    """(group, items): each group's ids in order. A group is a page: its list fits one."""
+    return rows.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, id_))), lambda s: s[id_]).alias("items"))
+
+
+def item_list_jsonld(rows: DataFrame, group: str, order: list[str], name: str, url: Column, item: Column) -> DataFrame:
+    """(group, jsonld): an ItemList whose elements have their position. ``item`` is the struct of an element, ``url`` the group's page."""
+    ranked = F.array_sort(F.collect_list(F.struct(*order, item.alias("item"))))
+    elements = F.transform(ranked, lambda s, i: F.struct(F.lit("ListItem").alias("@type"), (i + 1).alias("position"), s["item"].alias("item")))
+    g = rows.groupBy(group).agg(elements.alias("_items"))
+    body = F.struct(F.lit("https://schema.org").alias("@context"), F.lit("ItemList").alias("@type"), F.lit(name).alias("name"), url.alias("url"), F.col("_items").alias("itemListElement"))
+    return g.select(group, F.to_json(body).alias("jsonld"))
+
+
+def event_jsonld(name: Column, start: Column, end: Column, status: Column, place: Column, street: Column, city: Column, price: Column, url: Column) -> Column:
+    """A record as schema.org Event; fields without a value are left out, an offer only where there is a price."""
+    filled = lambda c: F.nullif(c, F.lit(""))
+    state = F.when(status == "cancelled", "https://schema.org/EventCancelled").otherwise("https://schema.org/EventScheduled")
+    address = F.struct(F.lit("PostalAddress").alias("@type"), filled(street).alias("streetAddress"), filled(city).alias("addressLocality"))
+    where = F.when(filled(place).isNotNull(), F.struct(F.lit("Place").alias("@type"), place.alias("name"), address.alias("address")))
+    offer = F.when(filled(price).isNotNull(), F.struct(F.lit("Offer").alias("@type"), price.alias("price"), url.alias("url")))
+    return F.to_json(F.struct(F.lit("https://schema.org").alias("@context"), F.lit("Event").alias("@type"), name.alias("name"), start.alias("startDate"), end.alias("endDate"), state.alias("eventStatus"), where.alias("location"), offer.alias("offers"), filled(url).alias("url")))
+
+
+def url_list(*parts: tuple[DataFrame, str, str, Column]) -> DataFrame:
+    """(path, lastmod) of pages: each part is (rows, path prefix, key column, last change)."""
+    out = None
+    for rows, prefix, key, changed in parts:
+        own = rows.select(F.concat(F.lit(prefix), F.col(key)).alias("path"), changed.cast("date").alias("lastmod"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def redirects(series: DataFrame, last: str, n: str, today: Column, target: Column, days: int = 30, most: int = 5) -> DataFrame:
+    """Small series whose last day is long past, with the page that takes their visitors."""
+    return series.where((F.col(n) <= most) & (F.col(last) < F.date_sub(today, days))).withColumn("target", target)
+
+
+def report_lines(name: str, rows: DataFrame, k: int | None, line: Column, *order) -> DataFrame:
+    """(section, rank, line) rows of a report section, its first k rows or all; a section is short."""
+    top = rows.orderBy(*order).limit(k) if k else rows
+    return top.select(F.lit(name).alias("section"), F.row_number().over(W.orderBy(*order)).cast("long").alias("rank"), line.alias("line"))
+
+
 def region_feed(rows: DataFrame, regions: str, fields: dict[str, str]) -> DataFrame:
     """(region, record): a JSON record per row and region, ready for write.partitionBy('region').text."""
     record = F.to_json(F.struct(*(F.col(c).alias(k) for k, c in fields.items())))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..operators import listings as L
 from .registry import query
 
 ZONE = D.DEFAULT_ZONE
@@ -125,14 +126,13 @@ def recent(t):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderdate::DATE BETWEEN DATE '1998-01-01' AND DATE '1998-01-01' + 90")
 def window_filter(t):
-    today = F.lit("1998-01-01").cast("date")
-    return t.orders.where(F.to_date("o_orderdate").between(today, F.date_add(today, 90))).select("o_orderkey")
+    return t.orders.where(L.in_window(F.to_date("o_orderdate"), F.lit("1998-01-01").cast("date"), 90)).select("o_orderkey")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE datediff('day', o_orderdate::DATE, l_shipdate::DATE) <= 30")
 def span_filter(t):
     j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return j.where(F.datediff("l_shipdate", "o_orderdate") <= 30).select("l_orderkey", "l_linenumber")
+    return j.where(L.short_enough(F.col("o_orderdate"), F.col("l_shipdate"), 30)).select("l_orderkey", "l_linenumber")
 
 
 @query("SELECT o_orderkey, unnest(generate_series(o_orderdate::DATE, DATE '2001-12-31', INTERVAL 14 DAY))::DATE AS day FROM orders WHERE o_orderdate::DATE > DATE '2001-01-01'")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import match, signals, venues
+from ..operators import listings, match, signals, venues
 from .registry import query
 
 PARTS = match.MatchSchema(text="p_name", bucket="bucket", rank="p_retailprice", id="p_partkey")
@@ -22,9 +22,10 @@ def match_pairs(t):
 
 @query()
 def match_best(t):
-    """Even parts against the odd ones of their bucket."""
+    """Every part against all other parts of its bucket but those of its size."""
     p = _parts(t)
-    return match.match_best(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 2 = 1"), PARTS)
+    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_retailprice", id="p_partkey", veto="a.p_partkey = b.p_partkey OR a.p_size = b.p_size")
+    return match.match_best(p, p, m)
 
 
 @query("SELECT l.p_partkey AS a, r.p_partkey AS b FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_type = r.p_type AND l.p_partkey < r.p_partkey WHERE l.p_name = r.p_name AND l.p_size <> r.p_size")
@@ -131,7 +132,7 @@ def source_list(t):
 @query(_SOURCES + "SELECT part, bool_or(source_id = 7) AS found FROM b GROUP BY part")
 def any_source_type(t):
     bridge, _ = _evidence(t)
-    return bridge.groupBy("part").agg(F.bool_or(F.col("source_id") == 7).alias("found"))
+    return signals.any_source(bridge, "part", F.col("source_id") == 7)
 
 
 @query(_SOURCES + ", i AS (SELECT part, arg_min(source_id, (CASE WHEN tr = 0 AND s.tr IS NULL THEN 0 ELSE s.tr END, NOT s.curated, source_id)) AS source_id FROM (SELECT DISTINCT l_partkey AS part, l_suppkey AS source_id FROM lineitem) d JOIN s USING (source_id) WHERE source_id <> 7 AND source_id % 2 = 0 GROUP BY part) SELECT DISTINCT l_partkey AS part, CASE WHEN i.source_id IS NOT NULL THEN 'img' || i.source_id END AS image_url FROM lineitem LEFT JOIN i ON i.part = l_partkey".replace("CASE WHEN tr = 0 AND s.tr IS NULL THEN 0 ELSE s.tr END", "s.tr"))
@@ -142,12 +143,14 @@ def assign_images(t):
     return signals.best_image(own, "part", 7)
 
 
-@query("SELECT c_custkey AS id, 'v' || s_suppkey AS slug FROM customer JOIN supplier ON s_suppkey = (c_custkey % 200) AND c_custkey % 200 BETWEEN 1 AND (SELECT max(s_suppkey) FROM supplier)")
+@query("SELECT c_custkey AS id, 'v' || s_suppkey AS slug FROM customer JOIN supplier ON s_suppkey = c_custkey")
 def venue_exact(t):
-    """Customers that write a supplier's name exactly."""
-    names = t.customer.select(F.col("c_custkey").alias("id"), F.concat(F.lit("supplier "), F.lpad((F.col("c_custkey") % 200).cast("string"), 9, "0")).alias("key"))
-    aliases = t.supplier.select(F.concat(F.lit("supplier "), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("key"), F.concat(F.lit("v"), F.col("s_suppkey")).alias("slug")).where("slug <> 'v0'")
-    return names.where("id % 200 <> 0").join(aliases, "key").select("id", "slug")
+    """Customers that write a supplier's name exactly, every one of them, through the resolver."""
+    name = lambda k: F.concat(F.lit("supplier "), F.lpad(k.cast("string"), 9, "0"))
+    names = t.customer.select(F.col("c_custkey").alias("id"), name(F.col("c_custkey")).alias("key"), F.lit("").alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
+    aliases = t.supplier.select(name(F.col("s_suppkey")).alias("alias"), F.col("s_suppkey").alias("ordinal"), F.concat(F.lit("v"), F.col("s_suppkey")).alias("slug"), F.lit("").alias("venue_city"))
+    none = t.region.where("false").select(F.lit("").alias("domain"), F.lit("").alias("slug"))
+    return venues.resolve(names, aliases, none).where("via = 'name'").select("id", "slug")
 
 
 def _names(t):
@@ -185,7 +188,7 @@ def venue_city_pick(t):
 
 @query("SELECT p_partkey, coalesce(nullif(CASE WHEN p_size < 10 THEN '' ELSE p_brand END, ''), p_type) AS key FROM part")
 def blocking_key(t):
-    return t.part.select("p_partkey", F.coalesce(F.nullif(F.when(F.col("p_size") < 10, "").otherwise(F.col("p_brand")), F.lit("")), F.col("p_type")).alias("key"))
+    return t.part.select("p_partkey", listings.blocking_key(F.when(F.col("p_size") < 10, "").otherwise(F.col("p_brand")), F.col("p_type")).alias("key"))
 
 
 @query("SELECT l.p_partkey, r.p_partkey AS candidate FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_type = r.p_type AND l.p_partkey <> r.p_partkey WHERE l.p_size <> r.p_size")
@@ -217,21 +220,18 @@ def entity_resolution(t):
     return views.featured(ranked, "p_brand", 20, F.desc("curation_score"), F.desc("independent_source_count"), F.col("entity"))
 
 
-@query("SELECT p_partkey, p_brand || '|' || p_type AS bucket, p_retailprice AS rank, p_name AS text FROM part")
+@query("SELECT p_partkey AS id, p_brand || '|' || p_type AS bucket, p_retailprice AS rank, p_name AS text FROM part")
 def match_schema(t):
-    """The columns that the schema names, as the matcher reads them."""
-    return _parts(t).select("p_partkey", F.col(PARTS.bucket).alias("bucket"), F.col(PARTS.rank).alias("rank"), F.col(PARTS.text).alias("text"))
+    """What the matcher reads of a record: its place in the bucket, bucket and text."""
+    return match.projected(_parts(t), PARTS)
 
 
-@query("SELECT l.p_partkey AS a, r.p_partkey AS b, CASE WHEN l.p_size < 25 THEN 0.0 ELSE 100.0 END::DOUBLE AS score FROM part l JOIN part r ON l.p_name = r.p_name AND l.p_brand = r.p_brand AND l.p_partkey < r.p_partkey")
+@query("""WITH p AS (SELECT *, CASE WHEN p_partkey % 9 = 0 THEN [] ELSE list_distinct(string_split(p_name, ' ')) END AS w FROM part)
+SELECT l.p_partkey AS a, r.p_partkey AS b, CASE WHEN len(l.w) = 0 OR len(r.w) = 0 THEN 0.0 ELSE 100.0 END::DOUBLE AS score FROM p l JOIN p r ON l.p_brand = r.p_brand AND l.p_size = r.p_size AND l.p_partkey < r.p_partkey
+WHERE len(l.w) = 0 OR len(r.w) = 0 OR len(list_intersect(l.w, r.w)) = len(l.w) OR len(list_intersect(l.w, r.w)) = len(r.w)""")
 def match_score(t):
-    """Equal names score 100, and 0 where a side has no text."""
-    p = t.part.withColumns({"txt": F.when(F.col("p_size") >= 25, F.col("p_name")).otherwise(""), "bucket": F.concat_ws("|", "p_name", "p_brand")})
+    """Names of a brand and size against each other: equal ones score 100, ones that hold the other's words too, and 0 where a side has no text."""
+    p = t.part.withColumns({"txt": F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")).otherwise(""), "bucket": F.concat_ws("|", "p_brand", "p_size")})
     m = match.MatchSchema(text="txt", bucket="bucket", rank="p_retailprice", id="p_partkey")
-    pairs = match.match_pairs(p.withColumn("txt", F.col("p_name")), m).select("a_id", "b_id")
-    left = p.select(F.col("p_partkey").alias("a_id"), F.col("txt").alias("ta"))
-    right = p.select(F.col("p_partkey").alias("b_id"), F.col("p_name").alias("tb"))
-    from ..functions.similarity import token_set_ratio
-
-    score = F.when(F.col("ta") == "", 0.0).otherwise(token_set_ratio(F.col("ta"), F.col("tb")))
-    return pairs.join(left, "a_id").join(right, "b_id").select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), score.alias("score"))
+    found = match.match_pairs(p, m).where("score = 0 OR score = 100")
+    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "score")
\ No newline at end of file

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import review, signals, venues
+from ..functions import text as T
+from ..operators import listings as L
+from ..operators import review, signals, tables, venues, views
+from ..sources import archive
 from ..sources import readers as R
 from .registry import query
 
@@ -111,63 +116,68 @@ def src_rundown(t):
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 0")
 def required_fields(t):
     rows = t.nation.withColumn("n_name", F.when(F.col("n_regionkey") != 0, F.col("n_name")))
-    return rows.where("n_nationkey IS NOT NULL AND n_name IS NOT NULL").select("n_nationkey", "n_name")
+    return L.complete(rows, "n_nationkey", "n_name").select("n_nationkey", "n_name")
 
 
-@query("SELECT event_type AS source_id, count(*) AS n, sum(user_id)::BIGINT AS users FROM events GROUP BY 1")
+@query("SELECT event_type AS source_id, count(*) AS n, sum(user_id)::BIGINT AS users FROM events WHERE event_id % 2 = 1 GROUP BY 1")
 def sink_raw_archive(t):
-    """The archive's JSON payloads read back with their schema."""
-    packed = t.events.select(F.col("event_type").alias("source_id"), F.to_json(F.struct("event_id", "user_id")).alias("payload"))
-    back = packed.select("source_id", F.from_json("payload", "event_id long, user_id long").alias("r"))
-    return back.groupBy("source_id").agg(F.count("*").alias("n"), F.sum("r.user_id").alias("users"))
+    """Two runs appended to an archive in the shared folder, and one read back with its schema."""
+    path = f"{tables.shared_dir(t.spark)}/archive-{uuid.uuid4().hex}"
+    rows = t.events.select("event_id", "user_id", "event_type", "ts")
+    run = (F.col("event_id") % 2).cast("int")
+    archive.append(rows, path, run, "event_type", "event_id", F.col("ts"))
+    back = archive.scan(t.spark, path, 1, "event_id long, user_id long")
+    return back.groupBy("source_id").agg(F.count("*").alias("n"), F.sum("user_id").alias("users"))
 
 
 @query("SELECT event_id FROM events WHERE ts::DATE = DATE '2024-01-10'")
 def scan_run(t):
-    return t.events.withColumn("run", F.to_date("ts")).where("run = DATE '2024-01-10'").select("event_id")
+    """One day's run out of an archive with a run a day: only its partition is read."""
+    path = f"{tables.shared_dir(t.spark)}/archive-{uuid.uuid4().hex}"
+    archive.append(t.events.select("event_id", "event_type", "ts"), path, F.date_format("ts", "yyyyMMdd").cast("int"), "event_type", "event_id", F.col("ts"))
+    return archive.scan(t.spark, path, 20240110, "event_id long").select("event_id")
 
 
 @query("SELECT event_type AS source_id, ts::DATE AS run, count(*) AS n, strftime(max(ts)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS last_ok FROM events WHERE event_type <> 'error' GROUP BY 1, 2")
 def sink_source_run(t):
-    ok = t.events.where("event_type <> 'error'")
-    return ok.groupBy(F.col("event_type").alias("source_id"), F.to_date("ts").alias("run")).agg(F.count("*").alias("n"), stamp(F.max("ts")).alias("last_ok"))
+    ok = t.events.where("event_type <> 'error'").withColumn("run", F.to_date("ts"))
+    return archive.source_runs(ok, "event_type", "run", "ts").withColumn("last_ok", stamp("last_ok"))
 
 
 @query("SELECT p_partkey, arg_min(r_name, pos) AS origin FROM (SELECT p_partkey, unnest([p_size % 7, p_size % 5, p_size % 3]) AS k, unnest([0, 1, 2]) AS pos FROM part) JOIN region ON r_regionkey = k GROUP BY 1")
 def origin_url(t):
     """First of three keys that is a region's."""
-    keys = t.part.select("p_partkey", F.posexplode(F.array(*(F.col("p_size") % n for n in (7, 5, 3)))).alias("pos", "r_regionkey"))
-    return keys.join(t.region, "r_regionkey").groupBy("p_partkey").agg(F.min_by("r_name", "pos").alias("origin"))
+    known = t.region.select(F.col("r_regionkey").alias("domain"), F.col("r_name").alias("origin"))
+    return L.origin_of(t.part, F.array(*(F.col("p_size") % n for n in (7, 5, 3))), known, "p_partkey")
 
 
 @query("SELECT page_id, CASE WHEN contains(html, '<') AND length(html) > 20 THEN html ELSE url END AS description FROM pages")
 def description_pick(t):
-    rich = [F.when(F.contains(F.col(c), F.lit("<")) & (F.length(c) > 20), F.col(c)) for c in ("url", "html")]
-    return t.pages.select("page_id", F.coalesce(*rich, F.col("url")).alias("description"))
+    return t.pages.select("page_id", L.rich_description([F.col("url"), F.col("html")], F.col("url")).alias("description"))
 
 
 @query("SELECT n_nationkey, CASE WHEN n_regionkey < 3 THEN upper(r_name) ELSE '' END AS label FROM nation LEFT JOIN region ON r_regionkey = n_regionkey")
 def area_label(t):
     labels = t.region.where("r_regionkey < 3").select(F.col("r_regionkey").alias("n_regionkey"), F.upper("r_name").alias("label"))
-    return t.nation.join(labels, "n_regionkey", "left").select("n_nationkey", F.coalesce("label", F.lit("")).alias("label"))
+    return L.label_of(t.nation, labels, "n_regionkey", "label", "").select("n_nationkey", "label")
 
 
 @query("SELECT s_suppkey FROM supplier WHERE s_suppkey % 4 <> 0 AND s_acctbal > 0")
 def hh_filter(t):
     windows = F.when(F.col("s_acctbal") > 0, F.array(F.lit("16:00"))).otherwise(F.array().cast("array<string>"))
     rows = t.supplier.select("s_suppkey", windows.alias("windows"), F.when(F.col("s_suppkey") % 4 == 0, "unverified").otherwise("ok").alias("status"))
-    return rows.where("status <> 'unverified' AND size(windows) > 0").select("s_suppkey")
+    return L.happy_hours(rows, "windows", "status").select("s_suppkey")
 
 
 @query("SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN n_name END AS page FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey")
 def hh_venue_join(t):
     pages = t.nation.where("n_nationkey < 10").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("page"))
-    return t.supplier.join(pages, "s_nationkey", "left").select("s_suppkey", "page")
+    return L.label_of(t.supplier, pages, "s_nationkey", "page").select("s_suppkey", "page")
 
 
 @query("SELECT s_nationkey, list(s_suppkey ORDER BY s_name, s_suppkey) AS spots FROM supplier GROUP BY 1")
 def hh_grouped(t):
-    return t.supplier.groupBy("s_nationkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("s_name", "s_suppkey"))), lambda s: s["s_suppkey"]).alias("spots"))
+    return views.grouped_items(t.supplier, "s_nationkey", "s_suppkey", "s_name").withColumnRenamed("items", "spots")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'Mon–Wed · 4–6 pm' ELSE 'Sat, Sun · 9 pm–close' END AS label FROM orders")
@@ -179,7 +189,7 @@ def hh_views(t):
 
 
 def _fuzzy_names(t):
-    return t.part.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("id"), F.regexp_replace("p_name", "([a-z])$", "$1s").alias("key"), F.lit("").alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
+    return t.part.select(F.col("p_partkey").alias("id"), F.regexp_replace("p_name", "([a-z])$", "$1s").alias("key"), F.lit("").alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
 
 
 def _part_aliases(t):
@@ -187,51 +197,52 @@ def _part_aliases(t):
     return a.select(F.col("p_name").alias("alias"), "ordinal", F.concat(F.lit("v"), F.col("ordinal")).alias("slug"), F.lit("").alias("venue_city"))
 
 
-@query("SELECT p_partkey AS id, 'v' || (SELECT min(q.p_partkey) FROM part q WHERE q.p_name = p.p_name) AS slug FROM part p WHERE p_partkey % 3 = 0 AND regexp_matches(p_name, '[a-z]$')")
+@query("SELECT p_partkey AS id, 'v' || (SELECT min(q.p_partkey) FROM part q WHERE q.p_name = p.p_name) AS slug FROM part p WHERE regexp_matches(p_name, '[a-z]$')")
 def venue_fuzzy(t):
     """Part names with an added letter find their own name as the best alias."""
     none = t.region.where("false").select(F.lit("").alias("domain"), F.lit("").alias("slug"))
     return venues.resolve(_fuzzy_names(t), _part_aliases(t), none).where("via = 'fuzzy'").select("id", "slug")
 
 
-@query("SELECT p_partkey AS id, 'v' || (SELECT min(q.p_partkey) FROM part q WHERE length(q.p_name) >= 8 AND contains('7 road ' || p.p_name, q.p_name)) AS slug FROM part p WHERE p_partkey % 5 = 0 AND EXISTS (SELECT 1 FROM part q WHERE length(q.p_name) >= 8 AND contains('7 road ' || p.p_name, q.p_name))")
+@query("WITH n AS (SELECT p_name, min(p_partkey) AS first FROM part GROUP BY 1), f AS (SELECT a.p_name, min(q.first) AS first FROM n a JOIN n q ON length(q.p_name) >= 8 AND contains('7 road ' || a.p_name, q.p_name) GROUP BY 1) SELECT p_partkey AS id, 'v' || f.first AS slug FROM part JOIN f USING (p_name)")
 def venue_address(t):
-    names = t.part.where("p_partkey % 5 = 0").select(F.col("p_partkey").alias("id"), F.lit("").alias("key"), F.concat(F.lit("7 road "), F.col("p_name")).alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
+    names = t.part.select(F.col("p_partkey").alias("id"), F.lit("").alias("key"), F.concat(F.lit("7 road "), F.col("p_name")).alias("address_key"), F.lit("").alias("domain"), F.lit("").alias("city"))
     none = t.region.where("false").select(F.lit("").alias("domain"), F.lit("").alias("slug"))
     return venues.resolve(names, _part_aliases(t), none).where("via = 'address'").select("id", "slug")
 
 
 @query("SELECT page_id, regexp_extract(url, '^(?:https?://)?(?:www\\.)?([^/:?#]+)', 1) AS slug FROM pages")
 def venue_domain(t):
-    from ..functions.text import domain_of
-
-    known = t.pages.select(domain_of(F.col("url")).alias("domain")).distinct().withColumn("slug", F.col("domain"))
-    return t.pages.select("page_id", domain_of(F.col("url")).alias("domain")).join(known, "domain").select("page_id", "slug")
+    """Pages by the domain of their address, through the resolver."""
+    site = T.domain_of(F.col("url"))
+    asked = t.pages.select(F.col("page_id").alias("id"), F.lit("").alias("key"), F.lit("").alias("address_key"), site.alias("domain"), F.lit("").alias("city"))
+    known = t.pages.select(site.alias("domain")).distinct().withColumn("slug", F.col("domain"))
+    none = t.region.where("false").select(F.lit("").alias("alias"), F.lit(1).alias("ordinal"), F.lit("").alias("slug"), F.lit("").alias("venue_city"))
+    return venues.resolve(asked, none, known).select(F.col("id").alias("page_id"), "slug")
 
 
 @query("SELECT c_custkey, coalesce(CASE WHEN c_nationkey < 5 THEN 'n' || c_nationkey END, CASE WHEN c_custkey % 2 = 0 THEN 'seg-' || c_mktsegment END) AS slug FROM customer")
 def venue_default(t):
     origin = t.nation.where("n_nationkey < 5").select(F.col("n_nationkey").alias("c_nationkey"), F.concat(F.lit("n"), F.col("n_nationkey")).alias("o"))
     default = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("seg-"), F.col("c_mktsegment")))
-    return t.customer.join(origin, "c_nationkey", "left").select("c_custkey", F.coalesce("o", default).alias("slug"))
+    return L.label_of(t.customer, origin, "c_nationkey", "o").select("c_custkey", L.first_filled(F.col("o"), default=default).alias("slug"))
 
 
 @query("SELECT o_orderkey, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 5) AS known FROM orders")
 def src_key_lookup(t):
-    seen = t.lineitem.where("l_linenumber = 5").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("known", F.lit(True))
-    return t.orders.select("o_orderkey").join(seen, "o_orderkey", "left").select("o_orderkey", F.coalesce("known", F.lit(False)).alias("known"))
+    return L.with_known(t.orders.select("o_orderkey"), t.lineitem.where("l_linenumber = 5").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
 
 
 @query("SELECT l_orderkey, l_linenumber, o_orderpriority AS organizer FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey")
 def raw_organizer_join(t):
     raw = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.to_json(F.struct(F.col("o_orderpriority").alias("organizer"))).alias("payload"))
-    return t.lineitem.select("l_orderkey", "l_linenumber").join(raw, "l_orderkey", "left").select("l_orderkey", "l_linenumber", F.get_json_object("payload", "$.organizer").alias("organizer"))
+    return L.organizers(t.lineitem.select("l_orderkey", "l_linenumber"), raw, "l_orderkey", "payload")
 
 
 @query("SELECT o_orderkey, c_name FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderpriority = '1-URGENT'")
 def queue_occ_venue(t):
-    queue = t.orders.where("o_orderpriority = '1-URGENT'")
-    return queue.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", "c_name")
+    queue = t.orders.where("o_orderpriority = '1-URGENT'").withColumnRenamed("o_custkey", "c_custkey")
+    return L.attach(queue, t.customer, "c_custkey", "inner").select("o_orderkey", "c_name")
 
 
 @query("SELECT s_suppkey, row_number() OVER (ORDER BY CASE WHEN s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END, s_suppkey % 3 <> 0, s_suppkey) AS ord FROM supplier")
@@ -244,7 +255,8 @@ def ingest_order(t):
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'https://img/' || o_orderkey END AS image FROM orders")
 def record_image_flag(t):
-    return t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("https://img/"), F.col("o_orderkey"))).alias("image"))
+    url = F.concat(F.lit("https://img/"), F.col("o_orderkey"))
+    return t.orders.select("o_orderkey", L.image_of(F.col("o_orderkey") % 2 == 0, url).alias("image"))
 
 
 @query("SELECT 'o' AS source, o_orderkey AS id FROM orders UNION ALL SELECT 'l', l_orderkey FROM lineitem")
@@ -272,14 +284,13 @@ def except_sources(t):
 
 @query("SELECT event_id, upper(event_type[1:1]) || event_type[2:] AS label FROM events")
 def label_maps(t):
-    names = ("view", "click", "signup", "purchase", "error")
-    labels = F.create_map(*(F.lit(x) for n in names for x in (n, n.capitalize())))
-    return t.events.select("event_id", labels[F.col("event_type")].alias("label"))
+    labels = {n: n.capitalize() for n in ("view", "click", "signup", "purchase", "error")}
+    return t.events.select("event_id", T.label_map(F.col("event_type"), labels).alias("label"))
 
 
 @query("SELECT p_partkey, regexp_replace(p_name, '([aeiou]) ([a-z])', '\\1, \\2', 'g') AS fixed FROM part")
 def regex_fixes(t):
-    return t.part.select("p_partkey", F.regexp_replace("p_name", "([aeiou]) ([a-z])", "$1, $2").alias("fixed"))
+    return t.part.select("p_partkey", T.regex_fixes(F.col("p_name"), [("([aeiou]) ([a-z])", "$1, $2")]).alias("fixed"))
 
 
 @query("SELECT event_id, extract(hour FROM ts::TIMESTAMP) * 60 + extract(minute FROM ts::TIMESTAMP) AS minutes FROM events")
@@ -291,7 +302,7 @@ def clock_parse(t):
 @query("SELECT event_id, strftime(ts::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS at FROM events")
 def iso_parse(t):
     text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
-    return t.events.select("event_id", stamp(F.try_to_timestamp(text)).alias("at"))
+    return t.events.select("event_id", stamp(D.iso_parse(text)).alias("at"))
 
 
 @query("SELECT s_suppkey, s_suppkey % 2 = 0 AS stale FROM supplier")
@@ -302,10 +313,14 @@ def stale_source(t):
     return t.supplier.select("s_suppkey").join(found, "s_suppkey", "left").select("s_suppkey", F.coalesce("stale", F.lit(False)).alias("stale"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus <> 'F' THEN 'published' ELSE 'held' END AS state FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 AND o_orderstatus <> 'F' THEN 'published' ELSE 'held' END AS state, (o_orderkey % 2 = 0 AND NOT (o_orderkey % 3 = 0 AND o_orderstatus <> 'F')) AS ambiguous, o_orderkey % 3 <> 0 AS open FROM orders")
 def approve(t):
-    """Approved ids are published; cancelled ones stay held."""
-    return t.orders.select("o_orderkey", review.publish_state(F.col("o_orderstatus") == "F", F.col("o_orderkey") % 3 == 0, F.lit(True), F.lit(False)).alias("state"))
+    """Every third id gets a yes: it is published unless cancelled, and its open question is closed."""
+    k = F.col("o_orderkey")
+    records = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "cancelled").otherwise("active").alias("status"), F.lit(False).alias("approved"), F.lit("held").alias("publish_state"), (k % 2 == 0).alias("ambiguous"))
+    queue = t.orders.select("o_orderkey", F.lit(None).cast("timestamp").alias("resolved_at"))
+    after, closed = review.approve(records, queue, "o_orderkey", F.lit("1998-01-01").cast("timestamp"), ids=t.orders.where(k % 3 == 0))
+    return after.join(closed, "o_orderkey").select("o_orderkey", F.col("publish_state").alias("state"), "ambiguous", F.col("resolved_at").isNull().alias("open"))
 
 
 @query("SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'A' ELSE 'C' END AS tier, CASE WHEN s_suppkey % 5 = 0 THEN 7 ELSE 0 END AS expected_min FROM supplier WHERE s_suppkey % 9 <> 0")
@@ -313,16 +328,12 @@ def src_config_tables(t):
     """Registry documents into rows: defaults for what is left out, rows without a required field refused."""
     name = F.when(F.col("s_suppkey") % 9 != 0, F.col("s_name"))
     doc = F.to_json(F.struct(F.col("s_suppkey").alias("id"), name.alias("name"), F.when(F.col("s_suppkey") % 2 == 0, "A").alias("tier"), F.when(F.col("s_suppkey") % 5 == 0, 7).alias("expected_min")))
-    rows = t.supplier.select(doc.alias("doc")).select(F.from_json("doc", "id long, name string, tier string, expected_min int").alias("r")).select("r.*")
-    return rows.where("id IS NOT NULL AND name IS NOT NULL").na.fill({"tier": "C", "expected_min": 0})
+    return archive.registry(t.supplier.select(doc.alias("doc")), "doc", "id long, name string, tier string, expected_min int", ["id", "name"], {"tier": "C", "expected_min": 0})
 
 
 @query("SELECT 'big' AS section, rank, '- ' || o_orderkey || ' (' || o_orderpriority || ')' AS line FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5 UNION ALL SELECT 'counts', rank, event_type || ': ' || n FROM (SELECT event_type, count(*) AS n, row_number() OVER (ORDER BY event_type) AS rank FROM events GROUP BY 1)")
 def sink_report_rows(t):
     """Report sections as (section, rank, line) rows, ready to be written as text."""
-    from pyspark.sql import Window as W
-
-    big = t.orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5).withColumn("rank", F.row_number().over(W.orderBy(F.desc("o_totalprice"), "o_orderkey")).cast("long"))
-    lines = big.select(F.lit("big").alias("section"), "rank", F.format_string("- %s (%s)", "o_orderkey", "o_orderpriority").alias("line"))
-    kinds = t.events.groupBy("event_type").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(W.orderBy("event_type")).cast("long"))
-    return lines.unionByName(kinds.select(F.lit("counts").alias("section"), "rank", F.concat_ws(": ", "event_type", "n").alias("line")))
+    big = views.report_lines("big", t.orders, 5, F.format_string("- %s (%s)", "o_orderkey", "o_orderpriority"), F.desc("o_totalprice"), "o_orderkey")
+    kinds = views.count_by(t.events, "event_type")
+    return big.unionByName(views.report_lines("counts", kinds, None, F.concat_ws(": ", "event_type", "n"), "event_type"))
\ No newline at end of file

@@ -390,11 +390,23 @@ def venue_reresolve(t):
     return state.reresolve(rows, found.select(F.col("id").alias("c_custkey"), F.col("slug").alias("venue")), "c_custkey", "venue")
 
 
-@query("SELECT o_orderkey, o_orderkey % 7 = 0 AS shown FROM orders WHERE o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0)")
+@query("""SELECT CASE WHEN o_custkey % 3 = 0 THEN 'a' ELSE 'b' END AS source, o_orderkey AS id, o_orderpriority AS title, strftime(o_orderdate::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS start,
+  strftime(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::TIMESTAMP + INTERVAL 1 HOUR WHEN o_orderkey % 3 = 0 THEN date_trunc('day', o_orderdate::TIMESTAMP)::TIMESTAMP + INTERVAL 86399 SECOND ELSE o_orderdate::TIMESTAMP + INTERVAL 3 HOUR END, '%Y-%m-%d %H:%M:%S') AS "end",
+  CASE WHEN o_custkey % 2 = 1 THEN 'v:s' || o_custkey ELSE 'k:hall ' || o_custkey END AS venue_key, CASE WHEN o_custkey % 2 = 1 THEN 'City' ELSE 'Town' END AS city, CASE WHEN o_custkey % 2 = 1 THEN ['east'] ELSE ['home'] END AS regions,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'some longer marked up text' ELSE 'plain' END AS description, CASE WHEN o_orderpriority = '1-URGENT' THEN ['urgent'] ELSE ['other'] END AS categories, o_orderstatus = 'F' AS cancelled, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 2 END AS tier
+FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0""")
 def normalize(t):
-    """The projection of a raw record: blank titles and missing starts are refused, keys and times derived."""
-    from ..functions import text as T
+    """Orders as raw listings, odd customers' places resolved: every column of the record is compared."""
+    from ..operators import listings as L
 
-    raw = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select("o_orderkey", F.when(F.col("c_acctbal") > 0, F.concat(F.lit("<b>"), F.col("o_orderpriority"), F.lit("</b>"))).otherwise("<i> </i>").alias("title"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderdate")).alias("start"))
-    clean = raw.select("o_orderkey", T.clean_title(F.col("title")).alias("title"), "start").where("title <> '' AND start IS NOT NULL")
-    return clean.select("o_orderkey", ((F.col("o_orderkey") % 7 == 0) & (T.norm_key(F.col("title")) != "")).alias("shown"))
+    k = F.col("o_orderkey")
+    raw = t.orders.select(
+        F.when(F.col("o_custkey") % 3 == 0, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.when(k % 7 == 0, "<i> </i>").otherwise(F.concat(F.lit("<b>"), F.col("o_orderpriority"), F.lit("</b>"))).alias("title"),
+        F.when(k % 5 != 0, F.col("o_orderdate").cast("timestamp")).alias("starts"), F.when(k % 2 == 0, F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("ends"), (k % 3 == 0).alias("all_day"), F.lit(False).alias("time_tba"), F.lit("UTC").alias("zone"),
+        F.concat(F.lit("Hall "), F.col("o_custkey")).alias("venue_name"), F.lit("1 Main").alias("address"), F.lit("Town").alias("city"), F.array().cast("array<string>").alias("regions"), F.lit("plain").alias("description"), F.when(k % 11 == 0, F.lit("<p>some longer marked up text</p>")).alias("html"), F.lit(None).cast("string").alias("price"), F.lit("/e").alias("info_url"), (F.col("o_orderstatus") == "F").alias("cancelled"),
+    )
+    source = t.region.where("r_regionkey < 2").select(F.when(F.col("r_regionkey") == 0, "a").otherwise("b").alias("source"), F.when(F.col("r_regionkey") == 0, "A").otherwise("C").alias("tier"), (F.col("r_regionkey") == 1).alias("curated"), F.array(F.lit("home")).alias("source_regions"))
+    resolved = t.orders.where("o_custkey % 2 = 1").select(F.when(F.col("o_custkey") % 3 == 0, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.concat(F.lit("s"), F.col("o_custkey")).alias("slug"), F.lit("City").alias("place_city"), F.array(F.lit("east")).alias("place_regions"))
+    found = L.normalize(raw, source, resolved, [("urgent", ["urgent"])])
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return found.select("source", F.col("external_id").cast("long").alias("id"), "title", stamp("start"), stamp("end"), "venue_key", "city", "regions", "description", "categories", "cancelled", F.col("rank.tier").alias("tier"))
\ No newline at end of file

@@ -155,17 +155,15 @@ def json_flag(t):
 def list_or_object(t):
     """A field that is a list on odd ids and an object on even ones: the first entry either way."""
     raw = F.when(F.col("event_id") % 2 == 1, F.concat(F.lit("["), F.col("props"), F.lit("]"))).otherwise(F.col("props"))
-    v = F.try_parse_json(raw)
-    first = F.coalesce(F.try_variant_get(v, "$[0].k", "long"), F.try_variant_get(v, "$.k", "long"))
-    return t.events.select("event_id", first.alias("k"))
+    return t.events.select("event_id", T.first_of_list_or_object(raw, "k", "long").alias("k"))
 
 
 @query("SELECT event_id, 'view' AS kind FROM events WHERE event_type = 'view' UNION ALL SELECT event_id, 'click' FROM events WHERE event_type = 'click'")
 def json_walk(t):
     """Event nodes inside a @graph beside other nodes: only those whose @type ends in Event count."""
-    node = F.to_json(F.struct(F.array(F.struct(F.concat(F.initcap("event_type"), F.lit("Event")).alias("@type"), F.col("event_type").alias("name")), F.struct(F.lit("Place").alias("@type"), F.lit("x").alias("name"))).alias("@graph")))
-    nodes = t.events.where(F.col("event_type").isin("view", "click")).select("event_id", F.explode(F.from_json(node, "struct<`@graph`:array<struct<`@type`:string,name:string>>>")["@graph"]).alias("n"))
-    return nodes.where(F.col("n")["@type"].endswith("Event")).select("event_id", F.col("n.name").alias("kind"))
+    doc = F.to_json(F.struct(F.array(F.struct(F.concat(F.initcap("event_type"), F.lit("Event")).alias("@type"), F.col("event_type").alias("name")), F.struct(F.lit("Place").alias("@type"), F.lit("x").alias("name"))).alias("@graph")))
+    nodes = t.events.where(F.col("event_type").isin("view", "click")).select("event_id", F.explode(T.event_nodes(doc)).alias("n"))
+    return nodes.select("event_id", F.col("n.name").alias("kind"))
 
 
 @query("SELECT p_partkey, list_filter(string_split(p_name, ' '), lambda x: x <> 'red')[1:2] AS words FROM part")
@@ -180,8 +178,9 @@ def array_contains(t):
 
 @query("SELECT p_partkey AS external_id, p_name AS title, p_brand AS venue_name FROM part")
 def column_mapping(t):
-    mapping = {"external_id": "p_partkey", "title": "p_name", "venue_name": "p_brand"}
-    return t.part.select(*(F.col(v).alias(k) for k, v in mapping.items()))
+    from ..sources import readers
+
+    return readers.mapped(t.part, {"external_id": "p_partkey", "title": "p_name", "venue_name": "p_brand"})
 
 
 @query("SELECT l.p_partkey AS a, r.p_partkey AS b FROM part l JOIN part r ON l.p_brand = r.p_brand AND l.p_type = r.p_type AND l.p_partkey < r.p_partkey AND (len(list_filter(string_split(l.p_name, ' '), lambda x: NOT list_contains(string_split(r.p_name, ' '), x))) = 0 OR len(list_filter(string_split(r.p_name, ' '), lambda x: NOT list_contains(string_split(l.p_name, ' '), x))) = 0)")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import listings as L
 from ..operators import signals, views
 from .registry import query
 
@@ -17,13 +17,12 @@ _NOW = f"DATE '{AS_OF}'"
 
 
 def _upcoming(t, days: int = 7):
-    today = F.lit(AS_OF).cast("date")
-    return t.orders.where(_day().between(today, F.date_add(today, days)))
+    return t.orders.where(L.in_window(_day(), F.lit(AS_OF).cast("date"), days))
 
 
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderdate::DATE >= {_NOW}")
 def upcoming(t):
-    return t.orders.where(_day() >= F.lit(AS_OF).cast("date")).select("o_orderkey")
+    return L.upcoming(t.orders.withColumn("day", _day()), "day", F.lit(AS_OF).cast("date")).select("o_orderkey")
 
 
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 7")
@@ -33,7 +32,7 @@ def within_days(t):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('O', 'F') AND o_totalprice > 1000")
 def publishable(t):
-    return t.orders.where((F.col("o_totalprice") > 1000) & F.col("o_orderstatus").isin("O", "F")).select("o_orderkey")
+    return L.publishable(t.orders.withColumn("published", F.col("o_totalprice") > 1000), "published", "o_orderstatus", ["O", "F"]).select("o_orderkey")
 
 
 @query(f"SELECT o_orderkey FROM orders WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 30 ORDER BY o_orderdate, o_orderkey")
@@ -84,8 +83,8 @@ def series_rollup(t):
 
 @query(f"SELECT c_nationkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE >= {_NOW} GROUP BY 1")
 def venue_rollup(t):
-    j = t.orders.where(_day() >= F.lit(AS_OF).cast("date")).join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return j.groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    live = L.upcoming(t.orders.withColumn("day", _day()), "day", F.lit(AS_OF).cast("date")).withColumnRenamed("o_custkey", "c_custkey")
+    return views.count_by(L.attach(live, t.customer, "c_custkey", "inner"), "c_nationkey")
 
 
 @query(f"SELECT n_nationkey, count(o_orderkey) AS n, count(o_orderkey) = 0 AS noindex FROM nation LEFT JOIN (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 2) ON c_nationkey = n_nationkey GROUP BY 1")
@@ -102,10 +101,10 @@ def category_page(t):
 
 @query(f"SELECT o_custkey, last, CASE WHEN c_acctbal > 0 THEN '/n/' || c_nationkey ELSE '/' END AS target FROM (SELECT o_custkey, max(o_orderdate::DATE) AS last, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey WHERE n <= 5 AND last < {_NOW} - 30")
 def expire_redirect(t):
-    series = t.orders.groupBy("o_custkey").agg(F.max(_day()).alias("last"), F.count("*").alias("n"))
+    series = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(_day()).alias("last"), F.count("*").alias("n"))
     target = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("/n/"), F.col("c_nationkey"))).otherwise("/")
-    old = series.where((F.col("n") <= 5) & (F.col("last") < F.date_sub(F.lit(AS_OF).cast("date"), 30)))
-    return old.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_custkey", "last", target.alias("target"))
+    found = views.redirects(L.attach(series, t.customer, "c_custkey", "inner"), "last", "n", F.lit(AS_OF).cast("date"), target)
+    return found.select(F.col("c_custkey").alias("o_custkey"), "last", "target")
 
 
 @query("""WITH i AS (SELECT p_partkey, p_name AS title, lower(p_name || ' ' || p_brand || ' ' || p_type) AS hay FROM part), q AS (SELECT n_nationkey AS q, lower(split_part(p_name, ' ', 1)) AS a, lower(split_part(p_type, ' ', 1)) AS b FROM nation JOIN part ON p_partkey = n_nationkey + 1),
@@ -135,23 +134,29 @@ def sink_search_index(t):
     return series.unionByName(places)
 
 
-@query("SELECT o_orderkey, '{\"@type\":\"Event\",\"name\":\"' || o_orderpriority || '\",\"startDate\":\"' || strftime(o_orderdate::TIMESTAMP, '%Y-%m-%d') || '\"}' AS jsonld FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE n <= 10")
+@query("""SELECT o_orderkey, '{"@context":"https://schema.org","@type":"Event","name":"' || o_orderpriority || '","startDate":"' || strftime(o_orderdate::DATE, '%Y-%m-%d') || '","endDate":"' || strftime(o_orderdate::DATE + 1, '%Y-%m-%d') || '","eventStatus":"https://schema.org/' || CASE WHEN o_orderstatus = 'F' THEN 'EventCancelled' ELSE 'EventScheduled' END
+  || '","location":{"@type":"Place","name":"' || c_name || '","address":{"@type":"PostalAddress","addressLocality":"' || c_mktsegment || '"}}' || CASE WHEN o_orderkey % 4 = 0 THEN ',"offers":{"@type":"Offer","price":"12","url":"/e/' || o_orderkey || '"}' ELSE '' END || ',"url":"/e/' || o_orderkey || '"}' AS jsonld
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 0) JOIN customer ON o_custkey = c_custkey WHERE n <= 10""")
 def sink_event_jsonld(t):
-    best = signals.top_k(t.orders, ["o_custkey"], 10, "o_orderdate", "o_orderkey")
-    body = F.struct(F.lit("Event").alias("@type"), F.col("o_orderpriority").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("startDate"), F.lit(None).cast("string").alias("offers"))
-    return best.select("o_orderkey", F.to_json(body).alias("jsonld"))
+    best = signals.top_k(t.orders.where("o_orderkey % 2 = 0"), ["o_custkey"], 10, "o_orderdate", "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    price = F.when(F.col("o_orderkey") % 4 == 0, "12").otherwise("")
+    body = views.event_jsonld(F.col("o_orderpriority"), day("o_orderdate"), day(F.date_add("o_orderdate", 1)), F.when(F.col("o_orderstatus") == "F", "cancelled").otherwise("active"), F.col("c_name"), F.lit(""), F.col("c_mktsegment"), price, F.concat(F.lit("/e/"), F.col("o_orderkey")))
+    return best.select("o_orderkey", body.alias("jsonld"))
 
 
-@query("SELECT c_nationkey, list(c_custkey ORDER BY c_name, c_custkey) AS items FROM customer GROUP BY 1")
+@query("""SELECT s_nationkey, '{"@context":"https://schema.org","@type":"ItemList","name":"Suppliers","url":"/n/' || s_nationkey || '/","itemListElement":[' || string_agg('{"@type":"ListItem","position":' || n || ',"item":{"@type":"Place","name":"' || s_name || '","address":{"@type":"PostalAddress","addressLocality":"' || s_nationkey || '"}}}', ',' ORDER BY n) || ']}' AS jsonld
+FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_name, s_suppkey) AS n FROM supplier) GROUP BY 1""")
 def sink_itemlist_jsonld(t):
-    ranked = F.array_sort(F.collect_list(F.struct("c_name", "c_custkey")))
-    return t.customer.groupBy("c_nationkey").agg(F.transform(ranked, lambda s: s["c_custkey"]).alias("items"))
+    """A positioned list of each nation's suppliers."""
+    item = F.struct(F.lit("Place").alias("@type"), F.col("s_name").alias("name"), F.struct(F.lit("PostalAddress").alias("@type"), F.col("s_nationkey").cast("string").alias("addressLocality")).alias("address"))
+    return views.item_list_jsonld(t.supplier, "s_nationkey", ["s_name", "s_suppkey"], "Suppliers", F.concat(F.lit("/n/"), F.col("s_nationkey"), F.lit("/")), item)
 
 
 @query("SELECT '/series/' || o_custkey AS path, max(o_orderdate::DATE) AS lastmod FROM orders GROUP BY o_custkey UNION ALL SELECT '/venue/' || n_nationkey, NULL FROM nation")
 def sink_url_list(t):
-    series = t.orders.groupBy("o_custkey").agg(F.max(_day()).alias("lastmod")).select(F.concat(F.lit("/series/"), F.col("o_custkey")).alias("path"), "lastmod")
-    return series.unionByName(t.nation.select(F.concat(F.lit("/venue/"), F.col("n_nationkey")).alias("path"), F.lit(None).cast("date").alias("lastmod")))
+    series = t.orders.groupBy("o_custkey").agg(F.max(_day()).alias("lastmod"))
+    return views.url_list((series, "/series/", "o_custkey", F.col("lastmod")), (t.nation, "/venue/", "n_nationkey", F.lit(None)))
 
 
 @query("SELECT 'late' AS section, l_suppkey AS id, n, rank FROM (SELECT l_suppkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS rank FROM lineitem GROUP BY 1) WHERE rank <= 20 UNION ALL SELECT 'big', o_orderkey, NULL, rank FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders) WHERE rank <= 5")
@@ -163,49 +168,50 @@ def rpt_sections(t):
 
 @query("SELECT p_brand, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, p_brand) AS place FROM part WHERE p_size > 10 GROUP BY 1")
 def unknown_venue_rollup(t):
-    g = t.part.where("p_size > 10").groupBy("p_brand").agg(F.count("*").alias("n"))
-    return g.withColumn("place", F.row_number().over(W.orderBy(F.desc("n"), "p_brand")).cast("long"))
+    return views.ranked_counts(t.part.where("p_size > 10"), "p_brand")
 
 
 @query("SELECT (count(*) // 5 * 5)::VARCHAR || CASE WHEN count(*) % 5 > 0 THEN '+' ELSE '' END AS label FROM supplier WHERE s_acctbal > 0")
 def source_count_label(t):
-    n = F.count("*")
-    return t.supplier.where("s_acctbal > 0").agg(F.concat((F.floor(n / 5) * 5).cast("string"), F.when(n % 5 > 0, "+").otherwise("")).alias("label"))
+    return views.round_label(t.supplier.where("s_acctbal > 0"))
 
 
 @query("SELECT l_shipmode_like AS kind, count(*) AS n FROM (SELECT CASE WHEN l_shipdate > TIMESTAMP '1998-06-10' THEN 'upcoming' ELSE 'past' END AS l_shipmode_like FROM lineitem) GROUP BY 1")
 def page_counts(t):
     kind = F.when(F.col("l_shipdate") > F.lit(AS_OF).cast("timestamp"), "upcoming").otherwise("past")
-    return t.lineitem.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return views.count_by(t.lineitem.withColumn("kind", kind), "kind")
 
 
 @query("SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 20")
 def occ_venue_left(t):
-    occ = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return occ.join(t.nation.where("n_nationkey < 20"), F.col("n_nationkey") == F.col("c_nationkey"), "left").select("o_orderkey", "c_name", "n_name")
+    occ = L.attach(t.orders.withColumnRenamed("o_custkey", "c_custkey"), t.customer, "c_custkey", "inner")
+    return L.attach(occ.withColumnRenamed("c_nationkey", "n_nationkey"), t.nation.where("n_nationkey < 20"), "n_nationkey").select("o_orderkey", "c_name", "n_name")
 
 
 @query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey")
 def occ_series_join(t):
-    return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    return L.attach(t.orders.withColumnRenamed("o_custkey", "c_custkey"), t.customer, "c_custkey", "inner").select("o_orderkey", "c_name")
 
 
 @query("SELECT l_partkey, s_name, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2")
 def bridge_source_join(t):
-    return t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("l_partkey", "s_name").agg(F.count("*").alias("n"))
+    return views.count_by(L.attach(t.lineitem.withColumnRenamed("l_suppkey", "s_suppkey"), t.supplier, "s_suppkey", "inner"), "l_partkey", "s_name")
 
 
 @query("SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus = 'P'")
 def open_items(t):
-    queue = t.orders.where("o_orderstatus = 'P'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return queue.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"), "left").select("o_orderkey", "c_name", "n_name")
+    from ..operators import review
+
+    queue = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("resolved_at"))
+    records = L.attach(t.orders.withColumnRenamed("o_custkey", "c_custkey"), t.customer, "c_custkey", "inner").select("o_orderkey", "c_name", F.col("c_nationkey").alias("n_nationkey"))
+    return review.open_items(queue, records, t.nation, "o_orderkey", "n_nationkey").select("o_orderkey", "c_name", "n_name")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'weekly' ELSE c_mktsegment END AS cadence, c_custkey % 4 = 0 AS noted FROM customer")
 def notes_join(t):
     notes = t.customer.where("c_custkey % 4 = 0").select("c_custkey", F.lit("weekly").alias("note"))
-    j = t.customer.join(notes, "c_custkey", "left")
-    return j.select("c_custkey", F.coalesce("note", "c_mktsegment").alias("cadence"), F.col("note").isNotNull().alias("noted"))
+    j = L.label_of(t.customer, notes, "c_custkey", "note")
+    return j.select("c_custkey", L.first_filled(F.col("note"), default=F.col("c_mktsegment")).alias("cadence"), F.col("note").isNotNull().alias("noted"))
 
 
 _AREA = "CASE WHEN n_regionkey IN (0, 1) THEN 'core' WHEN n_regionkey = 2 THEN 'outer' END"
@@ -214,13 +220,13 @@ _AREA = "CASE WHEN n_regionkey IN (0, 1) THEN 'core' WHEN n_regionkey = 2 THEN '
 @query(f"SELECT n_nationkey, {_AREA} AS ring FROM nation")
 def ring_of(t):
     rings = t.region.where("r_regionkey < 3").select(F.col("r_regionkey").alias("n_regionkey"), F.when(F.col("r_regionkey") < 2, "core").otherwise("outer").alias("ring"))
-    return t.nation.join(rings, "n_regionkey", "left").select("n_nationkey", "ring")
+    return L.label_of(t.nation, rings, "n_regionkey", "ring").select("n_nationkey", "ring")
 
 
 @query("SELECT n_nationkey, r_name AS area FROM nation LEFT JOIN region ON r_regionkey = n_regionkey AND r_regionkey < 3")
 def area_of(t):
     areas = t.region.where("r_regionkey < 3").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("area"))
-    return t.nation.join(areas, "n_regionkey", "left").select("n_nationkey", "area")
+    return L.label_of(t.nation, areas, "n_regionkey", "area").select("n_nationkey", "area")
 
 
 _DRAW = "(NOT contains(p_name, 'tin') AND (contains(p_type, 'BRASS') OR p_size % 4 = 0 AND (p_size < 30 OR p_size % 3 = 0 OR p_size % 8 = 0)))"
@@ -249,12 +255,12 @@ def shows_on_site(t):
 
 @query("SELECT p_partkey FROM part WHERE NOT regexp_matches(lower(p_name), '^(red|blue)|steel$')")
 def skip_titles(t):
-    return t.part.where(~F.col("p_name").rlike("(?i)^(?:red|blue)|steel$")).select("p_partkey")
+    return L.without_titles(t.part, "p_name", ["^(?:red|blue)|steel$"]).select("p_partkey")
 
 
 @query("SELECT p_partkey FROM part WHERE NOT contains(p_name, 'green')")
 def cancel_filter(t):
-    return t.part.where(~F.col("p_name").rlike("(?i)green")).select("p_partkey")
+    return L.without_titles(t.part, "p_name", ["green"]).select("p_partkey")
 
 
 @query("SELECT event_id FROM events WHERE event_type = 'click' AND extract(hour FROM ts::TIMESTAMP) BETWEEN 16 AND 17 AND isodow(ts::TIMESTAMP) <= 5")
@@ -272,23 +278,23 @@ def open_today(t):
 
 @query("SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders WHERE o_orderdate::DATE + 2 >= DATE '2001-07-01' GROUP BY 1")
 def drop_ended(t):
-    return t.orders.where(F.date_add(_day(), 2) >= F.lit("2001-07-01").cast("date")).groupBy(_day().alias("day")).agg(F.count("*").alias("n"))
+    return views.count_by(L.not_ended(t.orders.withColumn("day", _day()), F.date_add(_day(), 2), F.lit("2001-07-01").cast("date")), "day")
 
 
 @query("SELECT o_orderkey, (o_orderstatus = 'O' AND o_orderkey % 2 = 0) AS multi_day FROM orders")
 def multi_day(t):
     ends = F.date_add(_day(), F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
-    return t.orders.select("o_orderkey", ((ends > _day()) & (F.col("o_orderstatus") == "O")).alias("multi_day"))
+    return t.orders.select("o_orderkey", L.multi_day(_day(), ends, F.col("o_orderstatus") == "O").alias("multi_day"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE 'x' END AS link FROM orders")
 def info_link(t):
     first = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).otherwise("")
     second = F.when(F.col("o_orderkey") % 3 == 1, F.col("o_orderstatus"))
-    return t.orders.select("o_orderkey", F.coalesce(F.nullif(first, F.lit("")), F.nullif(second, F.lit("")), F.lit("x")).alias("link"))
+    return t.orders.select("o_orderkey", L.first_filled(first, second, default=F.lit("x")).alias("link"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN [o_orderpriority] ELSE [o_orderstatus] END AS regions FROM orders")
 def regions_fallback(t):
     own = F.when(F.col("o_orderkey") % 3 == 0, F.array("o_orderpriority")).otherwise(F.array().cast("array<string>"))
-    return t.orders.select("o_orderkey", F.when(F.size(own) > 0, own).otherwise(F.array("o_orderstatus")).alias("regions"))
+    return t.orders.select("o_orderkey", L.regions_or(own, F.array("o_orderstatus")).alias("regions"))
\ No newline at end of file
