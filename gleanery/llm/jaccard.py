@@ -30,7 +30,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 4
 HASHES = BANDS * ROWS
 TOLERANCE = 1e-6
-BLOCK = 1024
+BLOCK = 512
 _CHUNK = 12
 _MULTIPLIER = (mix64(np.arange(1, HASHES + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _SHIFT = (mix64(np.arange(1001, HASHES + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
