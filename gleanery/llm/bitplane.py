@@ -72,12 +72,9 @@ def pack_file(doc_ids: list, lengths: list[int], ids: np.ndarray, bits: int = 1,
     return b"".join([head, docs, struct.pack("<I", len(index)), *index, *body])
 
 
-def unpack_file(payload: bytes) -> tuple[list, list[int], np.ndarray]:
-    """(document ids, id counts, all ids)"""
-    import zstandard
-
-    expand = zstandard.ZstdDecompressor().decompress
-    magic, _, bits, total, n_docs = struct.unpack_from("<4sIBQI", payload)
+def _index(payload: bytes):
+    """(plane bits, block size, ids, documents, blocks (ids, plane lengths), place of the first plane)"""
+    magic, block, bits, total, n_docs = struct.unpack_from("<4sIBQI", payload)
     if magic != MAGIC:
         raise ValueError("not a token-id file")
     at = struct.calcsize("<4sIBQI")
@@ -90,17 +87,32 @@ def unpack_file(payload: bytes) -> tuple[list, list[int], np.ndarray]:
         n, planes = struct.unpack_from("<IB", payload, at)
         blocks.append((n, struct.unpack_from(f"<{planes}I", payload, at + 5)))
         at += 5 + 4 * planes
-    parts = []
+    return bits, block, total, docs, blocks, at
+
+
+def read_ids(payload: bytes, start: int = 0, count: int | None = None) -> np.ndarray:
+    """Ids from ``start`` on, as many as asked for and there: only the blocks that hold them are expanded."""
+    import zstandard
+
+    expand = zstandard.ZstdDecompressor().decompress
+    bits, block, total, _, blocks, at = _index(payload)
+    stop = total if count is None else min(total, start + count)
+    parts, low = [np.zeros(0, np.uint32)], 0
     for n, sizes in blocks:
-        planes = []
-        for size in sizes:
-            planes.append(expand(payload[at : at + size]))
-            at += size
-        parts.append(from_planes(planes, n, bits))
-    ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    if len(ids) != total:
+        if low < stop and low + n > start:
+            ends = np.cumsum((at, *sizes)).tolist()
+            ids = from_planes([expand(payload[a:b]) for a, b in zip(ends[:-1], ends[1:])], n, bits)
+            parts.append(ids[max(0, start - low) : stop - low])
+        low, at = low + n, at + sum(sizes)
+    if low != total:
         raise ValueError("token-id file is cut short")
-    return [None if null else d for null, d, _ in docs], [n for *_, n in docs], ids
+    return np.concatenate(parts)
+
+
+def unpack_file(payload: bytes) -> tuple[list, list[int], np.ndarray]:
+    """(document ids, id counts, all ids)"""
+    docs = _index(payload)[3]
+    return [None if null else d for null, d, _ in docs], [n for *_, n in docs], read_ids(payload)
 
 
 def _encode(path: str, end_id: int, borders: list[int]):

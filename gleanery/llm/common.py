@@ -10,7 +10,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
 import uuid
 
 import numpy as np
@@ -23,22 +22,36 @@ SLICE_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; only where that is unset, one beside the warehouse."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="gleanery-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
 
 
+_stored: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, whoever is lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stored.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard_stored(spark: SparkSession) -> int:
+    """Delete the tables that this driver has stored, once no result that reads them is needed any more; how many there were."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    paths, _stored[:] = list(_stored), []
+    for path in paths:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(hadoop).delete(at, True)
+    return len(paths)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -183,3 +183,36 @@ def test_pipeline(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
     ran = corpus_pipeline.run(spark, d)
     assert sorted(map(tuple, ran.select("doc_id", "piece", "length").collect())) == sorted(map(tuple, packed.select("doc_id", "piece", "length").collect()))
+
+
+def test_pipeline_on_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    """Null rows, repeated ids and clashing columns through every stage; then empty tables."""
+    labels = spark.createDataFrame([(7, 1, 0), (13, 0, 1), (6, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int")
+    for name, docs, marks in (("odd", odd_docs, labels), ("none", no_docs, labels.where("false"))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        marks.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(got[0].__fields__ if got else {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"})
+        ids = {r.doc_id for r in got}
+        # 7 stays whole, 8 and 9 are copies of it, 12 keeps its own part, the rest is too short or (6, 10) repeats itself.
+        assert ids == ({7, 12} if name == "odd" else set())
+        assert len(got) == len({(r.doc_id, r.piece) for r in got})
+
+
+def test_repeated_ids_have_one_text(spark):
+    """Two texts under one id: copies and passages follow the least of them."""
+    rows = [(1, prose(70, 90)), (2, "zzz " + prose(71, 90)), (2, prose(70, 90)), (3, prose(71, 90))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    least = min(rows[1][1], rows[2][1])
+    copies = {r.doc_id: r.class_id for r in jaccard.near_duplicates(docs).collect()}
+    assert jaccard.near_duplicates(docs).count() == 4 and copies[2] == (1 if least == rows[2][1] else 2)
+    found = {r.doc_id for r in substring.repeated_passages(docs).collect()}
+    assert found == ({2} if least == rows[2][1] else {3})
+
+
+def test_stored_tables_can_be_discarded(spark):
+    from gleanery.llm import common
+
+    common.discard_stored(spark)
+    df = common.stored(spark.range(3).toDF("a"), "some")
+    assert df.count() == 3 and common.discard_stored(spark) == 1 and common.discard_stored(spark) == 0

@@ -183,3 +183,16 @@ def test_counts_stay_within_the_histogram():
         assert sum(pattern) == 2048 and n > 0
         np.add.at(used, list(pattern), n)
     assert (used <= h).all() and used.sum() > 0.25 * h.sum()
+
+
+def test_one_block_is_read_alone():
+    rng = np.random.default_rng(4)
+    ids = rng.integers(0, 50_000, 10_000).astype(np.uint32)
+    for bits in (1, 8):
+        payload = bitplane.pack_file([3], [10_000], ids, bits, block=1000)
+        for start, count in ((0, 10), (999, 2), (2500, 3100), (9990, 100), (10_000, 5)):
+            assert (bitplane.read_ids(payload, start, count) == ids[start : start + count]).all()
+        short = payload[:-50]  # the last block is cut; the others can still be read
+        assert (bitplane.read_ids(short, 1500, 4000) == ids[1500:5500]).all()
+        with pytest.raises(Exception):  # noqa: B017
+            bitplane.unpack_file(short)
