@@ -449,8 +449,8 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.where(F.col(id_column).isNotNull()).select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     rows = one_text_each(rows)
-    seeds = stored(rows.mapInArrow(tidy(_seeds), "seed long, doc long, pos int, again boolean"), "seeds")
-    # Both joins are between written tables, so Spark may split the partition of a hot seed.
+    # Seeds are many and cheap: they are made twice rather than written. Spark may split the partition of a hot seed.
+    seeds = rows.mapInArrow(tidy(_seeds), "seed long, doc long, pos int, again boolean")
     first = F.min_by("pos", F.when(~F.col("again"), F.col("doc")))
     shared = stored(seeds.groupBy("seed").agg(F.min("doc").alias("anchor"), F.max("doc").alias("last"), first.alias("apos")).where("anchor < last").select("seed", "anchor", "apos"), "anchors")
     met = stored(seeds.drop("again").join(shared, "seed"), "shared-seeds")
