@@ -125,7 +125,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id_column: str = "doc_id", a
     above = lambda c: F.greatest(*((F.col(r) > c * FACTORS[r]).cast("int") for r in RULES))
     counts = held.groupBy("stratum").agg(F.count("*").alias("n"), *(F.sum(above(c)).alias(f"k_{c}") for c in CUTOFFS))
     tests = F.explode(F.array(*(F.struct(F.lit(i).alias("step"), F.lit(c).alias("cutoff"), F.col(f"k_{c}").alias("k")) for i, c in enumerate(CUTOFFS))))
-    long = counts.select("stratum", "n", F.count("*").over(W.partitionBy(F.lit(0))).alias("strata"), tests.alias("x")).select("stratum", "n", "strata", "x.*")
+    # One row per stratum: counted before the steps multiply them.
+    counts = counts.withColumn("strata", F.count("*").over(W.partitionBy(F.lit(0))))
+    long = counts.select("stratum", "n", "strata", tests.alias("x")).select("stratum", "n", "strata", "x.*")
     tried = long.withColumn("fails", (binomial_tail(F.col("n"), F.col("k"), alpha) > F.lit(delta) / F.col("strata")).cast("int"))
     passed = tried.withColumn("failed", F.max("fails").over(W.partitionBy("stratum").orderBy("step"))).where("failed = 0")
     return passed.groupBy("stratum").agg(*((F.min("cutoff") * FACTORS[r]).alias(f"cut_{r}") for r in RULES))

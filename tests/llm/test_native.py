@@ -47,6 +47,15 @@ def test_cutoffs_hold_the_risk(spark):
     assert few.where("rule IS NOT NULL").count() == 0  # too few labels: no cutoff, nothing rejected
 
 
+def test_level_is_shared_by_the_strata_alone(spark):
+    """217 good documents without a rejection are enough at four strata (0.98 ** 217 <= 0.05 / 4), 210 are not."""
+    sizes = {"aa": 217, "bb": 210, "cc": 3, "dd": 3}
+    rows = [(i, "clean words here " * 10 + f"n{i}", lang) for i, lang in enumerate(x for x, n in sizes.items() for _ in range(n))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(rows))], "doc_id long, quality int, toxic int")
+    assert {r.stratum for r in quality.cutoffs(quality.measure(docs), labels).collect()} == {"aa"}
+
+
 def test_quality_edges(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(7, 1, 0), (13, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int")
     kept = {r.doc_id: r.kept for r in quality.quality_verdicts(odd_docs, labels).collect()}
@@ -57,13 +66,15 @@ def test_quality_edges(spark, odd_docs, no_docs):
 
 
 def test_quality_sql(spark):
-    d = "/root/testdata/sf0.001"
+    d = "/root/testdata/sf0.01"  # the smallest tables with labels enough for cutoffs
     con = duckdb.connect()
     for t in ("documents", "labels"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
     want = con.sql(quality.oracle_sql())
     got = queries.op3_quality_rules(spark, d)
-    assert sorted(tuple(r[c] for c in want.columns) for r in got.collect()) == sorted(want.fetchall())
+    found = got.collect()
+    assert sorted(tuple(r[c] for c in want.columns) for r in found) == sorted(want.fetchall())
+    assert any(not r.base_failed and not r.kept for r in found)  # the method itself rejects some
 
 
 def _minimax(sizes, shards):
