@@ -157,8 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS, cl
     hash of their id are taken, at most ``per_class`` of them and (beyond the first) ``class_bytes`` together.
     """
     marked = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(marked, "doc_id")
-    ids = known.groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text")).alias("bytes"))
+    # Only sizes travel here; texts are read again for the chosen few.
+    sizes = docs.where(F.col("text").isNotNull()).select("doc_id", F.octet_length("text").alias("bytes"))
+    ids = sizes.join(marked, "doc_id").groupBy("doc_id", "toxic").agg(F.max("bytes").alias("bytes"))
     ids = stored(ids.withColumn("turn", F.xxhash64(F.col("doc_id").cast("string"))), "labelled")
     rate = {r.toxic: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not rate.get(0) or not rate.get(1):
@@ -170,9 +171,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS, cl
             room -= r.bytes
             if i and room < 0:
                 break
-            chosen.append((r.doc_id,))
-    picked = docs.sparkSession.createDataFrame(chosen, f"doc_id {dict(docs.dtypes)['doc_id']}")
-    rows = known.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))  # at most 2 x per_class ids
+            chosen.append((r.doc_id, label))
+    picked = docs.sparkSession.createDataFrame(chosen, f"doc_id {dict(docs.dtypes)['doc_id']}, toxic int")  # at most 2 x per_class ids
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
+    rows = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
     found = rows.orderBy("doc_id").collect()
     return fit([r.text for r in found], np.array([r.toxic for r in found]), rate[1] / (rate[0] + rate[1]))
 
