@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,39 +83,33 @@ def dedup_moved(records: DataFrame, moved: DataFrame, never: DataFrame, m, id_:
     match is for review. Buckets don't touch each other, so a round handles each bucket's next record; there are as
     many rounds as the most moved records that one bucket has.
     """
-    from .match import match_best
+    from .match import _scored
 
     barred = never.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b")).distinct()
-    bans = F.collect_set("_o")
-    both = barred.select(F.col("_a").alias(id_), F.col("_b").alias("_o")).unionByName(barred.select(F.col("_b").alias(id_), F.col("_a").alias("_o"))).groupBy(id_).agg(bans.alias("_never"))
-    live = cut(records.join(both, id_, "left"))
-    todo = cut(live.join(moved.select(id_).distinct(), id_, "left_semi").select(id_, m.bucket))
-    free = replace(m, veto=f"a.{id_} = b.{id_} OR array_contains(a._never, b.{id_})" + (f" OR ({m.veto})" if m.veto else ""))
-    merges, unsure = [], []
-    while not todo.isEmpty():
-        turn = cut(todo.groupBy(m.bucket).agg(F.min(id_).alias(id_)))
-        own = live.join(turn.select(id_), id_, "left_semi")
-        near = live.join(turn.select(m.bucket), m.bucket, "left_semi")
-        found = match_best(own, near, free)
-        places = live.select(id_, "standing")
-        pair = found.where("decision = 'match'").join(places, id_).join(places.select(F.col(id_).alias("candidate"), F.col("standing").alias("_s")), "candidate")
-        ahead = F.struct("standing", id_) < F.struct(F.col("_s").alias("standing"), F.col("candidate").alias(id_))
-        merged = cut(pair.select(F.when(ahead, F.col("candidate")).otherwise(F.col(id_)).alias("drop"), F.when(ahead, F.col(id_)).otherwise(F.col("candidate")).alias("keep")))
-        merges.append(merged)
-        unsure.append(cut(found.where("decision = 'ambiguous'").select(id_, "candidate")))
-        gone = merged.select(F.col("drop").alias(id_))
-        live = cut(live.join(gone, id_, "left_anti"))
-        todo = cut(todo.join(turn.select(id_), id_, "left_anti").join(gone, id_, "left_anti"))
-    kind = dict(records.dtypes)[id_]
-    spark = records.sparkSession
-    out, open_ = spark.createDataFrame([], f"drop {kind}, keep {kind}"), spark.createDataFrame([], f"{id_} {kind}, candidate {kind}")
-    for x in merges:
-        out = out.unionByName(x)
-    for x in unsure:
-        open_ = open_.unionByName(x)
-    gone = out.select(F.col("drop").alias(id_))
-    kept = out.select(F.col("keep").alias(id_))  # a merge settles the question of the record that it keeps
-    return out, open_.join(gone, id_, "left_anti").join(kept, id_, "left_anti")
+    turns = moved.select(id_).distinct()
+    floor = min(m.match_threshold, m.ambiguous_floor)
+    near = _scored(records.join(turns, id_, "left_semi"), records, m, F.col(f"a.{id_}") != F.col(f"b.{id_}"), floor)
+    near = near.select(F.col(f"a.{id_}").alias("id"), F.col(f"b.{id_}").alias("other"), F.col(f"a.{m.bucket}").alias("bucket"), "score", F.col("a.standing").alias("s"), F.col("b.standing").alias("t"))
+    low, high = F.least("id", "other"), F.greatest("id", "other")
+    near = cut(near.join(barred, (low == F.col("_a")) & (high == F.col("_b")), "left_anti"))
+    # Only records with a near one have a turn to take; the others stay as they are.
+    state = cut(near.groupBy("id", "bucket").agg(F.lit(True).alias("waits")))
+    gone = cut(near.select("id").where("false").select(F.col("id").alias("drop"), F.col("id").alias("keep"), F.col("id").alias("turn")))
+    unsure = cut(near.select("id", F.col("other").alias("candidate")).where("false"))
+    while not state.where("waits").isEmpty():
+        turn = state.where("waits").groupBy("bucket").agg(F.min("id").alias("id"))
+        alive = near.join(turn.select("id"), "id", "left_semi").join(gone.select(F.col("drop").alias("other")), "other", "left_anti")
+        best = alive.groupBy("id").agg(F.min(F.struct((-F.col("score")).alias("n"), "other", "s", "t")).alias("c"))
+        best = cut(turn.join(best, "id", "left").select("id", F.col("c.other").alias("other"), m.decide(-F.col("c.n")).alias("decision"), (F.struct(F.col("c.s").alias("s"), F.col("id")) < F.struct(F.col("c.t").alias("s"), F.col("c.other").alias("id"))).alias("ahead")))
+        merged = best.where("decision = 'match'").select(F.when(F.col("ahead"), F.col("other")).otherwise(F.col("id")).alias("drop"), F.when(F.col("ahead"), F.col("id")).otherwise(F.col("other")).alias("keep"), F.col("id").alias("turn"))
+        gone = cut(gone.unionByName(merged))
+        unsure = cut(unsure.unionByName(best.where("decision = 'ambiguous'").select("id", F.col("other").alias("candidate"))))
+        done = best.select("id", F.lit(True).alias("_done")).unionByName(merged.select(F.col("drop").alias("id"), F.lit(True).alias("_done"))).distinct()
+        state = cut(state.join(done, "id", "left").select("id", "bucket", (F.col("waits") & F.col("_done").isNull()).alias("waits")))
+    # A merge settles the question of the record that it keeps, if that was asked before.
+    dropped, kept = gone.select(F.col("drop").alias("id")), gone.select("keep", "turn")
+    left = unsure.join(dropped, "id", "left_anti").join(kept, (F.col("keep") == F.col("id")) & (F.col("turn") > F.col("id")), "left_anti")
+    return gone.select("drop", "keep"), left.withColumnRenamed("id", id_)
 
 
 def reresolve(records: DataFrame, found: DataFrame, id_: str, place: str) -> DataFrame:
