@@ -234,4 +234,25 @@ def match_score(t):
     p = t.part.withColumns({"txt": F.when(F.col("p_partkey") % 9 != 0, F.col("p_name")).otherwise(""), "bucket": F.concat_ws("|", "p_brand", "p_size")})
     m = match.MatchSchema(text="txt", bucket="bucket", rank="p_retailprice", id="p_partkey")
     found = match.match_pairs(p, m).where("score = 0 OR score = 100")
-    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "score")
\ No newline at end of file
+    return found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"), "score")
+
+@query()
+def process_run(t):
+    """Orders as listings of five sources, a month and one of ten halls as day and place: the records of a whole run."""
+    from ..operators import run
+
+    k, hall = F.col("o_orderkey"), F.col("o_custkey") % 10
+    source = F.concat(F.lit("s"), F.col("o_custkey") % 5)
+    listed = t.orders.join(t.part.select(F.col("p_partkey").alias("_part"), "p_name"), k % 200 + 1 == F.col("_part"))
+    day = F.date_trunc("month", "o_orderdate").cast("timestamp")
+    none = F.lit(None).cast("string")
+    raw = listed.select(
+        source.alias("source"), k.cast("string").alias("external_id"), F.col("p_name").alias("title"), day.alias("starts"), F.lit(None).cast("timestamp").alias("ends"), F.lit(False).alias("all_day"), F.lit(False).alias("time_tba"), F.lit("UTC").alias("zone"),
+        F.concat(F.lit("Hall "), hall).alias("venue_name"), none.alias("address"), F.lit("Town").alias("city"), F.array().cast("array<string>").alias("regions"), F.col("o_orderpriority").alias("description"), none.alias("html"), F.when(k % 3 == 0, "$5").alias("price"), F.concat(F.lit("/e/"), k).alias("info_url"), (F.col("o_orderstatus") == "P").alias("cancelled"),
+    )
+    n = F.col("r_regionkey")
+    sources = t.region.select(F.concat(F.lit("s"), n).alias("source"), F.when(n == 0, "A").when(n < 3, "B").otherwise("C").alias("tier"), (n == 1).alias("curated"), F.array(F.lit("home")).alias("source_regions"), (n == 4).alias("venue_optional"), (n == 3).alias("under"))
+    resolved = listed.where(hall != 9).select(source.alias("source"), k.cast("string").alias("external_id"), F.concat(F.lit("hall-"), hall).alias("slug"), F.lit("Town").alias("place_city"), F.array(F.lit("home")).alias("place_regions"))
+    standing = t.region.where("false").select(F.lit("").alias("id"), F.lit("").alias("title_key"), F.lit("").alias("bucket"))
+    out = run.process_run(raw, sources, resolved, standing, [("red", ["red"])], F.lit(False))["records"]
+    return out.select(F.col("entity").alias("id"), "title", "day", "venue_key", "series", "independent_source_count", "curation_score", "price", "status", "venue_unknown", "source_underdelivered", "tier_c_only", "publish_state")
