@@ -127,21 +127,21 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFra
     Returns id, decision, leader (the record's own id if new or ambiguous), candidate and score of the best
     leader; equal scores go to existing leaders by id, then to founded ones in their order. A new record
     founds unless an earlier leader matches it, so each round decides the records all of whose earlier
-    matches are decided; then every record takes its best leader. Rounds are joins over the links.
+    matches are decided; then every record takes its best leader. Rounds are joins over the links of
+    those records that may found at all.
     """
     old, fresh = _filled(existing, m).withColumn("_old", F.lit(True)), _filled(new, m).withColumn("_old", F.lit(False))
     if m.rank not in old.columns:  # leaders that stand already have no rank among themselves
         old = old.withColumn(m.rank, F.lit(None).cast(dict(new.dtypes)[m.rank]))
     columns = list(dict.fromkeys([m.id, m.bucket, m.text, m.rank, "_old", *_veto_columns(old, fresh, m)]))
-    both = old.select(columns).unionByName(fresh.select(columns))
+    old, fresh = old.select(columns), fresh.select(columns)
+    heads = fresh if m.veto else cut(_heads(fresh, m))
     place = lambda side: F.struct((~F.col(f"{side}._old")).alias("new"), F.when(~F.col(f"{side}._old"), F.col(f"{side}.{m.rank}")).alias("rank"), F.col(f"{side}.{m.id}").alias("id"))
     earlier = place("b") < place("a")
-    floor = min(m.match_threshold, m.ambiguous_floor)
-    pairs = _scored(fresh.select(both.columns), both, m, earlier, floor)
-    links = cut(pairs.select(F.col(f"a.{m.id}").alias("id"), F.struct((-F.col("score")).alias("s"), place("b").alias("at")).alias("c"), F.col("b._old").alias("to_old"), F.col(f"b.{m.id}").alias("to"), "score"))
-    strong = links.where(F.col("score") >= m.match_threshold)
+    strong = _scored(heads, old.unionByName(heads), m, earlier, m.match_threshold)
+    strong = cut(strong.select(F.col(f"a.{m.id}").alias("id"), F.col("b._old").alias("to_old"), F.col(f"b.{m.id}").alias("to")))
     # leads: null while undecided
-    state = cut(fresh.select(F.col(m.id).alias("id"), F.lit(None).cast("boolean").alias("leads")))
+    state = cut(heads.select(F.col(m.id).alias("id"), F.lit(None).cast("boolean").alias("leads")))
     while True:
         other = strong.join(state.select(F.col("id").alias("to"), F.col("leads").alias("other")), "to", "left").withColumn("other", F.col("to_old") | F.col("other"))
         seen = other.groupBy("id").agg(F.bool_or("other").alias("taken"), F.bool_or(F.col("other").isNull()).alias("waits"))
@@ -149,12 +149,26 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFra
         state = cut(state.join(seen, "id", "left").select("id", leads.alias("leads")))
         if state.where("leads IS NULL").isEmpty():
             break
-    chosen = links.join(state.select(F.col("id").alias("to"), "leads"), "to", "left").where("to_old OR leads").groupBy("id").agg(F.min("c").alias("c"))
-    out = state.join(chosen, "id", "left").select("id", F.coalesce(-F.col("c.s"), F.lit(0.0)).alias("score"), F.col("c.at.id").alias("best"))
+    leaders = old.unionByName(heads.join(state.where("leads").select(F.col("id").alias(m.id)), m.id, "left_semi"))
+    pairs = _scored(fresh, leaders, m, earlier, min(m.match_threshold, m.ambiguous_floor))
+    chosen = pairs.select(F.col(f"a.{m.id}").alias("id"), F.struct((-F.col("score")).alias("s"), place("b").alias("at")).alias("c")).groupBy("id").agg(F.min("c").alias("c"))
+    out = fresh.select(F.col(m.id).alias("id")).join(chosen, "id", "left").select("id", F.coalesce(-F.col("c.s"), F.lit(0.0)).alias("score"), F.col("c.at.id").alias("best"))
     out = out.withColumn("decision", m.decide(F.col("score")))
     return out.select(F.col("id").alias(m.id), "decision", F.when(F.col("decision") == "match", F.col("best")).otherwise(F.col("id")).alias("leader"), F.when(F.col("decision") != "new", F.col("best")).alias("candidate"), F.when(F.col("decision") != "new", F.col("score")).alias("score"))
 
 
+def _heads(records: DataFrame, m: MatchSchema) -> DataFrame:
+    """Records that may found a group: of equal texts of a bucket the first alone, as the others match whatever it matches, or it.
+
+    Texts that don't match themselves (empty ones) keep all their records. Only without a veto.
+    """
+    text = F.coalesce(m.text, F.lit(""))
+    own = records.select(text.alias("_t")).distinct().withColumn("_one", (F.col("_t") != "") & (m.scorer(F.col("_t"), F.col("_t")) >= m.match_threshold))
+    marked = records.withColumn("_t", text).join(own, "_t")
+    first = marked.where("_one").groupBy(m.bucket, "_t").agg(F.min(m.order()).alias("o")).select(F.col("o.id").alias(m.id))
+    return marked.where("NOT _one").select(*records.columns).unionByName(records.join(first, m.id, "left_semi"))
+
+
 def _veto_columns(old: DataFrame, fresh: DataFrame, m: MatchSchema) -> list[str]:
     """Columns that the veto may read: those that both sides have."""
     named = {m.id, m.bucket, m.text, m.rank, "_old"}
