@@ -29,6 +29,8 @@ from .tokens import encoder
 MAGIC = b"GLBP"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
+#: Words a worker keeps the ids of.
+CACHED_WORDS = 350_000
 #: Text that one range of documents may hold, the unit of the sort.
 RANGE_BYTES = 128 << 20
 
@@ -122,7 +124,13 @@ def _encode(path: str, end_id: int, borders: list[int]):
     schema = pa.schema([("range", pa.int32()), ("doc_id", pa.int64()), ("width", pa.int8()), ("ids", pa.binary())])
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, CACHED_WORDS)
+        try:
+            yield from encoded(enc, batches)
+        finally:  # workers outlive their tasks
+            enc.clear()
+
+    def encoded(enc, batches):
         for batch in batches:
             _, off = utf8(batch.column("text"))
             for lo, hi in slices(off, 1 << 21):
