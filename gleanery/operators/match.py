@@ -55,7 +55,9 @@ def _text_scores(left: DataFrame, right: DataFrame, m: MatchSchema, floor: float
     """
     text = lambda df, name: df.select(F.col(m.bucket).alias("_bucket"), F.coalesce(m.text, F.lit("")).alias(name)).distinct()
     met = text(left, "_ta").join(text(right, "_tb"), "_bucket")
-    scored = met.select("_ta", "_tb").distinct().withColumn("score", F.when((F.col("_ta") == "") | (F.col("_tb") == ""), 0.0).otherwise(m.scorer(F.col("_ta"), F.col("_tb"))))
+    # Written first: a filter on the score would else be moved before distinct, and score every bucket's pairs.
+    different = cut(met.select("_ta", "_tb").distinct())
+    scored = different.withColumn("score", F.when((F.col("_ta") == "") | (F.col("_tb") == ""), 0.0).otherwise(m.scorer(F.col("_ta"), F.col("_tb"))))
     if floor is not None:
         scored = scored.where(F.col("score") >= floor)
     return met.join(scored, ["_ta", "_tb"])
