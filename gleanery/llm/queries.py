@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annsearch, bitplane, jaccard, langid, packing, pieces, quality, sharding, substring, toxicity
+from . import annsearch, bitplane, fingerprints, jaccard, langid, packing, pieces, quality, sharding, substring, toxicity
 from .common import fold, table
 
 
@@ -61,8 +61,13 @@ def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op9_substring_dedup, op10_bitplane_files)}
+def op12_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op9_substring_dedup, op10_bitplane_files, op12_imatch_fingerprints)}
 
 ORACLE_SQL = {
+    "op12_imatch_fingerprints": fingerprints.oracle_sql(),
     "op3_quality_rules": quality.oracle_sql(),
 }
