@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import annsearch, bitplane, fingerprints, jaccard, langid, packing, pieces, quality, sharding, substring, toxicity
+from . import annsearch, bitplane, fingerprints, jaccard, langid, negatives, packing, pieces, quality, repair, sharding, substring, toxicity
 from .common import fold, table
 
 
@@ -61,13 +61,24 @@ def op10_bitplane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplane.token_file_digest(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2)
 
 
+def op11_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = negatives.mine(negatives.shifted_labels(table(spark, sf_dir, "embeddings")), F.col("id") % 50 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def op12_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op9_substring_dedup, op10_bitplane_files, op12_imatch_fingerprints)}
+def op13_streamed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), present="present")
+
+
+QUERIES = {f.__name__: f for f in (op1_kneser_ney_language, op2_pattern_packing, op3_quality_rules, op4_projected_neighbours, op5_noisy_or_toxicity, op6_jaccard_join, op7_minimax_sharding, op8_nbest_pieces, op9_substring_dedup, op10_bitplane_files, op11_threshold_negatives, op12_imatch_fingerprints, op13_streamed_repair)}
 
 ORACLE_SQL = {
+    "op11_threshold_negatives": negatives.oracle_sql(),
     "op12_imatch_fingerprints": fingerprints.oracle_sql(),
+    "op13_streamed_repair": repair.oracle_sql(),
     "op3_quality_rules": quality.oracle_sql(),
 }
