@@ -51,7 +51,8 @@ class SortedLists:
         n = len(self.vectors)
         lists = np.flatnonzero(anchor)
         if not len(lists):  # every score is 0, and no list leads anywhere
-            met, scores = np.arange(n), np.zeros(n, np.int64)
+            met = np.flatnonzero((self.labels == label) == same)
+            scores = np.zeros(len(met), np.int64)
         else:
             weights = anchor[lists]
             down = weights > 0
