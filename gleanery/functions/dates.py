@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zoneinfo
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def with_valid_zone(df: DataFrame, column: str, zones: DataFrame, default: str =
     return df.join(known, column, "left").withColumn(column, F.when(F.col("_known"), F.col(column)).otherwise(F.lit(default))).drop("_known")
 
 
+def known_zone(zone: Column, default: str = DEFAULT_ZONE) -> Column:
+    """The zone if the system's time-zone data (a few hundred names) has it, else the default."""
+    return F.when(zone.isin(*sorted(zoneinfo.available_timezones())), zone).otherwise(F.lit(default))
+
+
 def to_utc(local: Column, zone: Column | str = DEFAULT_ZONE) -> Column:
     return F.to_utc_timestamp(local, zone)
 
@@ -32,9 +39,16 @@ def local_day(instant: Column, zone: Column | str = DEFAULT_ZONE) -> Column:
     return F.to_date(from_utc(instant, zone))
 
 
-def default_end(start: Column, all_day: Column) -> Column:
-    """Local end where a source gives none: the day's last second, or three hours on."""
-    return F.when(all_day, F.date_trunc("day", start) + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")).otherwise(start + F.expr("INTERVAL 3 HOURS"))
+def default_end(start: Column, all_day: Column, instant: Column | None = None) -> Column:
+    """End where a source gives none: the day's last second, or three hours on.
+
+    Without ``instant`` on the wall. With it (the start as an instant) the end is an instant too, at the offset that
+    the start had: three hours pass, and a day ends at 23:59:59 of that offset, whatever the clocks do meanwhile.
+    """
+    day_end = F.date_trunc("day", start) + F.expr("INTERVAL '23:59:59' HOUR TO SECOND")
+    if instant is None:
+        return F.when(all_day, day_end).otherwise(start + F.expr("INTERVAL 3 HOURS"))
+    return F.when(all_day, instant + (day_end - start)).otherwise(instant + F.expr("INTERVAL 3 HOURS"))
 
 
 def recent(start: Column, as_of: Column, days: int = 1) -> Column:
@@ -145,25 +159,6 @@ def time_label(start: Column, end: Column) -> Column:
     return F.when(end == "close", F.concat(a, F.lit("–close"))).when(shared, F.concat(F.regexp_replace(a, " [ap]m$", ""), F.lit("–"), b)).otherwise(F.concat(a, F.lit("–"), b))
 
 
-def recurrence(df: DataFrame, start: str, until: str, freq: str, interval: str, first: str, last: str, out: str = "day") -> DataFrame:
-    """One row per date of a DAILY, WEEKLY, MONTHLY or YEARLY rule inside [first, last]; other rules give the start alone."""
-    end = F.least(F.coalesce(F.col(until), F.col(last)), F.col(last))
-    step = F.coalesce(F.col(interval), F.lit(1))
-    days, months = {"DAILY": 1, "WEEKLY": 7}, {"MONTHLY": 1, "YEARLY": 12}
-    def counted(length: Column, n: int, add) -> Column:
-        last_step = F.greatest(F.lit(0), F.floor(length / (n * step)).cast("int"))
-        return F.transform(F.sequence(F.lit(0), last_step), lambda i: add(F.col(start), (i * n * step).cast("int")))
-
-    dates = F.array(F.col(start))
-    for rule, n in days.items():
-        dates = F.when(F.col(freq) == rule, counted(F.datediff(end, F.col(start)), n, F.date_add)).otherwise(dates)
-    for rule, n in months.items():
-        # A month without that day has no date.
-        every = counted(F.months_between(end, F.col(start)), n, F.add_months)
-        dates = F.when(F.col(freq) == rule, F.filter(every, lambda d: F.dayofmonth(d) == F.dayofmonth(F.col(start)))).otherwise(dates)
-    return df.withColumn(out, F.explode(dates)).where(F.col(out).between(F.col(first), F.col(last)) & (F.col(out) <= F.coalesce(F.col(until), F.col(last))))
-
-
 def weekday_set(token: Column) -> Column:
     """Weekday numbers of 'Friday and Saturday', 'Thurs/Fri/Sat' or 'Tues-Sat' (a range may wrap), ascending."""
     stems = F.array(*(F.lit(d.lower()) for d in DAYS))

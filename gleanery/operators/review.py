@@ -34,6 +34,13 @@ def blocking(tier_c: bool = False) -> Column:
     return out
 
 
+def state_counts(records: DataFrame, queue: DataFrame) -> DataFrame:
+    """One row: how many records are published and held (publish_state), how many rows the queue now asks (insert or update) and how many closed themselves (action)."""
+    states = records.agg(F.count_if(F.col("publish_state") == "published").alias("published"), F.count_if(F.col("publish_state") == "held").alias("held"))
+    asked = queue.agg(F.count_if(F.col("action").isin("insert", "update")).alias("queued"), F.count_if(F.col("action") == "resolve").alias("auto_resolved"))
+    return states.select("*", asked.select(F.struct("queued", "auto_resolved")).scalar().alias("q")).select("published", "held", "q.queued", "q.auto_resolved")
+
+
 def gate_counts(gated: DataFrame) -> DataFrame:
     """(gate, n): how many records each gate stops."""
     stopped = F.filter(F.array(*(F.when(F.col(g), F.lit(g)) for g in GATES)), lambda x: x.isNotNull())

@@ -63,9 +63,9 @@ def most_common(df: DataFrame, key: str, value: str, latest: str) -> DataFrame:
 
 
 def best_image(bridge: DataFrame, record: str, never: str) -> DataFrame:
-    """Best image of each record by source rank, never one of source ``never``; records without one stay, with null."""
+    """Best image of each record by effective tier, curation and bridge id, never one of source ``never``; records without one stay, with null."""
     usable = bridge.where((F.col("image_url") != "") & (F.col("source_id") != never))
-    best = first_of(usable, [record], tier_rank(F.col("tier")), ~F.col("curated"), "bridge_id").select(record, "image_url")
+    best = first_of(usable, [record], tier_rank(effective_tier(F.col("tier"), F.col("origin_tier"))), ~F.col("curated"), "bridge_id").select(record, "image_url")
     return bridge.select(record).distinct().join(best, record, "left")
 
 
@@ -88,9 +88,23 @@ def alerting(alerts: DataFrame) -> DataFrame:
     return alerts.where("kind <> 'skipped'")
 
 
-def run_stats(rows: DataFrame, kind: str) -> DataFrame:
-    """How many rows a run had of each kind."""
-    return rows.groupBy(kind).agg(F.count("*").alias("n"))
+def run_stats(listings: DataFrame) -> DataFrame:
+    """One row of a run's counters over its listings (known, decision): refreshed (their source row stood already), and of
+    the others merged, created (new or ambiguous) and ambiguous."""
+    fresh = ~F.col("known")
+    counter = {"refreshed": F.col("known"), "merged": fresh & (F.col("decision") == "match"), "created": fresh & (F.col("decision") != "match"), "ambiguous": fresh & (F.col("decision") == "ambiguous")}
+    return listings.agg(F.count("*").alias("listings"), *(F.count_if(c).alias(name) for name, c in counter.items()))
+
+
+def source_list(bridge: DataFrame, record: str) -> DataFrame:
+    """(record, links, sources): the ranked (name, url, tier) of its sources that have a link, and the ids of all.
+
+    bridge(record, source_id, name, url, tier, origin_tier, curated) has a row per record and source; a record's sources are few.
+    """
+    tier = effective_tier(F.col("tier"), F.col("origin_tier"))
+    entry = F.struct(tier_rank(tier).alias("rank"), (~F.col("curated")).alias("plain"), F.col("source_id").alias("id"), F.col("name").alias("name"), F.col("url").alias("url"), tier.alias("tier"))
+    linked = F.array_sort(F.collect_list(F.when(F.coalesce(F.col("url"), F.lit("")) != "", entry)))
+    return bridge.groupBy(record).agg(F.transform(linked, lambda s: F.struct(s["name"].alias("name"), s["url"].alias("url"), s["tier"].alias("tier"))).alias("links"), F.array_sort(F.collect_set("source_id")).alias("sources"))
 
 
 def any_source(bridge: DataFrame, record: str, kind: Column, out: str = "found") -> DataFrame:

@@ -40,14 +40,67 @@ def series_rollup(rows: DataFrame, series: str, day: str, id_: str, today: Colum
     at = F.struct(F.col(day).alias("day"), F.col(id_).alias("id"))
     live = F.col(day) >= today
     ids = lambda c: F.transform(c, lambda s: s["id"])
-    return rows.groupBy(series).agg(
-        ids(F.array_sort(F.collect_list(F.when(live, at)))).alias("upcoming"),
-        F.min(F.when(live, F.col(day))).alias("next"),
-        F.max(day).alias("last_end"),
-        ids(F.slice(F.sort_array(F.collect_list(F.when(~live, at)), asc=False), 1, past)).alias("past"),
+    # Only the latest past rows are ever collected; the cut is made before the shuffle too.
+    latest = top_rows(rows.where(~live), [series], past, F.desc(day), F.desc(id_))
+    kept = rows.where(live).select(series, at.alias("at"), F.lit(True).alias("live")).unionByName(latest.select(series, at.alias("at"), F.lit(False).alias("live")))
+    return kept.groupBy(series).agg(
+        ids(F.array_sort(F.collect_list(F.when(F.col("live"), F.col("at"))))).alias("upcoming"),
+        F.min(F.when(F.col("live"), F.col("at.day"))).alias("next"),
+        F.max("at.day").alias("last_end"),
+        ids(F.sort_array(F.collect_list(F.when(~F.col("live"), F.col("at"))), asc=False)).alias("past"),
     )
 
 
+def top_rows(rows: DataFrame, key: list[str], k: int, *order) -> DataFrame:
+    """The first k rows of each key."""
+    return rows.withColumn("_n", F.row_number().over(W.partitionBy(*key).orderBy(*order))).where(F.col("_n") <= k).drop("_n")
+
+
+def description_pick(rows: DataFrame, series: str, text: str, day: str, id_: str, today: Column) -> DataFrame:
+    """(series, description): the text of its next row that has one, else of its latest past row."""
+    live = F.col(day) >= today
+    order = F.struct((~live).alias("past"), F.abs(F.datediff(day, today)).alias("far"), F.col(id_).alias("id"))
+    return rows.groupBy(series).agg(F.min_by(text, F.when(F.coalesce(F.col(text), F.lit("")) != "", order)).alias("description"))
+
+
+def place_rollup(rows: DataFrame, place: str, day: str, id_: str, today: Column, past: int = 30) -> DataFrame:
+    """Per place: how many rows are to come, and its latest past ids."""
+    live = F.col(day) >= today
+    latest = top_rows(rows.where(~live), [place], past, F.desc(day), F.desc(id_))
+    kept = rows.where(live).select(place, F.lit(True).alias("live"), day, id_).unionByName(latest.select(place, F.lit(False).alias("live"), day, id_))
+    gone = F.sort_array(F.collect_list(F.when(~F.col("live"), F.struct(day, id_))), asc=False)
+    return kept.groupBy(place).agg(F.count_if("live").alias("upcoming"), F.transform(gone, lambda s: s[id_]).alias("past"))
+
+
+def place_index(rollup: DataFrame, name: str) -> DataFrame:
+    """Places with rows to come, most first, then by name. The index is one page: a row per place."""
+    return rollup.where("upcoming > 0").withColumn("place", F.row_number().over(W.orderBy(F.desc("upcoming"), name)).cast("long"))
+
+
+def list_pages(defs: DataFrame, rows: DataFrame, page: str, id_: str) -> DataFrame:
+    """Every page of defs(page, kind, values) with its number of rows; pages without any are not to be indexed.
+
+    kind ``city`` holds rows whose city, whatever its case, is among the values, ``category`` those with one of the categories,
+    ``free`` those that are free. rows(id, city, categories, is_free).
+    """
+    keys = F.concat(F.array(F.concat(F.lit("city:"), F.lower(F.coalesce("city", F.lit(""))))), F.transform("categories", lambda c: F.concat(F.lit("category:"), c)), F.when(F.col("is_free"), F.array(F.lit("free:"))).otherwise(F.array().cast("array<string>")))
+    held = rows.select(id_, F.explode(F.array_distinct(keys)).alias("_key"))
+    wanted = F.when(F.col("kind") == "free", F.array(F.lit("free:"))).otherwise(F.transform("values", lambda v: F.concat_ws(":", "kind", F.when(F.col("kind") == "city", F.lower(v)).otherwise(v))))
+    asked = defs.select(page, F.explode(wanted).alias("_key"))
+    # A row counts once on a page however many of its values it has.
+    counted = asked.join(held, "_key").select(page, id_).distinct().groupBy(page).agg(F.count("*").alias("n"))
+    return defs.select(page).join(counted, page, "left").select(page, F.coalesce("n", F.lit(0)).cast("long").alias("n")).withColumn("noindex", F.col("n") == 0)
+
+
+def page_counts(**pages: DataFrame) -> DataFrame:
+    """(kind, n): the different pages of each kind; the first column of each table names its pages."""
+    out = None
+    for kind, rows in pages.items():
+        own = rows.select(F.lit(kind).alias("kind"), F.col(rows.columns[0]).cast("string").alias("page"))
+        out = own if out is None else out.unionByName(own)
+    return out.groupBy("kind").agg(F.count_distinct("page").alias("n"))
+
+
 def pages(defs: DataFrame, rows: DataFrame, key: list[str], id_: str) -> DataFrame:
     """Every defined page with its number of rows; pages without any are not to be indexed."""
     counted = rows.groupBy(*key).agg(F.count(id_).alias("n"))
@@ -125,9 +178,12 @@ def url_list(*parts: tuple[DataFrame, str, str, Column]) -> DataFrame:
     return out
 
 
-def redirects(series: DataFrame, last: str, n: str, today: Column, target: Column, days: int = 30, most: int = 5) -> DataFrame:
-    """Small series whose last day is long past, with the page that takes their visitors."""
-    return series.where((F.col(n) <= most) & (F.col(last) < F.date_sub(today, days))).withColumn("target", target)
+def redirects(series: DataFrame, today: Column, target: Column, days: int = 30) -> DataFrame:
+    """One-off series with nothing to come whose last day is more than so many days past, with the page that takes their visitors.
+
+    series(cadence, next, last_end).
+    """
+    return series.where((F.col("cadence") == "one_off") & F.col("next").isNull() & (F.datediff(today, "last_end") > days)).withColumn("target", target)
 
 
 def report_lines(name: str, rows: DataFrame, k: int | None, line: Column, *order) -> DataFrame:

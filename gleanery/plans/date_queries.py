@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
+from ..functions.recurrence import expand
 from ..operators import listings as L
 from .registry import query
 
@@ -46,23 +47,23 @@ def default_end(t):
     return t.orders.select("o_orderkey", iso(D.default_end(F.col("o_orderdate"), F.col("o_orderstatus") == "O")).alias("ends"))
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS starts, (o_orderkey % 2 = 0) AS all_day FROM orders WHERE o_orderkey % 2 = 1 OR o_orderdate::TIMESTAMP = date_trunc('day', o_orderdate::TIMESTAMP)")
+@query("SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 2 = 1 THEN o_orderdate::TIMESTAMP ELSE date_trunc('day', o_orderdate::TIMESTAMP) END, '%Y-%m-%d %H:%M:%S') AS starts, (o_orderkey % 2 = 0) AS all_day FROM orders")
 def parse_local(t):
     wall = F.when(F.col("o_orderkey") % 2 == 1, F.date_format("o_orderdate", "MMMM d, yyyy h:mm a")).otherwise(F.date_format("o_orderdate", "MMMM d, yyyy"))
     p = D.parse_local(wall, F.lit("2001-08-01 00:00:00").cast("timestamp"))
-    whole = F.col("o_orderdate") == F.date_trunc("day", "o_orderdate")
-    return t.orders.where((F.col("o_orderkey") % 2 == 1) | whole).select("o_orderkey", p.alias("p")).select("o_orderkey", iso(F.col("p.start")).alias("starts"), F.col("p.all_day").alias("all_day"))
+    return t.orders.select("o_orderkey", p.alias("p")).select("o_orderkey", iso(F.col("p.start")).alias("starts"), F.col("p.all_day").alias("all_day"))
 
 
 _HOURS = "((o_orderkey % 12) + 1)"
 
 
-@query(f"SELECT o_orderkey, (o_orderdate::DATE + to_hours(CAST(12 + {_HOURS} % 12 AS INT)))::VARCHAR AS starts, (o_orderdate::DATE + to_hours(CAST(12 + {_HOURS} % 12 + 2 AS INT)))::VARCHAR AS ends FROM orders WHERE {_HOURS} <= 9")
+@query(f"SELECT o_orderkey, strftime(o_orderdate::DATE + to_hours(CAST(12 + {_HOURS} % 12 AS INT)), '%Y-%m-%d %H:%M:%S') AS starts, strftime(o_orderdate::DATE + to_hours(CAST(12 + ({_HOURS} + 2) % 12 AS INT)) + CASE WHEN ({_HOURS} + 2) % 12 < {_HOURS} % 12 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y-%m-%d %H:%M:%S') AS ends FROM orders")
 def parse_time_range(t):
+    """'10 - 12:00 pm', '11 - 1:00 pm': an end before the start is the next day's."""
     h = F.col("o_orderkey") % 12 + 1
-    text = F.concat(h.cast("string"), F.lit(" - "), (h + 2).cast("string"), F.lit(":00 pm"))
+    text = F.concat(h.cast("string"), F.lit(" - "), ((h + 1) % 12 + 1).cast("string"), F.lit(":00 pm"))
     p = D.parse_time_range(text, F.to_date("o_orderdate"))
-    return t.orders.where(h <= 9).select("o_orderkey", p.alias("p")).select("o_orderkey", iso(F.col("p.start")).alias("starts"), iso(F.col("p.end")).alias("ends"))
+    return t.orders.select("o_orderkey", p.alias("p")).select("o_orderkey", iso(F.col("p.start")).alias("starts"), iso(F.col("p.end")).alias("ends"))
 
 
 @query("SELECT o_orderkey, o_orderdate::DATE AS d1, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate::DATE ELSE (o_orderdate::DATE + 2) END AS d2 FROM orders")
@@ -135,11 +136,50 @@ def span_filter(t):
     return j.where(L.short_enough(F.col("o_orderdate"), F.col("l_shipdate"), 30)).select("l_orderkey", "l_linenumber")
 
 
-@query("SELECT o_orderkey, unnest(generate_series(o_orderdate::DATE, DATE '2001-12-31', INTERVAL 14 DAY))::DATE AS day FROM orders WHERE o_orderdate::DATE > DATE '2001-01-01'")
+#: A rule of each kind, by the order's key modulo their number. The last has its third date left out.
+RULES = (
+    None,
+    "FREQ=DAILY;INTERVAL=3;COUNT=500",
+    "FREQ=WEEKLY;BYDAY=MO,WE;COUNT=170",
+    "FREQ=WEEKLY;INTERVAL=2;UNTIL=19990215T235959Z",
+    "FREQ=MONTHLY;INTERVAL=2",
+    "FREQ=MONTHLY;BYDAY=2TU,-1FR",
+    "FREQ=YEARLY;COUNT=5",
+    "FREQ=YEARLY;BYMONTH=2,3;BYDAY=5MO,1SU",
+    "FREQ=DAILY;BYDAY=SA,SU;INTERVAL=5",
+    "FREQ=WEEKLY",
+)
+RULE = f"(o_orderkey % {len(RULES)})"
+#: Every day from an order to the end of the window, and which rule picks it, said day by day.
+RULE_DAYS = f"""
+d AS (SELECT o_orderkey, o_orderdate::DATE AS s, unnest(generate_series(o_orderdate::DATE, DATE '1999-03-31', INTERVAL 1 DAY))::DATE AS day FROM orders WHERE o_orderdate::DATE <= DATE '1999-03-31'),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY day) AS nth FROM d WHERE CASE {RULE}
+    WHEN 0 THEN day = s
+    WHEN 1 THEN (day - s) % 3 = 0
+    WHEN 2 THEN isodow(day) IN (1, 3)
+    WHEN 3 THEN isodow(day) = isodow(s) AND (day - s) % 14 = 0 AND day <= DATE '1999-02-15'
+    WHEN 4 THEN day(day) = day(s) AND datediff('month', s, day) % 2 = 0
+    WHEN 5 THEN (isodow(day) = 2 AND day(day) BETWEEN 8 AND 14) OR (isodow(day) = 5 AND day(day) > day(last_day(day)) - 7)
+    WHEN 6 THEN day(day) = day(s) AND month(day) = month(s)
+    WHEN 7 THEN month(day) IN (2, 3) AND ((isodow(day) = 1 AND day(day) > 28) OR (isodow(day) = 7 AND day(day) <= 7))
+    WHEN 8 THEN (day - s) % 5 = 0 AND isodow(day) > 5
+    ELSE (day - s) % 7 = 0 END),
+r AS (SELECT o_orderkey, s, day FROM p WHERE nth <= CASE {RULE} WHEN 1 THEN 500 WHEN 2 THEN 170 WHEN 6 THEN 5 ELSE 100000 END AND NOT ({RULE} = 9 AND day = s + 14) AND day >= DATE '1999-01-01')
+"""
+
+
+def rule_of(key):
+    """The rule text of a key."""
+    return F.get(F.array(*map(F.lit, RULES)), (key % len(RULES)).cast("int"))
+
+
+@query(f"WITH {RULE_DAYS} SELECT o_orderkey, day FROM r")
 def exp_recurrence(t):
-    """Every second week from each late order to the end of the window."""
-    rules = t.orders.where("to_date(o_orderdate) > DATE '2001-01-01'").select("o_orderkey", F.to_date("o_orderdate").alias("start"), F.lit(None).cast("date").alias("until"), F.lit("WEEKLY").alias("freq"), F.lit(2).alias("every"), F.lit("2001-01-01").cast("date").alias("first"), F.lit("2001-12-31").cast("date").alias("last"))
-    return D.recurrence(rules, "start", "until", "freq", "every", "first", "last").select("o_orderkey", "day")
+    """Ten kinds of rules, of which some began years before the window."""
+    rules = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("start"), rule_of(F.col("o_orderkey")).alias("rrule"))
+    rules = rules.withColumn("gone", F.when(F.col("o_orderkey") % len(RULES) == 9, F.array(F.date_add("start", 14))))
+    return expand(rules, "start", "rrule", "gone", F.lit("1999-01-01").cast("date"), F.lit("1999-03-31").cast("date")).select("o_orderkey", "day")
 
 
 @query("SELECT o_orderkey, list_sort(list_distinct([isodow(o_orderdate::DATE) - 1, CAST(o_orderkey % 7 AS BIGINT)])) AS days FROM orders")

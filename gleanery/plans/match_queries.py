@@ -123,10 +123,17 @@ def curation_score(t):
     return signals.evidence_counts(bridge.join(sources, "source_id"), "part", "source_id", F.col("source_id") % 7 == F.col("part") % 7).select("part", "curation_score")
 
 
-@query(_SOURCES + "SELECT part, list(DISTINCT source_id ORDER BY source_id) AS sources FROM b GROUP BY part")
+@query(_SOURCES + """, d AS (SELECT part, source_id, min(tr) AS tr, any_value(curated) AS curated FROM b GROUP BY 1, 2)
+SELECT part, string_agg('s' || source_id || '|/s/' || source_id || '|' || CASE tr WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END, ';' ORDER BY tr, NOT curated, source_id) FILTER (source_id % 2 = 1) AS links,
+  list(source_id ORDER BY source_id) AS sources FROM d GROUP BY part""")
 def source_list(t):
+    """Ranked links of a part's suppliers; those with an even key have none."""
     bridge, sources = _evidence(t)
-    return bridge.join(sources, "source_id").groupBy("part").agg(F.array_sort(F.collect_set("source_id")).alias("sources"))
+    own = bridge.groupBy("part", "source_id").agg(F.max("origin_tier").alias("origin_tier")).join(sources, "source_id")
+    own = own.withColumns({"name": F.concat(F.lit("s"), "source_id"), "url": F.when(F.col("source_id") % 2 == 1, F.concat(F.lit("/s/"), "source_id"))})
+    found = signals.source_list(own, "part")
+    links = F.array_join(F.transform("links", lambda s: F.concat_ws("|", s["name"], s["url"], s["tier"])), ";")
+    return found.select("part", F.nullif(links, F.lit("")).alias("links"), "sources")
 
 
 @query(_SOURCES + "SELECT part, bool_or(source_id = 7) AS found FROM b GROUP BY part")
@@ -135,10 +142,12 @@ def any_source_type(t):
     return signals.any_source(bridge, "part", F.col("source_id") == 7)
 
 
-@query(_SOURCES + ", i AS (SELECT part, arg_min(source_id, (CASE WHEN tr = 0 AND s.tr IS NULL THEN 0 ELSE s.tr END, NOT s.curated, source_id)) AS source_id FROM (SELECT DISTINCT l_partkey AS part, l_suppkey AS source_id FROM lineitem) d JOIN s USING (source_id) WHERE source_id <> 7 AND source_id % 2 = 0 GROUP BY part) SELECT DISTINCT l_partkey AS part, CASE WHEN i.source_id IS NOT NULL THEN 'img' || i.source_id END AS image_url FROM lineitem LEFT JOIN i ON i.part = l_partkey".replace("CASE WHEN tr = 0 AND s.tr IS NULL THEN 0 ELSE s.tr END", "s.tr"))
+@query(_SOURCES + """, d AS (SELECT part, source_id, min(tr) AS tr, any_value(curated) AS curated FROM b GROUP BY 1, 2),
+i AS (SELECT part, arg_min(source_id, (tr, NOT curated, source_id)) AS source_id FROM d WHERE source_id <> 7 AND source_id % 2 = 0 GROUP BY part)
+SELECT DISTINCT d.part, CASE WHEN i.source_id IS NOT NULL THEN 'img' || i.source_id END AS image_url FROM d LEFT JOIN i ON i.part = d.part""")
 def assign_images(t):
     bridge, sources = _evidence(t)
-    own = bridge.select("part", "source_id").distinct().join(sources, "source_id").withColumn("bridge_id", F.col("source_id"))
+    own = bridge.groupBy("part", "source_id").agg(F.max("origin_tier").alias("origin_tier")).join(sources, "source_id").withColumn("bridge_id", F.col("source_id"))
     own = own.withColumn("image_url", F.when(F.col("source_id") % 2 == 0, F.concat(F.lit("img"), F.col("source_id"))).otherwise(""))
     return signals.best_image(own, "part", 7)
 

@@ -10,8 +10,9 @@ from ..functions import dates as D
 from ..functions import text as T
 from ..operators import listings as L
 from ..operators import review, signals, tables, venues, views
-from ..sources import archive
+from ..sources import archive, calendars, jsonld
 from ..sources import readers as R
+from .date_queries import RULE_DAYS, rule_of
 from .registry import query
 
 
@@ -49,21 +50,84 @@ def src_civicplus(t):
     return found.select("external_id", "title", stamp("starts").alias("starts"))
 
 
-@query(f"SELECT 'u' || o_orderkey AS uid, o_orderpriority AS title, {_AT} AS starts, CASE WHEN o_orderkey % 2 = 0 THEN 'WEEKLY' END AS freq FROM orders")
-def src_ics(t):
-    rule = F.when(F.col("o_orderkey") % 2 == 0, F.lit("RRULE:FREQ=WEEKLY;COUNT=4\r\n")).otherwise("")
-    event = F.concat(F.lit("BEGIN:VEVENT\r\nUID:u"), F.col("o_orderkey"), F.lit("\r\nSUMMARY:"), F.substring("o_orderpriority", 1, 3), F.lit("\r\n "), F.expr("substring(o_orderpriority, 4)"), F.lit("\r\nDTSTART;TZID=America/Chicago:"), F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss"), F.lit("\r\n"), rule, F.lit("END:VEVENT\r\n"))
-    calendars = t.orders.groupBy("o_custkey").agg(F.array_join(F.collect_list(event), "").alias("body"))
-    return R.ics(calendars, "body").select("uid", "title", stamp("starts").alias("starts"), "freq")
+_ICS_TIMES = """CASE WHEN o_orderkey % 10 <> 0 AND o_orderkey % 3 = 0 THEN '00:00:00' ELSE strftime(o_orderdate::TIMESTAMP, '%H:%M:%S') END"""
+_ICS_LOCAL = f"((o_orderdate::TIMESTAMP AT TIME ZONE 'UTC') AT TIME ZONE '{D.DEFAULT_ZONE}')"
 
 
-@query("SELECT '/e/' || o_orderkey || ':' || o_orderdate::DATE AS external_id, o_orderpriority AS title, CASE WHEN o_orderkey % 5 = 0 THEN 'Free' ELSE '$12' END AS price FROM orders")
+@query(f"""
+WITH {RULE_DAYS},
+o AS (SELECT *, o_orderkey % 10 <> 0 AND o_orderkey % 3 = 0 AS whole, o_orderkey % 5 AS k FROM orders),
+e AS (
+  SELECT o_orderkey, day, o_orderpriority AS title, CASE WHEN whole THEN day::TIMESTAMP ELSE day + o_orderdate::TIME END AS starts
+  FROM r JOIN o USING (o_orderkey) WHERE o_orderkey % 10 <> 0 AND NOT (o_orderkey % 10 = 9 AND day = s + 21)
+  UNION ALL SELECT o_orderkey, {_ICS_LOCAL}::DATE, o_orderpriority, {_ICS_LOCAL} FROM o WHERE o_orderkey % 10 = 0
+  UNION ALL SELECT o_orderkey, o_orderdate::DATE + 22, 'Moved ' || o_orderpriority, CASE WHEN whole THEN (o_orderdate::DATE + 22)::TIMESTAMP ELSE o_orderdate::TIMESTAMP + INTERVAL 22 DAY END FROM o WHERE o_orderkey % 10 = 9)
+SELECT 'u' || o_orderkey || ':' || day AS external_id, replace(e.title, 'LOW', 'Low') AS title, strftime(starts, '%Y-%m-%d %H:%M:%S') AS starts,
+  strftime(starts + CASE WHEN whole THEN to_days(CAST(k AS INT)) + INTERVAL '23:59:59' ELSE to_days(CAST(k AS INT)) + INTERVAL 2 HOUR END, '%Y-%m-%d %H:%M:%S') AS ends, whole AS all_day, 'Hall ' || o_custkey || ', 1 Main' AS venue_name
+FROM e JOIN o USING (o_orderkey)
+WHERE day BETWEEN DATE '1999-01-01' AND DATE '1999-03-31' AND regexp_matches(lower(e.title), 'medium|low') AND o_custkey % 4 <> 0 AND k <= 3
+""")
+def src_ics(t):
+    """A calendar per customer with rules of every kind, days left out and moved, whole days, UTC times, folded lines."""
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    whole, zulu = (key % 10 != 0) & (key % 3 == 0), key % 10 == 0
+    k = (key % 5).cast("int")
+
+    def lines(start, end, title, more):
+        stamp = lambda name, c, d: F.when(whole, F.concat(F.lit(f"{name};VALUE=DATE:"), F.date_format(d, "yyyyMMdd"))).when(zulu, F.concat(F.lit(f"{name}:"), F.date_format(c, "yyyyMMdd'T'HHmmss'Z'"))).otherwise(F.concat(F.lit(f"{name};TZID=America/Chicago:"), F.date_format(c, "yyyyMMdd'T'HHmmss")))
+        place = F.when(F.col("o_custkey") % 4 == 0, "Park").otherwise("Hall")
+        parts = [F.lit("BEGIN:VEVENT"), F.concat(F.lit("UID:u"), key), F.concat(F.lit("SUMMARY:"), F.substring(title, 1, 3), F.lit("\r\n "), F.substring(title, 4, 99)), stamp("DTSTART", start, start), stamp("DTEND", end, F.date_add(end, 1)), F.concat(F.lit("LOCATION:"), place, F.lit(" "), F.col("o_custkey"), F.lit("\\, 1 Main")), *more, F.lit("END:VEVENT\r\n")]
+        return F.concat_ws("\r\n", *parts)
+
+    ends = F.col("o_orderdate") + F.make_dt_interval(k, F.lit(2))
+    gone = F.when(key % 10 == 9, F.concat(F.lit("EXDATE;VALUE=DATE:"), F.date_format(F.date_add(day, 14), "yyyyMMdd")))
+    main = lines(F.col("o_orderdate"), F.when(whole, F.date_add(day, k).cast("timestamp")).otherwise(ends), F.col("o_orderpriority"), [F.concat(F.lit("RRULE:"), rule_of(key)), gone])
+    later = F.expr("INTERVAL 22 DAYS")
+    moved = lines(F.col("o_orderdate") + later, F.when(whole, F.date_add(day, k + 22).cast("timestamp")).otherwise(ends + later), F.concat(F.lit("Moved "), "o_orderpriority"), [F.concat(F.lit("RECURRENCE-ID;VALUE=DATE:"), F.date_format(F.date_add(day, 21), "yyyyMMdd"))])
+    events = t.orders.select("o_custkey", F.concat(main, F.when(key % 10 == 9, moved).otherwise("")).alias("e"))
+    pages = events.groupBy("o_custkey").agg(F.concat(F.lit("BEGIN:VCALENDAR\r\n"), F.array_join(F.collect_list("e"), ""), F.lit("END:VCALENDAR\r\n")).alias("body"))
+    found = calendars.ics(pages, "body", "o_custkey", F.lit("1999-01-01").cast("date"), F.lit("1999-03-31").cast("date"), title_includes=("medium", "LOW"), location_includes=("hall",), title_replace={"LOW": "Low"}, max_days=3)
+    return found.select("external_id", "title", stamp("starts").alias("starts"), stamp("ends").alias("ends"), "all_day", "venue_name")
+
+
+@query(f"""
+WITH o AS (
+  SELECT *, o_custkey % 10 AS source, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS block,
+    CASE WHEN o_orderkey % 3 = 0 THEN {_ICS_LOCAL} ELSE o_orderdate::TIMESTAMP END AS starts FROM orders),
+e AS (
+  SELECT source, o_custkey AS page, block, 1 AS depth, o_orderpriority AS title, starts, CASE WHEN o_orderkey % 4 = 0 THEN '/c/' || o_custkey ELSE '/e/' || o_orderkey END AS url,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'Free' WHEN o_orderkey % 5 = 1 THEN '$12.5' WHEN o_orderkey % 5 = 2 THEN '$12' ELSE '' END AS price,
+    CASE o_orderkey % 3 WHEN 0 THEN 'Hall' WHEN 1 THEN 'Loft' ELSE 'Yard' END AS venue_name, o_orderkey % 6 AS k FROM o
+  UNION ALL SELECT source, o_custkey, block, 0, 'Big ' || o_orderkey, o_orderdate::DATE::TIMESTAMP, '/big', '', '', 0 FROM o WHERE o_orderkey % 4 = 3)
+SELECT source, url || ':' || starts::DATE AS external_id, title, strftime(starts, '%Y-%m-%d %H:%M:%S') AS starts, price, venue_name, depth = 0 AS all_day
+FROM e WHERE k <= 4 AND starts::DATE BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'
+QUALIFY row_number() OVER (PARTITION BY source, external_id ORDER BY page, block, depth) = 1
+""")
 def src_jsonld(t):
-    price = F.when(F.col("o_orderkey") % 5 == 0, "0").otherwise("12")
-    e = F.struct(F.lit("MusicEvent").alias("@type"), F.col("o_orderpriority").alias("name"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("startDate"), F.concat(F.lit("/e/"), F.col("o_orderkey")).alias("url"), F.struct(price.alias("price")).alias("offers"))
-    other = F.concat(F.lit('{"@graph":'), F.to_json(F.collect_list(e)), F.lit("}"))
-    pages = t.orders.groupBy("o_custkey").agg(F.concat(F.lit("<html><script type='application/ld+json'>"), other, F.lit("</script></html>")).alias("html")).withColumn("url", F.concat(F.lit("/c/"), F.col("o_custkey")))
-    return R.jsonld(pages, "html", "url").select("external_id", "title", "price")
+    """A page per customer with a block per order: four kinds of nesting, three levels deep; offers and places as lists, objects and texts."""
+    key = F.col("o_orderkey")
+    text = lambda name, c: F.concat(F.lit(f'"{name}":"'), c, F.lit('"'))
+    number = F.when(key % 5 == 0, "0").when(key % 5 == 1, "12.5").when(key % 5 == 2, '"12"')
+    offer = F.concat(F.lit('{"price":'), F.coalesce(number, F.lit("null")), F.lit("}"))
+    offer = F.when(key % 2 == 0, F.concat(F.lit("["), offer, F.lit(',{"price":99}]'))).otherwise(offer)
+    place = F.when(key % 3 == 0, '[{"name":"Hall"},{"name":"Other"}]').when(key % 3 == 1, '{"@type":"Place","name":"Loft"}').otherwise('"Yard"')
+    kind = F.when(key % 2 == 0, '"MusicEvent"').otherwise('["Thing","SaleEvent"]')
+    start = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.when(key % 3 == 0, "Z").otherwise(""))
+    end = F.concat(F.date_format(F.col("o_orderdate") + F.make_dt_interval((key % 6).cast("int")), "yyyy-MM-dd'T'HH:mm:ss"), F.when(key % 3 == 0, "Z").otherwise(""))
+    parts = [F.concat(F.lit('"@type":'), kind), text("name", F.col("o_orderpriority")), text("startDate", start), text("endDate", end), F.when(key % 4 != 0, text("url", F.concat(F.lit("/e/"), key))), F.concat(F.lit('"offers":'), offer), F.concat(F.lit('"location":'), place)]
+    e = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    big = F.concat(F.lit('{"@type":"BigEvent","name":"Big '), key, F.lit('","url":"/big","startDate":"'), F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('","subEvent":{"@type":"Talks","subEvent":[['), e, F.lit("]]}}"))
+    doc = (
+        F.when(key % 4 == 0, F.concat(F.lit('{"@graph":['), e, F.lit("]}")))
+        .when(key % 4 == 1, F.concat(F.lit('{"@graph":[{"@type":"Place"},{"@type":"Festival","subEvent":['), e, F.lit("]}]}")))
+        .when(key % 4 == 2, F.concat(F.lit('[{"itemListElement":[{"@type":"ListItem","subEvent":'), e, F.lit("}]}]")))
+        .otherwise(big)
+    )
+    block = F.concat(F.lit("<script type='application/ld+json'>"), doc, F.lit("</script>"))
+    blocks = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", block.alias("b")))), lambda s: s["b"]), "<p>")
+    pages = t.orders.groupBy("o_custkey").agg(blocks.alias("html")).select("*", (F.col("o_custkey") % 10).alias("source"), F.concat(F.lit("/c/"), "o_custkey").alias("url"))
+    found = jsonld.events(pages, "html", "source", "o_custkey", "url", F.lit("1996-01-01").cast("date"), F.lit("1999-12-31").cast("date"), max_days=4)
+    return found.select("source", "external_id", "title", stamp("starts").alias("starts"), "price", "venue_name", "all_day")
 
 
 _LINKS = """regexp_extract_all(html, '(?:href=["'']|<loc>\\s*)([^"''<\\s]*/[^"''<\\s]*)', 1)"""
@@ -85,13 +149,35 @@ def src_duda(t):
     return R.mapped(rows, {"external_id": "o_orderkey", "title": "o_orderpriority", "day": "Day"}, {"o_orderstatus": "O"})
 
 
-@query("SELECT 's' || o_orderkey || ':' || o_orderdate::DATE AS external_id, CASE WHEN o_orderkey % 4 > 0 THEN (o_orderdate::DATE + CAST(o_orderkey % 4 AS INT)) END AS ends FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderdate::DATE + CAST(o_orderkey % 4 AS INT) >= DATE '1998-01-01' AND o_orderdate::DATE <= DATE '1998-12-31' AND o_orderkey % 4 <= 2")
+@query("""
+WITH o AS (
+  SELECT *, o_orderdate::DATE AS d1, o_orderdate::DATE + CAST(o_orderkey % 23 AS INT) AS d2, o_orderkey % 3 = 0 AND o_orderkey % 23 > 0 AS weekly FROM orders WHERE o_orderkey % 7 <> 0),
+e AS (
+  SELECT *, unnest(CASE WHEN weekly THEN generate_series(d1, d2, INTERVAL 7 DAY) ELSE [d1::TIMESTAMP] END)::DATE AS day FROM o
+  WHERE weekly OR d2 - d1 <= 10)
+SELECT CASE WHEN o_orderkey % 5 = 0 THEN replace(o_orderpriority, 'SPECIFIED', 'Specified') ELSE 's' || o_orderkey END || ':' || day AS external_id,
+  strftime(day + CASE WHEN o_orderkey % 2 = 0 THEN INTERVAL '18:30:00' ELSE INTERVAL 0 HOUR END, '%Y-%m-%d %H:%M:%S') AS starts,
+  CASE WHEN o_orderkey % 2 = 1 THEN strftime(CASE WHEN weekly THEN day ELSE d2 END + INTERVAL '23:59:59', '%Y-%m-%d %H:%M:%S')
+    WHEN o_orderkey % 4 = 0 THEN strftime(CASE WHEN weekly THEN day ELSE d2 END + INTERVAL 20 HOUR, '%Y-%m-%d %H:%M:%S')
+    WHEN NOT weekly AND d2 > d1 THEN strftime(d2 + INTERVAL 0 HOUR, '%Y-%m-%d %H:%M:%S') END AS ends,
+  o_orderkey % 2 = 1 AS all_day, CASE WHEN o_orderkey % 5 = 0 THEN '1 Main' ELSE '1 Main, Town' END AS address, [x for x in ['Music', CASE WHEN o_orderkey % 5 = 0 THEN 'Food' END] if x IS NOT NULL] AS categories
+FROM e WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'
+""")
 def src_govcal(t):
-    e = F.struct(F.concat(F.lit("s"), F.col("o_orderkey")).alias("slug"), F.col("o_orderpriority").alias("title"), _day().cast("string").alias("start_date"), F.date_add(_day(), (F.col("o_orderkey") % 4).cast("int")).cast("string").alias("end_date"), (F.col("o_orderkey") % 7 == 0).alias("postponed"))
-    inner = t.orders.groupBy("o_custkey").agg(F.to_json(F.collect_list(e)).alias("rows"))
-    twice = inner.select(F.regexp_extract(F.to_json(F.struct("rows")), r'(?s)^\{"rows":(.*)\}$', 1).alias("body"))
-    found = R.county(twice, "body", F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"), 2)
-    return found.select("external_id", "ends")
+    """Double-encoded rows of a county: weekly runs, long runs, times, places, categories; every seventh is postponed."""
+    key = F.col("o_orderkey")
+    when = lambda c, value: F.when(c, value)
+    e = F.struct(
+        when(key % 5 != 0, F.concat(F.lit("s"), key)).alias("slug"), F.col("o_orderpriority").alias("title"), _day().cast("string").alias("start_date"),
+        F.date_add(_day(), (key % 23).cast("int")).cast("string").alias("end_date"), when(key % 7 == 0, "1").otherwise("0").alias("postponed"),
+        when(key % 2 == 0, "6:30 PM").alias("start_time"), when(key % 4 == 0, "8:00 pm").otherwise("12:00 AM").alias("end_time"),
+        when((key % 3 == 0) & (key % 23 > 0), "Week").otherwise("None").alias("recurring_type"), F.lit("1 Main").alias("event_address"), when(key % 5 == 0, "null").otherwise("Town").alias("event_city"),
+        when(key % 5 == 0, "Music, Food,").otherwise("Music").alias("category"),
+    )
+    once = t.orders.groupBy("o_custkey").agg(F.to_json(F.struct(F.collect_list(e).alias("data"))).alias("b"))
+    twice = once.select(F.when(F.col("o_custkey") % 2 == 0, F.col("b")).otherwise(F.regexp_extract(F.to_json(F.struct("b")), r'(?s)^\{"b":(.*)\}$', 1)).alias("body"))
+    found = calendars.county(twice, "body", F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"), "https://county.example/")
+    return found.select("external_id", stamp("starts").alias("starts"), stamp("ends").alias("ends"), "all_day", "address", "categories")
 
 
 @query("SELECT o_orderpriority || ' ' || o_orderkey AS title, o_orderdate::DATE AS starts FROM orders")

@@ -83,9 +83,9 @@ def seen_now_semi(t):
     return freshness.seen_now(t.customer.select("c_custkey"), now, "c_custkey")
 
 
-@query("SELECT DISTINCT a.event_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = b.event_type AND a.event_id <> b.event_id AND b.event_id % 10 = 0 AND abs(datediff('day', a.ts::DATE, b.ts::DATE)) <= 7 WHERE a.event_type = 'purchase'")
+@query("SELECT DISTINCT a.event_id FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = b.event_type AND a.event_id <> b.event_id AND b.event_id % 10 = 0 AND abs(datediff('day', a.ts::DATE, b.ts::DATE)) <= 7")
 def moved_band_join(t):
-    rows = t.events.where("event_type = 'purchase'").withColumns({"day": F.to_date("ts"), "seen": F.col("event_id") % 10 == 0})
+    rows = t.events.withColumns({"day": F.to_date("ts"), "seen": F.col("event_id") % 10 == 0})
     return freshness.moved(rows, ["user_id", "event_type"], "day", "event_id", "seen").select("event_id")
 
 
@@ -162,20 +162,31 @@ def publish_state(t):
     return _states(t)
 
 
-@query(_GATES + "SELECT gate, count(*) AS n FROM (SELECT unnest([CASE WHEN venue_unknown THEN 'venue_unknown' END, CASE WHEN match_ambiguous THEN 'match_ambiguous' END, CASE WHEN cancellation_flagged THEN 'cancellation_flagged' END, CASE WHEN source_underdelivered THEN 'source_underdelivered' END, CASE WHEN date_uncertain THEN 'date_uncertain' END, CASE WHEN tier_c_only THEN 'tier_c_only' END]) AS gate FROM g) WHERE gate IS NOT NULL GROUP BY 1 UNION ALL SELECT state, count(*) FROM (SELECT " + _STATE + " AS state FROM g) GROUP BY 1")
-def gate_counts(t):
-    """How many records each gate stops, and how many are held or published."""
-    return review.gate_counts(_gates(t)).unionByName(_states(t).groupBy(F.col("state").alias("gate")).agg(F.count("*").alias("n")))
+_QUEUE_SQL = """WITH r AS (SELECT o_orderkey, o_orderkey % 5 = 0 AS blocking, o_orderstatus = 'F' AS cancelled, o_orderkey % 7 = 0 AS decided, o_orderkey % 11 = 0 AS strict, o_custkey % 3 <> 0 AS on_site, o_orderdate >= TIMESTAMP '1997-12-31' AS future FROM orders),
+n AS (SELECT o_orderkey FROM r WHERE future AND on_site AND NOT cancelled AND NOT decided AND (blocking OR strict)), o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
+"""
+_ACTION_SQL = "SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'resolve' ELSE 'update' END AS action FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey"
 
 
-@query("""WITH r AS (SELECT o_orderkey, o_orderkey % 5 = 0 AS blocking, o_orderstatus = 'F' AS cancelled, o_orderkey % 7 = 0 AS decided, o_orderkey % 11 = 0 AS strict, o_custkey % 3 <> 0 AS on_site, o_orderdate >= TIMESTAMP '1997-12-31' AS future FROM orders),
-n AS (SELECT o_orderkey FROM r WHERE future AND on_site AND NOT cancelled AND NOT decided AND (blocking OR strict)), o AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)
-SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' WHEN n.o_orderkey IS NULL THEN 'resolve' ELSE 'update' END AS action FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey""")
-def queue_upsert(t):
+def _queue(t):
+    """The review queue after a run over the orders."""
     k = F.col("o_orderkey")
     old = t.orders.where("o_orderkey % 3 = 0").select("o_orderkey", F.col("o_orderdate").alias("created_at"))
     records = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("reason"), F.col("o_orderdate").cast("timestamp").alias("start"), (k % 5 == 0).alias("blocking"), (F.col("o_orderstatus") == "F").alias("cancelled"), (k % 7 == 0).alias("decided"), (k % 11 == 0).alias("strict"), (F.col("o_custkey") % 3 != 0).alias("on_site"))
-    return review.queue_upsert(old, records, "o_orderkey", F.lit("1998-01-01").cast("timestamp")).select("o_orderkey", "action")
+    return review.queue_upsert(old, records, "o_orderkey", F.lit("1998-01-01").cast("timestamp"))
+
+
+@query(_GATES + "SELECT gate, count(*) AS n FROM (SELECT unnest([CASE WHEN venue_unknown THEN 'venue_unknown' END, CASE WHEN match_ambiguous THEN 'match_ambiguous' END, CASE WHEN cancellation_flagged THEN 'cancellation_flagged' END, CASE WHEN source_underdelivered THEN 'source_underdelivered' END, CASE WHEN date_uncertain THEN 'date_uncertain' END, CASE WHEN tier_c_only THEN 'tier_c_only' END]) AS gate FROM g) WHERE gate IS NOT NULL GROUP BY 1 UNION ALL SELECT state, count(*) FROM (SELECT " + _STATE + " AS state FROM g) GROUP BY 1 UNION ALL SELECT CASE action WHEN 'resolve' THEN 'auto_resolved' ELSE 'queued' END, count(*) FROM (" + _QUEUE_SQL + _ACTION_SQL + ") GROUP BY 1")
+def gate_counts(t):
+    """How many records each gate stops, how many are held or published, and how many questions were asked or settled themselves."""
+    counts = review.state_counts(_states(t).withColumnRenamed("state", "publish_state"), _queue(t))
+    states = counts.select(F.explode(F.array(*(F.struct(F.lit(c).alias("gate"), F.col(c).alias("n")) for c in counts.columns))).alias("s")).select("s.*")
+    return review.gate_counts(_gates(t)).unionByName(states.where("n > 0"))
+
+
+@query(_QUEUE_SQL + _ACTION_SQL)
+def queue_upsert(t):
+    return _queue(t).select("o_orderkey", "action")
 
 
 @query("""SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'approve' ELSE 'cancel' END AS kind, o_orderkey AS id, NULL::BIGINT AS other, NULL AS slug FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0
@@ -302,9 +313,11 @@ def orphan_series(t):
     return state.live_series(t.customer, t.orders.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey").select("c_custkey")
 
 
-@query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+@query("""SELECT count(*) AS listings, count(*) FILTER (event_id % 3 = 0) AS refreshed, count(*) FILTER (event_id % 3 <> 0 AND event_type = 'view') AS merged,
+  count(*) FILTER (event_id % 3 <> 0 AND event_type <> 'view') AS created, count(*) FILTER (event_id % 3 <> 0 AND event_type = 'click') AS ambiguous FROM events""")
 def run_stats(t):
-    return signals.run_stats(t.events, "event_type")
+    decision = F.when(F.col("event_type") == "view", "match").when(F.col("event_type") == "click", "ambiguous").otherwise("new")
+    return signals.run_stats(t.events.select((F.col("event_id") % 3 == 0).alias("known"), decision.alias("decision")))
 
 
 @query("SELECT count(DISTINCT ts::DATE) <= 30 AS strict FROM events")
@@ -390,23 +403,42 @@ def venue_reresolve(t):
     return state.reresolve(rows, found.select(F.col("id").alias("c_custkey"), F.col("slug").alias("venue")), "c_custkey", "venue")
 
 
-@query("""SELECT CASE WHEN o_custkey % 3 = 0 THEN 'a' ELSE 'b' END AS source, o_orderkey AS id, o_orderpriority AS title, strftime(o_orderdate::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS start,
-  strftime(CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::TIMESTAMP + INTERVAL 1 HOUR WHEN o_orderkey % 3 = 0 THEN date_trunc('day', o_orderdate::TIMESTAMP)::TIMESTAMP + INTERVAL 86399 SECOND ELSE o_orderdate::TIMESTAMP + INTERVAL 3 HOUR END, '%Y-%m-%d %H:%M:%S') AS "end",
-  CASE WHEN o_custkey % 2 = 1 THEN 'v:s' || o_custkey ELSE 'k:hall ' || o_custkey END AS venue_key, CASE WHEN o_custkey % 2 = 1 THEN 'City' ELSE 'Town' END AS city, CASE WHEN o_custkey % 2 = 1 THEN ['east'] ELSE ['home'] END AS regions,
-  CASE WHEN o_orderkey % 11 = 0 THEN 'some longer marked up text' ELSE 'plain' END AS description, CASE WHEN o_orderpriority = '1-URGENT' THEN ['urgent'] ELSE ['other'] END AS categories, o_orderstatus = 'F' AS cancelled, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE 2 END AS tier
-FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0""")
+_ZONE = "CASE o_orderkey % 4 WHEN 0 THEN 'UTC' WHEN 3 THEN 'Europe/Berlin' ELSE 'America/Chicago' END"
+
+
+@query(f"""WITH o AS (
+  SELECT *, (o_orderdate::TIMESTAMP AT TIME ZONE {_ZONE}) AT TIME ZONE 'UTC' AS s, ((o_orderdate::TIMESTAMP + INTERVAL 5 HOUR) AT TIME ZONE {_ZONE}) AT TIME ZONE 'UTC' AS e,
+    o_orderkey % 13 = 0 AS unnamed, o_custkey % 2 = 1 AS placed, o_custkey % 3 = 0 AS a,
+    CASE WHEN o_orderkey % 17 = 0 THEN 'https://site.example/x' WHEN o_orderkey % 23 = 0 THEN 'http://site.example/t' ELSE '' END AS origin_url FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0)
+SELECT CASE WHEN a THEN 'a' ELSE 'b' END AS source, o_orderkey AS id, o_orderpriority AS title, strftime(s, '%Y-%m-%d %H:%M:%S') AS start,
+  strftime(CASE WHEN o_orderkey % 2 = 0 AND e > s THEN e WHEN o_orderkey % 3 = 0 THEN s + (date_trunc('day', o_orderdate::TIMESTAMP)::TIMESTAMP + INTERVAL 86399 SECOND - o_orderdate::TIMESTAMP) ELSE s + INTERVAL 3 HOUR END, '%Y-%m-%d %H:%M:%S') AS "end", {_ZONE} AS zone,
+  CASE WHEN placed THEN 'v:s' || o_custkey WHEN unnamed AND origin_url <> '' THEN 'v:origin-hall' WHEN unnamed AND a THEN 'v:home-hall' WHEN unnamed THEN 'k:1 main' ELSE 'k:hall ' || o_custkey END AS venue_key,
+  CASE WHEN placed THEN 'City' WHEN unnamed AND origin_url <> '' THEN 'Origin' WHEN unnamed AND a THEN 'Home' ELSE 'Town' END AS city,
+  CASE WHEN placed THEN ['east'] WHEN unnamed AND origin_url = '' AND a THEN ['west'] ELSE ['home'] END AS regions,
+  CASE WHEN o_orderkey % 11 = 0 THEN 'some longer marked up text' ELSE 'plain' END AS description,
+  [x FOR x IN [CASE WHEN o_orderkey % 19 = 0 THEN 'red' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END, CASE WHEN o_orderkey % 19 <> 0 AND o_orderpriority <> '1-URGENT' THEN 'other' END] IF x IS NOT NULL] AS categories,
+  o_orderstatus = 'F' AS cancelled, CASE WHEN a THEN 0 ELSE 2 END AS tier, origin_url, CASE WHEN a THEN 'Photo: A' ELSE 'Source B' END AS image_credit
+FROM o""")
 def normalize(t):
-    """Orders as raw listings, odd customers' places resolved: every column of the record is compared."""
+    """Orders as raw listings in four zones, one unknown; places found, named, linked to, or the source's own: every column of the record is compared."""
     from ..operators import listings as L
 
-    k = F.col("o_orderkey")
+    k, wall = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    a = F.col("o_custkey") % 3 == 0
+    zone = F.get(F.array(*map(F.lit, ("UTC", "America/Chicago", "No/Zone", "Europe/Berlin"))), (k % 4).cast("int"))
     raw = t.orders.select(
-        F.when(F.col("o_custkey") % 3 == 0, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.when(k % 7 == 0, "<i> </i>").otherwise(F.concat(F.lit("<b>"), F.col("o_orderpriority"), F.lit("</b>"))).alias("title"),
-        F.when(k % 5 != 0, F.col("o_orderdate").cast("timestamp")).alias("starts"), F.when(k % 2 == 0, F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 1 HOUR")).alias("ends"), (k % 3 == 0).alias("all_day"), F.lit(False).alias("time_tba"), F.lit("UTC").alias("zone"),
-        F.concat(F.lit("Hall "), F.col("o_custkey")).alias("venue_name"), F.lit("1 Main").alias("address"), F.lit("Town").alias("city"), F.array().cast("array<string>").alias("regions"), F.lit("plain").alias("description"), F.when(k % 11 == 0, F.lit("<p>some longer marked up text</p>")).alias("html"), F.lit(None).cast("string").alias("price"), F.lit("/e").alias("info_url"), (F.col("o_orderstatus") == "F").alias("cancelled"),
+        F.when(a, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.when(k % 7 == 0, "<i> </i>").otherwise(F.concat(F.lit("<b>"), F.col("o_orderpriority"), F.lit("</b>"))).alias("title"),
+        F.when(k % 5 != 0, wall).alias("starts"), F.when(k % 2 == 0, wall + F.expr("INTERVAL 5 HOURS")).alias("ends"), (k % 3 == 0).alias("all_day"), F.lit(False).alias("time_tba"), zone.alias("zone"),
+        F.when(k % 13 != 0, F.concat(F.lit("Hall "), F.col("o_custkey"))).alias("venue_name"), F.lit("1 Main").alias("address"), F.lit("Town").alias("city"), F.array().cast("array<string>").alias("regions"), F.lit("plain").alias("description"), F.when(k % 11 == 0, F.lit("<p>some longer marked up text</p>")).alias("html"), F.lit(None).cast("string").alias("price"), F.lit("/e").alias("info_url"), (F.col("o_orderstatus") == "F").alias("cancelled"),
+        F.when(k % 17 == 0, "//site.example/x").alias("website"), F.when(k % 23 == 0, "http://site.example/t").alias("ticket_url"), F.when(k % 19 == 0, F.array(F.lit("Big"), F.lit("Red"))).alias("source_categories"),
+    )
+    first = F.col("r_regionkey") == 0
+    source = t.region.where("r_regionkey < 2").select(
+        F.when(first, "a").otherwise("b").alias("source"), F.when(first, "A").otherwise("C").alias("tier"), (~first).alias("curated"), F.array(F.lit("home")).alias("source_regions"), F.when(first, "home-hall").alias("default_slug"),
+        F.lit("Home").alias("default_city"), F.array(F.lit("west")).alias("default_regions"), F.when(first, "Photo: A").alias("credit"), F.when(first, "Source A").otherwise("Source B").alias("name"),
     )
-    source = t.region.where("r_regionkey < 2").select(F.when(F.col("r_regionkey") == 0, "a").otherwise("b").alias("source"), F.when(F.col("r_regionkey") == 0, "A").otherwise("C").alias("tier"), (F.col("r_regionkey") == 1).alias("curated"), F.array(F.lit("home")).alias("source_regions"))
-    resolved = t.orders.where("o_custkey % 2 = 1").select(F.when(F.col("o_custkey") % 3 == 0, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.concat(F.lit("s"), F.col("o_custkey")).alias("slug"), F.lit("City").alias("place_city"), F.array(F.lit("east")).alias("place_regions"))
-    found = L.normalize(raw, source, resolved, [("urgent", ["urgent"])])
+    resolved = t.orders.where("o_custkey % 2 = 1").select(F.when(a, "a").otherwise("b").alias("source"), k.cast("string").alias("external_id"), F.concat(F.lit("s"), F.col("o_custkey")).alias("slug"), F.lit("City").alias("place_city"), F.array(F.lit("east")).alias("place_regions"))
+    origins = t.region.where("r_regionkey = 0").select(F.lit("site.example").alias("domain"), F.lit("origin-hall").alias("origin_slug"), F.lit("Origin").alias("origin_city"), F.lit(None).cast("array<string>").alias("origin_regions"))
+    found = L.normalize(raw, source, resolved, [("urgent", ["urgent"]), ("red", ["red"])], origins)
     stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
-    return found.select("source", F.col("external_id").cast("long").alias("id"), "title", stamp("start"), stamp("end"), "venue_key", "city", "regions", "description", "categories", "cancelled", F.col("rank.tier").alias("tier"))
\ No newline at end of file
+    return found.select("source", F.col("external_id").cast("long").alias("id"), "title", stamp("start"), stamp("end"), "zone", "venue_key", "city", "regions", "description", "categories", "cancelled", F.col("rank.tier").alias("tier"), "origin_url", "image_credit")

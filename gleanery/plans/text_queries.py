@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sources import jsonld
 from .registry import query
 
 _KEY = r"trim(regexp_replace(regexp_replace(replace(lower(regexp_replace(strip_accents({0}), '[^\x00-\x7F]', '', 'g')), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
@@ -158,12 +159,17 @@ def list_or_object(t):
     return t.events.select("event_id", T.first_of_list_or_object(raw, "k", "long").alias("k"))
 
 
-@query("SELECT event_id, 'view' AS kind FROM events WHERE event_type = 'view' UNION ALL SELECT event_id, 'click' FROM events WHERE event_type = 'click'")
+@query("SELECT event_id, unnest(CASE WHEN event_id % 2 = 0 THEN [event_type, event_type || '2', event_type || '3'] ELSE [event_type || '3', event_type, event_type || '2'] END) AS kind, unnest([1, 2, 3]) AS place FROM events")
 def json_walk(t):
-    """Event nodes inside a @graph beside other nodes: only those whose @type ends in Event count."""
-    doc = F.to_json(F.struct(F.array(F.struct(F.concat(F.initcap("event_type"), F.lit("Event")).alias("@type"), F.col("event_type").alias("name")), F.struct(F.lit("Place").alias("@type"), F.lit("x").alias("name"))).alias("@graph")))
-    nodes = t.events.where(F.col("event_type").isin("view", "click")).select("event_id", F.explode(T.event_nodes(doc)).alias("n"))
-    return nodes.select("event_id", F.col("n.name").alias("kind"))
+    """Three event objects a document, three levels deep or side by side in lists, in the order of the walk."""
+    node = lambda n, types, more: F.concat(F.lit(f'{{"@type":{types},"name":"'), F.col("event_type"), F.lit(f'{n}"{more}'))
+    last = F.concat(node("3", '["Thing","TalkEvent"]', "}"))
+    second = lambda more, end: F.concat(node("2", '"MusicEvent"', more), end)
+    deep = F.concat(F.lit('{"@graph":[{"@type":"Place"},'), node("", '"Event"', ',"subEvent":['), second(',"itemListElement":[{"@type":"Place"},', last), F.lit("]}]}]}"))
+    flat = F.concat(F.lit('{"@graph":['), node("", '"Event"', ',"subEvent":'), second("}", F.lit("}],")), F.lit('"itemListElement":[['), last, F.lit("]]}"))
+    docs = t.events.select("event_id", F.try_parse_json(F.when(F.col("event_id") % 2 == 0, deep).otherwise(flat)).alias("doc"))
+    found = F.filter(F.array_sort(F.transform(jsonld.nodes(F.col("doc")), lambda s: F.struct(s["path"].alias("path"), jsonld.part(s["v"], "$.name").alias("name"), jsonld.is_event(s["v"]).alias("ok")))), lambda s: s["ok"])
+    return docs.select("event_id", F.posexplode(found).alias("i", "n")).select("event_id", F.col("n.name").alias("kind"), (F.col("i") + 1).cast("long").alias("place"))
 
 
 @query("SELECT p_partkey, list_filter(string_split(p_name, ' '), lambda x: x <> 'red')[1:2] AS words FROM part")

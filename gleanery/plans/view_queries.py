@@ -74,37 +74,63 @@ def facet_filter(t):
     return views.facet_filter(rows, ["1-URGENT", "2-HIGH"], True, ["O"], "categories", "free", "o_orderstatus").select("o_orderkey")
 
 
-@query(f"""SELECT o_custkey, count(*) FILTER (o_orderdate::DATE >= {_NOW}) AS upcoming, min(o_orderdate::DATE) FILTER (o_orderdate::DATE >= {_NOW}) AS next,
-  max(o_orderdate::DATE) AS last_end, least(24, count(*) FILTER (o_orderdate::DATE < {_NOW})) AS past FROM orders GROUP BY 1""")
+@query(f"""WITH o AS (SELECT *, o_orderdate::DATE AS d, row_number() OVER (PARTITION BY o_custkey, o_orderdate::DATE < {_NOW} ORDER BY o_orderdate::DATE DESC, o_orderkey DESC) AS n FROM orders)
+SELECT o_custkey, coalesce(list(o_orderkey ORDER BY d, o_orderkey) FILTER (d >= {_NOW}), []) AS upcoming, min(d) FILTER (d >= {_NOW}) AS next,
+  max(d) AS last_end, coalesce(list(o_orderkey ORDER BY d DESC, o_orderkey DESC) FILTER (d < {_NOW} AND n <= 24), []) AS past,
+  arg_min(o_orderpriority, (d < {_NOW}, abs(d - {_NOW}), o_orderkey)) FILTER (o_orderstatus <> 'P') AS description FROM o GROUP BY 1""")
 def series_rollup(t):
-    found = views.series_rollup(t.orders.withColumn("day", _day()), "o_custkey", "day", "o_orderkey", F.lit(AS_OF).cast("date"), 24)
-    return found.select("o_custkey", F.size("upcoming").cast("long").alias("upcoming"), "next", "last_end", F.size("past").cast("long").alias("past"))
+    rows, today = t.orders.withColumn("day", _day()), F.lit(AS_OF).cast("date")
+    told = rows.withColumn("text", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).otherwise(""))
+    found = views.series_rollup(rows, "o_custkey", "day", "o_orderkey", today, 24)
+    return found.join(views.description_pick(told, "o_custkey", "text", "day", "o_orderkey", today), "o_custkey").select("o_custkey", "upcoming", "next", "last_end", "past", "description")
 
 
-@query(f"SELECT c_nationkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE >= {_NOW} GROUP BY 1")
+@query(f"""WITH o AS (SELECT c_nationkey, n_name, o_orderkey, o_orderdate::DATE AS d, row_number() OVER (PARTITION BY c_nationkey, o_orderdate::DATE < {_NOW} ORDER BY o_orderdate::DATE DESC, o_orderkey DESC) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = c_nationkey),
+r AS (SELECT c_nationkey, any_value(n_name) AS n_name, count(*) FILTER (d >= {_NOW}) AS upcoming, coalesce(list(o_orderkey ORDER BY d DESC, o_orderkey DESC) FILTER (d < {_NOW} AND n <= 30), []) AS past FROM o GROUP BY 1)
+SELECT c_nationkey, upcoming, past, row_number() OVER (ORDER BY upcoming DESC, n_name) AS place FROM r WHERE upcoming > 0""")
 def venue_rollup(t):
-    live = L.upcoming(t.orders.withColumn("day", _day()), "day", F.lit(AS_OF).cast("date")).withColumnRenamed("o_custkey", "c_custkey")
-    return views.count_by(L.attach(live, t.customer, "c_custkey", "inner"), "c_nationkey")
+    """Each nation's orders to come, its latest 30, and its place in the index."""
+    rows = L.attach(t.orders.withColumn("day", _day()).withColumnRenamed("o_custkey", "c_custkey"), t.customer, "c_custkey", "inner")
+    found = views.place_rollup(rows, "c_nationkey", "day", "o_orderkey", F.lit(AS_OF).cast("date"), 30)
+    named = L.attach(found.withColumnRenamed("c_nationkey", "n_nationkey"), t.nation, "n_nationkey")
+    return views.place_index(named, "n_name").select(F.col("n_nationkey").alias("c_nationkey"), "upcoming", "past", "place")
 
 
-@query(f"SELECT n_nationkey, count(o_orderkey) AS n, count(o_orderkey) = 0 AS noindex FROM nation LEFT JOIN (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 2) ON c_nationkey = n_nationkey GROUP BY 1")
+@query(f"""SELECT n_nationkey, count(o_orderkey) AS n, count(o_orderkey) = 0 AS noindex FROM nation LEFT JOIN
+  (SELECT c_mktsegment, o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderdate::DATE BETWEEN {_NOW} AND {_NOW} + 2)
+  ON c_mktsegment = CASE n_nationkey % 4 WHEN 0 THEN 'BUILDING' WHEN 1 THEN 'MACHINERY' END OR (n_nationkey % 4 < 2 AND c_mktsegment = 'FURNITURE') GROUP BY 1""")
 def city_page(t):
-    rows = _upcoming(t, 2).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_nationkey").alias("n_nationkey"), "o_orderkey")
-    return views.pages(t.nation.select("n_nationkey"), rows, ["n_nationkey"], "o_orderkey").select("n_nationkey", "n", "noindex")
+    """Pages of two cities each, and some of a city that has nothing."""
+    key = F.col("n_nationkey") % 4
+    values = F.when(key == 0, F.array(F.lit("Building"), F.lit("furniture"))).when(key == 1, F.array(F.lit("Machinery"), F.lit("Furniture"))).otherwise(F.array(F.lit("Nowhere")))
+    defs = t.nation.select("n_nationkey", F.lit("city").alias("kind"), values.alias("values"))
+    rows = _upcoming(t, 2).join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_mktsegment").alias("city"), F.array().cast("array<string>").alias("categories"), F.lit(False).alias("is_free"))
+    return views.list_pages(defs, rows, "n_nationkey", "o_orderkey")
 
 
-@query(f"SELECT p.o_orderpriority AS page, count(o.o_orderkey) AS n, count(o.o_orderkey) = 0 AS noindex FROM (SELECT DISTINCT o_orderpriority FROM orders) p LEFT JOIN (SELECT * FROM orders WHERE o_orderdate::DATE = {_NOW}) o USING (o_orderpriority) GROUP BY 1")
+@query(f"""WITH o AS (SELECT * FROM orders WHERE o_orderdate::DATE = {_NOW})
+SELECT p.o_orderpriority AS page, count(o.o_orderkey) AS n, count(o.o_orderkey) = 0 AS noindex FROM (SELECT DISTINCT o_orderpriority FROM orders) p LEFT JOIN o USING (o_orderpriority) GROUP BY 1
+UNION ALL SELECT 'free', count(*), count(*) = 0 FROM o WHERE o_totalprice < 50000 UNION ALL SELECT 'late', count(*), count(*) = 0 FROM o WHERE o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')""")
 def category_page(t):
-    rows = _upcoming(t, 0).select(F.col("o_orderpriority").alias("page"), "o_orderkey")
-    return views.pages(t.orders.select(F.col("o_orderpriority").alias("page")).distinct(), rows, ["page"], "o_orderkey").select("page", "n", "noindex")
+    """A page per priority, one of two priorities, and the free one."""
+    own = t.orders.select(F.col("o_orderpriority").alias("page")).distinct().select("page", F.lit("category").alias("kind"), F.array("page").alias("values"))
+    more = t.spark.createDataFrame([("free", "free", []), ("late", "category", ["4-NOT SPECIFIED", "5-LOW"])], "page string, kind string, values array<string>")
+    rows = _upcoming(t, 0).select("o_orderkey", F.lit(None).cast("string").alias("city"), F.array("o_orderpriority").alias("categories"), (F.col("o_totalprice") < 50000).alias("is_free"))
+    return views.list_pages(own.unionByName(more), rows, "page", "o_orderkey")
 
 
-@query(f"SELECT o_custkey, last, CASE WHEN c_acctbal > 0 THEN '/n/' || c_nationkey ELSE '/' END AS target FROM (SELECT o_custkey, max(o_orderdate::DATE) AS last, count(*) AS n FROM orders GROUP BY 1) JOIN customer ON o_custkey = c_custkey WHERE n <= 5 AND last < {_NOW} - 30")
+@query(f"""WITH s AS (SELECT o_custkey * 4 + o_orderkey % 4 AS series, any_value(o_custkey) AS cust, max(o_orderdate::DATE) AS last, list(DISTINCT o_orderdate::DATE ORDER BY o_orderdate::DATE) AS days FROM orders GROUP BY 1)
+SELECT series, last, CASE WHEN c_acctbal > 0 THEN '/n/' || c_nationkey ELSE '/' END AS target FROM s JOIN customer ON cust = c_custkey
+WHERE last < {_NOW} - 30 AND len(list_filter(list_zip(days[1:-2], days[2:]), lambda p: p[2] - p[1] > 1)) = 0""")
 def expire_redirect(t):
-    series = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(_day()).alias("last"), F.count("*").alias("n"))
+    """Series of a customer and a key's remainder; those without a gap of more than a day are one-offs."""
+    rows = t.orders.withColumns({"series": F.col("o_custkey") * 4 + F.col("o_orderkey") % 4, "day": _day()})
+    rolled = views.series_rollup(rows, "series", "day", "o_orderkey", F.lit(AS_OF).cast("date"), 24)
+    owner = rows.groupBy("series").agg(F.first("o_custkey").alias("c_custkey")).join(t.customer, "c_custkey")
+    known = rolled.join(signals.cadence(rows, "series", "day"), "series").join(owner, "series")
     target = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("/n/"), F.col("c_nationkey"))).otherwise("/")
-    found = views.redirects(L.attach(series, t.customer, "c_custkey", "inner"), "last", "n", F.lit(AS_OF).cast("date"), target)
-    return found.select(F.col("c_custkey").alias("o_custkey"), "last", "target")
+    return views.redirects(known, F.lit(AS_OF).cast("date"), target).select("series", F.col("last_end").alias("last"), "target")
 
 
 @query("""WITH i AS (SELECT p_partkey, p_name AS title, lower(p_name || ' ' || p_brand || ' ' || p_type) AS hay FROM part), q AS (SELECT n_nationkey AS q, lower(split_part(p_name, ' ', 1)) AS a, lower(split_part(p_type, ' ', 1)) AS b FROM nation JOIN part ON p_partkey = n_nationkey + 1),
@@ -136,9 +162,9 @@ def sink_search_index(t):
 
 @query("""SELECT o_orderkey, '{"@context":"https://schema.org","@type":"Event","name":"' || o_orderpriority || '","startDate":"' || strftime(o_orderdate::DATE, '%Y-%m-%d') || '","endDate":"' || strftime(o_orderdate::DATE + 1, '%Y-%m-%d') || '","eventStatus":"https://schema.org/' || CASE WHEN o_orderstatus = 'F' THEN 'EventCancelled' ELSE 'EventScheduled' END
   || '","location":{"@type":"Place","name":"' || c_name || '","address":{"@type":"PostalAddress","addressLocality":"' || c_mktsegment || '"}}' || CASE WHEN o_orderkey % 4 = 0 THEN ',"offers":{"@type":"Offer","price":"12","url":"/e/' || o_orderkey || '"}' ELSE '' END || ',"url":"/e/' || o_orderkey || '"}' AS jsonld
-FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders WHERE o_orderkey % 2 = 0) JOIN customer ON o_custkey = c_custkey WHERE n <= 10""")
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) JOIN customer ON o_custkey = c_custkey WHERE n <= 10""")
 def sink_event_jsonld(t):
-    best = signals.top_k(t.orders.where("o_orderkey % 2 = 0"), ["o_custkey"], 10, "o_orderdate", "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    best = signals.top_k(t.orders, ["o_custkey"], 10, "o_orderdate", "o_orderkey").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
     price = F.when(F.col("o_orderkey") % 4 == 0, "12").otherwise("")
     body = views.event_jsonld(F.col("o_orderpriority"), day("o_orderdate"), day(F.date_add("o_orderdate", 1)), F.when(F.col("o_orderstatus") == "F", "cancelled").otherwise("active"), F.col("c_name"), F.lit(""), F.col("c_mktsegment"), price, F.concat(F.lit("/e/"), F.col("o_orderkey")))
@@ -176,10 +202,14 @@ def source_count_label(t):
     return views.round_label(t.supplier.where("s_acctbal > 0"))
 
 
-@query("SELECT l_shipmode_like AS kind, count(*) AS n FROM (SELECT CASE WHEN l_shipdate > TIMESTAMP '1998-06-10' THEN 'upcoming' ELSE 'past' END AS l_shipmode_like FROM lineitem) GROUP BY 1")
+@query(f"""WITH o AS (SELECT *, o_orderdate::DATE AS d FROM orders), u AS (SELECT * FROM o WHERE d >= {_NOW})
+SELECT 'series' AS kind, count(DISTINCT o_custkey) AS n FROM o UNION ALL SELECT 'day', count(DISTINCT d) FROM u UNION ALL SELECT 'category', count(DISTINCT o_orderpriority) FROM u
+UNION ALL SELECT 'venue', count(DISTINCT c_nationkey) FROM u JOIN customer ON o_custkey = c_custkey""")
 def page_counts(t):
-    kind = F.when(F.col("l_shipdate") > F.lit(AS_OF).cast("timestamp"), "upcoming").otherwise("past")
-    return views.count_by(t.lineitem.withColumn("kind", kind), "kind")
+    rows = t.orders.withColumn("day", _day())
+    live = L.upcoming(rows, "day", F.lit(AS_OF).cast("date"))
+    places = L.attach(live.withColumnRenamed("o_custkey", "c_custkey"), t.customer, "c_custkey", "inner").select("c_nationkey")
+    return views.page_counts(series=rows.select("o_custkey"), day=live.select("day"), category=live.select("o_orderpriority"), venue=places)
 
 
 @query("SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 20")
@@ -263,17 +293,17 @@ def cancel_filter(t):
     return L.without_titles(t.part, "p_name", ["green"]).select("p_partkey")
 
 
-@query("SELECT event_id FROM events WHERE event_type = 'click' AND extract(hour FROM ts::TIMESTAMP) BETWEEN 16 AND 17 AND isodow(ts::TIMESTAMP) <= 5")
+@query("SELECT event_id FROM events WHERE extract(hour FROM ts::TIMESTAMP) BETWEEN 16 AND 17 AND isodow(ts::TIMESTAMP) <= 5")
 def open_now(t):
     """Clicks inside a weekday window from 16:00 to 18:00."""
     windows = F.array(F.struct(F.array(*map(F.lit, range(5))).alias("d"), F.lit("16:00").alias("s"), F.lit("18:00").alias("e")))
-    return t.events.where("event_type = 'click'").where(views.open_now(windows, F.weekday("ts"), F.date_format("ts", "HH:mm"))).select("event_id")
+    return t.events.where(views.open_now(windows, F.weekday("ts"), F.date_format("ts", "HH:mm"))).select("event_id")
 
 
-@query("SELECT event_id FROM events WHERE event_type = 'click' AND isodow(ts::TIMESTAMP) <= 5")
+@query("SELECT event_id FROM events WHERE isodow(ts::TIMESTAMP) <= 5")
 def open_today(t):
     windows = F.array(F.struct(F.array(*map(F.lit, range(5))).alias("d"), F.lit("16:00").alias("s"), F.lit("18:00").alias("e")))
-    return t.events.where("event_type = 'click'").where(views.open_today(windows, F.weekday("ts"))).select("event_id")
+    return t.events.where(views.open_today(windows, F.weekday("ts"))).select("event_id")
 
 
 @query("SELECT o_orderdate::DATE AS day, count(*) AS n FROM orders WHERE o_orderdate::DATE + 2 >= DATE '2001-07-01' GROUP BY 1")

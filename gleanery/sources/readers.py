@@ -17,7 +17,6 @@ from ..functions.text import join_nonempty, null_text
 TRIBE = "struct<events:array<struct<id:long,title:string,all_day:boolean,start_date:string,end_date:string,cost:string,url:string,venue:string,organizer:array<struct<organizer:string>>>>>"
 PLACE = "struct<venue:string,address:string,city:string>"
 TICKETS = "struct<id:string,name:string,status:string,start:struct<dateTime:string,localDate:string,localTime:string>,prices:array<struct<min:double,max:double>>>"
-COUNTY = "array<struct<title:string,start_date:string,end_date:string,postponed:boolean,cancelled:boolean,recurring_type:string,slug:string>>"
 
 
 def tribe(payloads: DataFrame, body: str) -> DataFrame:
@@ -74,43 +73,6 @@ def rss(payloads: DataFrame, body: str, first: Column, last: Column) -> DataFram
     return out.select(F.concat_ws(":", "eid", F.col("d.d1").cast("string")).alias("external_id"), "title", F.coalesce("t.start", F.col("d.d1").cast("timestamp")).alias("starts"), F.col("t.end").alias("ends"), F.col("t.start").isNull().alias("all_day"), "address")
 
 
-def ics(payloads: DataFrame, body: str) -> DataFrame:
-    """VEVENT blocks of unfolded calendars: uid, title, starts, last_day, all_day, location, freq, interval, until, exdates."""
-    flat = F.regexp_replace(body, r"\r?\n[ \t]", "")
-    block = payloads.select(F.explode(F.regexp_extract_all(flat, F.lit(r"(?s)BEGIN:VEVENT\r?\n(.*?)END:VEVENT"), 1)).alias("b"))
-    prop = lambda name: F.regexp_extract("b", rf"(?m)^{name}(?:;[^:\r\n]*)?:(.*?)\r?$", 1)
-    rule = prop("RRULE")
-    part = lambda name: F.nullif(F.regexp_extract(rule, rf"{name}=([^;]+)", 1), F.lit(""))
-    whole = prop("DTSTART").rlike(r"^\d{8}$")
-    stamp = lambda c: F.coalesce(F.try_to_timestamp(F.substring(c, 1, 15), F.lit("yyyyMMdd'T'HHmmss")), F.try_to_timestamp(F.substring(c, 1, 8), F.lit("yyyyMMdd")))
-    plain = lambda c: F.regexp_replace(F.regexp_replace(c, r"\\n", "\n"), r"\\([,;\\])", "$1")
-    return block.select(
-        prop("UID").alias("uid"),
-        plain(prop("SUMMARY")).alias("title"),
-        stamp(prop("DTSTART")).alias("starts"),
-        # An all-day end is the day after the last.
-        F.when(whole, F.date_sub(F.to_date(stamp(prop("DTEND"))), 1)).otherwise(F.to_date(stamp(prop("DTEND")))).alias("last_day"),
-        whole.alias("all_day"),
-        plain(prop("LOCATION")).alias("location"),
-        part("FREQ").alias("freq"),
-        F.coalesce(part("INTERVAL").cast("int"), F.lit(1)).alias("interval"),
-        F.to_date(stamp(part("UNTIL"))).alias("until"),
-        F.transform(F.filter(F.split(prop("EXDATE"), ","), lambda x: x != ""), lambda x: F.to_date(stamp(x))).alias("exdates"),
-    )
-
-
-def jsonld(pages: DataFrame, html: str, url: str) -> DataFrame:
-    """Event objects in a page's JSON-LD blocks: at the top, in a list, in @graph, or in itemListElement."""
-    event = "struct<`@type`:string,name:string,startDate:string,endDate:string,url:string,location:struct<name:string>,offers:struct<price:string>>"
-    block = F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), 1))
-    raw = pages.select(url, block.alias("b")).withColumn("b", F.regexp_replace("b", r"[\x00-\x1f]", " "))
-    ways = [F.from_json("b", f"array<{event}>"), F.from_json("b", f"struct<`@graph`:array<{event}>>")["@graph"], F.transform(F.from_json("b", f"struct<itemListElement:array<struct<item:{event}>>>")["itemListElement"], lambda x: x["item"])]
-    found = raw.select(url, F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*ways))))).alias("e")).where(F.col("e.@type").endswith("Event"))
-    price = F.when(F.col("e.offers.price").cast("double") == 0, "Free").otherwise(F.concat(F.lit("$"), F.col("e.offers.price")))
-    out = found.select(F.concat_ws(":", F.coalesce("e.url", url), F.substring("e.startDate", 1, 10)).alias("external_id"), F.col("e.name").alias("title"), F.try_to_timestamp("e.startDate").alias("starts"), F.col("e.location.name").alias("venue_name"), price.alias("price"))
-    return out.dropDuplicates(["external_id"])
-
-
 def links(pages: DataFrame, html: str, key: str, pattern: str, skip: str, most: int) -> DataFrame:
     """(key, slug, place) of the first ``most`` distinct links that hold the pattern, in order of appearance."""
     from pyspark.sql import Window as W
@@ -127,15 +89,6 @@ def mapped(rows: DataFrame, mapping: dict[str, str], require: dict[str, str] | N
     return rows.select(*(F.col(v).alias(k) for k, v in mapping.items()))
 
 
-def county(payloads: DataFrame, body: str, first: Column, last: Column, max_days: int) -> DataFrame:
-    """A JSON string that holds JSON: postponed rows go, long runs go unless weekly, ends at or before the start are null."""
-    rows = payloads.select(F.explode(F.from_json(F.from_json(F.concat(F.lit('{"v":'), F.col(body), F.lit("}")), "struct<v:string>")["v"], COUNTY)).alias("e")).select("e.*")
-    start, end = F.to_date(null_text(F.col("start_date"))), F.to_date(F.nullif(null_text(F.col("end_date")), F.lit("")))
-    rows = rows.withColumns({"starts": start, "ends": F.coalesce(end, start)}).where("NOT coalesce(postponed, false)")
-    rows = rows.where((F.col("ends") >= first) & (F.col("starts") <= last)).where((F.datediff("ends", "starts") <= max_days) | (F.col("recurring_type") == "weekly"))
-    return rows.select(F.concat_ws(":", "slug", "starts").alias("external_id"), "title", "starts", F.when(F.col("ends") > F.col("starts"), F.col("ends")).alias("ends"), F.coalesce("cancelled", F.lit(False)).alias("cancelled"))
-
-
 def cards(pages: DataFrame, html: str) -> DataFrame:
     """Festival cards: title, venue and a start and end span."""
     card = pages.select(F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), 1)).alias("c"))

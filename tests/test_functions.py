@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import dates as D
 from gleanery.functions import similarity as S
 from gleanery.functions import text as T
-from gleanery.operators import match, review, state, venues
-from gleanery.sources import readers as R
+from gleanery.operators import match, venues
 
 
 def one(spark, column, **values):
@@ -50,7 +49,7 @@ def test_set_ratio(spark, a, b, want):
 
 
 def test_sort_ratio(spark):
-    assert abs(one(spark, S.token_sort_ratio(F.col("a"), F.col("b")), a="theater saenger", b="saenger theatre") - 93.3) < 0.05
+    assert abs(one(spark, S.token_sort_ratio(F.col("a"), F.col("b")), a="center tabard", b="tabard centre") - 92.3) < 0.05
 
 
 def test_time_ranges(spark):
@@ -96,35 +95,8 @@ def test_leader_match_and_merge(spark):
 
 
 def test_venues(spark):
-    names = spark.createDataFrame([(1, "city hall", "", "", ""), (2, "city hall", "", "", "north"), (3, "saenger theater", "", "", ""), (4, "", "9 front st big arena", "", ""), (5, "", "", "x.org", ""), (6, "city hall", "", "x.org", "elsewhere")], "id long, key string, address_key string, domain string, city string")
-    aliases = spark.createDataFrame([("city hall", 0, "south-hall", "south"), ("city hall", 1, "north-hall", "north"), ("saenger theatre", 2, "saenger", ""), ("big arena", 3, "arena", "")], "alias string, ordinal int, slug string, venue_city string")
+    names = spark.createDataFrame([(1, "city hall", "", "", ""), (2, "city hall", "", "", "north"), (3, "lyceum theater", "", "", ""), (4, "", "9 front st big arena", "", ""), (5, "", "", "x.org", ""), (6, "city hall", "", "x.org", "elsewhere")], "id long, key string, address_key string, domain string, city string")
+    aliases = spark.createDataFrame([("city hall", 0, "south-hall", "south"), ("city hall", 1, "north-hall", "north"), ("lyceum theatre", 2, "lyceum", ""), ("big arena", 3, "arena", "")], "alias string, ordinal int, slug string, venue_city string")
     domains = spark.createDataFrame([("x.org", "x")], "domain string, slug string")
     got = {r.id: (r.slug, r.via) for r in venues.resolve(names, aliases, domains).collect()}
-    assert got == {1: ("south-hall", "name"), 2: ("north-hall", "name"), 3: ("saenger", "fuzzy"), 4: ("arena", "address"), 5: ("x", "domain")}
-
-
-def test_overrides_chain(spark):
-    ids = spark.createDataFrame([(i,) for i in range(5)], "id long")
-    pairs = spark.createDataFrame([(1, 2), (0, 1), (3, 3), (9, 4)], "keep long, drop long")
-    assert {r.drop: r.keep for r in state.merge_remap(pairs, ids, "id").collect()} == {2: 0, 1: 0}
-
-
-def test_commands(spark):
-    lines = spark.createDataFrame([(1, "Approve 1 2\nmerge 1\nnonsense\n> cancel 1"), (2, "cancel 9")], "msg_id long, text string")
-    fine, unknown = review.commands(lines, "text", spark.createDataFrame([(1,), (2,)], "id long"))
-    assert [(r.verb, r.ids) for r in fine.collect()] == [("approve", [1, 2])]
-    assert sorted((r.msg_id, r.raw) for r in unknown.collect()) == [(1, "merge 1"), (1, "nonsense"), (2, "cancel 9")]
-
-
-def test_recurrence(spark):
-    rows = spark.createDataFrame([("WEEKLY", 1, "2026-01-05", None), ("MONTHLY", 1, "2026-01-31", None), ("DAILY", 3, "2026-01-01", "2026-01-08")], "f string, n int, s string, u string").selectExpr("f", "n", "date(s) AS s", "date(u) AS u", "date'2026-01-06' AS a", "date'2026-03-31' AS z")
-    got = {}
-    for r in D.recurrence(rows, "s", "u", "f", "n", "a", "z").collect():
-        got.setdefault(r.f, []).append(str(r.day))
-    assert got["DAILY"] == ["2026-01-07"] and got["MONTHLY"] == ["2026-01-31", "2026-03-31"] and got["WEEKLY"][0] == "2026-01-12" and len(got["WEEKLY"]) == 12
-
-
-def test_ics_folding(spark):
-    text = "BEGIN:VEVENT\r\nUID:7\r\nSUMMARY:Long\r\n  name\\, too\r\nDTSTART;VALUE=DATE:20260101\r\nDTEND;VALUE=DATE:20260103\r\nRRULE:FREQ=WEEKLY;INTERVAL=2;UNTIL=20260301T000000Z\r\nEND:VEVENT"
-    r = R.ics(spark.createDataFrame([(text,)], "body string"), "body").first()
-    assert (r.uid, r.title, r.all_day, str(r.last_day), r.freq, r.interval, str(r.until)) == ("7", "Long name, too", True, "2026-01-02", "WEEKLY", 2, "2026-03-01")
+    assert got == {1: ("south-hall", "name"), 2: ("north-hall", "name"), 3: ("lyceum", "fuzzy"), 4: ("arena", "address"), 5: ("x", "domain")}
