@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.similarity import token_set_ratio
+from .ordered import UNIT_LINKS, first_groups, independent
 from .tables import cut
 
 
@@ -101,18 +102,29 @@ def _filled(records: DataFrame, m: MatchSchema) -> DataFrame:
     return records.withColumn(m.bucket, F.coalesce(F.col(m.bucket).cast("string"), F.lit("\0")))
 
 
-def cluster(records: DataFrame, m: MatchSchema) -> DataFrame:
+def cluster(records: DataFrame, m: MatchSchema, unit_links: int = UNIT_LINKS) -> DataFrame:
     """Greedy single link in (rank, id) order: a record joins the first group with any allowed member at the threshold.
 
-    Returns id and cluster (its first member's id). A record never ties two groups together. The first group
-    among a record's links is that of the earliest record that can be reached by going from link to
-    earlier link, so groups come by rounds of joins over the links, each round doubling the reach.
+    Returns id and cluster (its first member's id). A record never ties two groups together. Links stream in order, a
+    bucket or component at a time (see ``ordered``); only components of more than ``unit_links`` links take rounds, in which
+    the first group among a record's links is that of the earliest record reached by going from link to earlier
+    link, each round doubling the reach.
     """
     own = _filled(records, m)
-    earlier = m.order("b") < m.order("a")
-    links = cut(_scored(own, own, m, earlier, m.match_threshold).select(F.col(f"a.{m.id}").alias("id"), F.col(f"b.{m.id}").alias("to")))
-    start = own.select(F.col(m.id).alias("id"), m.order().alias("group"))
-    state = cut(start)
+    kind = dict(records.dtypes)[m.id]
+    at = m.order
+    links = _scored(own, own, m, at("b") < at("a"), m.match_threshold)
+    links = cut(links.select(F.col(f"a.{m.bucket}").alias("bucket"), at("a").alias("at"), F.col(f"a.{m.id}").alias("id"), at("b").alias("to_at"), F.col(f"b.{m.id}").alias("to")))
+    groups, rest = first_groups(links, kind, unit_links)
+    if rest is not None:
+        groups = groups.unionByName(_groups_by_rounds(rest))
+    found = own.select(F.col(m.id).alias("id")).join(groups, "id", "left")
+    return found.select(F.col("id").alias(m.id), F.coalesce("first", "id").alias("cluster"))
+
+
+def _groups_by_rounds(links: DataFrame) -> DataFrame:
+    """(id, first) of the ids in links(at, id, to_at, to)."""
+    state = cut(links.select("id", F.col("at").alias("group")).unionByName(links.select(F.col("to").alias("id"), F.col("to_at").alias("group"))).distinct())
     while True:
         via = links.join(state.select(F.col("id").alias("to"), "group"), "to").groupBy("id").agg(F.min("group").alias("linked"))
         near = state.join(via, "id", "left").select("id", F.col("group").alias("old"), F.least("group", "linked").alias("group"))
@@ -120,17 +132,17 @@ def cluster(records: DataFrame, m: MatchSchema) -> DataFrame:
         after = cut(near.join(far, F.col("group.id") == F.col("_id"), "left").select("id", "old", F.least("group", "_group").alias("group")))
         state = after.select("id", "group")
         if after.where("group < old").isEmpty():
-            return state.select(F.col("id").alias(m.id), F.col("group.id").alias("cluster"))
+            return state.select("id", F.col("group.id").alias("first"))
 
 
-def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFrame:
+def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, unit_links: int = UNIT_LINKS) -> DataFrame:
     """New records in (rank, id) order against a bucket's leaders: the existing ones and those founded on the way.
 
     Returns id, decision, leader (the record's own id if new or ambiguous), candidate and score of the best
     leader; equal scores go to existing leaders by id, then to founded ones in their order. A new record
-    founds unless an earlier leader matches it, so each round decides the records all of whose earlier
-    matches are decided; then every record takes its best leader. Rounds are joins over the links of
-    those records that may found at all.
+    founds unless an earlier leader matches it: decided along the links of those records that may found at all, a bucket or
+    component at a time (see ``ordered``; components of more than ``unit_links`` links take rounds); then every record takes
+    its best leader.
     """
     old, fresh = _filled(existing, m).withColumn("_old", F.lit(True)), _filled(new, m).withColumn("_old", F.lit(False))
     if m.rank not in old.columns:  # leaders that stand already have no rank among themselves
@@ -141,17 +153,13 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFra
     place = lambda side: F.struct((~F.col(f"{side}._old")).alias("new"), F.when(~F.col(f"{side}._old"), F.col(f"{side}.{m.rank}")).alias("rank"), F.col(f"{side}.{m.id}").alias("id"))
     earlier = place("b") < place("a")
     strong = _scored(heads, old.unionByName(heads), m, earlier, m.match_threshold)
-    strong = cut(strong.select(F.col(f"a.{m.id}").alias("id"), F.col("b._old").alias("to_old"), F.col(f"b.{m.id}").alias("to")))
-    # leads: null while undecided
-    state = cut(heads.select(F.col(m.id).alias("id"), F.lit(None).cast("boolean").alias("leads")))
-    while True:
-        other = strong.join(state.select(F.col("id").alias("to"), F.col("leads").alias("other")), "to", "left").withColumn("other", F.col("to_old") | F.col("other"))
-        seen = other.groupBy("id").agg(F.bool_or("other").alias("taken"), F.bool_or(F.col("other").isNull()).alias("waits"))
-        leads = F.coalesce("leads", F.when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True))
-        state = cut(state.join(seen, "id", "left").select("id", leads.alias("leads")))
-        if state.where("leads IS NULL").isEmpty():
-            break
-    leaders = old.unionByName(heads.join(state.where("leads").select(F.col("id").alias(m.id)), m.id, "left_semi"))
+    strong = cut(strong.select(F.col(f"a.{m.bucket}").alias("bucket"), place("a").alias("at"), F.col(f"a.{m.id}").alias("id"), place("b").alias("to_at"), F.col(f"b.{m.id}").alias("to"), F.col("b._old").alias("outside")))
+    decided, rest = independent(strong, dict(new.dtypes)[m.id], unit_links)
+    if rest is not None:
+        decided = decided.unionByName(_leads_by_rounds(rest))
+    # Only records with a link can fail to lead.
+    led = cut(decided.where("NOT leads").select(F.col("id").alias(m.id)))
+    leaders = old.unionByName(heads.join(led, m.id, "left_anti"))
     pairs = _scored(fresh, leaders, m, earlier, min(m.match_threshold, m.ambiguous_floor))
     chosen = pairs.select(F.col(f"a.{m.id}").alias("id"), F.struct((-F.col("score")).alias("s"), place("b").alias("at")).alias("c")).groupBy("id").agg(F.min("c").alias("c"))
     out = fresh.select(F.col(m.id).alias("id")).join(chosen, "id", "left").select("id", F.coalesce(-F.col("c.s"), F.lit(0.0)).alias("score"), F.col("c.at.id").alias("best"))
@@ -159,6 +167,18 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema) -> DataFra
     return out.select(F.col("id").alias(m.id), "decision", F.when(F.col("decision") == "match", F.col("best")).otherwise(F.col("id")).alias("leader"), F.when(F.col("decision") != "new", F.col("best")).alias("candidate"), F.when(F.col("decision") != "new", F.col("score")).alias("score"))
 
 
+def _leads_by_rounds(links: DataFrame) -> DataFrame:
+    """(id, leads) of the ids in links(id, to, outside): each round decides the ids all of whose earlier links are decided."""
+    state = cut(links.select("id").unionByName(links.where("NOT outside").select(F.col("to").alias("id"))).distinct().withColumn("leads", F.lit(None).cast("boolean")))
+    while True:
+        other = links.join(state.select(F.col("id").alias("to"), F.col("leads").alias("other")), "to", "left").withColumn("other", F.col("outside") | F.col("other"))
+        seen = other.groupBy("id").agg(F.bool_or("other").alias("taken"), F.bool_or(F.col("other").isNull()).alias("waits"))
+        leads = F.coalesce("leads", F.when(F.coalesce("taken", F.lit(False)), False).when(~F.coalesce("waits", F.lit(False)), True))
+        state = cut(state.join(seen, "id", "left").select("id", leads.alias("leads")))
+        if state.where("leads IS NULL").isEmpty():
+            return state
+
+
 def _heads(records: DataFrame, m: MatchSchema) -> DataFrame:
     """Records that may found a group: of equal texts of a bucket the first alone, as the others match whatever it matches, or it.
 

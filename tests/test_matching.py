@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions.similarity import _lcs
-from gleanery.operators import match
+from gleanery.operators import match, ordered
 
 VETO = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id", veto="a.kind = b.kind")
 PLAIN = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id")
@@ -105,3 +105,25 @@ def test_own_scorer_and_hot_bucket(spark):
     frame = spark.createDataFrame([(i, "abc"[i % 3] + str(i % 50), "one", i, 0) for i in range(600)], SCHEMA)
     assert {r.cluster for r in match.cluster(frame, m).collect()} == {0, 1, 2}
     assert {r.leader for r in match.leader_match(frame.where("false"), frame, m).collect()} == {0, 1, 2}
+
+
+def test_large_units_take_rounds(spark, rows, m=VETO):
+    """The same decisions whether a bucket streams whole, by components, or by rounds."""
+    frame = spark.createDataFrame(rows, SCHEMA)
+    old, new = frame.where("id % 4 = 0"), frame.where("id % 4 <> 0")
+    whole = [{r.id: r.cluster for r in match.cluster(frame, m).collect()}, {r.id: r.leader for r in match.leader_match(old, new, m).collect()}]
+    for most in (3, 40):
+        assert [{r.id: r.cluster for r in match.cluster(frame, m, most).collect()}, {r.id: r.leader for r in match.leader_match(old, new, m, most).collect()}] == whole
+
+
+def test_a_chain_needs_few_rounds(spark, monkeypatch):
+    """Two chains of 5,000 in one bucket, each a component that streams whole: rounds are those of the components."""
+    n, rounds = 5_000, []
+    plain = ordered.cut
+    monkeypatch.setattr(ordered, "cut", lambda df: rounds.append(1) or plain(df))
+    links = spark.range(2 * n).where(f"id % {n} > 0").selectExpr("'b' AS bucket", "id AS at", "id", "id - 1 AS to_at", "id - 1 AS to", "false AS outside")
+    got, rest = ordered.independent(links, "long", unit_links=n)
+    assert rest is None and {r.id: r.leads for r in got.collect()} == {i: i % n % 2 == 0 for i in range(2 * n)}
+    assert len(rounds) <= 20
+    groups, rest = ordered.first_groups(links.drop("outside"), "long", unit_links=n)
+    assert rest is None and {r.first for r in groups.collect()} == {0, n}
