@@ -33,6 +33,8 @@ from .common import stored, tidy
 SHARD_POINTS = 8_192
 #: Queries that one task streams past its shard.
 CHUNK_QUERIES = 4_096
+#: Vectors that a partition of the visits holds at least, in large tables.
+PARTITION_BYTES = 32 << 20
 DIRECTIONS = 16
 LEAF = 64
 #: The stopping test's probability that a nearer point would have been seen. A neighbour nearer than the k-th is found likelier still.
@@ -319,15 +321,21 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_column: str = "vec_id",
     asked = classed.where("q").select("id", "key", "x")
     queries = stored(asked.groupBy("key").agg(F.first("x").alias("vector")).withColumnRenamed("key", "query"), "vector-queries")
     limit = chi_square_quantile(confidence, DIRECTIONS)
-    chunks = max(1, math.ceil(queries.count() / chunk_queries))
 
     def visit(asking: DataFrame, home: bool, name: str) -> DataFrame:
         routed = asking.mapInArrow(tidy(_route(cells, size.n, top, limit, home)), "query string, vector array<double>, bound double, cell int")
-        routed = routed.select(F.lit(None).cast("long").alias("point"), "query", "vector", "bound", "cell", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("sub"), F.pmod(F.xxhash64("query"), F.lit(chunks)).cast("int").alias("chunk"))
-        held = points.select("point", F.lit(None).cast("string").alias("query"), "vector", F.lit(None).cast("double").alias("bound"), "cell", "sub", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
+        # Each cell's queries are counted (at most MAX_CELLS rows) and cut into chunks, so that only a cell with more than one copies its points.
+        asked_of = {r.cell: r["n"] for r in routed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+        cuts = spark.createDataFrame([(c, math.ceil(n / chunk_queries)) for c, n in asked_of.items()], "cell int, chunks int")
+        routed = routed.join(F.broadcast(cuts), "cell").select(F.lit(None).cast("long").alias("point"), "query", "vector", "bound", "cell", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("sub"), F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int").alias("chunk"))
+        copied = points.join(F.broadcast(cuts), "cell")  # cells without a query have no work
+        held = copied.select("point", F.lit(None).cast("string").alias("query"), "vector", F.lit(None).cast("double").alias("bound"), "cell", "sub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
         both = held.unionByName(routed).withColumn("shard", F.col("cell").cast("long") * shards + F.col("sub"))
-        # More partitions than shards, so that few shards share one by chance.
-        met = both.repartition(max(8, 4 * (shards << depth) * chunks), "shard", "chunk").sortWithinPartitions("shard", "chunk", F.col("query").isNotNull())
+        # More partitions than units of work, so that few share one by chance, but none for less than PARTITION_BYTES beyond a few for each core.
+        units = shards * sum(math.ceil(n / chunk_queries) for n in asked_of.values())
+        moved = 8 * size.n * (n_points / (1 << depth) * units / shards + shards * sum(asked_of.values()))
+        parts = min(4 * units, max(8 * spark.sparkContext.defaultParallelism, math.ceil(moved / PARTITION_BYTES)))
+        met = both.repartition(max(8, parts), "shard", "chunk").sortWithinPartitions("shard", "chunk", F.col("query").isNotNull())
         found = met.select("shard", "chunk", "point", "query", "vector", "bound").mapInArrow(tidy(_search(k + 1, size.n, top, confidence)), _FOUND)
         return stored(found, name)
 

@@ -200,7 +200,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, end_id: in
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n = max(4 * parts, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // RANGE_BYTES))
-    borders = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
+    # The ids alone are dealt out by ranges; what comes to the driver is the last id of each, one per RANGE_BYTES of text.
+    ends = rows.where("doc_id IS NOT NULL").select("doc_id").repartitionByRange(n, "doc_id").groupBy(F.spark_partition_id().alias("part")).agg(F.max("doc_id").alias("last")).collect()
+    borders = [r["last"] + 1 for r in ends if r["last"] < (1 << 63) - 1]
     encoded = rows.mapInArrow(tidy(_encode(tokenizer_path, end_id, sorted(set(borders or [])))), "range int, doc_id long, width byte, ids binary")
     ordered = encoded.repartition(max(parts, n // 4), "range").sortWithinPartitions("range", F.asc_nulls_first("doc_id"))
     ordered.mapInArrow(tidy(_files(bits)), "range int, file int, n_ids long, payload binary").write.parquet(out)

@@ -20,9 +20,10 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import each_slice, mix64, ngram_hashes, one_text_each, possible_rows, stored, tidy, word_hashes, words
+from .common import each_slice, mix64, ngram_hashes, one_text_each, possible_rows, stored, text_or_empty, tidy, word_hashes, words
 from .components import components
 
 SHINGLE = 5
@@ -295,14 +296,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 
 def one_of_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of docs less those whose class has a smaller id; rows that share an id become one.
+    """Rows of docs less those whose class has a smaller id; of rows that share an id that with the least text stays.
 
-    Only rows that may go, or share an id, are shuffled. Rows without an id stay.
+    A null text counts as an empty one, as where classes are judged; rows alike in id and text keep the one that is least in
+    its other columns. Only rows that may go, or share an id, are shuffled. Rows without an id all stay. Other columns are
+    kept, whatever their names; an empty table gives no rows.
     """
     out = stored(groups.where("doc_id <> class_id").select("doc_id").distinct(), "near-copies")
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     touched = stored(out.unionByName(repeated).distinct(), "near-copies-or-repeated")
-    some = possible_rows(docs, touched).dropDuplicates(["doc_id"]).join(out, "doc_id", "left_anti").select(*docs.columns)
+    sortable = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    place = next(c for c in (f"place{i}" for i in range(len(docs.columns) + 1)) if c not in docs.columns)
+    least = F.row_number().over(W.partitionBy("doc_id").orderBy(text_or_empty(), *sortable))
+    first = possible_rows(docs, touched).withColumn(place, least).where((F.col(place) == 1) | F.col("doc_id").isNull())
+    some = first.join(out, "doc_id", "left_anti").select(*docs.columns)
     return possible_rows(docs, touched, wanted=False).unionByName(some)
 
 

@@ -197,10 +197,18 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
     for length, n in counts.items():
         histogram[length] = n
     places, _ = layout(histogram)
-    plan = spark.createDataFrame([(int(a), int(b), int(b + n), int(s - b), int(o)) for a, b, n, s, o in places], "length long, lo long, hi long, shift long, offset long")
+    # A row per length, with its runs in order of their first ranks; a rank finds its run by binary search.
+    runs: dict[int, list[tuple[int, int, int]]] = {}
+    for length, low, _, sequence, offset in sorted(places):
+        runs.setdefault(int(length), []).append((int(low), int(sequence - low), int(offset)))
+    schema = "length long, runs array<struct<low:long,shift:long,offset:long>>"
+    plan = spark.createDataFrame(list(runs.items()), schema)
     ranked = salted_rank(pieces, ["length"], list(order), list(order), 64, "rank")
-    joined = ranked.join(F.broadcast(plan), (ranked.length == plan.length) & (ranked["rank"] >= plan.lo) & (ranked["rank"] < plan.hi)).drop(plan.length)
-    return joined.withColumn("sequence_id", F.col("rank") + F.col("shift")).drop("lo", "hi", "shift", "rank")
+    halves = F.array(*(F.lit(1 << k) for k in range(max(map(len, runs.values()), default=1).bit_length() - 1, -1, -1)))
+    reaches = lambda at: (at < F.size("runs")) & (F.get("runs", at)["low"] <= F.col("rank"))
+    run = F.aggregate(halves, F.lit(0), lambda at, half: F.when(reaches(at + half), at + half).otherwise(at))
+    found = ranked.join(F.broadcast(plan), "length").withColumn("run", F.get("runs", run))
+    return found.withColumns({"sequence_id": F.col("rank") + F.col("run.shift"), "offset": F.col("run.offset")}).drop("runs", "run", "rank")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:

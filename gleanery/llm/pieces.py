@@ -154,31 +154,45 @@ class Lattice:
         return [self.byte_ids.get(b, self.unknown) for b in character.encode("utf-8", "surrogatepass")]
 
     def a_star(self, part: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a part, best first; equal scores: shorter last pieces first."""
+        """The n best segmentations of a part, best first; equal scores: shorter last pieces first.
+
+        A path is a chain of steps to their parents, and a step's rivals wait in their order until it has been taken, so that
+        memory follows the part's length.
+        """
         length = len(part)
         forward = [0.0] + [_FAR] * length
-        into: list[list[tuple[int, float, int]]] = [[] for _ in range(length + 1)]
+        piece = lambda j, size: self.table.get(part[j - size : j], (self.fallback if size == 1 else _FAR, -1))
         for j in range(1, length + 1):
-            for size in range(1, min(self.longest, j) + 1):
-                s, which_id = self.table.get(part[j - size : j], (self.fallback if size == 1 else _FAR, -1))
-                if s > _FAR:
-                    into[j].append((size, s, which_id))
-                    forward[j] = max(forward[j], forward[j - size] + s)
-        heap = [(-forward[length], (), length, 0.0, None)]
-        found = []
+            forward[j] = max(forward[j - size] + piece(j, size)[0] for size in range(1, min(self.longest, j) + 1))
+
+        def below(parent: _Step) -> _Step | None:
+            """The best step back from where a step begins, which leads to its rivals."""
+            at, done, ways = parent.at, parent.done, []
+            for size in range(1, min(self.longest, at) + 1):
+                s, which_id = piece(at, size)
+                if s > _FAR and forward[at - size] > _FAR / 2:
+                    ways.append((-(done + s + forward[at - size]), size, done + s, which_id))
+            ways.sort(reverse=True)  # the last is the best
+            return _Step(parent, at, ways) if ways else None
+
+        root = _Step(None, length, None)
+        heap = [first] if length and (first := below(root)) else []
+        found = [] if length else [(0.0, [])]
         while heap and len(found) < n:
-            _, sizes, at, done, path = heapq.heappop(heap)
-            if at == 0:
-                ids, node = [], path
-                while node:
-                    (begin, which_id), node = node
-                    ids += [which_id] if which_id >= 0 else self.bytes_of(part[begin])
-                found.append((done, ids))
+            step = heapq.heappop(heap)
+            if step.rivals:
+                heapq.heappush(heap, _Step(step.parent, step.end, step.rivals))
+            step.rivals = None
+            if step.at:
+                then = below(step)
+                if then:
+                    heapq.heappush(heap, then)
                 continue
-            for size, s, which_id in into[at]:
-                back = at - size
-                if forward[back] > _FAR / 2:
-                    heapq.heappush(heap, (-(done + s + forward[back]), (*sizes, size), back, done + s, ((back, which_id), path)))
+            ids, node = [], step
+            while node is not root:
+                ids += [node.id] if node.id >= 0 else self.bytes_of(part[node.at])
+                node = node.parent
+            found.append((step.done, ids))
         return found
 
     def learn(self, parts: list[str]) -> None:
@@ -245,6 +259,42 @@ class Lattice:
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
+class _Step:
+    """A piece on a way back from the end of a part, in order of the way's best total, then of its pieces' sizes from the end.
+
+    ``jump`` leads over many steps at once (to an ancestor whose depth follows from this one's alone), so that two ways of any
+    length are compared in logarithmic time.
+    """
+
+    __slots__ = ("at", "depth", "done", "end", "id", "jump", "loss", "parent", "rivals", "size")
+
+    def __init__(self, parent: _Step | None, end: int, ways: list | None):
+        self.parent, self.end, self.rivals = parent, end, ways
+        if parent is None:
+            self.at, self.depth, self.done, self.jump = end, 0, 0.0, self
+            return
+        self.loss, self.size, self.done, self.id = ways.pop()
+        self.at, self.depth = end - self.size, parent.depth + 1
+        over = parent.jump
+        self.jump = over.jump if parent.depth - over.depth == over.depth - over.jump.depth else parent
+
+    def _up(self, depth: int) -> _Step:
+        while self.depth > depth:
+            self = self.jump if self.jump.depth >= depth else self.parent
+        return self
+
+    def __lt__(self, other: _Step) -> bool:
+        if self.loss != other.loss:
+            return self.loss < other.loss
+        depth = min(self.depth, other.depth)
+        a, b = self._up(depth), other._up(depth)
+        if a is b:  # one way begins with the other
+            return self.depth < other.depth
+        while a.parent is not b.parent:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.parent, b.parent)
+        return a.size < b.size
+
+
 def _codes(parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))

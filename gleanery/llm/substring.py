@@ -477,13 +477,13 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, min_piece: in
 
 
 def _without(batches):
-    """Tasks: texts with spans of words -> texts without them."""
+    """Tasks: texts with spans of words in the last column -> texts without them."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
         texts = []
         for lo, hi, data, off in each_slice(batch):
             starts, ends, first = words(data, off)
-            for i, spans in enumerate(batch.column("spans").slice(lo, hi - lo).to_pylist()):
+            for i, spans in enumerate(batch.column(batch.num_columns - 1).slice(lo, hi - lo).to_pylist()):
                 raw, base = data[off[i] : off[i + 1]].tobytes(), off[i]
                 left, low = [], 0
                 for span in sorted((s["start"], s["end"]) for s in spans or []):
@@ -491,17 +491,19 @@ def _without(batches):
                     low = int(ends[first[i] + span[1] - 1] - base)
                 left.append(raw[low:])
                 texts.append(b"".join(left).decode("utf-8", "replace"))
-        yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["spans"])
+        yield batch.set_column(at, "text", pa.array(texts, pa.string())).select(range(batch.num_columns - 1))
 
 
 def remove_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """docs with the passages cut out of their texts; a document without a word left goes.
 
     A null text goes with the wordless ones. n_chars, if there is such a column, follows the text. Texts
-    without a passage are not shuffled.
+    without a passage are not shuffled. Repeated ids lose the passages each; rows without an id stay as they are; other columns
+    are kept, whatever their names. An empty table gives no rows.
     """
-    spans = stored(passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    name = next(c for c in (f"spans{i}" for i in range(len(docs.columns) + 1)) if c not in docs.columns)
+    spans = stored(passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias(name)), "spans")
     ids = spans.select("doc_id")
-    joined = possible_rows(docs, ids).join(spans, "doc_id", "left").select(*docs.columns, "spans")
+    joined = possible_rows(docs, ids).join(spans, "doc_id", "left").select(*docs.columns, name)
     out = possible_rows(docs, ids, wanted=False).unionByName(joined.mapInArrow(tidy(_without), docs.schema)).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -196,3 +196,54 @@ def test_one_block_is_read_alone():
         assert (bitplane.read_ids(short, 1500, 4000) == ids[1500:5500]).all()
         with pytest.raises(Exception):  # noqa: B017
             bitplane.unpack_file(short)
+
+
+def _tuple_search(own, part, n):
+    """The n best segmentations by a heap of whole paths: what the steps to parents must equal."""
+    import heapq
+
+    from gleanery.llm.pieces import _FAR
+
+    forward = [0.0] + [_FAR] * len(part)
+    into = [[] for _ in range(len(part) + 1)]
+    for j in range(1, len(part) + 1):
+        for size in range(1, min(own.longest, j) + 1):
+            s, i = own.table.get(part[j - size : j], (own.fallback if size == 1 else _FAR, -1))
+            if s > _FAR:
+                into[j].append((size, s, i))
+                forward[j] = max(forward[j], forward[j - size] + s)
+    heap, found = [(-forward[-1], (), len(part), 0.0)], []
+    while heap and len(found) < n:
+        _, sizes, at, done = heapq.heappop(heap)
+        if not at:
+            found.append((done, sizes))
+        for size, s, _ in into[at]:
+            if forward[at - size] > _FAR / 2:
+                heapq.heappush(heap, (-(done + s + forward[at - size]), (*sizes, size), at - size, done + s))
+    return found
+
+
+def test_a_star_keeps_its_order_and_its_memory():
+    import tracemalloc
+
+    own = pieces.lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    for part in ("aaaaaaaa", "abababab", "internationalization", "x", "Ünïcodé漢字漢字", "0000011111"):
+        got = own.a_star(part, 12)
+        want = _tuple_search(own, part, 12)
+        assert [s for s, _ in got] == [s for s, _ in want]
+        spelled = [[own.table[part[e - z : e]][1] for e, z in _ends(part, sizes)] for _, sizes in want if all(part[e - z : e] in own.table for e, z in _ends(part, sizes))]
+        assert [ids for _, ids in got if ids in spelled] == spelled
+    long = "".join("abcdefghijklmnopqrstuvwxyz0123456789"[(i * i + i // 7) % 36] for i in range(50_000))
+    tracemalloc.start()
+    found = own.a_star(long, 3)
+    assert tracemalloc.get_traced_memory()[1] < 75 << 20
+    tracemalloc.stop()
+    assert len(found) == 3 and found[0][0] >= found[1][0] >= found[2][0] and own.decode(np.array(found[0][1])) in (long, long[1:])
+
+
+def _ends(part, sizes):
+    """(end, size) of the pieces from the start of the part; sizes come from its end."""
+    end = 0
+    for z in reversed(sizes):
+        end += z
+        yield end, z
