@@ -44,7 +44,7 @@ def process_run(raw: DataFrame, source: DataFrame, resolved: DataFrame, standing
     by_place = replace(m, bucket="venue_key", id="entity", text="title_key", rank="rank")
     places = match.leader_match(new.where("false"), new, by_place).select("entity", F.col("leader").alias("series"))
     heads = new.join(places.where("entity = series").select("entity"), "entity").select(F.col("entity").alias("series"), "title", "venue_key", T.slugify(F.col("title")).alias("slug_base"))
-    series = state.unique_slugs(heads, "slug_base", "venue_key", "series").select("series", "title", "venue_key", F.col("unique_slug").alias("slug"))
+    series = state.unique_slugs(heads.withColumn("place", F.regexp_replace("venue_key", "[^a-z0-9]+", "-")), "slug_base", "place", "series").select("series", "title", "venue_key", F.col("unique_slug").alias("slug"))
 
     scores = signals.evidence_counts(bridge, "entity", "source", F.lit(False))
     status = F.when(F.col("cancelled"), "cancelled").otherwise("active")

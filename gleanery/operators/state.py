@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .signals import first_of
 from .tables import cut
 
@@ -23,14 +24,52 @@ def with_columns_of(old: DataFrame, defaults: dict[str, Column]) -> DataFrame:
     return old.withColumns({c: v for c, v in defaults.items() if c not in old.columns})
 
 
-def unique_slugs(rows: DataFrame, slug: str, suffix: str, order: str) -> DataFrame:
-    """Slugs without clashes: base, then base-suffix, then base-suffix-hash of the row's order."""
-    n = F.row_number().over(W.partitionBy(slug).orderBy(order))
-    second = rows.withColumn("_n", n).withColumn("_two", F.when(F.col("_n") > 1, F.concat_ws("-", slug, suffix)).otherwise(F.col(slug)))
-    m = F.row_number().over(W.partitionBy("_two").orderBy("_n", order))
-    third = second.withColumn("_m", m)
-    final = F.when(F.col("_m") > 1, F.concat(F.col("_two"), F.lit("-"), F.substring(F.sha1(F.concat_ws("|", slug, F.col(order).cast("string")).cast("binary")), 1, 6))).otherwise(F.col("_two"))
-    return third.withColumn("unique_slug", final).drop("_n", "_two", "_m")
+def unique_slugs(rows: DataFrame, slug: str, suffix: str, order: str, salt: str | None = None, standing: DataFrame | None = None) -> DataFrame:
+    """rows with unique_slug, as if they were created one after another in their order (a column without repeats).
+
+    A row takes its slug if no standing(slug) row and no row before it has that, else slug-suffix, else that with six
+    digits of its hash and the salt's (by default the order's), else with forty. An empty suffix adds nothing. In each round every row
+    whose next choice is free takes it, unless a row before it is undecided and may still come to it; so slugs are
+    settled against all that stand or come before, in as many rounds as such rows wait for each other.
+    """
+    salt = salt or order
+    two = F.when(F.coalesce(F.col(suffix).cast("string"), F.lit("")) != "", F.concat_ws("-", slug, suffix)).otherwise(F.col(slug))
+    digest = F.sha1(F.concat(two, F.col(salt).cast("string")).cast("binary"))
+    options = F.array_distinct(F.array(F.col(slug), two, F.concat_ws("-", two, F.substring(digest, 1, 6)), F.concat_ws("-", two, F.sha1(F.concat_ws("|", two, F.col(salt).cast("string"), F.col(order).cast("string")).cast("binary")))))
+    choices = cut(rows.select(F.col(order).alias("o"), F.posexplode(options).alias("k", "s")))
+    taken = standing.select(F.col("slug").alias("s")).distinct() if standing is not None else choices.select("s").where("false")
+    choices = cut(choices.join(taken, "s", "left_anti"))
+    done = cut(choices.select("o", "s").where("false"))
+    while not choices.isEmpty():
+        now = choices.groupBy("o").agg(F.min_by("s", "k").alias("s"))
+        first = choices.groupBy("s").agg(F.min("o").alias("first"))
+        won = cut(now.join(first, "s").where("o = first").select("o", "s"))
+        done = cut(done.unionByName(won))
+        choices = cut(choices.join(won.select("o"), "o", "left_anti").join(won.select("s"), "s", "left_anti"))
+    return rows.join(done.select(F.col("o").alias(order), F.col("s").alias("unique_slug")), order)
+
+
+def find_or_create_series(records: DataFrame, series: DataFrame, m, id_: str) -> tuple[DataFrame, DataFrame]:
+    """((id, series), new series) for records, in the order of m: the series at the same place whose title is most alike, else a new one.
+
+    records(id, rank, title, title_key, venue_key, place_slug, day); series(series, title_key, venue_key, slug) stand already. A
+    title matches at the threshold of ``m`` or not at all. A new series has the id of the record that founds it, its title and place
+    and a slug that neither a standing nor an earlier new series has.
+    """
+    from dataclasses import replace
+
+    from .match import leader_match
+
+    by_place = replace(m, text="title_key", bucket="venue_key", id=id_, rank="rank", ambiguous_floor=101.0, veto=None)
+    kind = dict(records.dtypes)[id_]
+    old = series.select(F.col("series").cast(kind).alias(id_), "title_key", "venue_key")
+    found = cut(leader_match(old, records, by_place).select(id_, F.col("leader").alias("series")))
+    heads = records.join(found.where(F.col(id_) == F.col("series")).select(id_), id_)
+    heads = heads.select(F.col(id_).alias("series"), "rank", "title", "title_key", "venue_key", "place_slug", "day", T.slugify(F.col("title")).alias("_base"))
+    # Creation order: rank, then id.
+    heads = heads.withColumn("_order", F.struct("rank", "series")).withColumn("_salt", F.col("day").cast("string"))
+    slugs = unique_slugs(heads, "_base", "place_slug", "_order", "_salt", series.select("slug"))
+    return found, slugs.select("series", "title", "title_key", "venue_key", F.col("unique_slug").alias("slug"))
 
 
 def merge_remap(pairs: DataFrame, ids: DataFrame, id_: str) -> DataFrame:

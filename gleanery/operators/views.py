@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import signals
+
 
 def featured(pool: DataFrame, series: str, k: int, *order: Column) -> DataFrame:
     """The k best records, at most one of each series, with their place."""
@@ -192,10 +194,37 @@ def report_lines(name: str, rows: DataFrame, k: int | None, line: Column, *order
     return top.select(F.lit(name).alias("section"), F.row_number().over(W.orderBy(*order)).cast("long").alias("rank"), line.alias("line"))
 
 
-def region_feed(rows: DataFrame, regions: str, fields: dict[str, str]) -> DataFrame:
-    """(region, record): a JSON record per row and region, ready for write.partitionBy('region').text."""
-    record = F.to_json(F.struct(*(F.col(c).alias(k) for k, c in fields.items())))
-    return rows.select(F.explode(regions).alias("region"), record.alias("record"))
+def region_feed(records: DataFrame, bridge: DataFrame, now: Column, shown: dict[str, Column]) -> DataFrame:
+    """(region, record): a JSON record of every published, active record that has not ended, for each region whose rule it passes.
+
+    records(id, series_slug, title, start, end, zone, all_day, categories, place struct or null, venue_name, price, ticket_url, info_url,
+    image_url, image_credit, curation_score, independent_source_count, publish_state, status) have UTC times; they are told on
+    the wall of their zone with its offset. bridge(id, source_id, name, url, origin_url, tier, origin_tier, curated, redistributable)
+    gives the best source: its origin or address is the link, else the record's own. ``shown`` has each region's rule over
+    the records' columns. Parts without a value are left out. Ready for write.partitionBy("region").text.
+    """
+    live = records.where((F.col("publish_state") == "published") & (F.col("status") == "active") & (F.col("end") >= now))
+    rank = F.struct(signals.tier_rank(signals.effective_tier(F.col("tier"), F.col("origin_tier"))).alias("t"), (~F.col("curated")).alias("p"), "source_id")
+    best = bridge.groupBy("id").agg(F.min_by(F.struct("name", "url", "origin_url", "tier", "redistributable"), rank).alias("s"))
+    j = live.join(best, "id", "left")
+
+    def told(c: str) -> Column:
+        wall = F.from_utc_timestamp(c, F.col("zone"))
+        offset = (F.unix_timestamp(wall) - F.unix_timestamp(c)).cast("int")
+        sign = F.when(offset < 0, "-").otherwise("+")
+        return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), sign, F.format_string("%02d:%02d", F.floor(F.abs(offset) / 3600).cast("int"), F.floor(F.abs(offset) % 3600 / 60).cast("int")))
+
+    filled = lambda c: F.nullif(c, F.lit(""))
+    place = F.coalesce(F.col("place"), F.when(filled(F.col("venue_name")).isNotNull(), F.from_json(F.to_json(F.struct(F.col("venue_name").alias("name"))), live.schema["place"].dataType)))
+    source = F.when(F.col("s").isNotNull(), F.struct(F.col("s.name").alias("name"), F.col("s.tier").alias("tier"), F.col("s.redistributable").alias("redistributable")))
+    image = F.when(filled(F.col("image_url")).isNotNull(), F.struct(F.col("image_url").alias("url"), F.col("image_credit").alias("credit")))
+    link = F.coalesce(filled(F.col("s.origin_url")), filled(F.col("s.url")), filled(F.col("info_url")))
+    record = F.struct(
+        "id", "series_slug", "title", told("start").alias("start"), told("end").alias("end"), "all_day", F.get("categories", F.lit(0)).alias("category"), "categories", place.alias("venue"), "price",
+        filled(F.col("ticket_url")).alias("ticket_url"), link.alias("info_url"), source.alias("source"), image.alias("image"), "curation_score", "independent_source_count",
+    )
+    regions = F.filter(F.array(*(F.when(F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in shown.items())), lambda r: r.isNotNull())
+    return j.select(F.to_json(record).alias("record"), regions.alias("regions")).select(F.explode("regions").alias("region"), "record")
 
 
 def ranked_section(name: str, rows: DataFrame, k: int, *order) -> DataFrame:

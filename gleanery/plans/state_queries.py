@@ -214,9 +214,14 @@ def sink_additive_schema(t):
     return state.with_columns_of(old, {"categories": F.array("category"), "category": F.lit("never")})
 
 
-@query("SELECT p_partkey, CASE WHEN m > 1 THEN two || '-' || substr(sha1(p_name || '|' || p_partkey), 1, 6) ELSE two END AS slug FROM (SELECT *, row_number() OVER (PARTITION BY two ORDER BY n, p_partkey) AS m FROM (SELECT *, CASE WHEN n > 1 THEN p_name || '-' || p_brand ELSE p_name END AS two FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS n FROM part)))")
+@query("""WITH p AS (SELECT *, p_name || '-' || p_brand AS two FROM part),
+o AS (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) + CASE WHEN p_name LIKE 'red%' THEN 1 ELSE 0 END AS n FROM p),
+m AS (SELECT *, row_number() OVER (PARTITION BY two ORDER BY p_partkey) - CASE WHEN n1 = 1 THEN 1 ELSE 0 END AS m FROM (SELECT *, min(n) OVER (PARTITION BY two) AS n1 FROM o))
+SELECT p_partkey, CASE WHEN n = 1 THEN p_name WHEN m = 1 THEN two ELSE two || '-' || substr(sha1(two || p_partkey), 1, 6) END AS slug FROM m""")
 def unique_slug(t):
-    return state.unique_slugs(t.part, "p_name", "p_brand", "p_partkey").select("p_partkey", F.col("unique_slug").alias("slug"))
+    """Slugs of parts in the order of their keys; names that begin with red stand already."""
+    red = t.part.where("p_name LIKE 'red%'").select(F.col("p_name").alias("slug"))
+    return state.unique_slugs(t.part, "p_name", "p_brand", "p_partkey", standing=red).select("p_partkey", F.col("unique_slug").alias("slug"))
 
 
 _MERGES = """WITH k AS (SELECT o_orderkey AS k FROM orders), one AS (SELECT k AS drop, k - 1 AS keep FROM k WHERE k % 10 = 1 AND k - 1 IN (SELECT k FROM k)),
@@ -367,15 +372,15 @@ def merge_into(t):
     return t.events.groupBy("user_id").agg(match.merge_rule("longest", F.col("props"), rank, "string").alias("props"), F.bool_or(F.col("event_id") <= 5000).alias("known"))
 
 
-@query("SELECT p_partkey, min(p_partkey) OVER (PARTITION BY p_brand, p_name) AS series FROM part")
+@query()
 def find_or_create_series(t):
-    """Series by exact title at a place: with the floor above 100 a record matches at 100 in both ways or is new."""
+    """Parts in series by their brand as place and fuzzy names; every tenth part's series stands already."""
     from ..operators import match
 
-    p = t.part.withColumn("bucket", F.concat_ws("|", "p_brand", F.array_join(F.array_sort(F.array_distinct(F.split("p_name", " "))), " ")))
-    m = match.MatchSchema(text="p_name", bucket="bucket", rank="p_partkey", id="p_partkey", match_threshold=100, ambiguous_floor=101, scorer=lambda a, b: F.when(a == b, 100.0).otherwise(0.0))
-    found = match.leader_match(p.where("false"), p, m)
-    return found.select("p_partkey", F.col("leader").alias("series"))
+    p = t.part.select("p_partkey", F.lit(0).alias("rank"), F.col("p_name").alias("title"), F.col("p_name").alias("title_key"), F.col("p_brand").alias("venue_key"), F.lower("p_brand").alias("place_slug"), F.lit("2026-01-01").cast("date").alias("day"))
+    old = p.where("p_partkey % 10 = 0").select(F.col("p_partkey").alias("series"), "title_key", "venue_key", F.concat(F.translate("title", " ", "-"), F.lit("-"), "p_partkey").alias("slug"))
+    found, made = state.find_or_create_series(p.where("p_partkey % 10 <> 0"), old, match.MatchSchema(text="title_key", bucket="venue_key", rank="rank", id="p_partkey"), "p_partkey")
+    return found.join(made.select("series", "slug"), "series", "left").select("p_partkey", "series", "slug")
 
 
 @query()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import listings as L
-from ..operators import signals, views
+from ..operators import signals, tables, views
 from .registry import query
 
 
@@ -144,12 +146,37 @@ def search(t):
     return views.search(queries, index, 50).select("q", F.col("id").alias("p_partkey"), F.col("score").cast("int").alias("score"))
 
 
-@query("SELECT c_mktsegment AS region, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'O' GROUP BY 1")
+@query("""WITH d AS (SELECT l_orderkey AS id, l_suppkey AS source_id, bool_or(l_returnflag = 'R') AS origin FROM lineitem GROUP BY 1, 2),
+b AS (SELECT id, arg_min({'n': s_name, 'u': CASE WHEN origin THEN 'https://o/' || source_id ELSE '/s/' || source_id END, 't': CASE WHEN s_acctbal > 5000 THEN 'A' WHEN s_acctbal > 0 THEN 'B' ELSE 'C' END, 'r': source_id % 2 = 0},
+  (CASE WHEN origin OR s_acctbal > 5000 THEN 0 WHEN s_acctbal > 0 THEN 1 ELSE 2 END, source_id % 3 <> 0, source_id)) AS s FROM d JOIN supplier ON s_suppkey = source_id GROUP BY 1),
+o AS (SELECT *, (o_orderdate::TIMESTAMP AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS wall, ((o_orderdate::TIMESTAMP + INTERVAL 3 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'America/Chicago' AS ends FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1998-01-01')
+SELECT region, '{"id":' || o_orderkey || ',"series_slug":"c' || o_custkey || '","title":"' || o_orderpriority || '","start":"' || strftime(wall, '%Y-%m-%dT%H:%M:%S') || CASE WHEN o_orderdate - wall = INTERVAL 5 HOUR THEN '-05:00' ELSE '-06:00' END
+  || '","end":"' || strftime(ends, '%Y-%m-%dT%H:%M:%S') || CASE WHEN o_orderdate + INTERVAL 3 HOUR - ends = INTERVAL 5 HOUR THEN '-05:00' ELSE '-06:00' END
+  || '","all_day":false,"category":"' || o_orderstatus || '","categories":["' || o_orderstatus || '"],"venue":' || CASE WHEN o_orderkey % 3 = 0 THEN '{"name":"Yard"}' ELSE '{"slug":"n' || c_nationkey || '","name":"' || c_name || '","city":"' || c_mktsegment || '"}' END
+  || ',"price":"' || CASE WHEN o_orderkey % 2 = 0 THEN '$5' ELSE '' END || '",' || CASE WHEN o_orderkey % 5 = 0 THEN '"ticket_url":"/t",' ELSE '' END || '"info_url":"' || coalesce(s.u, '/e') || '",'
+  || CASE WHEN s IS NULL THEN '' ELSE '"source":{"name":"' || s.n || '","tier":"' || s.t || '","redistributable":' || s.r || '},' END || CASE WHEN o_orderkey % 7 = 0 THEN '"image":{"url":"/i","credit":"me"},' ELSE '' END || '"curation_score":1,"independent_source_count":2}' AS record
+FROM o LEFT JOIN b ON b.id = o_orderkey, (VALUES ('core'), ('outer')) r(region)
+WHERE CASE region WHEN 'core' THEN c_mktsegment = 'BUILDING' ELSE o_orderpriority = '1-URGENT' END""")
 def sink_region_feed(t):
-    """Records per region of the feed, counted from its JSON rows."""
-    j = t.orders.where("o_orderstatus = 'O'").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    feed = views.region_feed(j.withColumn("regions", F.array("c_mktsegment")), "regions", {"id": "o_orderkey", "starts": "o_orderdate", "venue": "c_name"})
-    return feed.where(F.get_json_object("record", "$.id").isNotNull()).groupBy("region").agg(F.count("*").alias("n"))
+    """The feeds of two regions, written as files of JSON lines by region and read back, compared as whole texts."""
+    k = F.col("o_orderkey")
+    place = F.when(k % 3 != 0, F.struct(F.concat(F.lit("n"), "c_nationkey").alias("slug"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("city")))
+    text = lambda c, value: F.when(c, value).otherwise("")
+    records = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        k.alias("id"), F.concat(F.lit("c"), "o_custkey").alias("series_slug"), F.col("o_orderpriority").alias("title"), F.col("o_orderdate").cast("timestamp").alias("start"), (F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 3 HOURS")).alias("end"),
+        F.lit("America/Chicago").alias("zone"), F.lit(False).alias("all_day"), F.array("o_orderstatus").alias("categories"), place.alias("place"), F.lit("Yard").alias("venue_name"), text(k % 2 == 0, "$5").alias("price"), text(k % 5 == 0, "/t").alias("ticket_url"), F.lit("/e").alias("info_url"),
+        text(k % 7 == 0, "/i").alias("image_url"), F.lit("me").alias("image_credit"), F.lit(1).alias("curation_score"), F.lit(2).alias("independent_source_count"), F.lit("published").alias("publish_state"), F.when(F.col("o_orderstatus") == "F", "cancelled").otherwise("active").alias("status"), "c_mktsegment",
+    )
+    pulled = t.lineitem.groupBy(F.col("l_orderkey").alias("id"), F.col("l_suppkey").alias("source_id")).agg(F.max(F.when(F.col("l_returnflag") == "R", "A")).alias("origin_tier")).join(t.supplier, F.col("source_id") == F.col("s_suppkey"))
+    sid = F.col("source_id")
+    bridge = pulled.select(
+        "id", "source_id", F.col("s_name").alias("name"), F.concat(F.lit("/s/"), sid).alias("url"), text(F.col("origin_tier") == "A", F.concat(F.lit("https://o/"), sid)).alias("origin_url"), F.when(F.col("s_acctbal") > 5000, "A").when(F.col("s_acctbal") > 0, "B").otherwise("C").alias("tier"),
+        "origin_tier", (sid % 3 == 0).alias("curated"), (sid % 2 == 0).alias("redistributable"),
+    )
+    feed = views.region_feed(records, bridge, F.lit("1998-01-01 03:00:00").cast("timestamp"), {"core": F.col("c_mktsegment") == "BUILDING", "outer": F.col("title") == "1-URGENT"})
+    path = f"{tables.shared_dir(t.spark)}/feed-{uuid.uuid4().hex}"
+    feed.write.partitionBy("region").text(path)
+    return t.spark.read.text(path).select("region", F.col("value").alias("record"))
 
 
 @query(f"SELECT 'series' AS kind, o_custkey AS id, min(o_orderdate::DATE) AS next FROM orders WHERE o_orderdate::DATE >= {_NOW} GROUP BY 2 UNION ALL SELECT 'venue', c_nationkey, NULL FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate::DATE >= {_NOW}) GROUP BY 2")

@@ -19,11 +19,6 @@ def scan(spark: SparkSession, path: str, run_id, schema: str) -> DataFrame:
     return rows.select("source_id", "external_id", F.from_json("payload", schema).alias("r")).select("source_id", "external_id", "r.*")
 
 
-def source_runs(records: DataFrame, source: str, run: str, pulled_at: str) -> DataFrame:
-    """(source_id, run, n, last_ok): what each source gave in each run, ready to be appended to the run table."""
-    return records.groupBy(F.col(source).alias("source_id"), F.col(run).alias("run")).agg(F.count("*").alias("n"), F.max(pulled_at).alias("last_ok"))
-
-
 def registry(documents: DataFrame, doc: str, schema: str, required: list[str], defaults: dict) -> DataFrame:
     """Registry documents (JSON) as rows: defaults for what is left out, rows without a required field refused."""
     rows = documents.select(F.from_json(doc, schema).alias("r")).select("r.*")
