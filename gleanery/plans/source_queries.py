@@ -10,7 +10,7 @@ from ..functions import dates as D
 from ..functions import text as T
 from ..operators import listings as L
 from ..operators import review, signals, tables, venues, views
-from ..sources import archive, calendars, jsonld, snapshots
+from ..sources import archive, calendars, jsonld, landed, snapshots
 from ..sources import readers as R
 from .date_queries import RULE_DAYS, rule_of
 from .registry import query
@@ -138,9 +138,32 @@ def src_sitemap(t):
     return R.links(t.pages, "html", "page_id", "/", "^$", 5).select("page_id", "slug", F.col("place").cast("long").alias("place"))
 
 
-@query(f"SELECT page_id, slug FROM (SELECT DISTINCT page_id, unnest(l) AS slug FROM (SELECT page_id, {_LINKS} AS l FROM pages)) WHERE NOT regexp_matches(slug, '[0-4]$')")
+@query(f"""WITH {RULE_DAYS}, l AS (SELECT o_orderkey, o_custkey % 5 AS source, row_number() OVER (PARTITION BY o_custkey % 5 ORDER BY o_custkey, o_orderkey) AS place FROM orders WHERE o_orderkey % 6 <> 5 AND o_orderpriority <> '5-LOW'),
+k AS (SELECT * FROM l WHERE place <= 300)
+SELECT 's' || source AS source, 'e-' || o_orderkey || ':' || day AS external_id, o_orderpriority AS title, strftime(day + o_orderdate::TIME, '%Y-%m-%d %H:%M:%S') AS starts, CASE WHEN o_orderkey % 2 = 0 THEN 'Hall' ELSE '' END AS venue_name,
+  CASE WHEN o_orderkey % 2 = 0 THEN 'Hall' ELSE '1 Main' END AS address, '/s' || source || '/Details/e-' || o_orderkey AS info_url FROM k JOIN orders USING (o_orderkey) JOIN r USING (o_orderkey) WHERE o_orderkey % 7 <> 3 AND o_orderkey % 11 <> 3
+UNION ALL SELECT 's' || source, 'refused', CASE WHEN o_orderkey % 7 = 3 THEN 'not landed' ELSE 'no whole calendar' END, count(*)::VARCHAR, '', '', '' FROM k WHERE o_orderkey % 7 = 3 OR o_orderkey % 11 = 3 GROUP BY 1, 3
+""")
 def src_growthzone(t):
-    return R.links(t.pages, "html", "page_id", "/", "[0-4]$", 10**6).select("page_id", "slug")
+    """Listing pages of five sources and a calendar per event, landed as files in the shared folder and read back; some calendars are missing, some broken off."""
+    key = F.col("o_orderkey")
+    folder = f"{tables.shared_dir(t.spark)}/landed-{uuid.uuid4().hex}"
+    rows = t.orders.withColumns({"source": F.concat(F.lit("s"), F.col("o_custkey") % 5), "slug": F.concat(F.when(F.col("o_orderpriority") == "5-LOW", "skip-me-").otherwise("e-"), key)})
+    link = F.concat(F.lit("<a href='/"), "source", F.lit("/Details/"), "slug", F.lit("?x'>"))
+    pages = rows.where(key % 6 != 5).groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_custkey", key, link.alias("a")))), lambda s: s["a"]), " ").alias("value"))
+    pages.write.partitionBy("source").text(f"{folder}/listing")
+    stamp_ = F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss")
+    gone = F.when(key % 10 == 9, F.concat(F.lit("EXDATE;VALUE=DATE:"), F.date_format(F.date_add("o_orderdate", 14), "yyyyMMdd")))
+    event = F.concat_ws("\r\n", F.lit("BEGIN:VCALENDAR\r\nBEGIN:VEVENT"), F.concat(F.lit("SUMMARY:"), "o_orderpriority"), F.concat(F.lit("DTSTART:"), stamp_), F.concat(F.lit("LOCATION:"), F.when(key % 2 == 0, "Hall").otherwise("1 Main")), F.concat(F.lit("RRULE:"), rule_of(key)), gone, F.lit("END:VEVENT"), F.when(key % 11 != 3, "END:VCALENDAR"))
+    # One row a calendar, many calendars a file: a record per line with the calendar's path, as a collector's batch would be.
+    rows.where(key % 7 != 3).select("source", "slug", F.to_json(F.struct("slug", event.alias("body"))).alias("value")).select("source", "value").write.partitionBy("source").text(f"{folder}/calendars")
+    listings = landed.texts(t.spark, f"{folder}/listing").select("source", "body", F.concat(F.lit("/"), "source").alias("base"))
+    lines = t.spark.read.text(f"{folder}/calendars").select("source", F.from_json("value", "slug string, body string").alias("r"), F.col("_metadata.file_path").alias("path"))
+    events, bad = landed.listed_calendars(listings, lines.select("source", "r.slug", "path", "r.body"), F.lit("1999-01-01").cast("date"), F.lit("1999-03-31").cast("date"), skip=("skip me",), most=300)
+    none = F.lit("")
+    reasons = bad.select(F.regexp_extract("path", "(?:source=)?(s[0-9])/", 1).alias("source"), "reason").groupBy("source", "reason").agg(F.count("*").cast("string").alias("n"))
+    kept = events.select("source", "external_id", "title", stamp("starts").alias("starts"), "venue_name", "address", "info_url")
+    return kept.unionByName(reasons.select("source", F.lit("refused").alias("external_id"), F.col("reason").alias("title"), F.col("n").alias("starts"), none.alias("venue_name"), none.alias("address"), none.alias("info_url")))
 
 
 @query("SELECT o_orderkey AS external_id, o_orderpriority AS title, o_orderdate::DATE::VARCHAR AS day FROM orders WHERE o_orderstatus = 'O'")
@@ -180,10 +203,23 @@ def src_govcal(t):
     return found.select("external_id", stamp("starts").alias("starts"), stamp("ends").alias("ends"), "all_day", "address", "categories")
 
 
-@query("SELECT o_orderpriority || ' ' || o_orderkey AS title, o_orderdate::DATE AS starts FROM orders")
+@query("""SELECT 'f-' || o_orderkey || ':' || o_orderdate::DATE AS external_id, o_orderpriority || ' ' || o_orderkey AS title, o_orderdate::DATE AS starts,
+  strftime(o_orderdate::DATE + CASE WHEN o_orderkey % 9 < 8 THEN CAST(o_orderkey % 9 AS INT) ELSE 0 END + INTERVAL '23:59:59', '%Y-%m-%d %H:%M:%S') AS ends,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'Yard' ELSE 'Yard, ' || o_custkey || ' Main, Town' END AS address, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE 'Town' END AS city, 'Fun' AS description
+FROM orders WHERE (o_orderkey % 9 = 8 OR o_orderkey % 9 <= 5) AND o_orderdate::DATE <= DATE '1998-12-31' AND o_orderdate::DATE + CASE WHEN o_orderkey % 9 < 8 THEN CAST(o_orderkey % 9 AS INT) ELSE 0 END >= DATE '1998-01-01'""")
 def src_festival_cards(t):
-    card = F.concat(F.lit("<article><h3 class='title'>"), F.col("o_orderpriority"), F.lit(" "), F.col("o_orderkey"), F.lit("</h3><i class='venue'>x</i><b class='start'>"), _day().cast("string"), F.lit("</b><b class='end'>"), _day().cast("string"), F.lit("</b></article>"))
-    return R.cards(t.orders.groupBy("o_custkey").agg(F.array_join(F.collect_list(card), "").alias("html")), "html").select("title", "starts")
+    """A page of cards per customer and detail pages with an address for three of four, landed as files and joined by address."""
+    key, k = F.col("o_orderkey"), (F.col("o_orderkey") % 9).cast("int")
+    folder = f"{tables.shared_dir(t.spark)}/cards-{uuid.uuid4().hex}"
+    end = F.when(k == 8, "soon").otherwise(F.date_add(_day(), k).cast("string"))
+    card = F.concat(F.lit("<article><a href='/f/f-"), key, F.lit("'><h3 class='title'>"), F.col("o_orderpriority"), F.lit(" "), key, F.lit("</h3></a><i class='venue'>Yard</i><p class='summary'>Fun. </p><b class='start'>"), _day().cast("string"), F.lit("</b><b class='end'>"), end, F.lit("</b></article>"))
+    t.orders.groupBy((F.col("o_custkey") % 20).alias("page")).agg(F.array_join(F.collect_list(card), "").alias("value")).write.partitionBy("page").text(f"{folder}/pages")
+    block = F.concat(F.lit("<script type='application/ld+json'>{\"address\":{\"streetAddress\":\""), "o_custkey", F.lit(" Main\",\"addressLocality\":\"Town\"}}</script>"))
+    t.orders.where(key % 4 != 0).select(F.to_json(F.struct(F.concat(F.lit("https://f.example/f/f-"), key).alias("url"), block.alias("body"))).alias("value")).write.text(f"{folder}/details")
+    pages = landed.texts(t.spark, f"{folder}/pages").select(F.lit("f").alias("source"), F.lit("https://f.example").alias("base"), "body")
+    details = t.spark.read.schema("url string, body string").json(f"{folder}/details")
+    found = landed.festival_cards(pages, details, F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"), 5)
+    return found.select("external_id", "title", F.to_date("starts").alias("starts"), stamp("ends").alias("ends"), "address", "city", "description")
 
 
 @query("SELECT substr(sha1(o_orderpriority || '|' || strftime(o_orderdate::TIMESTAMP, '%Y-%m-%dT%H:%M:%S') || '|v' || o_custkey), 1, 12) AS external_id, o_orderpriority AS title FROM orders WHERE o_orderkey % 3 <> 0")

@@ -89,13 +89,6 @@ def mapped(rows: DataFrame, mapping: dict[str, str], require: dict[str, str] | N
     return rows.select(*(F.col(v).alias(k) for k, v in mapping.items()))
 
 
-def cards(pages: DataFrame, html: str) -> DataFrame:
-    """Festival cards: title, venue and a start and end span."""
-    card = pages.select(F.explode(F.regexp_extract_all(html, F.lit(r"(?is)<article\b[^>]*>(.*?)</article>"), 1)).alias("c"))
-    text = lambda css: F.trim(F.regexp_extract("c", rf"(?is)class=[\"']{css}[\"'][^>]*>\s*([^<]*)", 1))
-    return card.select(text("title").alias("title"), text("venue").alias("venue_name"), F.to_date(text("start")).alias("starts"), F.to_date(text("end")).alias("ends"))
-
-
 def manual(rows: DataFrame) -> DataFrame:
     """Hand-kept CSV rows: blank titles and bad dates go; the id hashes title, start and venue."""
     t = rows.select(*(F.trim(c).alias(c.strip()) for c in rows.columns)).withColumn("starts", F.try_to_timestamp("start")).where("title <> '' AND starts IS NOT NULL")
