@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.similarity import token_set_ratio
+from .candidates import pairs_above
 from .ordered import UNIT_LINKS, first_groups, independent
 from .tables import cut
 
@@ -52,10 +53,14 @@ def projected(records: DataFrame, m: MatchSchema) -> DataFrame:
 def _text_scores(left: DataFrame, right: DataFrame, m: MatchSchema, floor: float | None) -> DataFrame:
     """(bucket, ta, tb, score) of the different texts of each bucket, every pair of texts scored once; empty texts score 0.
 
-    With a floor pairs below it are left out.
+    With a floor pairs below it are left out, and for the set ratio most of them never become rows (see ``candidates``).
     """
     text = lambda df, name: df.select(F.col(m.bucket).alias("_bucket"), F.coalesce(m.text, F.lit("")).alias(name)).distinct()
-    met = text(left, "_ta").join(text(right, "_tb"), "_bucket")
+    if floor is not None and floor > 0 and m.scorer is token_set_ratio:
+        met = pairs_above(text(left, "_ta"), text(right, "_tb"), floor)
+    else:
+        met = text(left, "_ta").join(text(right, "_tb"), "_bucket")
+    met = cut(met)
     # Written first: a filter on the score would else be moved before distinct, and score every bucket's pairs.
     different = cut(met.select("_ta", "_tb").distinct())
     scored = different.withColumn("score", F.when((F.col("_ta") == "") | (F.col("_tb") == ""), 0.0).otherwise(m.scorer(F.col("_ta"), F.col("_tb"))))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions.similarity import _lcs
-from gleanery.operators import match, ordered
+from gleanery.operators import candidates, match, ordered
 
 VETO = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id", veto="a.kind = b.kind")
 PLAIN = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id")
@@ -127,3 +127,29 @@ def test_a_chain_needs_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 20
     groups, rest = ordered.first_groups(links.drop("outside"), "long", unit_links=n)
     assert rest is None and {r.first for r in groups.collect()} == {0, n}
+
+
+def test_bounds_hold():
+    """No pair's ratio exceeds its bound, whatever the texts."""
+    rng = np.random.default_rng(3)
+    words = ["alpha", "alpine", "beta", "betas", "gamma", "d", "é", "omega-3", "漢字", "zz"]
+    texts = ["", " ", *(" ".join(rng.choice(words, rng.integers(1, 6))) for _ in range(90)), *("".join(rng.choice(list("abcde "), 12)) for _ in range(60))]
+    got = candidates.bounds(texts, texts)
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            assert got[i, j] >= set_ratio(a, b) - 1e-3, (a, b)
+
+
+def test_large_buckets_lose_nothing(spark):
+    """A bucket of 2,000 names in blocks: the pairs at the floor are those of brute force, from few candidates."""
+    rng = np.random.default_rng(4)
+    syllables = [c + v for c in "bdfgklmnprst" for v in "aeiou"]
+    names = sorted({" ".join("".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(rng.integers(2, 5))) for _ in range(2000)})
+    names += [n.replace("a", "o", 1) for n in names[::20]]
+    names = sorted(set(names))
+    frame = spark.createDataFrame([("one", n) for n in names], "_bucket string, t string")
+    met = candidates.pairs_above(frame.withColumnRenamed("t", "_ta"), frame.withColumnRenamed("t", "_tb"), 82.0, few=10, block=256)
+    got = {(r._ta, r._tb) for r in met.collect()}
+    assert len(got) < 0.02 * len(names) ** 2
+    some = names[::97]
+    assert all((a, b) in got for a in some for b in names if set_ratio(a, b) >= 82)
