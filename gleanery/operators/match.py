@@ -161,7 +161,7 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, unit_links
     strong = cut(strong.select(F.col(f"a.{m.bucket}").alias("bucket"), place("a").alias("at"), F.col(f"a.{m.id}").alias("id"), place("b").alias("to_at"), F.col(f"b.{m.id}").alias("to"), F.col("b._old").alias("outside")))
     decided, rest = independent(strong, dict(new.dtypes)[m.id], unit_links)
     if rest is not None:
-        decided = decided.unionByName(_leads_by_rounds(rest))
+        decided = decided.unionByName(leads_by_rounds(rest))
     # Only records with a link can fail to lead.
     led = cut(decided.where("NOT leads").select(F.col("id").alias(m.id)))
     leaders = old.unionByName(heads.join(led, m.id, "left_anti"))
@@ -172,7 +172,7 @@ def leader_match(existing: DataFrame, new: DataFrame, m: MatchSchema, unit_links
     return out.select(F.col("id").alias(m.id), "decision", F.when(F.col("decision") == "match", F.col("best")).otherwise(F.col("id")).alias("leader"), F.when(F.col("decision") != "new", F.col("best")).alias("candidate"), F.when(F.col("decision") != "new", F.col("score")).alias("score"))
 
 
-def _leads_by_rounds(links: DataFrame) -> DataFrame:
+def leads_by_rounds(links: DataFrame) -> DataFrame:
     """(id, leads) of the ids in links(id, to, outside): each round decides the ids all of whose earlier links are decided."""
     state = cut(links.select("id").unionByName(links.where("NOT outside").select(F.col("to").alias("id"))).distinct().withColumn("leads", F.lit(None).cast("boolean")))
     while True:

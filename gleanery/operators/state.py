@@ -76,21 +76,22 @@ def merge_remap(pairs: DataFrame, ids: DataFrame, id_: str) -> DataFrame:
     """(drop, keep) of a list of merges (pos, keep, drop), applied in the order of pos.
 
     A pair counts if both ids exist when its turn comes: pairs with an id that is unknown or that an earlier
-    counted pair dropped are skipped. A kept id that is dropped later takes what it holds along. Each round
-    decides the pairs whose earlier rivals are decided, then chains are followed by doubling.
+    counted pair dropped are skipped. A kept id that is dropped later takes what it holds along. Pairs are decided in order
+    along their rivals (see ``ordered``), then chains are followed by doubling.
     """
     known = ids.select(id_)
     ok = pairs.where("keep <> drop").join(known.withColumnRenamed(id_, "keep"), "keep", "left_semi").join(known.withColumnRenamed(id_, "drop"), "drop", "left_semi")
     ends = F.explode(F.array("keep", "drop")).alias("_id")
     rivals = cut(ok.select("pos", ends).distinct().join(ok.select(F.col("drop").alias("_id"), F.col("pos").alias("_by")), "_id").where("_by < pos").select("pos", "_by").distinct())
-    state = cut(ok.select("pos", F.lit(None).cast("boolean").alias("counts")))
-    while True:
-        seen = rivals.join(state.select(F.col("pos").alias("_by"), F.col("counts").alias("_c")), "_by").groupBy("pos").agg(F.bool_or("_c").alias("_out"), F.bool_or(F.col("_c").isNull()).alias("_waits"))
-        counts = F.coalesce("counts", F.when(F.coalesce("_out", F.lit(False)), False).when(~F.coalesce("_waits", F.lit(False)), True))
-        state = cut(state.join(seen, "pos", "left").select("pos", counts.alias("counts")))
-        if state.where("counts IS NULL").isEmpty():
-            break
-    remap = cut(ok.join(state.where("counts"), "pos").select("drop", "keep"))
+    from .match import leads_by_rounds
+    from .ordered import independent
+
+    # A pair counts unless an earlier one that counts dropped one of its ids.
+    decided, rest = independent(rivals.select(F.lit("").alias("bucket"), F.col("pos").alias("at"), F.col("pos").alias("id"), F.col("_by").alias("to_at"), F.col("_by").alias("to"), F.lit(False).alias("outside")), dict(pairs.dtypes)["pos"])
+    if rest is not None:
+        decided = decided.unionByName(leads_by_rounds(rest))
+    out = cut(decided.where("NOT leads").select(F.col("id").alias("pos")))
+    remap = cut(ok.join(out, "pos", "left_anti").select("drop", "keep"))
     while True:
         on = remap.select(F.col("drop").alias("_d"), F.col("keep").alias("_k"))
         after = cut(remap.join(on, F.col("keep") == F.col("_d"), "left").select("drop", F.coalesce("_k", "keep").alias("keep"), F.col("_k").isNotNull().alias("_moved")))

@@ -118,11 +118,13 @@ def search(queries: DataFrame, index: DataFrame, limit: int = 50) -> DataFrame:
     that have them; the tokens are checked after.
     """
     width = 3
-    lengths = F.sequence(F.lit(1), F.least(F.lit(width), F.length("hay")))
-    grams = F.flatten(F.transform(lengths, lambda n: F.transform(F.sequence(F.lit(1), F.length("hay") - n + 1), lambda i: F.substring(F.col("hay"), i, n))))
-    held = index.where(F.length("hay") > 0).withColumn("_gram", F.explode(F.array_distinct(grams)))
     longest = F.array_max(F.transform("tokens", lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
     asked = queries.where(F.size("tokens") > 0).withColumn("_gram", F.substring(longest, 1, width))
+    # Rows are cut into pieces of the asked lengths alone: mostly of three letters.
+    lengths = sorted(r.n for r in asked.select(F.length("_gram").alias("n")).distinct().collect())
+    pieces = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("hay") - n + 1, F.lit(1))), lambda i: F.substring(F.col("hay"), i, F.lit(n)))
+    grams = F.array_distinct(F.concat(*map(pieces, lengths))) if lengths else F.array().cast("array<string>")
+    held = index.where(F.length("hay") > 0).withColumn("_gram", F.explode(grams))
     fits = F.forall("tokens", lambda k: F.contains(F.col("hay"), k))
     one = lambda k: F.when(F.startswith(F.col("title"), k), 3.0).when(F.contains(F.col("title"), k), 2.0).otherwise(1.0)
     hits = held.join(asked, "_gram").where(fits).drop("_gram")
