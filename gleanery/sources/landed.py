@@ -16,27 +16,28 @@ from ..functions.text import join_nonempty
 from . import calendars, jsonld
 from .readers import links
 
-_KEY = F.col("_metadata.file_path").alias("path")
+def _key() -> Column:
+    return F.col("_metadata.file_path").alias("path")
 
 
 def texts(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """(path, body and the folder's partition columns): each file whole. ``pattern`` is a glob that the file's name must fit."""
     scan = spark.read.option("wholetext", True)
     rows = (scan.option("pathGlobFilter", pattern) if pattern else scan).text(folder)
-    return rows.select(_KEY, F.col("value").alias("body"), *[c for c in rows.columns if c != "value"])
+    return rows.select(_key(), F.col("value").alias("body"), *[c for c in rows.columns if c != "value"])
 
 
 def csv_rows(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows with their path, refused (path, reason)): lines that don't fit the schema are refused one by one."""
     scan = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string")
-    rows = scan.csv(folder).select("*", _KEY)
+    rows = scan.csv(folder).select("*", _key())
     good = rows.where("_corrupt IS NULL").drop("_corrupt")
     return good, rows.where("_corrupt IS NOT NULL").select("path", F.concat(F.lit("bad line: "), F.col("_corrupt")).alias("reason"))
 
 
 def xml_rows(spark: SparkSession, folder: str, row_tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(elements with their path, refused (path, reason)) of XML files."""
-    rows = spark.read.option("rowTag", row_tag).option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").xml(folder).select("*", _KEY)
+    rows = spark.read.option("rowTag", row_tag).option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").xml(folder).select("*", _key())
     return rows.where("_corrupt IS NULL").drop("_corrupt"), rows.where("_corrupt IS NOT NULL").select("path", F.lit("bad element").alias("reason"))
 
 
