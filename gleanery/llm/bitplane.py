@@ -30,7 +30,7 @@ MAGIC = b"GLBP"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 20
 #: Words a worker keeps the ids of.
-CACHED_WORDS = 350_000
+CACHED_WORDS = 500_000
 #: Text that one range of documents may hold, the unit of the sort.
 RANGE_BYTES = 128 << 20
 
