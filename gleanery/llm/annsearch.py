@@ -286,7 +286,8 @@ def search(vectors: DataFrame, is_query, k: int = 20, id_column: str = "vec_id",
     vectors) and verified (points that the query's search compared on the original vectors); ties go to
     the smaller id; a query is never its own answer; fewer rows than k are all returned. Null or zero
     vectors, vectors with a null or non-finite component, of another length than most, or without an id
-    take no part; very large components do. Rows that repeat an id stand as they are.
+    take no part; very large components do. Rows that repeat an id stand as they are. Other columns are ignored, whatever
+    their names; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     usable = F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) & F.exists("x", lambda c: c != 0)

@@ -42,10 +42,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard_stored(spark: SparkSession) -> int:
-    """Delete the tables that this driver has stored, once no result that reads them is needed any more; how many there were."""
+def stored_count() -> int:
+    """How many stored tables this driver holds: a mark for ``discard_stored``."""
+    return len(_stored)
+
+
+def discard_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables stored since a mark, less the last ``keep``, once no result that reads them is needed any more; how many there were."""
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    paths, _stored[:] = list(_stored), []
+    end = len(_stored) - keep
+    paths = _stored[since:end]
+    del _stored[since:end]
     for path in paths:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(hadoop).delete(at, True)

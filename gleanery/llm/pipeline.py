@@ -1,11 +1,16 @@
-"""The corpus pipeline: quality rules, toxicity, near copies, repeated passages, packing."""
+"""The corpus pipeline: quality rules, toxicity, near copies, repeated passages, packing.
+
+Every stage takes documents with any further columns and gives them back; only the last gives pieces. Null texts count as empty
+ones and go with the quality rules; rows that repeat an id are judged one by one until one of them stays of each group of near
+copies; an empty table goes through empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import jaccard, packing, quality, substring, toxicity
-from .common import stored, table
+from .common import discard_stored, stored, stored_count, table
 from .queries import tokenizer
 
 
@@ -47,8 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each stage's result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; each stage's result is written and read again, and what led to it is deleted then."""
+    docs, mark = table(spark, sf_dir, "documents"), stored_count()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard_stored(spark, mark, keep=1)
     return docs

@@ -154,7 +154,10 @@ def _judged(measured: DataFrame, cuts: DataFrame) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of docs that the rules keep, with their columns.
+    """Rows of docs that the rules keep, with their columns, whatever other columns are called.
+
+    A null or empty text has no words and goes; rows that repeat an id are judged one by one; without labels enough for a
+    cutoff the base rules judge alone. An empty table gives no rows.
 
     Measures are taken once for the cutoffs and again beside the rows, so that no text is shuffled: the
     cutoffs have a row per language and meet the rows where they are.

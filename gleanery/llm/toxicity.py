@@ -214,7 +214,8 @@ def score(docs: DataFrame, model: dict | None, id_column: str = "doc_id", text:
 
     A null or wordless text scores 0 and has no sentence. Repeated ids keep a row each; of equal sentences
     the last is named. Without a model (no labels of one class) every score is 0. The model has
-    2**HASH_BITS weights whatever the corpus, so it may be broadcast.
+    2**HASH_BITS weights whatever the corpus, so it may be broadcast. Other columns are ignored, whatever their names; an
+    empty table gives no rows.
     """
     model = model or {"bias": -30.0, "weights": np.zeros(1, np.float32), "check": np.zeros(1, np.uint16)}
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -223,7 +224,10 @@ def score(docs: DataFrame, model: dict | None, id_column: str = "doc_id", text:
 
 
 def clean_documents(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of docs that score below the threshold, with their columns; nothing is shuffled."""
+    """Rows of docs that score below the threshold, with their columns, whatever other columns are called; nothing is shuffled.
+
+    A null or wordless text scores 0 and stays; rows that repeat an id are judged one by one; without a model all stay.
+    """
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
