@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import join_nonempty
+from ..operators.tables import cut
 from . import calendars, jsonld
 from .readers import links
 
@@ -30,14 +31,15 @@ def texts(spark: SparkSession, folder: str, pattern: str | None = None) -> DataF
 def csv_rows(spark: SparkSession, folder: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows with their path, refused (path, reason)): lines that don't fit the schema are refused one by one."""
     scan = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string")
-    rows = scan.csv(folder).select("*", _key())
+    rows = cut(scan.csv(folder).select("*", _key()))  # Spark gives refused lines only beside the parsed ones
     good = rows.where("_corrupt IS NULL").drop("_corrupt")
     return good, rows.where("_corrupt IS NOT NULL").select("path", F.concat(F.lit("bad line: "), F.col("_corrupt")).alias("reason"))
 
 
 def xml_rows(spark: SparkSession, folder: str, row_tag: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(elements with their path, refused (path, reason)) of XML files."""
-    rows = spark.read.option("rowTag", row_tag).option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").xml(folder).select("*", _key())
+    rows = spark.read.option("rowTag", row_tag).option("columnNameOfCorruptRecord", "_corrupt").schema(f"{schema}, _corrupt string").xml(folder)
+    rows = cut(rows.select("*", _key()))
     return rows.where("_corrupt IS NULL").drop("_corrupt"), rows.where("_corrupt IS NOT NULL").select("path", F.lit("bad element").alias("reason"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import recurrence
 from gleanery.operators import listings
-from gleanery.sources import calendars, jsonld
+from gleanery.sources import calendars, jsonld, landed
 
 A, Z = "2026-01-06", "2026-03-31"
 
@@ -154,3 +154,38 @@ def test_links_lead_to_an_origin(spark):
     origins = spark.createDataFrame([("hall.example", "hall", "Town", ["r"])], "domain string, origin_slug string, origin_city string, origin_regions array<string>")
     got = {r.external_id: (r.origin_url, r.origin_tier, r.origin_slug) for r in listings.with_origins(raw, origins).collect()}
     assert got == {"1": ("https://hall.example/a", "A", "hall"), "2": ("https://www.hall.example/t", "A", "hall"), "3": ("https://hall.example/i", "A", "hall"), "4": ("", None, None), "5": ("", None, None)}
+
+
+def test_landed_files(spark, tmp_path):
+    """Files whole with their path, lines that fit no schema, XML elements, pictures by their first bytes, refused payloads."""
+    def put(name, data):
+        at = tmp_path / name
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_bytes(data)
+
+    put("json/source=a/1.json", b'{"x": 1}\n')
+    put("json/source=b/2.json", b"{broken")
+    bodies = landed.texts(spark, str(tmp_path / "json"), "*.json")
+    assert {(r.source, r.path.rsplit("/", 1)[1]) for r in bodies.collect()} == {("a", "1.json"), ("b", "2.json")}
+    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in landed.refused(bodies, landed.not_json(F.col("body"))).collect()] == [("2.json", "no JSON")]
+    put("csv/rows.csv", b"title,n\nok,1\nbad,x\n")
+    good, bad = landed.csv_rows(spark, str(tmp_path / "csv"), "title string, n int")
+    assert [(r.title, r.n) for r in good.collect()] == [("ok", 1)] and [r.reason for r in bad.collect()] == ["bad line: bad,x"]
+    put("xml/feed.xml", b"<rss><item><title>A</title></item><item><title>B</title></item></rss>")
+    elements, none = landed.xml_rows(spark, str(tmp_path / "xml"), "item", "title string")
+    assert sorted(r.title for r in elements.collect()) == ["A", "B"] and none.isEmpty()
+    put("img/a.png", b"\x89PNG\r\n\x1a\n0000")
+    put("img/b.bin", b"nothing")
+    assert {r.path.rsplit("/", 1)[1]: r.kind for r in landed.images(spark, str(tmp_path / "img")).collect()} == {"a.png": "png", "b.bin": "other"}
+
+
+def test_listed_calendars_and_cards(spark):
+    listing = "<a href='/x/Details/b'> <a href=\"/x/Details/a?q\"> <a href='/x/Details/b'> <a href='/x/Details/skip-it'> <a href='/x/Details/c'> <a href='/x/Details/d'>"
+    event = "BEGIN:VCALENDAR\r\nBEGIN:VEVENT\r\nUID:u\r\nSUMMARY:{0}\r\nDTSTART:20260110T190000\r\nLOCATION:{1}\r\nEND:VEVENT\r\nEND:VCALENDAR"
+    listings = spark.createDataFrame([("s", "/x", listing)], "source string, base string, body string")
+    details = spark.createDataFrame([("s", "a", "p/a", event.format("A", "12 Elm")), ("s", "b", "p/b", event.format("B", "Loft")), ("s", "c", "p/c", event.format("C", "")[:60])], "source string, slug string, path string, body string")
+    got, bad = landed.listed_calendars(listings, details, _day(A), _day(Z), skip=("skip it",), most=4)
+    assert {(r.external_id, r.venue_name, r.address, r.info_url) for r in got.collect()} == {("a:2026-01-10", "", "12 Elm", "/x/Details/a"), ("b:2026-01-10", "Loft", "Loft", "/x/Details/b")}
+    assert {(r.path, r.reason) for r in bad.collect()} == {("p/c", "no whole calendar"), ("s/d", "not landed")}
+    few, _ = landed.listed_calendars(listings, details, _day(A), _day(Z), most=1)
+    assert [r.title for r in few.collect()] == ["B"]
