@@ -216,3 +216,17 @@ def test_stored_tables_can_be_discarded(spark):
     common.discard_stored(spark)
     df = common.stored(spark.range(3).toDF("a"), "some")
     assert df.count() == 3 and common.discard_stored(spark) == 1 and common.discard_stored(spark) == 0
+
+
+def test_clashing_columns_and_the_least_row(spark):
+    """A column named as the operators' own is kept; of rows that share an id that with the least text stays."""
+    rows = [(1, "b b b b b b", "x", 1), (1, "a a a a a a", "y", 2), (2, None, "z", 3), (2, "w", "z", 4), (None, "n", "q", 5), (None, "n", "q", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, place0 int")
+    groups = spark.createDataFrame([(1, 1), (2, 2)], "doc_id long, class_id long")
+    kept = sorted((r.doc_id or 0, r.text, r.place0) for r in jaccard.one_of_each(docs, groups).collect())
+    assert kept == [(0, "n", 5), (0, "n", 6), (1, "a a a a a a", 2), (2, None, 3)]
+    passages = spark.createDataFrame([(1, 1, 3)], "doc_id long, start long, end long")
+    left = substring.remove_passages(docs, passages)
+    assert left.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text.split(), r.spans) for r in left.collect())
+    assert got == [(0, ["n"], "q"), (0, ["n"], "q"), (1, ["a"] * 4, "y"), (1, ["b"] * 4, "x"), (2, ["w"], "z")]
