@@ -4,7 +4,10 @@ Equal rows of one label are one point. Points are dealt over shards, each held b
 every component; anchors stream past it. An anchor reads each component's list from the end that its own sign
 favours, a block at a time, and scores the points that it meets there for the first time on their whole
 vectors. What it hasn't met can score no more than the sum of its components times the values reached (the
-threshold), so it stops once that is strictly below the k-th score of each of its windows.
+threshold), so it stops once that is strictly below the k-th score of each of its windows, or once it has met all.
+
+Anchors go down the lists together, at every end that one of them favours. So they meet the same points at the same depth,
+each at least those that it would meet alone, and a block's points are scored for all anchors still searching as one product.
 
 The first visit finds an anchor's positives, in shards of its own label alone; each positive's score gives a window of
 scores, and the second visit finds the best rows of other labels in each window, in all shards. Anchors of equal
@@ -28,6 +31,9 @@ SHARD_POINTS = 8_192
 CHUNK_ANCHORS = 8_192
 #: Places of every list that are read first; each further block is twice as long.
 BLOCK = 16
+#: Scores that the anchors going down the lists together may hold.
+HELD_SCORES = 1 << 21
+_LEAST, _MOST = -(1 << 62), 1 << 62
 
 
 class SortedLists:
@@ -37,50 +43,69 @@ class SortedLists:
         self.vectors, self.labels, self.first_ids = vectors, labels, first_ids
         order = np.argsort(vectors, axis=0, kind="stable")
         self.values = np.ascontiguousarray(np.take_along_axis(vectors, order, 0).T)
-        self.order = np.ascontiguousarray(order.T.astype(np.int32))
+        #: Per component and point its place in the list.
+        self.place = np.empty(self.values.shape, np.int32)
+        np.put_along_axis(self.place, order.T, np.arange(len(vectors), dtype=np.int32)[None, :], 1)
         self.largest = float(np.abs(vectors).max(initial=0))
-        self.doubles = vectors.astype(np.float64)
 
-    def _scores(self, places: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        if self.largest * float(np.abs(anchor).max(initial=0)) * len(anchor) < 2**53:
-            return (self.doubles[places] @ anchor.astype(np.float64)).astype(np.int64)
-        return self.vectors[places] @ anchor
+    def _scores(self, places: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        """Anchors by places, in the shortest type that holds every sum exactly."""
+        most = self.largest * float(np.abs(anchors).max(initial=0)) * anchors.shape[1]
+        kind = np.float32 if most < 2**24 else np.float64 if most < 2**53 else np.int64
+        return (anchors.astype(kind) @ self.vectors[places].astype(kind).T).astype(np.int64)
 
     def best(self, anchor: np.ndarray, label, same: bool, windows: list[tuple[int, int]], k: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
         """Per window (lowest and highest score) its k best points of the same or of other labels and their scores, and how many were scored."""
+        return self.best_of(anchor[None, :], np.array([label]), same, [windows], k)[0]
+
+    def best_of(self, anchors: np.ndarray, labels: np.ndarray, same: bool, windows: list[list[tuple[int, int]]], k: int) -> list[tuple[list[np.ndarray], list[np.ndarray], int]]:
+        """What ``best`` returns, per anchor."""
         n = len(self.vectors)
-        lists = np.flatnonzero(anchor)
-        if not len(lists):  # every score is 0, and no list leads anywhere
-            met = np.flatnonzero((self.labels == label) == same)
-            scores = np.zeros(len(met), np.int64)
-        else:
-            weights = anchor[lists]
-            down = weights > 0
-            seen = np.zeros(n, bool)
-            met, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            depth, block = 0, BLOCK
-            while depth < n:
-                to = min(n, depth + block)
-                at = np.arange(depth, to)
-                reached = np.where(down[:, None], n - 1 - at, at)
-                before = seen.copy()
-                seen[self.order[lists[:, None], reached]] = True
-                fresh = np.flatnonzero(seen & ~before)
-                got = self._scores(fresh, anchor)
-                fits = (self.labels[fresh] == label) == same
-                met, scores = np.concatenate([met, fresh[fits]]), np.concatenate([scores, got[fits]])
-                depth, block = to, 2 * block
-                threshold = int(weights @ self.values[lists, reached[:, -1]])
-                if all(threshold < self._bar(scores, low, high, k) for low, high in windows):
-                    break
-            n = int(seen.sum())
-        places, values = [], []
-        for low, high in windows:
-            inside = np.flatnonzero((scores >= low) & (scores <= high))
-            own = inside[np.lexsort((self.first_ids[met[inside]], -scores[inside]))[:k]]
-            places.append(met[own])
-            values.append(scores[own])
-        return places, values, n
+        up, down = np.minimum(anchors, 0), np.maximum(anchors, 0)
+        # The depth at which a point is met: in a list of zero weights for all anchors never (n).
+        met = np.minimum(self.place[up.any(0)].min(0, initial=n), n - 1 - self.place[down.any(0)].max(0, initial=-1))
+        places = np.argsort(met, kind="stable")
+        met, of_label = met[places], self.labels[places]
+        scores = np.empty((len(anchors), n), np.int64)
+        scored = np.zeros(len(anchors), np.int64)
+        highest = np.full(len(anchors), _LEAST)
+        least = np.array([min((low for low, _ in own), default=_MOST) for own in windows])
+        searching = np.arange(len(anchors))
+        depth, block, start = 0, BLOCK, 0
+        while len(searching):
+            depth, block = min(n, depth + block), 2 * block
+            end = int(np.searchsorted(met, depth)) if depth < n else n
+            got = self._scores(places[start:end], anchors[searching])
+            scores[searching, start:end] = got
+            scored[searching] = end
+            if end == n:
+                break
+            highest[searching] = np.maximum(highest[searching], got.max(1, initial=_LEAST))
+            threshold = up[searching] @ self.values[:, depth - 1] + down[searching] @ self.values[:, n - depth]
+            # No bar is above both the highest score met and its window's lowest.
+            near = threshold < np.maximum(highest, least)[searching]
+            stops = np.zeros(len(searching), bool)
+            for i in np.flatnonzero(near):
+                a = searching[i]
+                fit = scores[a, :end][(of_label[:end] == labels[a]) == same]
+                stops[i] = all(threshold[i] < self._bar(fit, low, high, k) for low, high in windows[a])
+            searching, start = searching[~stops], end
+        return [self._chosen(scores[a, : scored[a]], places, labels[a], same, windows[a], k) for a in range(len(anchors))]
+
+    def _chosen(self, scores: np.ndarray, places: np.ndarray, label, same: bool, windows: list[tuple[int, int]], k: int) -> tuple[list[np.ndarray], list[np.ndarray], int]:
+        """Each window's k best of the scores met."""
+        if not windows:
+            return [], [], len(scores)
+        low, high = np.array(windows).T
+        some = np.flatnonzero(scores >= low.min())
+        some = some[((self.labels[places[some]] == label) == same) & (scores[some] <= high.max())]
+        # The k best up to the least highest score are in every window that reaches down to them.
+        some = some[scores[some] >= self._bar(scores[some], int(low.min()), int(high.min()), k)]
+        some = some[np.lexsort((self.first_ids[places[some]], -scores[some]))]
+        falling = -scores[some]
+        first, last = np.searchsorted(falling, -high, "left"), np.searchsorted(falling, -low, "right")
+        own = [some[i : min(i + k, j)] for i, j in zip(first.tolist(), last.tolist())]
+        return [places[x] for x in own], [scores[x] for x in own], len(scores)
 
     @staticmethod
     def _bar(scores: np.ndarray, low: int, high: int, k: int) -> int:
@@ -90,7 +115,6 @@ class SortedLists:
 
 
 _FOUND = "cid long, window long, id long, score long, scored long"
-_LEAST, _MOST = -(1 << 62), 1 << 62
 
 
 def _search(k: int, same: bool):
@@ -120,18 +144,21 @@ def _search(k: int, same: bool):
                     continue
                 held = held or SortedLists(*(np.concatenate(x) for x in zip(*parts)))
                 out: list[list] = [[] for _ in schema]
-                for cid, anchor, label, ids_or_scores in zip(part.column("cid").to_pylist(), vectors, labels, part.column("ids").to_pylist()):
-                    # 50 p <= 100 n <= 95 p
-                    windows = [(_LEAST, _MOST)] if same else [(-(-50 * p // 100), 95 * p // 100) for p in ids_or_scores]
-                    places, values, scored = held.best(anchor, label, same, windows, k)
-                    for i, (own, scores) in enumerate(zip(places, values)):
-                        window = None if same else ids_or_scores[i]
-                        rows = [(-s, x) for place, s in zip(own.tolist(), scores.tolist()) for x in ids[place]]
-                        for s, x in sorted(rows)[:k]:
-                            for column, value in zip(out, (cid, window, x, -s, None)):
-                                column.append(value)
-                    for column, value in zip(out, (cid, None, None, None, scored)):
-                        column.append(value)
+                cids, ids_or_scores = part.column("cid").to_pylist(), part.column("ids").to_pylist()
+                # 50 p <= 100 n <= 95 p
+                windows = [[(_LEAST, _MOST)] if same else [(-(-50 * p // 100), 95 * p // 100) for p in own] for own in ids_or_scores]
+                step = max(1, HELD_SCORES // len(ids))
+                for first in range(0, len(part), step):
+                    some = slice(first, first + step)
+                    for cid, own, (places, values, scored) in zip(cids[some], ids_or_scores[some], held.best_of(vectors[some], labels[some], same, windows[some], k)):
+                        for i, (found, scores) in enumerate(zip(places, values)):
+                            window = None if same else own[i]
+                            rows = [(-s, x) for place, s in zip(found.tolist(), scores.tolist()) for x in ids[place]]
+                            for s, x in sorted(rows)[:k]:
+                                for column, value in zip(out, (cid, window, x, -s, None)):
+                                    column.append(value)
+                        for column, value in zip(out, (cid, None, None, None, scored)):
+                            column.append(value)
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in out], schema=schema)
 
     return run

@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from gleanery.llm import negatives, queries
@@ -59,6 +60,27 @@ def test_stops_at_the_threshold():
         assert scored < 2500
 
 
+def test_anchors_share_their_scoring(monkeypatch):
+    """A chunk's anchors are scored a block at a time for all of them, and each gets what comparing all gives."""
+    rng = np.random.default_rng(7)
+    points, k = rng.integers(-40, 40, size=(500, 16)), 3
+    points[:20] *= rng.random((20, 16)) < 0.2  # some with few components
+    points[3], labels = 0, np.arange(500) % 3
+    asked = [[int(p) for p in np.unique(np.maximum(points @ points[i], 0))[-4:-1]] for i in range(300)]
+    batch = lambda asks, places, ids: pa.record_batch({"shard": ["0"] * len(places), "asks": [asks] * len(places), "cid": places, "label": labels[places], "ints": points[places].tolist(), "ids": ids})
+    calls, plain = [], negatives.SortedLists._scores
+    monkeypatch.setattr(negatives.SortedLists, "_scores", lambda self, *a: calls.append(1) or plain(self, *a))
+    found = negatives._search(k, False)([batch(False, np.arange(500), [[i] for i in range(500)]), batch(True, np.arange(300), asked)])
+    got = sorted((r["cid"], r["window"], -r["score"], r["id"]) for b in found for r in b.to_pylist() if r["id"] is not None)
+    want = []
+    for i in range(300):
+        ranked = sorted((-int(s), j) for j, s in enumerate(points @ points[i]) if labels[j] != labels[i])
+        for p in asked[i]:
+            want += [(i, p, s, j) for s, j in ranked if 50 * p <= -100 * s <= 95 * p][:k]
+    assert got == sorted(want) and len(got) > 1000
+    assert len(calls) <= 10
+
+
 def test_big_integers_are_exact():
     vectors = np.array([[2**28 + 1, 3], [2**28, 3], [5, -7]], np.int64)
     lists = negatives.SortedLists(vectors, np.array([1, 1, 2]), np.arange(3))
