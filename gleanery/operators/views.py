@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import signals
+from .tables import cut
 
 
 def featured(pool: DataFrame, series: str, k: int, *order: Column) -> DataFrame:
@@ -110,24 +111,32 @@ def pages(defs: DataFrame, rows: DataFrame, key: list[str], id_: str) -> DataFra
     return defs.join(counted, key, "left").withColumn("n", n).withColumn("noindex", F.col("n") == 0)
 
 
-def search(queries: DataFrame, index: DataFrame, limit: int = 50) -> DataFrame:
+#: Queries of a search that are sent to every task; more meet the rows by a shuffle.
+FEW_QUERIES = 10_000
+
+
+def search(queries: DataFrame, index: DataFrame, limit: int = 50, few: int = FEW_QUERIES) -> DataFrame:
     """Per query (q, tokens) the best index rows (id, title, hay, bonus): all tokens must be in hay.
 
     A token scores 3 at the title's start, 2 inside it, else 1. Rows are found by the first three letters of
     the query's longest token (fewer if it is shorter), which every match holds, so a query meets only rows
-    that have them; the tokens are checked after.
+    that have them; the tokens are checked after. The index never goes to the driver: up to ``few`` queries are sent to its rows,
+    more meet them in a join that both sides are shuffled for.
     """
     width = 3
     longest = F.array_max(F.transform("tokens", lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
-    asked = queries.where(F.size("tokens") > 0).withColumn("_gram", F.substring(longest, 1, width))
+    asked = cut(queries.where(F.size("tokens") > 0).withColumn("_gram", F.substring(longest, 1, width)))
     # Rows are cut into pieces of the asked lengths alone: mostly of three letters.
-    lengths = sorted(r.n for r in asked.select(F.length("_gram").alias("n")).distinct().collect())
+    counted = asked.groupBy(F.length("_gram").alias("n")).count().collect()
+    lengths = sorted(r.n for r in counted if r.n is not None)
     pieces = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("hay") - n + 1, F.lit(1))), lambda i: F.substring(F.col("hay"), i, F.lit(n)))
     grams = F.array_distinct(F.concat(*map(pieces, lengths))) if lengths else F.array().cast("array<string>")
     held = index.where(F.length("hay") > 0).withColumn("_gram", F.explode(grams))
     fits = F.forall("tokens", lambda k: F.contains(F.col("hay"), k))
     one = lambda k: F.when(F.startswith(F.col("title"), k), 3.0).when(F.contains(F.col("title"), k), 2.0).otherwise(1.0)
-    hits = held.join(asked, "_gram").where(fits).drop("_gram")
+    # Without a hint Spark may take the exploded index, which it judges by the files' size, for the smaller side.
+    side = asked.hint("broadcast" if sum(r["count"] for r in counted) <= few else "merge")
+    hits = held.join(side, "_gram").where(fits).drop("_gram")
     score = F.aggregate("tokens", F.lit(0.0), lambda a, k: a + one(k)) + F.col("bonus")
     ranked = hits.withColumn("score", score).withColumn("_n", F.row_number().over(W.partitionBy("q").orderBy(F.desc("score"), "id")))
     return ranked.where(F.col("_n") <= limit).drop("_n")
