@@ -153,3 +153,29 @@ def test_large_buckets_lose_nothing(spark):
     assert len(got) < 0.02 * len(names) ** 2
     some = names[::97]
     assert all((a, b) in got for a in some for b in names if set_ratio(a, b) >= 82)
+
+
+@pytest.mark.parametrize("name", ["token_set_ratio", "token_sort_ratio"])
+def test_ratio_queries_score_names_not_pairs(spark, tmp_path, monkeypatch, name):
+    """800 parts of a brand and type with four names: 16 pairs of names at most are scored; null brands pair with nothing."""
+    from gleanery.plans import QUERIES
+
+    names = ["red ring", "ring red", "red", "gear"]
+    rows = [(i, names[i % 4], None if i % 100 == 99 else "b", "t") for i in range(800)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    met = []
+    monkeypatch.setattr(match, "cut", lambda df, plain=match.cut: met.append(plain(df)) or met[-1])
+    got = {(r.a, r.b) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    one = (lambda a, b: set(a.split()) <= set(b.split()) or set(b.split()) <= set(a.split())) if "set" in name else (lambda a, b: sorted(a.split()) == sorted(b.split()))
+    assert got == {(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[2] and b[2] and one(a[1], b[1])}
+    assert met and all(df.count() <= 16 for df in met)
+
+
+def test_equal_sorted_tokens_meet_alone(spark):
+    """20,000 different texts of a bucket at a sort ratio of 100: 400 million pairs of them are never made."""
+    from gleanery.functions.similarity import token_sort_ratio
+
+    m = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id", scorer=token_sort_ratio)
+    frame = spark.range(20_000).selectExpr("id", "if(id % 2 = 0, concat('a', id, ' b'), concat('b a', id - 1)) AS text", "'one' AS bucket", "id AS rank")
+    got = match.match_pairs(frame, m, 100)
+    assert got.where("b_id = a_id + 1 AND a_id % 2 = 0 AND score = 100").count() == got.count() == 10_000
