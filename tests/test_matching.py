@@ -179,3 +179,18 @@ def test_equal_sorted_tokens_meet_alone(spark):
     frame = spark.range(20_000).selectExpr("id", "if(id % 2 = 0, concat('a', id, ' b'), concat('b a', id - 1)) AS text", "'one' AS bucket", "id AS rank")
     got = match.match_pairs(frame, m, 100)
     assert got.where("b_id = a_id + 1 AND a_id % 2 = 0 AND score = 100").count() == got.count() == 10_000
+
+
+def test_best_meets_few(spark, monkeypatch):
+    """A bucket of 3,000 with few texts: lists of 16 and longer ones for the vetoed, never 9 million pairs; against a loop."""
+    m = match.MatchSchema(text="text", bucket="bucket", rank="rank", id="id", veto="a.kind = b.kind OR a.id = b.id")
+    rows = [(i, f"{'ab'[i % 2]} {'cde'[i % 3]}", "one", 0, 1 if i < 2500 else i % 5) for i in range(3000)]
+    made = []
+    monkeypatch.setattr(match, "cut", lambda df, plain=match.cut: made.append(plain(df)) or made[-1])
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r.id: r for r in match.match_best(frame, frame, m).collect()}
+    assert len(got) == 3000 and 3 < len(made) and sum(df.count() for df in made) < 30_000
+    for a in rows[::113]:
+        first = sorted((-set_ratio(a[1], b[1]), b[0]) for b in rows if b[0] != a[0] and b[4] != a[4])[:2]
+        r = got[a[0]]
+        assert abs(r.score + first[0][0]) < 1e-9 and abs(r.runner_up + first[1][0]) < 1e-9 and r.candidate == (first[0][1] if r.decision != "new" else None)
