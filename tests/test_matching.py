@@ -116,6 +116,28 @@ def test_large_units_take_rounds(spark, rows, m=VETO):
         assert [{r.id: r.cluster for r in match.cluster(frame, m, most).collect()}, {r.id: r.leader for r in match.leader_match(old, new, m, most).collect()}] == whole
 
 
+def test_clusters_stream_along_texts(spark, rows, monkeypatch):
+    """A bucket of 4,000 records and few texts, some of which tie others: links of texts alone, against a loop; the same by components and rounds."""
+    texts = ["alpha beta", "alpha beta gamma", "gamma", "gamma delta", "omega", "", "beta alpha"]
+    many = [(i, texts[i * i % 7], "one", i * 13 % 101, 0) for i in range(4000)]
+    want, groups = {}, []
+    near = {a: {b for b in texts if set_ratio(a, b) >= 82} for a in texts}
+    for a in sorted(many, key=lambda r: (r[3], r[0])):
+        home = next((g for g in groups if near[a[1]] & g[1]), None)
+        if home is None:
+            groups.append(home := (a[0], set()))
+        home[1].add(a[1])
+        want[a[0]] = home[0]
+    written = []
+    for module in (match, ordered, candidates):
+        monkeypatch.setattr(module, "cut", lambda df, plain=module.cut: written.append(plain(df)) or written[-1])
+    got = match.cluster(spark.createDataFrame(many, SCHEMA), PLAIN)
+    assert {r.id: r.cluster for r in got.collect()} == want and all(df.count() < 100 for df in written)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    whole = {r.id: r.cluster for r in match.cluster(frame, PLAIN).collect()}
+    assert all({r.id: r.cluster for r in match.cluster(frame, PLAIN, most).collect()} == whole for most in (3, 200))
+
+
 def test_a_chain_needs_few_rounds(spark, monkeypatch):
     """Two chains of 5,000 in one bucket, each a component that streams whole: rounds are those of the components."""
     n, rounds = 5_000, []
