@@ -80,21 +80,23 @@ def events(pages: DataFrame, html: str, source: str, page: str, url: str, first:
     than ``max_days`` go. A place, offer or image may be a list, whose first counts; a place, address or organizer
     may be a text. A price of 0 is Free. The id is ``url:date``, by the event's own url or else the page's.
     """
-    e = event_objects(pages, html, source, page, url, depth=depth)
+    n = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * pages.sparkSession.sparkContext.defaultParallelism)
+    # A page takes long for its bytes, by which Spark would put pages into few tasks.
+    e = event_objects(pages.repartition(n, page), html, source, page, url, depth=depth)
     v = F.col("v")
+    # Each step's values are made once: a filter on columns would be moved before them and make them again.
+    once = lambda df, ok, **made: df.select("*", F.inline(F.filter(F.array(F.struct(*(c.alias(k) for k, c in made.items()))), ok)))
+    e = once(e, lambda r: F.to_date(r["starts"]).between(first, last), starts=wall(part(v, "$.startDate"), zone))
+    e = once(e, lambda r: F.coalesce(F.datediff(r["ends"], F.col("starts")) <= max_days, F.lit(True)) if max_days is not None else F.lit(True), ends=wall(part(v, "$.endDate"), zone))
+    e = once(e, lambda r: r["title"] != "", title=clean_title(part(v, "$.name")), info_url=F.coalesce(F.nullif(part(v, "$.url"), F.lit("")), url))
+    e = e.withColumn("external_id", F.concat_ws(":", "info_url", F.to_date("starts")))
+    # The first of an id by one aggregate; no row is kept by chance. Objects travel whole, once, and are read after.
+    e = e.groupBy(source, "external_id").agg(F.min_by(F.struct("v", "starts", "ends", "title", "info_url"), F.struct(page, "block", "path")).alias("r")).select(source, "external_id", "r.*")
     e = e.select(
-        source, page, "block", "path",
-        F.coalesce(F.nullif(part(v, "$.url"), F.lit("")), url).alias("info_url"),
-        part(v, "$.name").alias("name"), part(v, "$.startDate").alias("s"), part(v, "$.endDate").alias("e"), part(v, "$.description").alias("d"), part(v, "$.eventType").alias("kind"),
+        source, "external_id", "starts", "ends", "title", "info_url",
+        part(v, "$.startDate").alias("s"), part(v, "$.description").alias("d"), part(v, "$.eventType").alias("kind"),
         _first(v, "$.location").alias("loc"), _first(v, "$.offers").alias("offer"), _first(v, "$.image").alias("img"), part(v, "$.organizer", "variant").alias("org"),
     )
-    e = e.withColumns({"starts": wall(F.col("s"), zone), "ends": wall(F.col("e"), zone)}).where(F.to_date("starts").between(first, last))
-    if max_days is not None:
-        e = e.where(F.coalesce(F.datediff("ends", "starts") <= max_days, F.lit(True)))
-    e = e.withColumns({"title": clean_title(F.col("name")), "external_id": F.concat_ws(":", "info_url", F.to_date("starts"))}).where("title <> ''")
-    # The first of an id by one aggregate; no row is kept by chance.
-    names = [c for c in e.columns if c not in (source, page, "block", "path", "external_id")]
-    e = e.groupBy(source, "external_id").agg(F.min_by(F.struct(*names), F.struct(page, "block", "path")).alias("r")).select(source, "external_id", "r.*")
     # An object's own text is its JSON; only what isn't an object is a text.
     text = lambda c: F.when(part(c, "$", "map<string,variant>").isNull(), part(c, "$"))
     loc, offer, img, org = (F.col(c) for c in ("loc", "offer", "img", "org"))

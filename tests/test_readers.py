@@ -189,3 +189,12 @@ def test_listed_calendars_and_cards(spark):
     assert {(r.path, r.reason) for r in bad.collect()} == {("p/c", "no whole calendar"), ("s/d", "not landed")}
     few, _ = landed.listed_calendars(listings, details, _day(A), _day(Z), most=1)
     assert [r.title for r in few.collect()] == ["B"]
+
+
+def test_object_values_are_read_once(spark):
+    """The walk goes to many tasks whatever the pages' bytes, and dates and titles are read once each, not again for every filter on them."""
+    pages = spark.createDataFrame([("s", 1, "/p", '<script type="application/ld+json">{"@type":"Event","name":"<b>A</b>","startDate":"2026-02-01","endDate":"2026-02-02"}</script>')], "source string, page int, url string, html string")
+    found = jsonld.events(pages, "html", "source", "page", "url", _day(A), _day(Z), max_days=4)
+    assert [(r.title, r.external_id) for r in found.collect()] == [("A", "/p:2026-02-01")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.endDate") == 1 and plan.count("$.startDate") == 2 and "RepartitionByExpression" in plan
