@@ -216,3 +216,14 @@ def test_best_meets_few(spark, monkeypatch):
         first = sorted((-set_ratio(a[1], b[1]), b[0]) for b in rows if b[0] != a[0] and b[4] != a[4])[:2]
         r = got[a[0]]
         assert abs(r.score + first[0][0]) < 1e-9 and abs(r.runner_up + first[1][0]) < 1e-9 and r.candidate == (first[0][1] if r.decision != "new" else None)
+
+
+def test_candidates_in_pieces(spark, rows):
+    """A bucket's candidates in pieces: no pair lost or doubled, and the pairs of one bucket in several tasks."""
+    frame = spark.createDataFrame(rows, SCHEMA)
+    want = sorted((a[0], b[0]) for a in rows for b in rows if a[0] != b[0] and a[2] == b[2] and a[2] is not None and not barred(VETO, a, b))
+    assert sorted(map(tuple, match.bucket_candidates(frame, VETO, piece=7).collect())) == want
+    some = match.bucket_candidates(frame.where("id < 60"), VETO, frame.where("id >= 50"), piece=3)
+    assert sorted(map(tuple, some.collect())) == [p for p in want if p[0] < 60 and p[1] >= 50]
+    one = match.bucket_candidates(frame.where("bucket = 'b1'"), VETO, piece=7)
+    assert one.select(F.spark_partition_id()).distinct().count() > 2
